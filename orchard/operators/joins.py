@@ -1,0 +1,29 @@
+"""Joining a fitted lookup table (one row per key) onto a large table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A lookup table is broadcast only when its counted size is at most this.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def lookup_join(
+    big: DataFrame,
+    table: DataFrame,
+    on: list[str],
+    how: str = "left",
+    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """Attach ``table`` (unique on ``on``) to ``big``.
+
+    The table is materialised once (``persist`` + ``count``); when its row
+    count is within ``max_broadcast_rows`` it is broadcast, so the large side
+    is never shuffled and a hot key costs nothing extra.  A larger table falls
+    back to a shuffled join, where AQE's skew-join handling splits hot keys.
+    """
+    table = table.persist()
+    n = table.count()
+    right = F.broadcast(table) if n <= max_broadcast_rows else table
+    return big.join(right, on=on, how=how)
