@@ -24,9 +24,10 @@ from orchard.functions.features import (
     interaction,
     numeric_columns,
 )
-from orchard.operators import baselines, metrics, profile, split
+from orchard.operators import abtest, baselines, bootstrap, metrics, profile, registry, split
 from orchard.operators.scaling import fit_scaler
 from orchard.session import fresh_path
+from orchard.sources import sinks, views
 from orchard.sources.readers import read_csv, read_table
 from orchard.sources.views import METRICS_KEYS, label_view, metrics_view
 
@@ -217,6 +218,181 @@ def q_regression_metrics(spark, sf_dir):
     return rounded(metrics.regression_metrics(_scored_regressors(spark, sf_dir), segments=["model", "node_id"]))
 
 
+# --------------------------------------------------------------------------
+# B-1 ... B-9: A/B comparison (fixed classifiers, per node)
+# --------------------------------------------------------------------------
+
+REPLICATES = 1000
+AB_SEGMENTS = ["node_id"]
+CHAMPION_URI = "models:/fixed_scores@champion"
+CHALLENGER_URI = "models:/fixed_scores@challenger"
+
+
+def _scored_wide(spark, sf_dir):
+    _, test = split.hash_split(_labels(spark, sf_dir), METRICS_KEYS, TEST_SIZE, SEED)
+    return baselines.score_two_classifiers(test).withColumn("label", F.col("fraud").cast("double"))
+
+
+def _poisson_reps(spark, sf_dir):
+    return bootstrap.poisson_bootstrap(
+        _scored_wide(spark, sf_dir), METRICS_KEYS, "label", "pred_champion", "pred_challenger",
+        AB_SEGMENTS, REPLICATES, SEED,
+    )
+
+
+def q_poisson_bootstrap(spark, sf_dir):
+    return rounded(_poisson_reps(spark, sf_dir))
+
+
+def _tested(spark, sf_dir, with_p=True):
+    summary = abtest.replicate_summary(_poisson_reps(spark, sf_dir), AB_SEGMENTS)
+    return abtest.with_effect_size(abtest.welch_test(summary, with_p=with_p))
+
+
+def q_welch_stats(spark, sf_dir):
+    t = _tested(spark, sf_dir)
+    return rounded(t.select(
+        *AB_SEGMENTS, "n_replicates", "mean_champion", "mean_challenger", "var_champion", "var_challenger",
+        "t_stat", "dof", "p_value",
+    ))
+
+
+def q_effect_size(spark, sf_dir):
+    t = _tested(spark, sf_dir, with_p=False)
+    return rounded(t.select(
+        *AB_SEGMENTS, "mean_champion", "mean_challenger", "sd_champion", "sd_challenger",
+        "f1_improvement", "effect_size",
+    ))
+
+
+def _ab_report(spark, sf_dir):
+    scored = _scored_classifiers(spark, sf_dir)
+    cls = metrics.classification_metrics(scored, segments=CLS_SEGMENTS)
+    roc = metrics.auc(scored, segments=CLS_SEGMENTS)
+    tested = abtest.with_decision(_tested(spark, sf_dir))
+    return abtest.ab_report(cls, roc, tested, AB_SEGMENTS, champion_uri=CHAMPION_URI, challenger_uri=CHALLENGER_URI)
+
+
+def q_ab_report(spark, sf_dir):
+    return rounded(_ab_report(spark, sf_dir))
+
+
+def q_ab_report_json(spark, sf_dir):
+    """K-3: the report through the JSON sink and back (explicit schema)."""
+    report = rounded(_ab_report(spark, sf_dir))
+    path = sinks.write_json(report, fresh_path(spark, "ab_report"))
+    return spark.read.schema(report.schema).json(path)
+
+
+def _decide_regression(spark, sf_dir):
+    m = metrics.regression_metrics(_scored_regressors(spark, sf_dir), segments=["model", "node_id"])
+    return abtest.decide_regression(m, ["node_id"])
+
+
+def q_decide_regression(spark, sf_dir):
+    return rounded(_decide_regression(spark, sf_dir))
+
+
+def q_bootstrap_f1(spark, sf_dir):
+    """B-1: multinomial cell bootstrap (numpy draws; rows-only check)."""
+    return rounded(bootstrap.multinomial_bootstrap(
+        _scored_wide(spark, sf_dir), "label", "pred_champion", "pred_challenger", AB_SEGMENTS, REPLICATES, SEED
+    ))
+
+
+def q_log_metrics(spark, sf_dir):
+    """R-1 / R-2 / R-3: the regression A/B result logged as run rows."""
+    d = _decide_regression(spark, sf_dir)
+    rows = registry.run_rows(
+        d,
+        run_id=F.concat(F.lit("ab_node_"), F.col("node_id").cast("string")),
+        event_id=F.col("node_id").cast("bigint"),
+        metrics=["champion_rmse", "challenger_rmse", "champion_mae", "challenger_mae",
+                 "champion_r2", "challenger_r2", "rmse_improvement_pct"],
+        tags=["decision"],
+    )
+    return rounded(rows)
+
+
+def q_log_lines(spark, sf_dir):
+    """K-4: run rows formatted as text lines, through the text sink and back."""
+    runs = q_log_metrics(spark, sf_dir)
+    lines = sinks.format_lines(runs, ["run_id", "kind", "key", "value"])
+    path = sinks.write_text(lines, fresh_path(spark, "log_lines"))
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+# --------------------------------------------------------------------------
+# R-4 ... R-11: registry on tables derived from events
+# --------------------------------------------------------------------------
+
+
+def _registry(spark, sf_dir):
+    events = read_table(spark, sf_dir, "events")
+    versions = views.registry_versions(events)
+    return versions, views.registry_runs(events), views.registry_alias_events(versions)
+
+
+def q_resolve_alias(spark, sf_dir):
+    _, _, aliases = _registry(spark, sf_dir)
+    return registry.resolve_aliases(aliases)
+
+
+def q_champion_metrics(spark, sf_dir):
+    versions, runs, aliases = _registry(spark, sf_dir)
+    return rounded(registry.champion_metrics(aliases, versions, runs, ["auc", "rmse"]))
+
+
+def q_next_version(spark, sf_dir):
+    versions, _, _ = _registry(spark, sf_dir)
+    return registry.next_versions(versions)
+
+
+def q_promotion_auc(spark, sf_dir):
+    versions, runs, _ = _registry(spark, sf_dir)
+    return rounded(registry.promotion_history(versions, runs, "auc", higher_is_better=True))
+
+
+def q_promotion_rmse(spark, sf_dir):
+    versions, runs, _ = _registry(spark, sf_dir)
+    return rounded(registry.promotion_history(versions, runs, "rmse", higher_is_better=False))
+
+
+def q_relative_improvement(spark, sf_dir):
+    """R-7 + R-9 for the newest version of every model against its champion."""
+    versions, runs, aliases = _registry(spark, sf_dir)
+    newest = versions.groupBy("model").agg(
+        F.max_by("version", "event_id").alias("version"),
+        F.max_by("run_id", "event_id").alias("run_id"),
+    )
+    cand = newest.join(registry.run_metrics_wide(runs, ["auc"]), "run_id", "left").select("model", "version", "auc")
+    champs = registry.champion_metrics(aliases, versions, runs, ["auc"])
+    return rounded(registry.promote_new(cand, champs, "auc", higher_is_better=True))
+
+
+def q_alias_swap(spark, sf_dir):
+    """R-10: challenger beats champion on auc -> append a champion event."""
+    versions, runs, aliases = _registry(spark, sf_dir)
+    current = registry.resolve_aliases(aliases)
+    wide = registry.run_metrics_wide(runs, ["auc"])
+    with_metric = current.join(
+        versions.select("model", "version", "run_id"), ["model", "version"], "left"
+    ).join(wide, "run_id", "left")
+    decisions = with_metric.groupBy("model").agg(
+        F.max(F.when(F.col("alias") == registry.CHAMPION, F.col("auc"))).alias("_champ"),
+        F.max(F.when(F.col("alias") == registry.CHALLENGER, F.col("auc"))).alias("_chall"),
+    ).select("model", F.when(F.col("_chall") > F.col("_champ"), F.lit("PROMOTE"))
+             .otherwise(F.lit("KEEP_CHAMPION")).alias("decision"))
+    batch_id = (aliases.agg(F.max("event_id")).first()[0] or 0) + 1
+    new_events = registry.alias_swap_events(current, decisions, batch_id)
+    return registry.resolve_aliases(aliases.unionByName(new_events))
+
+
+def q_retraining_report(spark, sf_dir):
+    versions, runs, aliases = _registry(spark, sf_dir)
+    return rounded(registry.retraining_report(versions, runs, aliases, "rmse"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_scan_roundtrip": q_csv_scan_roundtrip,
     "row_count": q_row_count,
@@ -238,4 +414,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "f1_weighted": q_f1_weighted,
     "f1_positive": q_f1_positive,
     "regression_metrics": q_regression_metrics,
+    "poisson_bootstrap": q_poisson_bootstrap,
+    "welch_stats": q_welch_stats,
+    "effect_size": q_effect_size,
+    "decide_regression": q_decide_regression,
+    "ab_report": q_ab_report,
+    "ab_report_json": q_ab_report_json,
+    "log_metrics": q_log_metrics,
+    "log_lines": q_log_lines,
+    "resolve_alias": q_resolve_alias,
+    "champion_metrics": q_champion_metrics,
+    "next_version": q_next_version,
+    "promotion_auc": q_promotion_auc,
+    "promotion_rmse": q_promotion_rmse,
+    "relative_improvement": q_relative_improvement,
+    "alias_swap": q_alias_swap,
+    "retraining_report": q_retraining_report,
+    "bootstrap_f1": q_bootstrap_f1,
 }

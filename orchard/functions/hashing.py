@@ -59,8 +59,12 @@ def poisson_cdf_thresholds(max_weight: int = POISSON_MAX_WEIGHT, modulus: int =
 
 
 def stream_words(keys: list[str], seed: int) -> tuple[Column, Column]:
-    """Two per-row words (a, b) with b != 0 for the replicate stream."""
-    s = key_string(keys, seed)
+    """Two per-row words (a, b) with b != 0 for the replicate stream.
+
+    Salted apart from the split hash: the hold-out is selected on that hash,
+    so reusing it would leave only a biased range of values for the stream.
+    """
+    s = key_string(keys, f"b{seed}")
     a = md5_u32(s, 0) % STREAM_PRIME
     b = md5_u32(s, 1) % (STREAM_PRIME - 1) + 1
     return a, b

@@ -115,7 +115,7 @@ def auc(
         F.sum(F.when(is_pos, 1).otherwise(0)).cast("double").alias("_pos"),
         F.sum(F.when(is_pos, 0).otherwise(1)).cast("double").alias("_neg"),
     )
-    ranked = prefix_aggregate(per_score, seg, ["_s"], [("_neg_below", "sum", F.col("_neg"))], inclusive=False)
+    ranked = prefix_aggregate(per_score, seg, "_s", [("_neg_below", "sum", F.col("_neg"))], inclusive=False)
     summed = ranked.groupBy(*seg).agg(
         F.sum(F.col("_pos") * (F.col("_neg_below") + F.lit(0.5) * F.col("_neg"))).alias("_u"),
         F.sum("_pos").alias("n_pos"),

@@ -5,14 +5,19 @@ If one model, user or score range holds a third of the data, that task sorts a
 third of the data alone.  ``prefix_aggregate`` computes the same running
 aggregate in three distributed steps:
 
-1. range-partition on ``(group, order)``: a hot group is cut into several
-   contiguous *slices*, each handled by a different task;
+1. cut the order column into *slices* at approximate quantiles (one small
+   sketch job; the boundaries, at most ``slices`` numbers, become literals in
+   a binary-search ``CASE`` expression).  A hot group is thereby split into up
+   to ``slices`` pieces of bounded size;
 2. aggregate each ``(group, slice)`` and compute, on that small table, the
    carry-in from earlier slices of the same group;
 3. run the window inside each ``(group, slice)`` and add the carry-in.
 
-Only associative operators are supported (sum, count, max, min).  The order
-columns must give a total order inside each group (add a unique tiebreak).
+The slice of a row is a pure function of its order value, so every branch of
+the plan (and every retry of a task) agrees on it.  Only associative
+operators are supported (sum, count, max, min); the order column must be
+numeric and, together with ``tiebreak`` columns, give a total order inside
+each group when the exact per-row result matters.
 """
 
 from __future__ import annotations
@@ -41,13 +46,40 @@ _COMBINE = {
 _MERGE = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
 
 
+def slice_bounds(df: DataFrame, order_col: str, slices: int, accuracy: int = 10000) -> list[float]:
+    """Approximate quantile cut points of ``order_col`` (at most slices - 1)."""
+    if slices <= 1:
+        return []
+    probs = [i / slices for i in range(1, slices)]
+    row = df.select(
+        F.percentile_approx(F.col(order_col).cast("double"), probs, accuracy).alias("q")
+    ).first()
+    qs = row["q"] if row is not None else None
+    return sorted({float(q) for q in qs if q is not None}) if qs else []
+
+
+def slice_of(x: Column, bounds: list[float]) -> Column:
+    """Index ``i`` with ``bounds[i-1] <= x < bounds[i]`` as a balanced CASE
+    tree (log2(len(bounds)) comparisons per row, inside codegen).  Nulls go
+    to slice 0, matching ``ORDER BY ... ASC NULLS FIRST``."""
+
+    def build(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(x < F.lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
+
+    return F.when(x.isNull(), F.lit(0)).otherwise(build(0, len(bounds)))
+
+
 def prefix_aggregate(
     df: DataFrame,
     group_cols: list[str],
-    order_cols: list[str],
+    order_col: str,
     specs: list[tuple[str, str, str | Column]],
     inclusive: bool = True,
     slices: int | None = None,
+    tiebreak: list[str] | None = None,
 ) -> DataFrame:
     """Add running aggregates ``specs = [(out_col, op, value), ...]``.
 
@@ -59,12 +91,12 @@ def prefix_aggregate(
         if op not in _OPS:
             raise ValueError(f"unsupported prefix op {op!r}")
     n = slices or shuffle_partitions(df.sparkSession)
-    order_exprs = [F.col(c) for c in order_cols]
-    ranged = df.repartitionByRange(n, *[F.col(c) for c in group_cols], *order_exprs)
-    ranged = ranged.withColumn("_slice", F.spark_partition_id())
+    bounds = slice_bounds(df, order_col, n)
+    sliced = df.withColumn("_slice", slice_of(F.col(order_col).cast("double"), bounds))
+    order_exprs = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
 
     # Per (group, slice) totals and the carry-in from earlier slices.
-    totals = ranged.groupBy(*group_cols, "_slice").agg(
+    totals = sliced.groupBy(*group_cols, "_slice").agg(
         *[_OPS[op](value).alias(f"_tot_{out}") for out, op, value in specs]
     )
     w_slices = (
@@ -84,7 +116,7 @@ def prefix_aggregate(
         .orderBy(*order_exprs)
         .rowsBetween(Window.unboundedPreceding, end)
     )
-    local = ranged.select(
+    local = sliced.select(
         "*", *[_OPS[op](value).over(w_local).alias(f"_local_{out}") for out, op, value in specs]
     )
     joined = local.join(carry, on=[*group_cols, "_slice"], how="left")
@@ -97,10 +129,11 @@ def prefix_aggregate(
 
 
 def row_number_within(
-    df: DataFrame, group_cols: list[str], order_cols: list[str], out_col: str = "row_number",
-    slices: int | None = None,
+    df: DataFrame, group_cols: list[str], order_col: str, out_col: str = "row_number",
+    slices: int | None = None, tiebreak: list[str] | None = None,
 ) -> DataFrame:
     """``row_number() over (partition by group order by order)``, hot-group safe."""
     return prefix_aggregate(
-        df, group_cols, order_cols, [(out_col, "count", F.lit(1))], inclusive=True, slices=slices
+        df, group_cols, order_col, [(out_col, "count", F.lit(1))], inclusive=True, slices=slices,
+        tiebreak=tiebreak,
     )

@@ -8,7 +8,7 @@ BIGINT is HUGEINT (cast back), hex digits are parsed with a ``0x`` prefix.
 
 from __future__ import annotations
 
-from orchard.functions.hashing import TWO_32, split_threshold
+from orchard.functions.hashing import STREAM_PRIME, TWO_32, poisson_cdf_thresholds, split_threshold
 
 D = 6
 SEED = 42
@@ -160,19 +160,21 @@ FROM ({LABELS}) WHERE {HOLDOUT}"""
 CONFUSION_COUNTS = f"""SELECT model, node_id, label, prediction, count(*) AS n
 FROM ({SCORED_CLS}) GROUP BY ALL"""
 
-AUC = f"""WITH d AS (
+AUC_CTES = f"""ad AS (
   SELECT model, node_id, score,
     CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS pos,
     CAST(sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS DOUBLE) AS neg
   FROM ({SCORED_CLS}) GROUP BY ALL),
-c AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model, node_id ORDER BY score
-        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM d)
-SELECT model, node_id,
-  {r('CASE WHEN sum(pos) * sum(neg) = 0 THEN NULL ELSE sum(pos * (nb + 0.5 * neg)) / (sum(pos) * sum(neg)) END', 'auc')},
+ac AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model, node_id ORDER BY score
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM ad),
+auc_t AS (SELECT model, node_id,
+  CASE WHEN sum(pos) * sum(neg) = 0 THEN NULL ELSE sum(pos * (nb + 0.5 * neg)) / (sum(pos) * sum(neg)) END AS auc,
   CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg
-FROM c GROUP BY ALL"""
+  FROM ac GROUP BY ALL)"""
 
-_CLS_METRICS = f"""WITH cc AS (SELECT model, node_id, label, prediction, count(*) AS n FROM ({SCORED_CLS}) GROUP BY ALL),
+AUC = f"WITH {AUC_CTES} SELECT model, node_id, {r('auc', 'auc')}, n_pos, n_neg FROM auc_t"
+
+CLS_CTES = f"""cc AS (SELECT model, node_id, label, prediction, count(*) AS n FROM ({SCORED_CLS}) GROUP BY ALL),
 tot AS (SELECT model, node_id, CAST(sum(n) AS BIGINT) AS n_rows,
     CAST(sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS BIGINT) AS n_correct,
     CAST(sum(CASE WHEN label = 1 AND prediction = 1 THEN n ELSE 0 END) AS BIGINT) AS tp,
@@ -193,6 +195,8 @@ m AS (SELECT tot.model, tot.node_id, n_rows, n_correct / n_rows AS accuracy, f1w
     CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn) END AS f1_positive
   FROM tot JOIN f ON tot.model = f.model AND tot.node_id = f.node_id)"""
 
+_CLS_METRICS = f"WITH {CLS_CTES}"
+
 
 def _cls_metric(name: str) -> str:
     return f"{_CLS_METRICS} SELECT model, node_id, n_rows, {r(name, name)} FROM m"
@@ -221,6 +225,210 @@ SELECT model, node_id, count(*) AS n_rows,
 FROM p GROUP BY ALL"""
 
 
+# --------------------------------------------------------------------------
+# B-1b ... B-9
+# --------------------------------------------------------------------------
+
+REPLICATES = 1000
+SIMPSON_N = 4000
+BOOT_KEY = f"concat_ws('#', {KEYS}, 'b{SEED}')"
+
+
+def _weight_case(u: str) -> str:
+    cuts = poisson_cdf_thresholds()
+    whens = " ".join(f"WHEN {u} < {c} THEN {k}" for k, c in enumerate(cuts))
+    return f"CASE {whens} ELSE {len(cuts)} END"
+
+
+def _f1(m: str) -> str:
+    return (f"CASE WHEN 2 * tp_{m} + fp_{m} + fn_{m} > 0 "
+            f"THEN 2.0 * tp_{m} / (2 * tp_{m} + fp_{m} + fn_{m}) ELSE 0.0 END AS f1_{m}")
+
+
+def _wsum(cond: str, alias: str) -> str:
+    return f"CAST(sum(CASE WHEN {cond} THEN w ELSE 0 END) AS BIGINT) AS {alias}"
+
+
+BOOT_CTES = f"""bw AS (SELECT node_id, CAST(fraud AS DOUBLE) AS label,
+    CAST(cpu_utilization / 10.0 >= 0.5 AS DOUBLE) AS pa,
+    CAST(memory_utilization / 50.0 >= 0.5 AS DOUBLE) AS pb,
+    {hex_word(BOOT_KEY, 0)} % {STREAM_PRIME} AS wa,
+    {hex_word(BOOT_KEY, 1)} % {STREAM_PRIME - 1} + 1 AS wb
+  FROM ({LABELS}) WHERE {HOLDOUT}),
+br AS (SELECT bw.*, CAST(t.rep AS INTEGER) AS replicate, (wa + t.rep * wb) % {STREAM_PRIME} AS u
+  FROM bw CROSS JOIN range(0, {REPLICATES}) t(rep)),
+bx AS (SELECT *, {_weight_case('u')} AS w FROM br),
+bt AS (SELECT node_id, replicate,
+    {_wsum('label = 1 AND pa = 1', 'tp_champion')}, {_wsum('label <> 1 AND pa = 1', 'fp_champion')},
+    {_wsum('label = 1 AND pa <> 1', 'fn_champion')}, {_wsum('label = 1 AND pb = 1', 'tp_challenger')},
+    {_wsum('label <> 1 AND pb = 1', 'fp_challenger')}, {_wsum('label = 1 AND pb <> 1', 'fn_challenger')}
+  FROM bx GROUP BY node_id, replicate),
+reps AS (SELECT *, {_f1('champion')}, {_f1('challenger')} FROM bt)"""
+
+POISSON_BOOTSTRAP = f"""WITH {BOOT_CTES}
+SELECT node_id, replicate, tp_champion, fp_champion, fn_champion, tp_challenger, fp_challenger,
+  fn_challenger, {r('f1_champion', 'f1_champion')}, {r('f1_challenger', 'f1_challenger')} FROM reps"""
+
+# Welch statistics; the p-value by Simpson's rule on the t density after the
+# substitution x = |t| + w / (1 - w), an independent route from the Spark side.
+WELCH_CTES = f"""{BOOT_CTES},
+sm AS (SELECT node_id, count(*) AS n_replicates,
+    avg(f1_champion) AS mean_champion, avg(f1_challenger) AS mean_challenger,
+    stddev_pop(f1_champion) AS sd_champion, stddev_pop(f1_challenger) AS sd_challenger,
+    var_samp(f1_champion) AS var_champion, var_samp(f1_challenger) AS var_challenger
+  FROM reps GROUP BY node_id),
+tt AS (SELECT *, mean_challenger - mean_champion AS f1_improvement,
+    CASE WHEN var_challenger / n_replicates + var_champion / n_replicates > 0
+      THEN (mean_challenger - mean_champion) / sqrt(var_challenger / n_replicates + var_champion / n_replicates) END AS t_stat,
+    CASE WHEN power(var_challenger / n_replicates, 2) / (n_replicates - 1)
+            + power(var_champion / n_replicates, 2) / (n_replicates - 1) > 0
+      THEN power(var_challenger / n_replicates + var_champion / n_replicates, 2)
+         / (power(var_challenger / n_replicates, 2) / (n_replicates - 1)
+            + power(var_champion / n_replicates, 2) / (n_replicates - 1)) END AS dof,
+    CASE WHEN sqrt((sd_challenger * sd_challenger + sd_champion * sd_champion) / 2) > 0
+      THEN (mean_challenger - mean_champion) / sqrt((sd_challenger * sd_challenger + sd_champion * sd_champion) / 2)
+      END AS effect_size
+  FROM sm),
+pg AS (SELECT node_id, abs(t_stat) AS abs_t, dof, g.i AS i, g.i / {SIMPSON_N}.0 AS w
+  FROM tt CROSS JOIN range(0, {SIMPSON_N + 1}) g(i) WHERE t_stat IS NOT NULL AND dof IS NOT NULL),
+pv AS (SELECT node_id, 2.0 * (1.0 / {SIMPSON_N}) / 3.0 * sum(
+    CASE WHEN i = 0 OR i = {SIMPSON_N} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END *
+    CASE WHEN i = {SIMPSON_N} THEN 0.0 ELSE
+      exp(lgamma((dof + 1) / 2) - lgamma(dof / 2) - 0.5 * ln(dof * pi())
+          - (dof + 1) / 2 * ln(1 + power(abs_t + w / (1 - w), 2) / dof)) / power(1 - w, 2) END) AS p_value
+  FROM pg GROUP BY node_id),
+tv AS (SELECT tt.*, pv.p_value,
+    coalesce(pv.p_value < 0.05 AND mean_challenger > mean_champion, false) AS is_significant
+  FROM tt LEFT JOIN pv ON tt.node_id = pv.node_id)"""
+
+WELCH_STATS = f"""WITH {WELCH_CTES}
+SELECT node_id, n_replicates, {r('mean_champion', 'mean_champion')}, {r('mean_challenger', 'mean_challenger')},
+  {r('var_champion', 'var_champion')}, {r('var_challenger', 'var_challenger')},
+  {r('t_stat', 't_stat')}, {r('dof', 'dof')}, {r('p_value', 'p_value')} FROM tv"""
+
+EFFECT_SIZE = f"""WITH {WELCH_CTES}
+SELECT node_id, {r('mean_champion', 'mean_champion')}, {r('mean_challenger', 'mean_challenger')},
+  {r('sd_champion', 'sd_champion')}, {r('sd_challenger', 'sd_challenger')},
+  {r('f1_improvement', 'f1_improvement')}, {r('effect_size', 'effect_size')} FROM tt"""
+
+AB_REPORT = f"""WITH {CLS_CTES}, {AUC_CTES}, {WELCH_CTES}
+SELECT m1.node_id,
+  {r('a1.auc', 'champion_auc')}, {r('m1.f1_weighted', 'champion_f1')}, {r('m1.accuracy', 'champion_accuracy')},
+  {r('a2.auc', 'challenger_auc')}, {r('m2.f1_weighted', 'challenger_f1')}, {r('m2.accuracy', 'challenger_accuracy')},
+  {r('tv.f1_improvement', 'f1_improvement')}, {r('tv.p_value', 'p_value')}, {r('tv.effect_size', 'effect_size')},
+  tv.is_significant, CASE WHEN tv.is_significant THEN 'PROMOTE' ELSE 'KEEP_CHAMPION' END AS decision,
+  CAST(greatest(m1.n_rows, m2.n_rows) AS BIGINT) AS test_set_size,
+  'models:/fixed_scores@champion' AS champion_model, 'models:/fixed_scores@challenger' AS challenger_model
+FROM m m1
+JOIN m m2 ON m1.node_id = m2.node_id AND m1.model = 'champion' AND m2.model = 'challenger'
+JOIN auc_t a1 ON a1.node_id = m1.node_id AND a1.model = 'champion'
+JOIN auc_t a2 ON a2.node_id = m1.node_id AND a2.model = 'challenger'
+JOIN tv ON tv.node_id = m1.node_id"""
+
+_REG_CTES = SCORED_REG[len("WITH "):] + """,
+rm AS (SELECT model, node_id, sqrt(sum((label - prediction) * (label - prediction)) / count(*)) AS rmse,
+    avg(abs(label - prediction)) AS mae,
+    1.0 - CASE WHEN var_samp(label) * (count(*) - 1) = 0 THEN NULL
+      ELSE sum((label - prediction) * (label - prediction)) / (var_samp(label) * (count(*) - 1)) END AS r2
+  FROM p GROUP BY ALL),
+dw AS (SELECT node_id,
+    max(CASE WHEN model = 'champion' THEN rmse END) AS champion_rmse,
+    max(CASE WHEN model = 'champion' THEN mae END) AS champion_mae,
+    max(CASE WHEN model = 'champion' THEN r2 END) AS champion_r2,
+    max(CASE WHEN model = 'challenger' THEN rmse END) AS challenger_rmse,
+    max(CASE WHEN model = 'challenger' THEN mae END) AS challenger_mae,
+    max(CASE WHEN model = 'challenger' THEN r2 END) AS challenger_r2
+  FROM rm GROUP BY node_id),
+dd AS (SELECT *,
+    CASE WHEN challenger_rmse IS NULL OR champion_rmse IS NULL THEN 'SKIPPED'
+         WHEN challenger_rmse < champion_rmse THEN 'PROMOTE' ELSE 'KEEP_CHAMPION' END AS decision,
+    CASE WHEN champion_rmse <> 0 THEN (champion_rmse - challenger_rmse) / champion_rmse * 100.0 END AS rmse_improvement_pct
+  FROM dw)"""
+
+_DECISION_METRICS = ["champion_rmse", "champion_mae", "champion_r2", "challenger_rmse",
+                     "challenger_mae", "challenger_r2", "rmse_improvement_pct"]
+
+DECIDE_REGRESSION = (f"WITH {_REG_CTES} SELECT node_id, "
+                     + ", ".join(r(c, c) for c in _DECISION_METRICS) + ", decision FROM dd")
+
+_RUN_ID = "'ab_node_' || CAST(node_id AS VARCHAR)"
+LOG_ROWS = " UNION ALL ".join(
+    [f"""SELECT {_RUN_ID} AS run_id, 'metric' AS kind, '{c}' AS key, printf('%.6f', {c}) AS value,
+  {r(c, 'num_value')}, CAST(node_id AS BIGINT) AS event_id FROM dd""" for c in _DECISION_METRICS]
+    + [f"""SELECT {_RUN_ID} AS run_id, 'tag' AS kind, 'decision' AS key, decision AS value,
+  CAST(NULL AS DOUBLE) AS num_value, CAST(node_id AS BIGINT) AS event_id FROM dd"""]
+)
+
+LOG_METRICS = f"WITH {_REG_CTES}, lr AS ({LOG_ROWS}) SELECT * FROM lr"
+
+LOG_LINES = f"WITH {_REG_CTES}, lr AS ({LOG_ROWS}) SELECT concat_ws(' ', run_id, kind, key, value) AS line FROM lr"
+
+# --------------------------------------------------------------------------
+# R-4 ... R-11 on events
+# --------------------------------------------------------------------------
+
+REG_CTES = """ev AS (SELECT event_id, 'model_' || CAST(user_id AS VARCHAR) AS model,
+    'run_' || CAST(event_id AS VARCHAR) AS run_id, event_type, value AS metric FROM events),
+mv AS (SELECT model, CAST(row_number() OVER (PARTITION BY model ORDER BY event_id) AS INTEGER) AS version,
+    run_id, event_id, event_type, metric FROM ev),
+ae AS (SELECT event_id, model, CASE event_type WHEN 'purchase' THEN 'champion' ELSE 'challenger' END AS alias,
+    version FROM mv WHERE event_type IN ('purchase', 'view')),
+cur AS (SELECT model, alias, arg_max(version, event_id) AS version, max(event_id) AS event_id FROM ae GROUP BY ALL),
+chm AS (SELECT mm.model, c.version AS champion_version, v.run_id, v.metric
+  FROM (SELECT DISTINCT model FROM mv) mm
+  LEFT JOIN cur c ON c.model = mm.model AND c.alias = 'champion'
+  LEFT JOIN mv v ON v.model = c.model AND v.version = c.version)"""
+
+RESOLVE_ALIAS = f"WITH {REG_CTES} SELECT * FROM cur"
+
+CHAMPION_METRICS = f"""WITH {REG_CTES}
+SELECT model, champion_version, run_id, {r('metric', 'auc')}, {r('metric', 'rmse')} FROM chm"""
+
+NEXT_VERSION = f"WITH {REG_CTES} SELECT model, max(version) + 1 AS next_version FROM mv GROUP BY model"
+
+
+def _promotion(metric: str, higher: bool) -> str:
+    agg, cmp = ("max", ">") if higher else ("min", "<")
+    diff = "metric - best_before" if higher else "best_before - metric"
+    return f"""WITH {REG_CTES},
+h AS (SELECT model, version, event_id, metric, {agg}(metric) OVER (PARTITION BY model ORDER BY event_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before FROM mv)
+SELECT model, version, event_id, {r('metric', metric)}, {r('best_before', 'best_before')},
+  CASE WHEN metric IS NULL THEN 'NO_METRIC' WHEN best_before IS NULL OR metric {cmp} best_before
+       THEN 'champion' ELSE 'challenger' END AS decision,
+  {r(f'CASE WHEN best_before <> 0 THEN ({diff}) / best_before * 100.0 END', 'improvement_pct')}
+FROM h"""
+
+
+RELATIVE_IMPROVEMENT = f"""WITH {REG_CTES},
+nw AS (SELECT model, arg_max(version, event_id) AS version, arg_max(metric, event_id) AS auc FROM mv GROUP BY model),
+j AS (SELECT nw.*, chm.champion_version, chm.metric AS champion_metric FROM nw LEFT JOIN chm ON nw.model = chm.model),
+d AS (SELECT *, CASE WHEN champion_version IS NULL THEN 'FIRST_MODEL'
+      WHEN champion_metric IS NULL OR auc IS NULL THEN 'NO_BASELINE_METRIC'
+      WHEN auc > champion_metric THEN 'IMPROVED' ELSE 'NOT_IMPROVED' END AS decision FROM j)
+SELECT model, version, {r('auc', 'auc')}, champion_version, {r('champion_metric', 'champion_metric')}, decision,
+  CASE WHEN decision IN ('FIRST_MODEL', 'IMPROVED') THEN 'champion' ELSE 'challenger' END AS alias,
+  {r('CASE WHEN champion_metric <> 0 THEN (auc - champion_metric) / champion_metric * 100.0 END', 'improvement_pct')}
+FROM d"""
+
+ALIAS_SWAP = f"""WITH {REG_CTES},
+cm AS (SELECT c.model, c.alias, c.version, v.metric FROM cur c LEFT JOIN mv v ON v.model = c.model AND v.version = c.version),
+dec AS (SELECT model, max(CASE WHEN alias = 'champion' THEN metric END) AS champ,
+    max(CASE WHEN alias = 'challenger' THEN metric END) AS chall FROM cm GROUP BY model),
+new_ev AS (SELECT (SELECT max(event_id) + 1 FROM ae) AS event_id, d.model, 'champion' AS alias, c.version
+  FROM dec d JOIN cur c ON c.model = d.model AND c.alias = 'challenger' WHERE d.chall > d.champ),
+allev AS (SELECT event_id, model, alias, version FROM ae UNION ALL SELECT * FROM new_ev)
+SELECT model, alias, arg_max(version, event_id) AS version, max(event_id) AS event_id FROM allev GROUP BY ALL"""
+
+RETRAINING_REPORT = f"""WITH {REG_CTES},
+lt AS (SELECT model, arg_max(metric, event_id) AS new_metric, max(version) AS latest_version FROM mv GROUP BY model)
+SELECT lt.model, lt.latest_version, chm.champion_version, {r('lt.new_metric', 'new_rmse')},
+  {r('chm.metric', 'champion_rmse')},
+  CASE WHEN lt.new_metric IS NULL OR chm.metric IS NULL THEN 'NO_DATA'
+       WHEN lt.new_metric < chm.metric THEN 'IMPROVED' ELSE 'NOT_IMPROVED' END AS status
+FROM lt LEFT JOIN chm ON lt.model = chm.model"""
+
+
 ORACLE: dict[str, str] = {
     "csv_scan_roundtrip": CSV_SCAN_ROUNDTRIP,
     "row_count": ROW_COUNT,
@@ -242,6 +450,22 @@ ORACLE: dict[str, str] = {
     "f1_weighted": _cls_metric("f1_weighted"),
     "f1_positive": _cls_metric("f1_positive"),
     "regression_metrics": REGRESSION_METRICS,
+    "poisson_bootstrap": POISSON_BOOTSTRAP,
+    "welch_stats": WELCH_STATS,
+    "effect_size": EFFECT_SIZE,
+    "decide_regression": DECIDE_REGRESSION,
+    "ab_report": AB_REPORT,
+    "ab_report_json": AB_REPORT,
+    "log_metrics": LOG_METRICS,
+    "log_lines": LOG_LINES,
+    "resolve_alias": RESOLVE_ALIAS,
+    "champion_metrics": CHAMPION_METRICS,
+    "next_version": NEXT_VERSION,
+    "promotion_auc": _promotion("auc", True),
+    "promotion_rmse": _promotion("rmse", False),
+    "relative_improvement": RELATIVE_IMPROVEMENT,
+    "alias_swap": ALIAS_SWAP,
+    "retraining_report": RETRAINING_REPORT,
 }
 
 __all__ = ["ORACLE", "TWO_32"]

@@ -84,7 +84,7 @@ def registry_versions(events: DataFrame) -> DataFrame:
     with the hot-group-safe prefix count (one model may own most events).
     """
     ev = _registry_events(events)
-    numbered = row_number_within(ev, ["model"], ["event_id"], out_col="version")
+    numbered = row_number_within(ev, ["model"], "event_id", out_col="version")
     return numbered.select(
         "model",
         F.col("version").cast("int").alias("version"),
