@@ -24,10 +24,13 @@ from orchard.functions.features import (
     interaction,
     numeric_columns,
 )
-from orchard.operators import abtest, baselines, bootstrap, metrics, profile, registry, split
+from orchard.operators import abtest, baselines, bootstrap, metrics, profile, registry, scoring, split, training
+from orchard.plans import inference
+from orchard.plans import train as train_plan
 from orchard.operators.scaling import fit_scaler
 from orchard.session import fresh_path
 from orchard.sources import sinks, views
+from orchard.sources.models import RegistryStore
 from orchard.sources.readers import read_csv, read_table
 from orchard.sources.views import METRICS_KEYS, label_view, metrics_view
 
@@ -393,6 +396,99 @@ def q_retraining_report(spark, sf_dir):
     return rounded(registry.retraining_report(versions, runs, aliases, "rmse"))
 
 
+# --------------------------------------------------------------------------
+# M / L / C / K-1 / K-2 / K-5 / K-6 / S-4: model fitting and scoring
+# --------------------------------------------------------------------------
+
+
+def q_processed_sets(spark, sf_dir):
+    """K-1 + M-1 + M-4: preprocess (assembler + ML scaler fit on the training
+    side), write both sets as Parquet, read back and expand the vectors."""
+    tr, te, _, feats = train_plan.preprocess(_metrics(spark, sf_dir), "query_latency", METRICS_KEYS, TEST_SIZE, SEED)
+    root = fresh_path(spark, "processed")
+    sinks.write_parquet(tr, root + "/train")
+    sinks.write_parquet(te, root + "/test")
+    back = spark.read.parquet(root + "/train").withColumn("split", F.lit(split.TRAIN)).unionByName(
+        spark.read.parquet(root + "/test").withColumn("split", F.lit(split.TEST))
+    )
+    return rounded(train_plan.expand_features(back, feats).select(*METRICS_KEYS, "split", *feats))
+
+
+def q_train_classifier(spark, sf_dir):
+    """L-1 with the base setting; hold-out predictions (rows-only check)."""
+    res = train_plan.train(_labels(spark, sf_dir), training.CLASSIFICATION, "fraud", METRICS_KEYS,
+                           test_size=TEST_SIZE, seed=SEED)
+    out = training.with_score(res.predictions).select(*METRICS_KEYS, "fraud", "prediction", "score")
+    return rounded(out)
+
+
+def q_train_regressor(spark, sf_dir):
+    """L-2 with the base setting; hold-out predictions (rows-only check)."""
+    res = train_plan.train(_metrics(spark, sf_dir), training.REGRESSION, "query_latency", METRICS_KEYS,
+                           test_size=TEST_SIZE, seed=SEED)
+    return rounded(res.predictions.select(*METRICS_KEYS, "query_latency", "prediction"))
+
+
+def q_cross_validate(spark, sf_dir):
+    """L-3 + L-5 + L-7: the classification grid, 3 hash folds; mean AUC per setting."""
+    res = train_plan.train(_labels(spark, sf_dir), training.CLASSIFICATION, "fraud", METRICS_KEYS,
+                           grid=training.CLASSIFIER_GRID, num_folds=NUM_FOLDS, parallelism=4,
+                           test_size=TEST_SIZE, seed=SEED)
+    best = res.best_params
+    return rounded(res.grid_metrics.withColumn(
+        "is_best", (F.col("numTrees") == best["numTrees"]) & (F.col("maxDepth") == best["maxDepth"])
+    ))
+
+
+def _registered_regressor(spark, sf_dir):
+    data = _metrics(spark, sf_dir)
+    store = RegistryStore(spark, fresh_path(spark, "registry"))
+    res = train_plan.train(data, training.REGRESSION, "query_latency", METRICS_KEYS, test_size=TEST_SIZE, seed=SEED)
+    event_id = store.next_event_id()
+    train_plan.log_training_run(res, store, event_id, None)
+    train_plan.register_and_promote(res, store, "query_latency_model", "rmse", False, event_id)
+    return data, store
+
+
+def q_batch_score(spark, sf_dir):
+    """C-3 + S-4 + K-2 + K-5 + K-6: register a trained model as champion,
+    resolve the alias, load it, score the hold-out, write partitioned
+    Parquet and read it back."""
+    data, store = _registered_regressor(spark, sf_dir)
+    _, test = split.hash_split(data, METRICS_KEYS, TEST_SIZE, SEED)
+    out = fresh_path(spark, "predictions")
+    inference.batch_score(test, store, "query_latency_model", METRICS_KEYS, out, score_date="2024-01-31")
+    return rounded(spark.read.parquet(out))
+
+
+def q_two_model_score(spark, sf_dir):
+    """C-2: two fitted classifiers score the hold-out side by side."""
+    data = _labels(spark, sf_dir)
+    a = train_plan.train(data, training.CLASSIFICATION, "fraud", METRICS_KEYS, test_size=TEST_SIZE, seed=SEED)
+    b = train_plan.train(data, training.CLASSIFICATION, "fraud", METRICS_KEYS, test_size=TEST_SIZE, seed=SEED,
+                         params={"numTrees": 20, "maxDepth": 10})
+    _, test = split.hash_split(data, METRICS_KEYS, TEST_SIZE, SEED)
+    both = scoring.score_two(a.model, b.model, test, keep=METRICS_KEYS + ["fraud"])
+    return rounded(both.select(*METRICS_KEYS, "fraud", "pred_champion", "score_champion",
+                               "pred_challenger", "score_challenger"))
+
+
+def q_model_roundtrip(spark, sf_dir):
+    """K-5: save, reload, score again; ``same`` must be true on every row."""
+    data = _labels(spark, sf_dir)
+    res = train_plan.train(data, training.CLASSIFICATION, "fraud", METRICS_KEYS, test_size=TEST_SIZE, seed=SEED)
+    path = sinks.save_model(res.model, fresh_path(spark, "model"))
+    from pyspark.ml import PipelineModel
+
+    both = scoring.score_two(res.model, PipelineModel.load(path), split.hash_split(data, METRICS_KEYS, TEST_SIZE, SEED)[1],
+                             keep=METRICS_KEYS)
+    return rounded(both.select(
+        *METRICS_KEYS, "pred_champion", "pred_challenger",
+        ((F.col("pred_champion") == F.col("pred_challenger"))
+         & (F.abs(F.col("score_champion") - F.col("score_challenger")) < 1e-12)).alias("same"),
+    ))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_scan_roundtrip": q_csv_scan_roundtrip,
     "row_count": q_row_count,
@@ -431,4 +527,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alias_swap": q_alias_swap,
     "retraining_report": q_retraining_report,
     "bootstrap_f1": q_bootstrap_f1,
+    "processed_sets": q_processed_sets,
+    "train_classifier": q_train_classifier,
+    "train_regressor": q_train_regressor,
+    "cross_validate": q_cross_validate,
+    "batch_score": q_batch_score,
+    "two_model_score": q_two_model_score,
+    "model_roundtrip": q_model_roundtrip,
 }

@@ -466,6 +466,7 @@ ORACLE: dict[str, str] = {
     "relative_improvement": RELATIVE_IMPROVEMENT,
     "alias_swap": ALIAS_SWAP,
     "retraining_report": RETRAINING_REPORT,
+    "processed_sets": STANDARDIZE,
 }
 
 __all__ = ["ORACLE", "TWO_32"]
