@@ -26,6 +26,7 @@ from orchard.functions.features import (
 )
 from orchard.operators import abtest, baselines, bootstrap, metrics, profile, registry, scoring, split, training
 from orchard.plans import inference
+from orchard.streaming import scoring as stream_scoring
 from orchard.plans import train as train_plan
 from orchard.operators.scaling import fit_scaler
 from orchard.session import fresh_path
@@ -489,6 +490,21 @@ def q_model_roundtrip(spark, sf_dir):
     ))
 
 
+def q_stream_score(spark, sf_dir):
+    """Incremental scoring: the hold-out lands as files, a file-source stream
+    (availableNow) scores them with a fitted classifier into Parquet."""
+    data = _labels(spark, sf_dir)
+    res = train_plan.train(data, training.CLASSIFICATION, "fraud", METRICS_KEYS, test_size=TEST_SIZE, seed=SEED)
+    _, test = split.hash_split(data, METRICS_KEYS, TEST_SIZE, SEED)
+    root = fresh_path(spark, "stream")
+    test.repartition(4, *METRICS_KEYS).write.parquet(root + "/landing")
+    stream_scoring.score_new_files(
+        spark, root + "/landing", test.schema, res.model, METRICS_KEYS + ["fraud"],
+        root + "/scored", root + "/checkpoint", max_files_per_trigger=2,
+    )
+    return rounded(spark.read.parquet(root + "/scored").drop("score_date"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_scan_roundtrip": q_csv_scan_roundtrip,
     "row_count": q_row_count,
@@ -534,4 +550,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_score": q_batch_score,
     "two_model_score": q_two_model_score,
     "model_roundtrip": q_model_roundtrip,
+    "stream_score": q_stream_score,
 }

@@ -84,3 +84,22 @@ def test_model_uri():
     assert parse_model_uri("models:/x_model@champion") == ("x_model", "champion")
     with pytest.raises(ValueError):
         parse_model_uri("runs:/abc/model")
+
+
+def test_stream_scoring_is_incremental(spark, lineitem):
+    from orchard.streaming.scoring import score_new_files
+
+    data = label_view(lineitem)
+    res = train_plan.train(data, training.CLASSIFICATION, "fraud", METRICS_KEYS, params={"numTrees": 3, "maxDepth": 3})
+    root = fresh_path(spark, "stream-test")
+    first, second = data.randomSplit([0.5, 0.5], seed=1)
+    first.write.parquet(root + "/landing/a")
+    args = (root + "/landing/*", data.schema, res.model, METRICS_KEYS, root + "/out", root + "/ckpt")
+    score_new_files(spark, *args)
+    n1 = spark.read.parquet(root + "/out").count()
+    assert n1 == first.count()
+    score_new_files(spark, *args)  # nothing new: nothing scored twice
+    assert spark.read.parquet(root + "/out").count() == n1
+    second.write.parquet(root + "/landing/b")
+    score_new_files(spark, *args)
+    assert spark.read.parquet(root + "/out").count() == data.count()
