@@ -73,23 +73,23 @@ def column_profile(df: DataFrame) -> DataFrame:
         ).alias("p")
     ).select("p.*")
 
-    # Exact distinct counts: unpivot to (column, value), de-duplicate with a
-    # map-side partial aggregation, then count per column.
-    as_text = df.select(
-        *[
-            (F.col(f"`{f.name}`").cast("double") if _is_numeric(f.dataType) else F.col(f"`{f.name}`"))
-            .cast("string")
-            .alias(f.name)
-            for f in fields
-        ]
-    )
-    distinct = (
-        as_text.unpivot([], names, "column_name", "value")
-        .where(F.col("value").isNotNull())
-        .distinct()
-        .groupBy("column_name")
-        .agg(F.count(F.lit(1)).alias("n_distinct"))
-    )
+    # Exact distinct counts: unpivot to (column, value) — numeric columns as
+    # double, the rest as string, so no number is formatted as text — then
+    # de-duplicate (map-side partial aggregation) and count per column.
+    def distinct_counts(cols: list[str], cast: str):
+        typed = df.select(*[F.col(f"`{c}`").cast(cast).alias(c) for c in cols])
+        return (
+            typed.unpivot([], cols, "column_name", "value")
+            .where(F.col("value").isNotNull())
+            .distinct()
+            .groupBy("column_name")
+            .agg(F.count(F.lit(1)).alias("n_distinct"))
+        )
+
+    numeric = [f.name for f in fields if _is_numeric(f.dataType)]
+    other = [f.name for f in fields if not _is_numeric(f.dataType)]
+    parts = [distinct_counts(cols, cast) for cols, cast in ((numeric, "double"), (other, "string")) if cols]
+    distinct = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     out = stacked.join(distinct, "column_name", "left").withColumn(
         "n_distinct", F.coalesce(F.col("n_distinct"), F.lit(0)).cast("bigint")
     )
