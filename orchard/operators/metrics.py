@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orchard.operators.scan import prefix_aggregate
+from orchard.operators.scan import prefix_aggregate, slice_bounds
+from orchard.session import shuffle_partitions
 
 
 def _safe_div(num: Column, den: Column, zero: Column | None = None) -> Column:
@@ -115,7 +116,13 @@ def auc(
         F.sum(F.when(is_pos, 1).otherwise(0)).cast("double").alias("_pos"),
         F.sum(F.when(is_pos, 0).otherwise(1)).cast("double").alias("_neg"),
     )
-    ranked = prefix_aggregate(per_score, seg, "_s", [("_neg_below", "sum", F.col("_neg"))], inclusive=False)
+    # Slice boundaries come from the raw scores (one scan, no second run of
+    # the distinct-score aggregation).
+    n = shuffle_partitions(df.sparkSession)
+    bounds = slice_bounds(df.select(F.col(score).cast("double").alias("_s")), "_s", n)
+    ranked = prefix_aggregate(
+        per_score, seg, "_s", [("_neg_below", "sum", F.col("_neg"))], inclusive=False, bounds=bounds
+    )
     summed = ranked.groupBy(*seg).agg(
         F.sum(F.col("_pos") * (F.col("_neg_below") + F.lit(0.5) * F.col("_neg"))).alias("_u"),
         F.sum("_pos").alias("n_pos"),

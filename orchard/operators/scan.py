@@ -80,18 +80,22 @@ def prefix_aggregate(
     inclusive: bool = True,
     slices: int | None = None,
     tiebreak: list[str] | None = None,
+    bounds: list[float] | None = None,
 ) -> DataFrame:
     """Add running aggregates ``specs = [(out_col, op, value), ...]``.
 
     ``inclusive`` includes the current row (``ROWS UNBOUNDED PRECEDING``);
     otherwise the frame ends one row before it (``... AND 1 PRECEDING``), so the
     first row of a group gets null for max/min and 0 for sum/count.
+    ``bounds`` may be given (e.g. quantiles taken from a cheaper source);
+    otherwise they are computed from ``df``.
     """
     for _, op, _ in specs:
         if op not in _OPS:
             raise ValueError(f"unsupported prefix op {op!r}")
     n = slices or shuffle_partitions(df.sparkSession)
-    bounds = slice_bounds(df, order_col, n)
+    if bounds is None:
+        bounds = slice_bounds(df, order_col, n)
     sliced = df.withColumn("_slice", slice_of(F.col(order_col).cast("double"), bounds))
     order_exprs = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
 
