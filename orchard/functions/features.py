@@ -79,27 +79,6 @@ def derive_features(df: DataFrame, time_col: str = TIME_COLUMN) -> DataFrame:
     )
 
 
-def feature_sql_statement(columns: list[str], dtypes: dict[str, T.DataType], time_col: str = TIME_COLUMN) -> str:
-    """P-11 as a ``SQLTransformer`` statement, so the derivation is saved inside
-    the fitted pipeline and applied identically at scoring time."""
-    keep = [f"`{c}`" for c in columns if c != time_col]
-    parts = list(keep)
-    if time_col in columns:
-        dt = dtypes[time_col]
-        if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-            ts = f"`{time_col}`"
-        elif isinstance(dt, T.NumericType):
-            ts = f"timestamp_seconds(`{time_col}`)"
-        else:
-            ts = f"to_timestamp(`{time_col}`)"
-        parts += [f"hour({ts}) AS hour", f"dayofweek({ts}) AS day_of_week", f"month({ts}) AS month"]
-    parts += [
-        f"cpu_utilization * memory_utilization AS {INTERACTION_FEATURE}",
-        f"CASE WHEN cpu_utilization > 0 THEN system_load / cpu_utilization ELSE 0.0 END AS {RATIO_FEATURE}",
-    ]
-    return "SELECT " + ", ".join(parts) + " FROM __THIS__"
-
-
 # --------------------------------------------------------------------------
 # Column choice (P-2, P-3)
 # --------------------------------------------------------------------------

@@ -8,7 +8,7 @@ BIGINT is HUGEINT (cast back), hex digits are parsed with a ``0x`` prefix.
 
 from __future__ import annotations
 
-from orchard.functions.hashing import STREAM_PRIME, TWO_32, poisson_cdf_thresholds, split_threshold
+from orchard.functions.hashing import STREAM_PRIME, poisson_cdf_thresholds, split_threshold
 
 D = 6
 SEED = 42
@@ -469,4 +469,3 @@ ORACLE: dict[str, str] = {
     "processed_sets": STANDARDIZE,
 }
 
-__all__ = ["ORACLE", "TWO_32"]

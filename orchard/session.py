@@ -8,7 +8,6 @@ absent, which is the case in unit tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -80,9 +79,3 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
-
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # pragma: no cover - connect sessions
-        return os.cpu_count() or 1
