@@ -142,6 +142,13 @@ def q_column_profile(spark, sf_dir):
     return rounded(profile.column_profile(derive_features(_labels(spark, sf_dir))))
 
 
+def q_null_rows(spark, sf_dir):
+    """F-3: rows whose label or any raw feature is null (IsNull filters reach
+    the Parquet scan)."""
+    cols = ["query_latency", "cpu_utilization", "memory_utilization", "system_load", "timestamp", "fraud"]
+    return rounded(profile.null_rows(_labels(spark, sf_dir), cols))
+
+
 def q_preview(spark, sf_dir):
     return rounded(profile.preview(_labels(spark, sf_dir), METRICS_KEYS, 5))
 
@@ -435,6 +442,14 @@ def q_train_regressor(spark, sf_dir):
     return rounded(res.predictions.select(*METRICS_KEYS, "query_latency", "prediction"))
 
 
+def q_train_linear(spark, sf_dir):
+    """L-9: the ``--model-type lr`` option, honoured (linear regression in the
+    same pipeline); hold-out predictions (rows-only check)."""
+    res = train_plan.train(_metrics(spark, sf_dir), training.REGRESSION, "query_latency", METRICS_KEYS,
+                           test_size=TEST_SIZE, seed=SEED, model_type="lr")
+    return rounded(res.predictions.select(*METRICS_KEYS, "query_latency", "prediction"))
+
+
 def q_cross_validate(spark, sf_dir):
     """L-3 + L-5 + L-7: the classification grid, 3 hash folds; mean AUC per setting."""
     res = train_plan.train(_labels(spark, sf_dir), training.CLASSIFICATION, "fraud", METRICS_KEYS,
@@ -515,6 +530,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_count": q_row_count,
     "null_profile": q_null_profile,
     "column_profile": q_column_profile,
+    "null_rows": q_null_rows,
     "preview": q_preview,
     "select_numeric_columns": q_select_numeric_columns,
     "calendar_features": q_calendar_features,
@@ -551,6 +567,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "processed_sets": q_processed_sets,
     "train_classifier": q_train_classifier,
     "train_regressor": q_train_regressor,
+    "train_linear": q_train_linear,
     "cross_validate": q_cross_validate,
     "batch_score": q_batch_score,
     "two_model_score": q_two_model_score,

@@ -16,9 +16,14 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def null_rows(df: DataFrame, col: str) -> DataFrame:
-    """F-3: rows where ``col`` is null (pushed to the scan for Parquet)."""
-    return df.where(F.col(col).isNull())
+def null_rows(df: DataFrame, cols: str | list[str]) -> DataFrame:
+    """F-3: rows where any of ``cols`` is null — one scan with one OR filter
+    (pushed to the Parquet reader), not one scan per column."""
+    names = [cols] if isinstance(cols, str) else list(cols)
+    cond = F.col(f"`{names[0]}`").isNull()
+    for c in names[1:]:
+        cond = cond | F.col(f"`{c}`").isNull()
+    return df.where(cond)
 
 
 def null_profile(df: DataFrame) -> DataFrame:

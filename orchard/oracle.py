@@ -99,6 +99,12 @@ COLUMN_PROFILE = "WITH f AS (" + features_from(LABELS) + ") " + " UNION ALL ".jo
     for c, t in _PROFILE_COLS
 )
 
+NULL_ROWS = _rounded_select(
+    [KEYS, '"timestamp"', "node_id", "fraud"], _METRIC_DOUBLES, LABELS,
+    """WHERE query_latency IS NULL OR cpu_utilization IS NULL OR memory_utilization IS NULL
+   OR system_load IS NULL OR "timestamp" IS NULL OR fraud IS NULL""",
+)
+
 PREVIEW = _rounded_select(
     [KEYS, '"timestamp"', "node_id", "fraud"], _METRIC_DOUBLES, LABELS,
     "ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber LIMIT 5",
@@ -434,6 +440,7 @@ ORACLE: dict[str, str] = {
     "row_count": ROW_COUNT,
     "null_profile": NULL_PROFILE,
     "column_profile": COLUMN_PROFILE,
+    "null_rows": NULL_ROWS,
     "preview": PREVIEW,
     "select_numeric_columns": SELECT_NUMERIC_COLUMNS,
     "calendar_features": CALENDAR_FEATURES,

@@ -30,7 +30,7 @@ def test_every_query_has_a_callable():
     # Rows-only entries are the model-fitting and numpy-draw queries.
     rows_only = set(qs) - set(E.oracle_sql())
     assert rows_only == {
-        "bootstrap_f1", "train_classifier", "train_regressor", "cross_validate",
+        "bootstrap_f1", "train_classifier", "train_regressor", "train_linear", "cross_validate",
         "batch_score", "two_model_score", "model_roundtrip", "stream_score",
     } & set(qs)
 
