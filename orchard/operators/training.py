@@ -14,6 +14,7 @@ training job evaluated — no second, unscaled copy of the features.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -134,6 +135,32 @@ def stable_layout(df: DataFrame, keys: list[str], partitions: int) -> DataFrame:
     return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
+# Training-set partitioning.  Every tree level ships one histogram array per
+# partition and node through a shuffle, so thin partitions cost more than
+# their rows: a partition holds at least MIN_ROWS_PER_FIT_PARTITION rows (small
+# sets do not get spread over every core of a large cluster) and a large set
+# gets one partition per ROWS_PER_FIT_PARTITION rows.
+ROWS_PER_FIT_PARTITION = 1_000_000
+MIN_ROWS_PER_FIT_PARTITION = 5_000
+
+
+def layout_partitions(spark, n_rows: int) -> int:
+    """Partitions for a training set of ``n_rows``: one per core while each
+    keeps ``MIN_ROWS_PER_FIT_PARTITION`` rows, more once a partition would
+    exceed ``ROWS_PER_FIT_PARTITION``."""
+    cores = spark.sparkContext.defaultParallelism
+    for_cores = min(cores, math.ceil(n_rows / MIN_ROWS_PER_FIT_PARTITION))
+    return max(1, for_cores, math.ceil(n_rows / ROWS_PER_FIT_PARTITION))
+
+
+def split_derivation(pipeline: Pipeline) -> tuple[SQLTransformer, Pipeline]:
+    """(derivation stage, rest of the pipeline).  The derivation has no fitted
+    state, so it can run once before a search and be put back in front of the
+    fitted stages: the saved model still takes raw columns."""
+    first, *rest = pipeline.getStages()
+    return first, Pipeline(stages=rest)
+
+
 @dataclass
 class CVResult:
     model: PipelineModel

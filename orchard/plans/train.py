@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orchard.operators import metrics, registry, split, training
-from orchard.session import shuffle_partitions
 from orchard.sources.models import RegistryStore
 
 
@@ -104,22 +103,26 @@ def train(
     """
     run_id = run_id or uuid.uuid4().hex
     handle = "keep" if task == training.REGRESSION else "error"
-    tr, te = split.hash_split(df, keys, test_size, seed)
-    tr = split.with_folds(tr, keys, num_folds, seed)
-    tr = training.stable_layout(tr, keys, shuffle_partitions(df.sparkSession)).persist()
     pipe, feats = training.build_pipeline(df, task, label, keys, model_type, handle, seed, **(params or {}))
+    derive, inner = training.split_derivation(pipe)
+    tr, te = split.hash_split(df, keys, test_size, seed)
+    # Derived once here instead of once per fold and setting.
+    tr = split.with_folds(derive.transform(tr), keys, num_folds, seed)
+    parts = training.layout_partitions(df.sparkSession, tr.count())
+    tr = training.stable_layout(tr, keys, parts).persist()
     grid_df = None
     if grid:
-        est = pipe.getStages()[-1]
+        est = inner.getStages()[-1]
         cv = training.cross_validate(
-            tr, pipe, training.param_grid(est, grid), training.evaluator_for(task, label),
+            tr, inner, training.param_grid(est, grid), training.evaluator_for(task, label),
             fold_col="fold", parallelism=parallelism, seed=seed,
         )
-        model, best, grid_df = cv.model, cv.best_params, cv.grid_metrics
+        fitted, best, grid_df = cv.model, cv.best_params, cv.grid_metrics
     else:
-        model = pipe.fit(tr)
-        est = model.stages[-1]
+        fitted = inner.fit(tr)
+        est = fitted.stages[-1]
         best = {n: est.getOrDefault(est.getParam(n)) for n in ("numTrees", "maxDepth") if est.hasParam(n)}
+    model = PipelineModel(stages=[derive, *fitted.stages])
     preds = model.transform(te)
     hm = holdout_metrics(task, preds, label)
     result = TrainResult(run_id, model, feats, best, grid_df, hm, preds)
