@@ -9,13 +9,19 @@ regularised incomplete beta function by its continued fraction.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Functions of this module run in Python workers.  Ship them by value, so the
+# workers do not need this package installed (no --py-files step).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _betacf(a: float, b: float, x: float, eps: float = 1e-16, max_iter: int = 20000) -> float:
     """Continued fraction of the incomplete beta function (modified Lentz)."""

@@ -16,15 +16,21 @@ Both forms keep the data on the executors; nothing is collected.
 
 from __future__ import annotations
 
+import sys
 import zlib
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orchard.functions.hashing import poisson_weight, stream_words
 from orchard.session import shuffle_partitions
 
+# Functions of this module run in Python workers.  Ship them by value, so the
+# workers do not need this package installed (no --py-files step).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _f1(tp: Column, fp: Column, fn: Column) -> Column:
     den = 2 * tp + fp + fn
@@ -55,6 +61,11 @@ def poisson_bootstrap(
     )
     # Rows that are true negatives for both models add nothing to tp/fp/fn.
     rows = rows.where(F.col("_y") | F.col("_a") | F.col("_b"))
+    # The explode below multiplies every row by ``replicates``.  Spread the
+    # narrow, pre-filtered rows over the shuffle partitions first (hash of the
+    # row's own stream word), so an input with few splits does not leave that
+    # work to a few tasks.  Weights depend on the row only, not its placement.
+    rows = rows.repartition(shuffle_partitions(df.sparkSession), "_wa")
     ex = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
     w = poisson_weight(F.col("_wa"), F.col("_wb"), F.col("replicate"))
     ex = ex.withColumn("_w", w)
