@@ -6,6 +6,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -59,25 +60,50 @@ class TrainResult:
     features: list[str]
     best_params: dict
     grid_metrics: DataFrame | None
-    holdout_metrics: DataFrame
     predictions: DataFrame
+    task: str
+    label: str
     version: int | None = None
     decision: str | None = None
     extra: dict = field(default_factory=dict)
+    _holdout: DataFrame | None = None
+
+    @property
+    def holdout_metrics(self) -> DataFrame:
+        """One-row hold-out metrics, computed on first use and kept."""
+        if self._holdout is None:
+            self._holdout = holdout_metrics(self.task, self.predictions, self.label)
+        return self._holdout
 
 
 def holdout_metrics(task: str, predictions: DataFrame, label: str) -> DataFrame:
-    """One-row metric table of the hold-out (evaluators as aggregations)."""
+    """One-row metric table of the hold-out (evaluators as aggregations).
+
+    The metrics read the scored hold-out several times (confusion counts,
+    AUC and its slice bounds).  Only a narrow (label, prediction, score)
+    projection is kept for that, so the model is applied to the hold-out
+    once; the single result row is then kept as a literal one-row frame, so
+    logging and promotion do not score the hold-out again.
+    """
+    spark = predictions.sparkSession
+    if task == training.CLASSIFICATION:
+        scored = training.with_score(predictions).select(label, "prediction", "score")
+    else:
+        scored = predictions.select(label, "prediction")
+    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     if task == training.CLASSIFICATION:
-        scored = training.with_score(predictions)
         cls = metrics.classification_metrics(scored, label=label, prediction="prediction")
         roc = metrics.auc(scored, label=label, score="score")
         cls = cls.withColumn("_k", F.lit(0))
         roc = roc.withColumn("_k", F.lit(0))
-        return cls.join(roc.select("_k", "auc"), "_k").select(
+        table = cls.join(roc.select("_k", "auc"), "_k").select(
             "auc", "accuracy", F.col("f1_weighted").alias("f1"), "f1_positive", "n_rows"
         )
-    return metrics.regression_metrics(predictions, label=label, prediction="prediction")
+    else:
+        table = metrics.regression_metrics(scored, label=label, prediction="prediction")
+    row = table.first()
+    scored.unpersist()
+    return spark.createDataFrame([tuple(row)], table.schema)
 
 
 def train(
@@ -124,10 +150,8 @@ def train(
         best = {n: est.getOrDefault(est.getParam(n)) for n in ("numTrees", "maxDepth") if est.hasParam(n)}
     model = PipelineModel(stages=[derive, *fitted.stages])
     preds = model.transform(te)
-    hm = holdout_metrics(task, preds, label)
-    result = TrainResult(run_id, model, feats, best, grid_df, hm, preds)
     tr.unpersist()
-    return result
+    return TrainResult(run_id, model, feats, best, grid_df, preds, task, label)
 
 
 def log_training_run(result: TrainResult, store: RegistryStore, event_id: int, grid: dict | None) -> None:

@@ -103,3 +103,23 @@ def test_stream_scoring_is_incremental(spark, lineitem):
     second.write.parquet(root + "/landing/b")
     score_new_files(spark, *args)
     assert spark.read.parquet(root + "/out").count() == data.count()
+
+
+def test_layout_partitions(spark):
+    cores = spark.sparkContext.defaultParallelism
+    per_min = training.MIN_ROWS_PER_FIT_PARTITION
+    assert training.layout_partitions(spark, 0) == 1
+    assert training.layout_partitions(spark, per_min) == 1  # no thinner than the minimum
+    assert training.layout_partitions(spark, 100 * per_min) == cores  # one per core
+    big = 10 * cores * training.ROWS_PER_FIT_PARTITION
+    assert training.layout_partitions(spark, big) == 10 * cores  # one per million rows
+
+
+def test_holdout_metrics_computed_once(spark, lineitem):
+    res = train_plan.train(label_view(lineitem), training.CLASSIFICATION, "fraud", METRICS_KEYS,
+                           params={"numTrees": 3, "maxDepth": 3})
+    first = res.holdout_metrics
+    assert first is res.holdout_metrics
+    row = first.first()
+    assert row["n_rows"] == res.predictions.count()
+    assert 0.0 <= row["auc"] <= 1.0 and 0.0 <= row["accuracy"] <= 1.0

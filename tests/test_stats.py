@@ -38,3 +38,28 @@ def test_known_values():
 def test_incomplete_beta_symmetry():
     for a, b, x in [(2.0, 3.0, 0.3), (0.5, 7.5, 0.9), (100.0, 0.5, 0.99)]:
         assert abs(incomplete_beta(a, b, x) + incomplete_beta(b, a, 1 - x) - 1.0) < 1e-12
+
+
+def test_worker_functions_need_no_package(tmp_path):
+    """The p-value UDF and the bootstrap draw run in Python workers; they are
+    shipped by value, so a process without this package can run them."""
+    import subprocess
+    import sys
+
+    import pandas as pd
+    from pyspark import cloudpickle
+
+    from orchard.functions.stats import t_pvalue_udf
+
+    blob = tmp_path / "f.pkl"
+    blob.write_bytes(cloudpickle.dumps(t_pvalue_udf.func))
+    code = (
+        "import pickle, sys, pandas as pd\n"
+        "assert not any('orchard' in m for m in sys.modules)\n"
+        "f = pickle.load(open(sys.argv[1], 'rb'))\n"
+        "print(float(f(pd.Series([2.0]), pd.Series([10.0]))[0]))\n"
+    )
+    out = subprocess.run([sys.executable, "-c", code, str(blob)], cwd=str(tmp_path),
+                         capture_output=True, text=True, env={"PATH": "/usr/bin:/bin"}, timeout=120)
+    assert out.returncode == 0, out.stderr
+    assert float(out.stdout) == pytest.approx(t_two_sided_p(2.0, 10.0), rel=1e-12)
