@@ -95,17 +95,13 @@ def _scored_classifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scored_regressors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hold-out rows scored by the per-node mean (champion) and the per-node
-    line on memory utilisation (challenger), in long form.  Both fitted
-    tables are attached in one pass over the hold-out."""
+    line on memory utilisation (challenger), in long form.  One aggregation
+    fits both and one lookup join attaches them."""
     tagged = _split_metrics(spark, sf_dir)
     train = tagged.where(F.col("split") == split.TRAIN)
     test = tagged.where(F.col("split") == split.TEST)
-    mean_fit = baselines.fit_group_mean(train, "query_latency", ["node_id"])
-    line_fit = baselines.fit_group_linear(train, "query_latency", "memory_utilization", ["node_id"])
-    both = baselines.apply_group_linear(
-        baselines.apply_group_mean(test, mean_fit, ["node_id"], out="pred_champion"),
-        line_fit, "memory_utilization", ["node_id"], out="pred_challenger",
-    )
+    fit = baselines.fit_group_line(train, "query_latency", "memory_utilization", ["node_id"])
+    both = baselines.score_mean_and_line(test, fit, "memory_utilization", ["node_id"])
     models = F.array(
         F.struct(F.lit("champion").alias("model"), F.col("pred_champion").alias("prediction")),
         F.struct(F.lit("challenger").alias("model"), F.col("pred_challenger").alias("prediction")),

@@ -14,17 +14,10 @@ from pyspark.sql import functions as F
 from orchard.operators.joins import lookup_join
 
 
-def fit_group_mean(train: DataFrame, label: str, group: list[str]) -> DataFrame:
-    """Mean label per group: ``group…, prediction``."""
-    return train.groupBy(*group).agg(F.avg(F.col(label).cast("double")).alias("_mean"))
-
-
-def apply_group_mean(df: DataFrame, fitted: DataFrame, group: list[str], out: str = "prediction") -> DataFrame:
-    return lookup_join(df, fitted, group).withColumnRenamed("_mean", out)
-
-
-def fit_group_linear(train: DataFrame, label: str, x: str, group: list[str]) -> DataFrame:
-    """Least-squares line ``label ~ a + b x`` per group (closed form)."""
+def fit_group_line(train: DataFrame, label: str, x: str, group: list[str]) -> DataFrame:
+    """Least-squares line ``label ~ a + b x`` per group (closed form), in one
+    aggregation.  ``_my`` is the group's mean label, so the same table also
+    serves the mean-per-group predictor."""
     y = F.col(label).cast("double")
     xv = F.col(x).cast("double")
     return train.groupBy(*group).agg(
@@ -40,10 +33,15 @@ def fit_group_linear(train: DataFrame, label: str, x: str, group: list[str]) ->
     )
 
 
-def apply_group_linear(df: DataFrame, fitted: DataFrame, x: str, group: list[str], out: str = "prediction") -> DataFrame:
+def score_mean_and_line(
+    df: DataFrame, fitted: DataFrame, x: str, group: list[str],
+    mean_out: str = "pred_champion", line_out: str = "pred_challenger",
+) -> DataFrame:
+    """Both regression stand-ins from one fitted table and one lookup join:
+    the group mean (``mean_out``) and the group line (``line_out``)."""
     joined = lookup_join(df, fitted, group)
-    pred = F.col("_my") + F.col("_slope") * (F.col(x).cast("double") - F.col("_mx"))
-    return joined.withColumn(out, pred).drop("_slope", "_mx", "_my")
+    line = F.col("_my") + F.col("_slope") * (F.col(x).cast("double") - F.col("_mx"))
+    return joined.withColumns({mean_out: F.col("_my"), line_out: line}).drop("_slope", "_mx", "_my")
 
 
 # The two linear scorers standing in for the classification
