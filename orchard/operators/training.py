@@ -24,7 +24,7 @@ from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,6 +135,21 @@ def stable_layout(df: DataFrame, keys: list[str], partitions: int) -> DataFrame:
     return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
+def complete_rows(df: DataFrame, columns: list[str]) -> Column:
+    """True where none of ``columns`` is null or NaN.  One null or NaN in a
+    training column would make the scaler's mean and sd of that column NaN,
+    and so every scaled value (SURVEY 7.7)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cond = F.lit(True)
+    for c in columns:
+        col = F.col(f"`{c}`")
+        ok = col.isNotNull()
+        if isinstance(types.get(c), (T.DoubleType, T.FloatType)):
+            ok = ok & ~F.isnan(col)
+        cond = cond & ok
+    return cond
+
+
 # Training-set partitioning.  Every tree level ships one histogram array per
 # partition and node through a shuffle, so thin partitions cost more than
 # their rows: a partition holds at least MIN_ROWS_PER_FIT_PARTITION rows (small

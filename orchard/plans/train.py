@@ -134,8 +134,12 @@ def train(
     tr, te = split.hash_split(df, keys, test_size, seed)
     # Derived once here instead of once per fold and setting.
     tr = split.with_folds(derive.transform(tr), keys, num_folds, seed)
-    parts = training.layout_partitions(df.sparkSession, tr.count())
-    tr = training.stable_layout(tr, keys, parts).persist()
+    # Incomplete training rows are left out and counted, in the same pass
+    # that sizes the layout.
+    complete = training.complete_rows(tr, [*feats, label])
+    counts = tr.agg(F.count(F.lit(1)).alias("n"), F.count_if(~complete).alias("dropped")).first()
+    parts = training.layout_partitions(df.sparkSession, counts["n"] - counts["dropped"])
+    tr = training.stable_layout(tr.where(complete), keys, parts).persist()
     grid_df = None
     if grid:
         est = inner.getStages()[-1]
@@ -151,7 +155,9 @@ def train(
     model = PipelineModel(stages=[derive, *fitted.stages])
     preds = model.transform(te)
     tr.unpersist()
-    return TrainResult(run_id, model, feats, best, grid_df, preds, task, label)
+    return TrainResult(run_id, model, feats, best, grid_df, preds, task, label,
+                       extra={"training_rows": counts["n"] - counts["dropped"],
+                              "dropped_training_rows": counts["dropped"]})
 
 
 def log_training_run(result: TrainResult, store: RegistryStore, event_id: int, grid: dict | None) -> None:
@@ -160,6 +166,7 @@ def log_training_run(result: TrainResult, store: RegistryStore, event_id: int, g
     params = {f"best_{k}": str(v) for k, v in result.best_params.items()}
     params.update({f"{k}_options": str(v) for k, v in (grid or {}).items()})
     params["num_features"] = str(len(result.features))
+    params.update({k: str(v) for k, v in result.extra.items()})
     p_rows = spark.createDataFrame(
         [(result.run_id, "param", k, v, None, event_id) for k, v in sorted(params.items())],
         "run_id string, kind string, key string, value string, num_value double, event_id bigint",

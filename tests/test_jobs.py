@@ -123,3 +123,21 @@ def test_holdout_metrics_computed_once(spark, lineitem):
     row = first.first()
     assert row["n_rows"] == res.predictions.count()
     assert 0.0 <= row["auc"] <= 1.0 and 0.0 <= row["accuracy"] <= 1.0
+
+
+def test_incomplete_training_rows_are_dropped_and_counted(spark, lineitem):
+    from orchard.operators import split
+
+    data = metrics_view(lineitem)
+    holed = data.withColumn(
+        "memory_utilization",
+        F.when(F.col(METRICS_KEYS[0]) % 10 == 0, F.lit(None)).otherwise(F.col("memory_utilization")),
+    )
+    res = train_plan.train(holed, training.REGRESSION, "query_latency", METRICS_KEYS,
+                           params={"numTrees": 3, "maxDepth": 3})
+    train_side, _ = split.hash_split(holed, METRICS_KEYS)
+    expected = train_side.where(F.col("memory_utilization").isNull()).count()
+    assert expected > 0 and res.extra["dropped_training_rows"] == expected
+    assert res.extra["training_rows"] == train_side.count() - expected
+    rmse = res.holdout_metrics.first()["rmse"]
+    assert rmse == rmse  # a number: the scaler was not fitted on NaN
