@@ -7,6 +7,7 @@ missing challenger yields a SKIPPED report instead of an exception.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,7 +67,12 @@ def run_classification_ab(
     if champ is None or chall is None:
         report = data.sparkSession.createDataFrame([(abtest.SKIPPED,)], "decision string")
     else:
-        scored = scoring.score_two(champ, chall, test, keep=keys + [label])
+        # The bootstrap, the metrics and the AUC (with its slice bounds) all
+        # read the scored hold-out: keep a narrow projection so each forest
+        # scores it once.
+        scored = scoring.score_two(champ, chall, test, keep=keys + [label]).select(
+            *keys, label, "pred_champion", "score_champion", "pred_challenger", "score_challenger"
+        ).persist(StorageLevel.MEMORY_AND_DISK)
         report = classification_ab(
             scored, keys, label, [], replicates, seed,
             champion_uri=f"models:/{model_name}@champion", challenger_uri=f"models:/{model_name}@challenger",
@@ -74,6 +80,8 @@ def run_classification_ab(
         promote(store, model_name, report)
     sinks.write_json(report, report_path)
     sinks.write_text(sinks.format_lines(report, report.columns, sep=" | "), log_path)
+    if champ is not None and chall is not None:
+        scored.unpersist()
     return report
 
 

@@ -60,12 +60,18 @@ def test_classification_ab_job(spark, lineitem):
         train_plan.register_and_promote(res, store, "fraud_model", "auc", True, e)
     assert store.resolve("fraud_model", "champion") is not None
     if store.resolve("fraud_model", "challenger") is None:
-        pytest.skip("second model was promoted directly; no challenger to test")
+        # The second model won outright: pit the first one against it.
+        champ_version = store.resolve("fraud_model", "champion")[0]
+        store.set_alias("fraud_model", "challenger", 3 - champ_version, store.next_event_id())
+    champ_before = store.resolve("fraud_model", "champion")[0]
+    chall_before = store.resolve("fraud_model", "challenger")[0]
     rep = ab_test.run_classification_ab(data, store, "fraud_model", METRICS_KEYS, "fraud",
                                         fresh_path(spark, "rep"), fresh_path(spark, "log"), replicates=200)
     row = rep.first()
     assert row.decision in ("PROMOTE", "KEEP_CHAMPION")
     assert 0.0 <= row.p_value <= 1.0 and row.test_set_size > 0
+    expected = chall_before if row.decision == "PROMOTE" else champ_before
+    assert store.resolve("fraud_model", "champion")[0] == expected
 
 
 def test_cross_validation_grid_and_reproducibility(spark, lineitem):
