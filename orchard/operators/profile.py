@@ -1,7 +1,7 @@
 """Profiling.
 
-Every profile is one aggregation pass over the input, unpivoted to long form
-with ``unpivot`` — not one job per column.
+Every profile is one pass over the input (``unpivot`` to long form where a
+value per column is needed) — not one job per column.
 """
 
 from __future__ import annotations
@@ -48,55 +48,43 @@ def column_profile(df: DataFrame) -> DataFrame:
     is_constant``.  min/max are given for numeric and boolean columns (as
     double); ``is_constant`` flags zero-variance columns, e.g. calendar
     features of data that all fall on one hour.
+
+    One pass over the input: every row is unpivoted to one ``(column_name,
+    num, txt)`` entry per column — numeric/boolean values as double in
+    ``num``, the rest as string in ``txt``, so no number is formatted as
+    text — and counted per distinct entry (partial aggregation map-side, so
+    the shuffle carries distinct values, not rows).  Null counts, exact
+    distinct counts and min/max are read off that table.
     """
     fields = df.schema.fields
     names = [f.name for f in fields]
-    aggs = []
+    entries = []
     for f in fields:
         c = F.col(f"`{f.name}`")
-        num = c.cast("double") if _is_numeric(f.dataType) else F.lit(None).cast("double")
-        aggs += [
-            F.count_if(c.isNull()).alias(f"n__{f.name}"),
-            F.min(num).alias(f"lo__{f.name}"),
-            F.max(num).alias(f"hi__{f.name}"),
-        ]
-    wide = df.agg(*aggs)
-    stacked = wide.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(n).alias("column_name"),
-                        F.lit(f.dataType.simpleString()).alias("data_type"),
-                        F.col(f"n__{n}").alias("null_count"),
-                        F.col(f"lo__{n}").alias("min_value"),
-                        F.col(f"hi__{n}").alias("max_value"),
-                    )
-                    for n, f in zip(names, fields)
-                ]
-            )
-        ).alias("p")
-    ).select("p.*")
-
-    # Exact distinct counts: unpivot to (column, value) — numeric columns as
-    # double, the rest as string, so no number is formatted as text — then
-    # de-duplicate (map-side partial aggregation) and count per column.
-    def distinct_counts(cols: list[str], cast: str):
-        typed = df.select(*[F.col(f"`{c}`").cast(cast).alias(c) for c in cols])
-        return (
-            typed.unpivot([], cols, "column_name", "value")
-            .where(F.col("value").isNotNull())
-            .distinct()
-            .groupBy("column_name")
-            .agg(F.count(F.lit(1)).alias("n_distinct"))
-        )
-
-    numeric = [f.name for f in fields if _is_numeric(f.dataType)]
-    other = [f.name for f in fields if not _is_numeric(f.dataType)]
-    parts = [distinct_counts(cols, cast) for cols, cast in ((numeric, "double"), (other, "string")) if cols]
-    distinct = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    out = stacked.join(distinct, "column_name", "left").withColumn(
-        "n_distinct", F.coalesce(F.col("n_distinct"), F.lit(0)).cast("bigint")
+        if _is_numeric(f.dataType):
+            num, txt = c.cast("double"), F.lit(None).cast("string")
+        else:
+            num, txt = F.lit(None).cast("double"), c.cast("string")
+        entries.append(F.struct(num.alias("num"), txt.alias("txt")).alias(f.name))
+    long = df.select(*entries).unpivot([], names, "column_name", "e").select("column_name", "e.num", "e.txt")
+    per_value = long.groupBy("column_name", "num", "txt").agg(F.count(F.lit(1)).alias("n"))
+    is_null = F.col("num").isNull() & F.col("txt").isNull()
+    per_column = per_value.groupBy("column_name").agg(
+        F.sum(F.when(is_null, F.col("n")).otherwise(F.lit(0))).cast("bigint").alias("null_count"),
+        F.count_if(~is_null).cast("bigint").alias("n_distinct"),
+        F.min("num").alias("min_value"),
+        F.max("num").alias("max_value"),
+    )
+    # The column list (from the schema, not the data) keeps every column in
+    # the profile, also for an empty input.
+    listing = df.sparkSession.createDataFrame(
+        [(f.name, f.dataType.simpleString()) for f in fields], "column_name string, data_type string"
+    )
+    out = listing.join(per_column, "column_name", "left").withColumns(
+        {
+            "null_count": F.coalesce(F.col("null_count"), F.lit(0)).cast("bigint"),
+            "n_distinct": F.coalesce(F.col("n_distinct"), F.lit(0)).cast("bigint"),
+        }
     )
     return out.withColumn("is_constant", F.col("n_distinct") <= 1).select(
         "column_name", "data_type", "null_count", "n_distinct", "min_value", "max_value", "is_constant"
