@@ -40,6 +40,15 @@ def test_multinomial_is_partition_independent(spark):
     assert a.exceptAll(b).count() == 0 and a.count() == 150
 
 
+def test_poisson_is_partition_independent(spark):
+    """Weights are a function of the row key and replicate only: any input
+    layout (one partition, many) gives the same replicate counts."""
+    df = _pairs(spark)
+    a = bootstrap.poisson_bootstrap(df.coalesce(1), ["k"], "label", "pa", "pb", ["seg"], replicates=40)
+    b = bootstrap.poisson_bootstrap(df.repartition(11, "seg"), ["k"], "label", "pa", "pb", ["seg"], replicates=40)
+    assert a.count() == 120 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_poisson_and_multinomial_agree_in_distribution(spark):
     df = _pairs(spark)
     p = abtest.replicate_summary(bootstrap.poisson_bootstrap(df, ["k"], "label", "pa", "pb", replicates=400)).first()
