@@ -103,7 +103,7 @@ def holdout_metrics(task: str, predictions: DataFrame, label: str) -> DataFrame:
         table = metrics.regression_metrics(scored, label=label, prediction="prediction")
     row = table.first()
     scored.unpersist()
-    return spark.createDataFrame([tuple(row)], table.schema)
+    return spark.createDataFrame([tuple(row)] if row is not None else [], table.schema)
 
 
 def train(
