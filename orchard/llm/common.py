@@ -137,3 +137,18 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def worker_cache(name: str) -> dict:
+    """A dict that lives as long as the Python worker, so that tasks which
+    follow one another in it need not rebuild tables of fixed size."""
+    import sys
+    import types
+
+    holder = sys.modules.setdefault("_orchard_worker_cache", types.ModuleType("_orchard_worker_cache"))
+    return holder.__dict__.setdefault(name, {})
+
+
+def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
+    """A batch's texts, null as empty."""
+    return [t or "" for t in batch.column(column).to_pylist()]

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm import chat, mixing
-from orchard.llm.common import table
+from orchard.llm import bpe, chat, langid, mixing
+from orchard.llm.common import fold_remainder, table
 
+VOCABULARY = "word_bpe_49k.json"
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -39,9 +40,28 @@ FROM t GROUP BY conv_id
 """
 
 
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(fold_remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
+    out = langid.identify(docs, F.col("held_out"), ["doc_id", "held_out"])
+    return out.select("doc_id", "held_out", F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"), F.col("__rejected").alias("rejected"))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_path())
+    out = bpe.decode(docs.select("doc_id", "ids"), vocabulary_path())
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_chat_formatting": op3_chat_formatting, "op10_source_mixing": op10_source_mixing}
+QUERIES = {"op2_language_id": op2_language_id, "op4_bpe": op4_bpe, "op3_chat_formatting": op3_chat_formatting, "op10_source_mixing": op10_source_mixing}
 ORACLE = {"op3_chat_formatting": OP3_SQL}
