@@ -61,8 +61,8 @@ def best_paths(messages: DataFrame, per_tree: int = 1, max_rounds: int = 40) ->
         jumps.append(at.where("jump is not null").select("conv_id", "msg_id", "jump"))
         up = at.select(F.col("conv_id").alias("c"), F.col("msg_id").alias("m"), F.col("jump").alias("far"), F.col("depth").alias("more"), F.col("total").alias("sum"))
         on = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("jump") == F.col("m"))
-        nxt = at.join(up, on, "left").select("conv_id", "msg_id", F.col("far").alias("jump"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("sum", F.lit(0.0))).alias("total"))
-        at = materialize(nxt, "chat-jump")
+        opened = at.where("jump is not null").join(up, on, "left").select("conv_id", "msg_id", F.col("far").alias("jump"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("sum", F.lit(0.0))).alias("total"))
+        at = materialize(at.where("jump is null").unionByName(opened), "chat-jump")
         if at.where("jump is not null").limit(1).count() == 0:
             break
     else:
