@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm import bpe, chat, langid, mixing
+from orchard.llm import bpe, chat, langid, mixing, pii
 from orchard.llm.common import fold_remainder, table
 
 VOCABULARY = "word_bpe_49k.json"
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     one = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
@@ -63,5 +67,5 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_language_id": op2_language_id, "op4_bpe": op4_bpe, "op3_chat_formatting": op3_chat_formatting, "op10_source_mixing": op10_source_mixing}
+QUERIES = {"op1_pii": op1_pii, "op2_language_id": op2_language_id, "op4_bpe": op4_bpe, "op3_chat_formatting": op3_chat_formatting, "op10_source_mixing": op10_source_mixing}
 ORACLE = {"op3_chat_formatting": OP3_SQL}
