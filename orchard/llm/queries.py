@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm import bpe, chat, hmm_lm, langid, mixing, ngram_join, pii
+from orchard.llm import bpe, chat, hmm_lm, langid, mixing, ngram_join, pii, suffix_dedup
 from orchard.llm.common import fold_remainder, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -72,9 +72,15 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm_lm.score(table(spark, sf_dir, "documents"), held_out)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = suffix_dedup.cut(docs, suffix_dedup.repeated_spans(docs))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_pii": op1_pii, "op2_language_id": op2_language_id, "op4_bpe": op4_bpe, "op3_chat_formatting": op3_chat_formatting, "op7_ngram_join": op7_ngram_join, "op8_lm_scoring": op8_lm_scoring, "op10_source_mixing": op10_source_mixing}
+QUERIES = {"op1_pii": op1_pii, "op2_language_id": op2_language_id, "op4_bpe": op4_bpe, "op3_chat_formatting": op3_chat_formatting, "op7_ngram_join": op7_ngram_join, "op8_lm_scoring": op8_lm_scoring, "op9_suffix_dedup": op9_suffix_dedup, "op10_source_mixing": op10_source_mixing}
 ORACLE = {"op3_chat_formatting": OP3_SQL}
