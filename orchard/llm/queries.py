@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm import bpe, chat, hmm_lm, langid, mixing, ngram_join, pii, suffix_dedup
+from orchard.llm import ann, bpe, chat, embed_dedup, hmm_lm, langid, mixing, ngram_join, pii, suffix_dedup
 from orchard.llm.common import fold_remainder, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -63,6 +63,14 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0)
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -82,5 +90,5 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_pii": op1_pii, "op2_language_id": op2_language_id, "op4_bpe": op4_bpe, "op3_chat_formatting": op3_chat_formatting, "op7_ngram_join": op7_ngram_join, "op8_lm_scoring": op8_lm_scoring, "op9_suffix_dedup": op9_suffix_dedup, "op10_source_mixing": op10_source_mixing}
+QUERIES = {"op1_pii": op1_pii, "op2_language_id": op2_language_id, "op4_bpe": op4_bpe, "op3_chat_formatting": op3_chat_formatting, "op5_embedding_dedup": op5_embedding_dedup, "op6_nearest_neighbours": op6_nearest_neighbours, "op7_ngram_join": op7_ngram_join, "op8_lm_scoring": op8_lm_scoring, "op9_suffix_dedup": op9_suffix_dedup, "op10_source_mixing": op10_source_mixing}
 ORACLE = {"op3_chat_formatting": OP3_SQL}
