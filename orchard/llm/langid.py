@@ -8,7 +8,7 @@ per language, come from spherical k-means over a sample of at most about
 group per language, so a group is bounded.  A text takes the language of the
 centroid with the largest cosine.  It is rejected when that cosine lies below
 ``REJECT`` times the smallest one seen in the sample for texts of its length
-class (a class without evidence uses ``FLOOR``).
+class (a class of fewer than ``EVIDENCE`` texts uses ``FLOOR``).
 
 Nulls and odd rows: a null text or one without a letter is ``und`` with score
 0 and rejected; rows with a null language train nothing; a null ``doc_id``
@@ -36,6 +36,7 @@ SAMPLE = 1500
 CENTROIDS = 4
 ROUNDS = 8
 REJECT = 0.6
+EVIDENCE = 50
 FLOOR = 0.02
 LENGTH_CLASSES = 24
 
@@ -117,7 +118,8 @@ def _fit_language(rows: pd.DataFrame, idf: np.ndarray) -> pd.DataFrame:
     best, floors = (x @ c.T).max(1), np.full(LENGTH_CLASSES, FLOOR)
     classes = np.array([length_class(n) for n in letters])
     for k in np.unique(classes):
-        floors[k] = REJECT * float(best[classes == k].min())
+        if (classes == k).sum() >= EVIDENCE:
+            floors[k] = REJECT * float(best[classes == k].min())
     lang = rows["lang"].iloc[0]
     return pd.DataFrame({"lang": [lang] * len(c), "centroid": [v.astype("<f4").tobytes() for v in c], "floors": [floors.tobytes()] * len(c)})
 
