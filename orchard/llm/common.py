@@ -50,17 +50,16 @@ def components(nodes: DataFrame, links: DataFrame, max_rounds: int = 60) -> Data
     spark = nodes.sparkSession
     both = links.where("a <> b").select("a", "b").unionByName(links.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = materialize(both, "links")
-    touched = both.select(F.col("a").alias("n")).distinct()
-    labels = materialize(touched.join(both.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m")), "n").select("n", F.least("n", "m").alias("l")), "labels")
+    labels = materialize(both.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m")).select("n", F.least("n", "m").alias("l")), "labels")
     for _ in range(max_rounds):
         # smallest label among the neighbours, sent along the links
         spread = both.join(labels.select(F.col("n").alias("a"), "l"), "a").groupBy(F.col("b").alias("n")).agg(F.min("l").alias("m"))
-        # hook: the old label's root also learns the smaller label
         step = labels.join(spread, "n").select("n", "l", F.least("l", "m").alias("s"))
-        hook = step.where("s < l").groupBy(F.col("l").alias("n")).agg(F.min("s").alias("h"))
-        step = materialize(step.join(hook, "n", "left").select("n", F.col("l").alias("old"), F.least(F.col("s"), F.coalesce("h", "s")).alias("l")), "labels")
-        # jump: take the label of the label
-        up = step.select(F.col("n").alias("l"), F.col("l").alias("up"))
+        # hook: the old label's other holders also learn the smaller label
+        hook = step.where("s < l").groupBy(F.col("l").alias("l")).agg(F.min("s").alias("h"))
+        step = step.join(hook, "l", "left").select("n", F.col("l").alias("old"), F.least("s", F.coalesce("h", "s")).alias("l"))
+        # jump: take the label that the new label's node held
+        up = labels.select(F.col("n").alias("l"), F.col("l").alias("up"))
         nxt = materialize(step.join(up, "l", "left").select("n", "old", F.least(F.col("l"), F.coalesce("up", "l")).alias("l")), "labels")
         changed = nxt.where("l <> old").limit(1).count()
         labels = nxt.select("n", "l")
