@@ -55,6 +55,34 @@ def guarded_ratio(num: str = "system_load", den: str = "cpu_utilization") -> Col
     return F.when(F.col(den) > 0, F.col(num) / F.col(den)).otherwise(F.lit(0.0))
 
 
+def derivation_sql(schema: T.StructType, time_col: str = TIME_COLUMN) -> list[str]:
+    """P-11 as SQL select items, the one place where the derivation is written:
+    models save them as a stage, ``derive_features`` applies them.
+
+    Calendar features appear when the time column exists, the interaction and
+    the guarded ratio when their inputs do; a table without any of them is left
+    as it is.  Times are read in UTC whatever the session's zone.
+    """
+    names, items = schema.fieldNames(), ["*"]
+    if time_col in names:
+        t, dt = f"`{time_col}`", schema[time_col].dataType
+        if isinstance(dt, T.NumericType):
+            day = f"date_from_unix_date(CAST(floor({t} / 86400) AS INT))"
+            hour = f"CAST(pmod(floor({t} / 3600), 24) AS INT)"
+        else:
+            if isinstance(dt, T.TimestampType):
+                t = f"to_utc_timestamp({t}, current_timezone())"
+            elif not isinstance(dt, T.TimestampNTZType):
+                t = f"to_timestamp_ntz({t})"
+            day, hour = t, f"hour({t})"
+        items += [f"{hour} AS hour", f"dayofweek({day}) AS day_of_week", f"month({day}) AS month"]
+    if {"cpu_utilization", "memory_utilization"} <= set(names):
+        items.append(f"cpu_utilization * memory_utilization AS {INTERACTION_FEATURE}")
+    if {"cpu_utilization", "system_load"} <= set(names):
+        items.append(f"CASE WHEN cpu_utilization > 0 THEN system_load / cpu_utilization ELSE 0.0 END AS {RATIO_FEATURE}")
+    return items
+
+
 def add_calendar(df: DataFrame, time_col: str = TIME_COLUMN, drop_source: bool = True) -> DataFrame:
     """P-8: calendar features only if the time column exists; then drop it."""
     if time_col not in df.columns:
@@ -67,16 +95,10 @@ def add_calendar(df: DataFrame, time_col: str = TIME_COLUMN, drop_source: bool =
 def derive_features(df: DataFrame, time_col: str = TIME_COLUMN) -> DataFrame:
     """P-11: the full feature derivation, one ``DataFrame -> DataFrame`` step.
 
-    Used by training, A/B evaluation and batch scoring alike (``df.transform``),
-    so the three jobs cannot drift apart.
+    The same select items are saved in models, so training, A/B evaluation and
+    batch scoring cannot drift apart.
     """
-    out = add_calendar(df, time_col)
-    return out.withColumns(
-        {
-            INTERACTION_FEATURE: interaction(),
-            RATIO_FEATURE: guarded_ratio(),
-        }
-    )
+    return df.selectExpr(*derivation_sql(df.schema, time_col)).drop(time_col)
 
 
 # --------------------------------------------------------------------------

@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 TWO_32 = 4294967296
 # Prime modulus for the per-replicate uniform stream (2^31 - 1).
 STREAM_PRIME = 2147483647
-# Largest bootstrap weight kept exactly; draws above it are clipped to it.
-POISSON_MAX_WEIGHT = 9
 
 
 def key_string(keys: list[str], salt: str | int | None = None) -> Column:
-    parts = [F.col(k).cast("string") for k in keys]
+    """Key text; a null key part is written as ``\\N``, so (1, null) and
+    (null, 1) differ.  Without keys every row would get the same hash."""
+    if not keys:
+        raise ValueError("a row hash needs at least one key column")
+    parts = [F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("\\N")) for k in keys]
     if salt is not None:
         parts.append(F.lit(str(salt)))
     return F.concat_ws("#", *parts)
@@ -48,13 +50,16 @@ def fold_of(keys: list[str], num_folds: int = 3, seed: int = 42) -> Column:
     return (md5_u32(key_string(keys, seed), word=1) % num_folds).cast("int")
 
 
-def poisson_cdf_thresholds(max_weight: int = POISSON_MAX_WEIGHT, modulus: int = STREAM_PRIME) -> list[int]:
-    """Integer cut points of the Poisson(1) CDF on ``[0, modulus)``."""
-    cuts, acc, term = [], 0.0, math.exp(-1.0)
-    for k in range(max_weight):
+def poisson_cdf_thresholds(modulus: int = STREAM_PRIME) -> list[int]:
+    """Integer cut points of the Poisson(1) CDF on ``[0, modulus)``, up to the
+    weight whose cut reaches the modulus: no draw lies above the last one."""
+    cuts, acc, term, k = [], 0.0, math.exp(-1.0), 0
+    while not cuts or cuts[-1] < modulus:
         acc += term
-        cuts.append(int(math.floor(acc * modulus)))
-        term /= k + 1
+        k += 1
+        term /= k
+        # the tail beyond a weight of k is less than 2 * term
+        cuts.append(modulus if 2 * term * modulus < 1 else int(math.floor(acc * modulus)))
     return cuts
 
 
@@ -83,4 +88,4 @@ def poisson_weight(a: Column, b: Column, replicate: Column) -> Column:
     expr = F.when(u < F.lit(cuts[0]), F.lit(0))
     for k, cut in enumerate(cuts[1:], start=1):
         expr = expr.when(u < F.lit(cut), F.lit(k))
-    return expr.otherwise(F.lit(len(cuts)))
+    return expr

@@ -46,8 +46,8 @@ def _betacf(a: float, b: float, x: float, eps: float = 1e-16, max_iter: int = 20
         delta = d * c
         h *= delta
         if abs(delta - 1.0) < eps:
-            break
-    return h
+            return h
+    raise ArithmeticError(f"the continued fraction did not converge in {max_iter} steps (a={a}, b={b}, x={x})")
 
 
 def incomplete_beta(a: float, b: float, x: float) -> float:

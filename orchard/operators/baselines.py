@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orchard.operators.joins import lookup_join
 
 
 def fit_group_line(train: DataFrame, label: str, x: str, group: list[str]) -> DataFrame:
@@ -39,7 +38,7 @@ def score_mean_and_line(
 ) -> DataFrame:
     """Both regression stand-ins from one fitted table and one lookup join:
     the group mean (``mean_out``) and the group line (``line_out``)."""
-    joined = lookup_join(df, fitted, group)
+    joined = df.join(fitted, group, "left")
     line = F.col("_my") + F.col("_slope") * (F.col(x).cast("double") - F.col("_mx"))
     return joined.withColumns({mean_out: F.col("_my"), line_out: line}).drop("_slope", "_mx", "_my")
 

@@ -1,7 +1,8 @@
 """Model quality metrics as aggregations.
 
 Every metric takes optional ``segments`` (grouping columns) and computes all
-segments in one job.  Classification metrics share one pass over the scored
+segments in one job.  A null segment is a segment; rows whose label or
+prediction is null count in no metric (``n_rows`` counts the complete ones).  Classification metrics share one pass over the scored
 rows: they are read off the confusion counts, which are tiny.  AUC aggregates
 to distinct scores first and then runs a hot-group-safe prefix sum, so it
 never needs a single-task global window.
@@ -9,6 +10,8 @@ never needs a single-task global window.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +29,13 @@ def _safe_div(num: Column, den: Column, zero: Column | None = None) -> Column:
 # --------------------------------------------------------------------------
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Equi-join in which a null key matches a null key; keys come from ``left``."""
+    other = right.select(*[F.col(k).alias(f"_j_{k}") if k in keys else F.col(k) for k in right.columns])
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_j_{k}")) for k in keys])
+    return left.join(other, on, how).drop(*[f"_j_{k}" for k in keys])
+
+
 def confusion_counts(
     df: DataFrame, label: str = "label", prediction: str = "prediction", segments: list[str] | None = None
 ) -> DataFrame:
@@ -56,6 +66,7 @@ def classification_metrics(
     key = seg or ["_all"]
     if not seg:
         df = df.withColumn("_all", F.lit(0))
+    df = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
     cc = confusion_counts(df, label, prediction, key)
     # Per-class counts: one row per (segment, class) from the tiny table.
     by_actual = cc.groupBy(*key, F.col("label").alias("cls")).agg(
@@ -63,7 +74,7 @@ def classification_metrics(
         F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("tp"),
     )
     by_pred = cc.groupBy(*key, F.col("prediction").alias("cls")).agg(F.sum("n").alias("predicted"))
-    per_class = by_actual.join(by_pred, [*key, "cls"], "left").fillna(0, subset=["predicted"])
+    per_class = null_safe_join(by_actual, by_pred, [*key, "cls"], "left").fillna(0, subset=["predicted"])
     precision = _safe_div(F.col("tp").cast("double"), F.col("predicted").cast("double"), F.lit(0.0))
     recall = _safe_div(F.col("tp").cast("double"), F.col("actual").cast("double"), F.lit(0.0))
     per_class = per_class.withColumn("p", precision).withColumn("r", recall).withColumn(
@@ -82,7 +93,7 @@ def classification_metrics(
         F.sum(F.when((F.col("label") != positive) & (F.col("prediction") == positive), F.col("n")).otherwise(0)).alias("fp"),
         F.sum(F.when((F.col("label") == positive) & (F.col("prediction") != positive), F.col("n")).otherwise(0)).alias("fn"),
     )
-    out = totals.join(weighted, key, "inner")
+    out = null_safe_join(totals, weighted, key, "inner")
     return out.select(
         *seg,
         "n_rows",
@@ -111,6 +122,7 @@ def auc(
     (range-partitioned prefix sum, no single-task window) -> one aggregate.
     """
     seg = segments or []
+    df = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
     is_pos = F.col(label).cast("double") == 1.0
     per_score = df.groupBy(*seg, F.col(score).cast("double").alias("_s")).agg(
         F.sum(F.when(is_pos, 1).otherwise(0)).cast("double").alias("_pos"),
@@ -150,6 +162,7 @@ def regression_metrics(
     as in ``RegressionEvaluator("r2")``; null when SST is 0.
     """
     seg = segments or []
+    df = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
     err = F.col(label).cast("double") - F.col(prediction).cast("double")
     agg = df.groupBy(*seg).agg(
         F.count(F.lit(1)).alias("n_rows"),

@@ -61,13 +61,18 @@ def column_profile(df: DataFrame) -> DataFrame:
     entries = []
     for f in fields:
         c = F.col(f"`{f.name}`")
-        if _is_numeric(f.dataType):
-            num, txt = c.cast("double"), F.lit(None).cast("string")
+        none = {"whole": F.lit(None).cast("bigint"), "num": F.lit(None).cast("double"), "txt": F.lit(None).cast("string")}
+        if isinstance(f.dataType, (T.IntegralType, T.BooleanType)):
+            none |= {"whole": c.cast("bigint"), "num": c.cast("double")}  # whole numbers stay exact
+        elif isinstance(f.dataType, T.DecimalType):
+            none |= {"num": c.cast("double"), "txt": c.cast("string")}
+        elif _is_numeric(f.dataType):
+            none["num"] = c.cast("double")
         else:
-            num, txt = F.lit(None).cast("double"), c.cast("string")
-        entries.append(F.struct(num.alias("num"), txt.alias("txt")).alias(f.name))
-    long = df.select(*entries).unpivot([], names, "column_name", "e").select("column_name", "e.num", "e.txt")
-    per_value = long.groupBy("column_name", "num", "txt").agg(F.count(F.lit(1)).alias("n"))
+            none["txt"] = c.cast("string")
+        entries.append(F.struct(*[v.alias(k) for k, v in none.items()]).alias(f.name))
+    long = df.select(*entries).unpivot([], names, "column_name", "e").select("column_name", "e.whole", "e.num", "e.txt")
+    per_value = long.groupBy("column_name", "whole", "num", "txt").agg(F.count(F.lit(1)).alias("n"))
     is_null = F.col("num").isNull() & F.col("txt").isNull()
     per_column = per_value.groupBy("column_name").agg(
         F.sum(F.when(is_null, F.col("n")).otherwise(F.lit(0))).cast("bigint").alias("null_count"),

@@ -237,15 +237,20 @@ def alias_swap_events(current: DataFrame, decisions: DataFrame, event_id: int) -
 def retraining_report(
     versions: DataFrame, runs: DataFrame, alias_events: DataFrame, metric: str = "rmse"
 ) -> DataFrame:
-    """R-11: compare each model's latest run with its champion (lower is better).
+    """R-11: compare each model's latest run with the champion it met (lower is
+    better): the one in force before the latest run's own event, so a run that
+    was promoted still shows what it improved on.
 
-    ``IMPROVED`` / ``NOT_IMPROVED`` / ``NO_DATA`` (no champion, or a metric is
-    missing).
+    ``IMPROVED`` / ``NOT_IMPROVED`` / ``NO_DATA`` (no champion then, or a metric
+    is missing).
     """
     latest = versions.groupBy("model").agg(
         F.max_by("run_id", "event_id").alias("latest_run_id"),
         F.max("version").alias("latest_version"),
+        F.max("event_id").alias("latest_event"),
     )
+    since = latest.select(F.col("model").alias("_m"), "latest_event")
+    alias_events = alias_events.join(since, (F.col("model") == F.col("_m")) & (F.col("event_id") < F.col("latest_event"))).drop("_m", "latest_event")
     wide = run_metrics_wide(runs, [metric]).select("run_id", F.col(metric).alias("new_metric"))
     champ = champion_metrics(alias_events, versions, runs, [metric]).select(
         "model", "champion_version", F.col(metric).alias("champion_metric")

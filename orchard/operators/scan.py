@@ -22,6 +22,8 @@ each group when the exact per-row result matters.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -123,12 +125,15 @@ def prefix_aggregate(
     local = sliced.select(
         "*", *[_OPS[op](value).over(w_local).alias(f"_local_{out}") for out, op, value in specs]
     )
-    joined = local.join(carry, on=[*group_cols, "_slice"], how="left")
+    # Null groups are groups too: null-safe equality on every key.
+    renamed = carry.select(*[F.col(c).alias(f"_k_{c}") for c in [*group_cols, "_slice"]], *[c for c in carry.columns if c.startswith("_carry_")])
+    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in [*group_cols, "_slice"]])
+    joined = local.join(renamed, on=on, how="left")
     out_cols = [
         _COMBINE[op](F.col(f"_carry_{out}"), F.col(f"_local_{out}")).alias(out)
         for out, op, _ in specs
     ]
-    drop = ["_slice"] + [f"_carry_{o}" for o, _, _ in specs] + [f"_local_{o}" for o, _, _ in specs]
+    drop = ["_slice"] + [f"_k_{c}" for c in [*group_cols, "_slice"]] + [f"_carry_{o}" for o, _, _ in specs] + [f"_local_{o}" for o, _, _ in specs]
     return joined.select(*[c for c in joined.columns if c not in drop], *out_cols)
 
 

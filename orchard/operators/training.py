@@ -28,37 +28,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orchard.functions.features import INTERACTION_FEATURE, RATIO_FEATURE, TIME_COLUMN
+from orchard.functions.features import TIME_COLUMN, derivation_sql
 
 CLASSIFICATION, REGRESSION = "classification", "regression"
 
 # The search grids and base settings of the two jobs.
 CLASSIFIER_GRID = {"numTrees": [10, 20], "maxDepth": [5, 10]}
 REGRESSOR_GRID = {"numTrees": [30, 50, 70], "maxDepth": [5, 10, 15]}
+LINEAR_GRID = {"regParam": [0.0, 0.01, 0.1]}
 CLASSIFIER_BASE = {"numTrees": 10, "maxDepth": 5}
 REGRESSOR_BASE = {"numTrees": 50, "maxDepth": 10}
 
 
 def derivation_statement(schema: T.StructType, time_col: str = TIME_COLUMN) -> str:
-    """P-11 as SQL over ``__THIS__``: keeps every input column, adds the
-    calendar features when the time column exists, plus the interaction and
-    guarded ratio.  The statement is fixed at fit time and saved with the model."""
-    names = [f.name for f in schema.fields]
-    parts = ["*"]
-    if time_col in names:
-        dt = schema[time_col].dataType
-        if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-            ts = f"`{time_col}`"
-        elif isinstance(dt, T.NumericType):
-            ts = f"timestamp_seconds(`{time_col}`)"
-        else:
-            ts = f"to_timestamp(`{time_col}`)"
-        parts += [f"hour({ts}) AS hour", f"dayofweek({ts}) AS day_of_week", f"month({ts}) AS month"]
-    parts += [
-        f"cpu_utilization * memory_utilization AS {INTERACTION_FEATURE}",
-        f"CASE WHEN cpu_utilization > 0 THEN system_load / cpu_utilization ELSE 0.0 END AS {RATIO_FEATURE}",
-    ]
-    return "SELECT " + ", ".join(parts) + " FROM __THIS__"
+    """P-11 over ``__THIS__``: every input column plus the derived ones whose
+    inputs exist.  The statement is fixed at fit time and saved with the model."""
+    return "SELECT " + ", ".join(derivation_sql(schema, time_col)) + " FROM __THIS__"
 
 
 def feature_columns(df: DataFrame, exclude: list[str]) -> list[str]:
@@ -67,7 +52,7 @@ def feature_columns(df: DataFrame, exclude: list[str]) -> list[str]:
     ex = set(exclude) | {"fold", "split"}
     return [
         f.name for f in derived.schema.fields
-        if f.name not in ex and isinstance(f.dataType, (T.NumericType, T.BooleanType))
+        if f.name not in ex and f.name != TIME_COLUMN and isinstance(f.dataType, (T.NumericType, T.BooleanType))
     ]
 
 
@@ -150,22 +135,20 @@ def complete_rows(df: DataFrame, columns: list[str]) -> Column:
     return cond
 
 
-# Training-set partitioning.  Every tree level ships one histogram array per
-# partition and node through a shuffle, so thin partitions cost more than
-# their rows: a partition holds at least MIN_ROWS_PER_FIT_PARTITION rows (small
-# sets do not get spread over every core of a large cluster) and a large set
-# gets one partition per ROWS_PER_FIT_PARTITION rows.
+# Training-set partitioning, from the row count alone: forests sample per
+# partition, so a layout that followed the cluster's cores would give another
+# model on another cluster.  Every tree level ships one histogram array per
+# partition and node through a shuffle, so thin partitions cost more than their
+# rows; beyond MANY partitions they grow to ROWS_PER_FIT_PARTITION.
+MIN_ROWS_PER_FIT_PARTITION = 50_000
+MANY_FIT_PARTITIONS = 64
 ROWS_PER_FIT_PARTITION = 1_000_000
-MIN_ROWS_PER_FIT_PARTITION = 5_000
 
 
-def layout_partitions(spark, n_rows: int) -> int:
-    """Partitions for a training set of ``n_rows``: one per core while each
-    keeps ``MIN_ROWS_PER_FIT_PARTITION`` rows, more once a partition would
-    exceed ``ROWS_PER_FIT_PARTITION``."""
-    cores = spark.sparkContext.defaultParallelism
-    for_cores = min(cores, math.ceil(n_rows / MIN_ROWS_PER_FIT_PARTITION))
-    return max(1, for_cores, math.ceil(n_rows / ROWS_PER_FIT_PARTITION))
+def layout_partitions(n_rows: int) -> int:
+    """Partitions for a training set of ``n_rows``."""
+    thin = min(MANY_FIT_PARTITIONS, math.ceil(n_rows / MIN_ROWS_PER_FIT_PARTITION))
+    return max(1, thin, math.ceil(n_rows / ROWS_PER_FIT_PARTITION))
 
 
 def split_derivation(pipeline: Pipeline) -> tuple[SQLTransformer, Pipeline]:

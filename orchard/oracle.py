@@ -8,7 +8,12 @@ BIGINT is HUGEINT (cast back), hex digits are parsed with a ``0x`` prefix.
 
 from __future__ import annotations
 
-from orchard.functions.hashing import STREAM_PRIME, poisson_cdf_thresholds, split_threshold
+# Fixed values, written out so that a wrong one in the library shows up: the
+# prime 2^31 - 1, a fifth of 2^32, and the Poisson(1) distribution function in
+# units of the prime, up to the weight that no draw exceeds.
+STREAM_PRIME = 2147483647
+HOLDOUT_BELOW = 858993459
+POISSON_CUTS = [790015083, 1580030167, 1975037709, 2106706890, 2139624185, 2146207644, 2147304887, 2147461637, 2147481230, 2147483407, 2147483625, 2147483645, 2147483647]
 
 D = 6
 SEED = 42
@@ -35,7 +40,7 @@ def key_str(keys: str = KEYS, seed: int = SEED) -> str:
     return f"concat_ws('#', {keys}, '{seed}')"
 
 
-HOLDOUT = f"{hex_word(key_str(), 0)} < {split_threshold(TEST_SIZE)}"
+HOLDOUT = f"{hex_word(key_str(), 0)} < {HOLDOUT_BELOW}"
 SPLIT = f"CASE WHEN {HOLDOUT} THEN 'test' ELSE 'train' END"
 
 
@@ -241,9 +246,9 @@ BOOT_KEY = f"concat_ws('#', {KEYS}, 'b{SEED}')"
 
 
 def _weight_case(u: str) -> str:
-    cuts = poisson_cdf_thresholds()
+    cuts = POISSON_CUTS
     whens = " ".join(f"WHEN {u} < {c} THEN {k}" for k, c in enumerate(cuts))
-    return f"CASE {whens} ELSE {len(cuts)} END"
+    return f"CASE {whens} END"
 
 
 def _f1(m: str) -> str:
@@ -427,12 +432,15 @@ allev AS (SELECT event_id, model, alias, version FROM ae UNION ALL SELECT * FROM
 SELECT model, alias, arg_max(version, event_id) AS version, max(event_id) AS event_id FROM allev GROUP BY ALL"""
 
 RETRAINING_REPORT = f"""WITH {REG_CTES},
-lt AS (SELECT model, arg_max(metric, event_id) AS new_metric, max(version) AS latest_version FROM mv GROUP BY model)
-SELECT lt.model, lt.latest_version, chm.champion_version, {r('lt.new_metric', 'new_rmse')},
-  {r('chm.metric', 'champion_rmse')},
-  CASE WHEN lt.new_metric IS NULL OR chm.metric IS NULL THEN 'NO_DATA'
-       WHEN lt.new_metric < chm.metric THEN 'IMPROVED' ELSE 'NOT_IMPROVED' END AS status
-FROM lt LEFT JOIN chm ON lt.model = chm.model"""
+lt AS (SELECT model, event_id, metric AS new_metric, version AS latest_version FROM mv m
+  WHERE version = (SELECT max(version) FROM mv WHERE mv.model = m.model)),
+met AS (SELECT lt.*, (SELECT max(event_id) FROM ae WHERE ae.model = lt.model AND alias = 'champion'
+    AND ae.event_id < lt.event_id) AS champion_event FROM lt)
+SELECT met.model, met.latest_version, c.version AS champion_version, {r('met.new_metric', 'new_rmse')},
+  {r('c.metric', 'champion_rmse')},
+  CASE WHEN met.new_metric IS NULL OR c.metric IS NULL THEN 'NO_DATA'
+       WHEN met.new_metric < c.metric THEN 'IMPROVED' ELSE 'NOT_IMPROVED' END AS status
+FROM met LEFT JOIN mv c ON c.model = met.model AND c.event_id = met.champion_event"""
 
 
 ORACLE: dict[str, str] = {

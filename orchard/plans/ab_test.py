@@ -62,16 +62,17 @@ def run_classification_ab(
 ) -> DataFrame:
     """The whole job: hold-out -> two models -> report (JSON) -> promotion
     event when significant -> log lines (text)."""
+    keys = keys or list(data.columns)
     _, test = split.hash_split(data, keys, test_size, seed)
-    champ, chall = store.load(model_name, "champion"), store.load(model_name, "challenger")
+    champ, chall = load_pair(store, model_name)
     if champ is None or chall is None:
         report = data.sparkSession.createDataFrame([(abtest.SKIPPED,)], "decision string")
     else:
         # The bootstrap, the metrics and the AUC (with its slice bounds) all
         # read the scored hold-out: keep a narrow projection so each forest
         # scores it once.
-        scored = scoring.score_two(champ, chall, test, keep=keys + [label]).select(
-            *keys, label, "pred_champion", "score_champion", "pred_challenger", "score_challenger"
+        scored = scoring.score_two(champ, chall, test, keep=[*dict.fromkeys([*keys, label])]).select(
+            *dict.fromkeys([*keys, label]), "pred_champion", "score_champion", "pred_challenger", "score_challenger"
         ).persist(StorageLevel.MEMORY_AND_DISK)
         report = classification_ab(
             scored, keys, label, [], replicates, seed,
@@ -85,6 +86,14 @@ def run_classification_ab(
     return report
 
 
+def load_pair(store: RegistryStore, model_name: str):
+    """(champion, challenger); no challenger when both aliases name the same
+    version, as they do after a promotion: a model is not compared with itself."""
+    a, b = store.resolve(model_name, "champion"), store.resolve(model_name, "challenger")
+    champ = store.load(model_name, "champion")
+    return champ, None if a == b else store.load(model_name, "challenger")
+
+
 def promote(store: RegistryStore, model_name: str, report: DataFrame) -> None:
     """R-10: append a champion event for the challenger when the report says
     PROMOTE (the old champion needs no delete)."""
@@ -99,8 +108,8 @@ def run_regression_ab(
     report_path: str, test_size: float = 0.2, seed: int = 42,
 ) -> DataFrame:
     """B-7 / B-8: RMSE comparison; SKIPPED when there is no challenger."""
-    _, test = split.hash_split(data, keys, test_size, seed)
-    champ, chall = store.load(model_name, "champion"), store.load(model_name, "challenger")
+    _, test = split.hash_split(data, keys or list(data.columns), test_size, seed)
+    champ, chall = load_pair(store, model_name)
     rows = []
     for name, model in (("champion", champ), ("challenger", chall)):
         if model is not None:

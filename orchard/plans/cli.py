@@ -19,10 +19,11 @@ from orchard.sources.readers import FRAUD_LABEL, METRICS_CSV_SCHEMA, METRICS_LAB
 from orchard.sources.models import RegistryStore
 
 
-def _load(spark, path: str, fmt: str):
+def _load(spark, path: str, fmt: str, task: str = training.REGRESSION):
     if fmt == "parquet":
         return read_parquet(spark, path)
-    if fmt == "csv-infer":
+    # Labelled transactions have no fixed columns beyond the label.
+    if fmt == "csv-infer" or task == training.CLASSIFICATION:
         return read_csv(spark, path, infer=True)
     return read_csv(spark, path, schema=METRICS_CSV_SCHEMA)
 
@@ -34,7 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     def common(sp):
         sp.add_argument("--input", required=True)
         sp.add_argument("--format", default="csv", choices=["csv", "csv-infer", "parquet"])
-        sp.add_argument("--keys", default="", help="comma-separated key columns")
+        sp.add_argument("--keys", default="", help="comma-separated key columns (default: the whole row)")
         sp.add_argument("--registry", required=True, help="registry root folder (shared storage)")
         sp.add_argument("--model-name", required=True)
         sp.add_argument("--test-size", type=float, default=0.2)
@@ -67,7 +68,8 @@ def main(argv: list[str] | None = None) -> int:
     ip = sub.add_parser("infer")
     common(ip)
     ip.add_argument("--output", required=True)
-    ip.add_argument("--score-date", default=None)
+    ip.add_argument("--score-date", required=True, help="partition to write, e.g. 2024-01-31")
+    ip.add_argument("--task", choices=[training.CLASSIFICATION, training.REGRESSION], default=training.REGRESSION)
 
     rp = sub.add_parser("retrain-report")
     rp.add_argument("--registry", required=True)
@@ -90,13 +92,14 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     store = RegistryStore(spark, a.registry)
-    data = _load(spark, a.input, a.format)
+    data = _load(spark, a.input, a.format, getattr(a, "task", training.REGRESSION))
     label = FRAUD_LABEL if getattr(a, "task", None) == training.CLASSIFICATION else METRICS_LABEL
 
     if a.cmd == "train":
         grid = None
         if not a.no_search:
-            grid = training.CLASSIFIER_GRID if a.task == training.CLASSIFICATION else training.REGRESSOR_GRID
+            forest = training.CLASSIFIER_GRID if a.task == training.CLASSIFICATION else training.REGRESSOR_GRID
+            grid = training.LINEAR_GRID if a.model_type == "lr" else forest
         res = train_plan.train(data, a.task, label, keys, grid=grid, parallelism=a.parallelism,
                                test_size=a.test_size, seed=a.seed, model_type=a.model_type)
         event_id = store.next_event_id()

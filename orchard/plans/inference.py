@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,19 +16,22 @@ def batch_score(
     model_name: str,
     keep: list[str],
     output_path: str,
-    score_date: str | None = None,
+    score_date: str,
 ) -> DataFrame:
     """Resolve ``models:/<name>@champion`` -> load -> score -> Parquet,
     partitioned by score date, key columns kept (Q-6).
 
     The saved pipeline derives its own features from the raw columns, so the
     input is the same raw table the model was trained on (no skew, Q-1).
+    Scoring a date again replaces that date; other dates stay.
     """
     model = store.load(model_name, "champion")
     if model is None:
         raise ValueError(f"no champion registered for {model_name}")
-    day = score_date or dt.date.today().isoformat()
-    preds = scoring.score(model, data, keep=keep).withColumn("score_date", F.lit(day))
+    if not score_date:
+        raise ValueError("score_date is needed: it names the partition to write")
+    keep = keep or list(data.columns)  # Q-6: without keys a row is known by its raw columns
+    preds = scoring.score(model, data, keep=keep).withColumn("score_date", F.lit(score_date))
     sinks.write_parquet(preds, output_path, partition_by=["score_date"], mode="overwrite")
     return preds
 

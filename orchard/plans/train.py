@@ -31,13 +31,23 @@ def preprocess(
     """Hash split, then fit derivation + assembler + scaler on the training
     side only and apply it to both.  Returns (train, test, fitted feature
     pipeline, feature names); each set is ``keys…, features, label``."""
+    keys, own = keys or list(raw.columns), keys
     train, test = split.hash_split(raw, keys, test_size, seed)
-    pipe, feats = training.build_pipeline(raw, training.REGRESSION, label, keys)
-    feature_stages = pipe.getStages()[:-1]
-    fitted = Pipeline(stages=feature_stages).fit(train)
+    pipe, feats = training.build_pipeline(raw, training.REGRESSION, label, own)
+    derive, *rest = pipe.getStages()[:-1]
+
+    # Rows with a null or NaN would turn the scaler's statistics, and with them
+    # every scaled value, into NaN: they are left out of both sets.
+    def complete(df: DataFrame) -> DataFrame:
+        derived = derive.transform(df)
+        return derived.where(training.complete_rows(derived, [*feats, label]))
+
+    train, test = complete(train), complete(test)
+    inner = Pipeline(stages=rest).fit(train)
+    fitted = PipelineModel(stages=[derive, *inner.stages])
 
     def project(df: DataFrame) -> DataFrame:
-        return fitted.transform(df).select(*keys, "features", F.col(label).cast("double").alias("label"))
+        return inner.transform(df).select(*own, "features", F.col(label).cast("double").alias("label"))
 
     return project(train), project(test), fitted, feats
 
@@ -130,6 +140,7 @@ def train(
     run_id = run_id or uuid.uuid4().hex
     handle = "keep" if task == training.REGRESSION else "error"
     pipe, feats = training.build_pipeline(df, task, label, keys, model_type, handle, seed, **(params or {}))
+    keys = keys or list(df.columns)  # without keys the row itself is the key
     derive, inner = training.split_derivation(pipe)
     tr, te = split.hash_split(df, keys, test_size, seed)
     # Derived once here instead of once per fold and setting.
@@ -138,7 +149,7 @@ def train(
     # that sizes the layout.
     complete = training.complete_rows(tr, [*feats, label])
     counts = tr.agg(F.count(F.lit(1)).alias("n"), F.count_if(~complete).alias("dropped")).first()
-    parts = training.layout_partitions(df.sparkSession, counts["n"] - counts["dropped"])
+    parts = training.layout_partitions(counts["n"] - counts["dropped"])
     tr = training.stable_layout(tr.where(complete), keys, parts).persist()
     grid_df = None
     if grid:
@@ -153,11 +164,15 @@ def train(
         est = fitted.stages[-1]
         best = {n: est.getOrDefault(est.getParam(n)) for n in ("numTrees", "maxDepth") if est.hasParam(n)}
     model = PipelineModel(stages=[derive, *fitted.stages])
-    preds = model.transform(te)
+    # The hold-out leaves its incomplete rows out as well; they are counted.
+    te = derive.transform(te)
+    whole = training.complete_rows(te, [*feats, label])
+    dropped_test = te.where(~whole).count()
+    preds = fitted.transform(te.where(whole))
     tr.unpersist()
     return TrainResult(run_id, model, feats, best, grid_df, preds, task, label,
                        extra={"training_rows": counts["n"] - counts["dropped"],
-                              "dropped_training_rows": counts["dropped"]})
+                              "dropped_training_rows": counts["dropped"], "dropped_test_rows": dropped_test})
 
 
 def log_training_run(result: TrainResult, store: RegistryStore, event_id: int, grid: dict | None) -> None:

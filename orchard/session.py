@@ -58,7 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        # Unset (unit tests, a bare local session): take a fresh folder.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        # A single-process session (tests): one machine, one disk.
         configured = tempfile.mkdtemp(prefix="orchard-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -14,6 +14,7 @@ transactions).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,8 +40,10 @@ class RegistryStore:
         path = self._path(name)
         try:
             return self.spark.read.schema(schema).parquet(path)
-        except Exception:  # noqa: BLE001 - no table yet: empty with the schema
-            return self.spark.createDataFrame([], schema)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)  # no table yet
 
     def runs(self) -> DataFrame:
         return self._read("runs", RUNS_SCHEMA)
@@ -81,7 +84,7 @@ class RegistryStore:
         row = registry.register(self.versions(), new).first()
         version = int(row["version"])
         path = self.model_path(model, version)
-        save_model(model_obj, path)
+        save_model(model_obj, path, overwrite=False)  # a version is written once
         self.append_versions(
             self.spark.createDataFrame([(model, version, run_id, path, event_id)], VERSIONS_SCHEMA)
         )

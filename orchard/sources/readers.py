@@ -44,7 +44,9 @@ def read_csv(
     """CSV scan with a header.  Give ``schema`` (preferred) or ``infer=True``."""
     reader = spark.read.option("header", str(header).lower()).option("mode", mode)
     if schema is not None:
-        reader = reader.schema(schema)
+        # Names in the header must match the schema: columns that changed
+        # places would otherwise be read with swapped values.
+        reader = reader.schema(schema).option("enforceSchema", str(not header).lower())
     elif infer:
         reader = reader.option("inferSchema", "true")
     else:

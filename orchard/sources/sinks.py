@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> str:
-    """K-1 / K-2: Parquet, optionally partitioned (e.g. by score date)."""
+    """K-1 / K-2: Parquet, optionally partitioned (e.g. by score date).
+    Overwriting a partitioned table replaces only the partitions in ``df``."""
     w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
     return path
 
@@ -49,7 +50,8 @@ def append_table(df: DataFrame, path: str) -> str:
     return path
 
 
-def save_model(model, path: str) -> str:
-    """K-5: model directory, overwritten."""
-    model.write().overwrite().save(path)
+def save_model(model, path: str, overwrite: bool = True) -> str:
+    """K-5: model directory; without ``overwrite`` an existing one raises."""
+    writer = model.write()
+    (writer.overwrite() if overwrite else writer).save(path)
     return path

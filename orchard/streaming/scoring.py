@@ -9,6 +9,7 @@ lives in the shared folder (``spark.checkpoint.dir``), never on a local disk.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,18 @@ from pyspark.sql import types as T
 from orchard.operators import scoring
 
 
+def _next_batch(spark: SparkSession, checkpoint_dir: str) -> int:
+    """Id the next micro-batch will have, from the checkpoint's commit log."""
+    try:
+        done = spark.read.format("binaryFile").load(f"{checkpoint_dir}/commits").select(F.regexp_extract("path", r"/(\d+)$", 1).alias("b"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    last = done.where("b <> ''").agg(F.max(F.col("b").cast("long"))).first()[0]
+    return 0 if last is None else last + 1
+
+
 def score_new_files(
     spark: SparkSession,
     source_dir: str,
@@ -40,6 +53,7 @@ def score_new_files(
     else:
         stream = reader.parquet(source_dir)
     scored = scoring.score(model, stream, keep=keep).withColumn("score_date", F.current_date().cast("string"))
+    first = _next_batch(spark, checkpoint_dir)
     q = (
         scored.writeStream.format("parquet")
         .option("path", sink_dir)
@@ -49,9 +63,12 @@ def score_new_files(
         .trigger(availableNow=True)
         .start()
     )
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination() or True
+    if not finished:
         q.stop()
+        raise TimeoutError(f"not all files were scored within {timeout_s} s; the next run goes on from the checkpoint")
     if q.exception() is not None:
         raise q.exception()
-    return len(q.recentProgress)
+    # Batch ids count up over the checkpoint's life; recentProgress keeps only the newest.
+    ids = [p.batchId for p in q.recentProgress if p.numInputRows]
+    return max(ids) - first + 1 if ids else 0

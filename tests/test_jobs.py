@@ -111,14 +111,11 @@ def test_stream_scoring_is_incremental(spark, lineitem):
     assert spark.read.parquet(root + "/out").count() == data.count()
 
 
-def test_layout_partitions(spark):
-    cores = spark.sparkContext.defaultParallelism
-    per_min = training.MIN_ROWS_PER_FIT_PARTITION
-    assert training.layout_partitions(spark, 0) == 1
-    assert training.layout_partitions(spark, per_min) == 1  # no thinner than the minimum
-    assert training.layout_partitions(spark, 100 * per_min) == cores  # one per core
-    big = 10 * cores * training.ROWS_PER_FIT_PARTITION
-    assert training.layout_partitions(spark, big) == 10 * cores  # one per million rows
+def test_layout_partitions_follow_the_rows_alone():
+    least, most = training.MIN_ROWS_PER_FIT_PARTITION, training.ROWS_PER_FIT_PARTITION
+    assert training.layout_partitions(0) == training.layout_partitions(least) == 1
+    assert training.layout_partitions(10 * least) == 10
+    assert training.layout_partitions(10_000 * most) == 10_000
 
 
 def test_holdout_metrics_computed_once(spark, lineitem):
