@@ -9,6 +9,8 @@ A document's set holds its distinct 3-word shingles as 64-bit hashes.
    Segments are far more selective than single shingles: a passage that many
    documents share rarely fills one.  A pair meets in the size class of the
    smaller set; a set also enters the class below when a partner may be there.
+   As m exceeds the difference by more than one, linked sets agree on several
+   segments, and each leaves out its most widely held ones (prefix filter).
 3. Each segment's holders are compared with its smallest holder.  What links
    forms the groups: similar documents, partitioned.
 4. The rows of the token-group matrix are the groups' shingle unions (large
@@ -44,6 +46,7 @@ WORDS = 3
 #: Similarity as a fraction: 10 * intersection >= 9 * union.
 NUM, DEN = 9, 10
 GROWTH = 1.5
+SPARE = 6
 CHUNK = 512
 
 
@@ -67,17 +70,18 @@ def _bounds(limit: int = 1 << 40) -> list[int]:
     return out
 
 
-def segment_keys(tokens: np.ndarray, bounds: list[int]) -> np.ndarray:
-    """Keys of the set's segments in the size classes where it may meet partners."""
+def segment_keys(tokens: np.ndarray, bounds: list[int]) -> tuple[np.ndarray, int]:
+    """Keys of the set's segments in the size classes where it may meet
+    partners, and the least number of keys it shares with any partner."""
     n = tokens.size
     least = -(-n * NUM // DEN)
-    keys = []
+    keys, need = [], []
     for k in range(int(np.searchsorted(bounds, least, "right")) - 1, int(np.searchsorted(bounds, n, "right"))):
         largest = bounds[k + 1] - 1
         differ = largest * (DEN - NUM) // NUM  # most the smaller set's partner can differ
         if not differ:
             continue  # in this class linked sets are equal
-        spare = 1 + differ // 32
+        spare = 1 + differ // SPARE  # linked sets agree on spare + 1 segments or more
         m = differ + 1 + spare
         seg = (mix64(tokens ^ np.uint64(0xA5A5 + k)) % np.uint64(m)).astype(np.int64)
         order = np.argsort(seg, kind="stable")
@@ -85,11 +89,13 @@ def segment_keys(tokens: np.ndarray, bounds: list[int]) -> np.ndarray:
         starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         sums = np.add.reduceat(mix64(tokens[order] + np.uint64(0x51ED270B)), starts)
         filled = at[starts]
-        if m - filled.size > spare:  # more empty segments than can be passed over
+        void = m - filled.size
+        if void > spare:  # more empty segments than can be passed over
             empty = np.setdiff1d(np.arange(m), filled)
-            filled, sums = np.concatenate((filled, empty)), np.concatenate((sums, np.zeros(empty.size, np.uint64)))
+            filled, sums, void = np.concatenate((filled, empty)), np.concatenate((sums, np.zeros(empty.size, np.uint64))), 0
+        need.append(spare + 1 - void)
         keys.append(mix64(sums ^ mix64(filled.astype(np.uint64) + np.uint64(k << 40))))
-    return np.concatenate(keys) if keys else np.empty(0, np.uint64)
+    return (np.concatenate(keys), min(need)) if keys else (np.empty(0, np.uint64), 1)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -108,12 +114,13 @@ def _keys(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = _bounds()
         for b in batches:
-            keys = [segment_keys(s, bounds).view(np.int64) if (s := shingles(t)).size else np.empty(0, np.int64) for t in texts(b)]
+            found = [segment_keys(shingles(t), bounds) for t in texts(b)]
+            keys, need = [k.view(np.int64) for k, _ in found], [n for _, n in found]
             offsets = np.concatenate(([0], np.cumsum([k.size for k in keys]))).astype(np.int32)
             listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*keys, np.empty(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), listed], names=["doc", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), listed, pa.array(need, pa.int32())], names=["doc", "keys", "need"])
 
-    schema = docs.select(F.col("doc_id").alias("doc"), F.array(F.lit(0).cast("long")).alias("keys")).schema
+    schema = docs.select(F.col("doc_id").alias("doc"), F.array(F.lit(0).cast("long")).alias("keys"), F.lit(0).alias("need")).schema
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -165,7 +172,8 @@ def open_groups(docs: DataFrame, roles: DataFrame) -> DataFrame:
                         a_out.append(doc), b_out.append(members[h][0])
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
 
-    t = docs.select(F.col("doc_id").alias("doc"), "text").join(roles, "doc").select("doc", "grp", "chunk", "kind", "text")
+    # The roles grow with the corpus: they are joined by a shuffle, not broadcast.
+    t = docs.select(F.col("doc_id").alias("doc"), "text").join(roles.hint("merge"), "doc").select("doc", "grp", "chunk", "kind", "text")
     t = t.mapInArrow(tokens, "doc long, grp long, chunk int, kind int, tokens binary")
     return t.repartition("grp", "chunk").sortWithinPartitions("grp", "chunk", "kind", "doc").mapInArrow(run, "a long, b long")
 
@@ -180,9 +188,15 @@ def _chunked(members: DataFrame) -> DataFrame:
 def link_representatives(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """Links (a, b) that connect the representatives (column ``doc``)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    keyed = _keys(docs).join(reps, "doc", "left_semi").select("doc", F.explode("keys").alias("key"))
+    keyed = _keys(docs).join(reps.hint("merge"), "doc", "left_semi").select("doc", "need", F.explode("keys").alias("key"))
     held = Window.partitionBy("key")
-    shared = keyed.withColumn("leader", F.min("doc").over(held)).withColumn("last", F.max("doc").over(held))
+    first, last = F.min("doc").over(held), F.max("doc").over(held)
+    keyed = keyed.withColumn("holders", F.count(F.lit(1)).over(held)).withColumn("lo", first).withColumn("hi", last).where("lo <> hi")
+    # Prefix filter: a set that shares `need` segments with any partner still
+    # shares one when it leaves out its need - 1 most widely held ones.
+    common = F.row_number().over(Window.partitionBy("doc").orderBy(F.desc("holders"), "key"))
+    keyed = keyed.select("doc", "need", "key", "holders").withColumn("at", common).where("at >= need").select("key", "doc")
+    shared = keyed.withColumn("leader", first).withColumn("last", last)
     shared = materialize(shared.where("leader <> last").select("key", "doc", "leader"), "ngram-shared")
 
     # Every holder of a segment against the smallest one.
