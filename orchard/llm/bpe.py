@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 
 from orchard.llm.common import worker_cache
 
-WORDS_KEPT = 400_000
-CHUNKS_KEPT = 600_000
+WORDS_KEPT = 150_000
+CHUNKS_KEPT = 250_000
+ROWS_AT_ONCE = 256
 
 
 def byte_symbols() -> list[str]:
@@ -57,7 +58,7 @@ class Bpe:
         pairs = (m if isinstance(m, list) else m.split(" ", 1) for m in model["merges"])
         self.merges = {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in reversed(list(enumerate(pairs)))}
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.strings = {i: s for s, i in (self.vocab | self.added).items()}
+        self.strings = strings_of(source)
         self.symbols = byte_symbols()
         own = Tokenizer.from_str(source)
         self.normalize, self.pretokenize = own.normalizer.normalize_str, own.pre_tokenizer.pre_tokenize_str
@@ -129,41 +130,49 @@ class Bpe:
         return b"".join(self.plain(p) if i % 2 == 0 else np.array([self.added[p]], "<u4").tobytes() for i, p in enumerate(parts))
 
     def decode(self, ids: bytes) -> str:
-        return " ".join(map(self.strings.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return decode_ids(self.strings, ids)
 
 
-def _bpe(source: str) -> Bpe:
-    cache = worker_cache("bpe")
-    key = hash(source)
-    if key not in cache:
-        cache.clear()
-        cache[key] = Bpe(source)
-    return cache[key]
+def strings_of(source: str) -> dict[int, str]:
+    """Vocabulary string of each id, added tokens included."""
+    spec = json.loads(source)
+    return {i: s for s, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
 
 
-def _mapped(df: DataFrame, vocabulary: str, column: str, out: str, kind: str, each) -> DataFrame:
-    """``df`` with ``out`` = ``each(bpe, column's value)``; other columns pass."""
+def decode_ids(strings: dict[int, str], ids: bytes) -> str:
+    return " ".join(map(strings.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+def _mapped(df: DataFrame, vocabulary: str, column: str, out: str, kind: str, make, each) -> DataFrame:
+    """``df`` with ``out`` = ``each(make(file), column's value)``; other columns
+    pass.  What ``make`` builds is kept by the worker."""
     with open(vocabulary, encoding="utf-8") as f:
         source = df.sparkSession.sparkContext.broadcast(f.read())
     keep = [c for c in df.columns if c != out]
     schema = df.select(*keep, F.lit(None).cast(kind).alias(out)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _bpe(source.value)
+        cache, key = worker_cache("bpe-" + kind), hash(source.value)
+        if key not in cache:
+            cache.clear()
+            cache[key] = make(source.value)
+        tables = cache[key]
         to = pa.binary() if kind == "binary" else pa.string()
-        for b in batches:
-            values = pa.array([each(bpe, v) for v in b.column(column).to_pylist()], to)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), values], names=[*keep, out])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, ROWS_AT_ONCE):
+                b = whole.slice(lo, ROWS_AT_ONCE)
+                values = pa.array([each(tables, v) for v in b.column(column).to_pylist()], to)
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), values], names=[*keep, out])
 
     return df.mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Add ``out``: the text's token ids as little-endian 32-bit integers."""
-    return _mapped(df, vocabulary, text, out, "binary", lambda bpe, t: bpe.encode(t or ""))
+    return _mapped(df, vocabulary, text, out, "binary", Bpe, lambda bpe, t: bpe.encode(t or ""))
 
 
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Add ``out``: the vocabulary strings of ``ids``, as the file's tokenizer
     (which has no decoder stage) joins them: one space between tokens."""
-    return _mapped(df, vocabulary, ids, out, "string", lambda bpe, b: bpe.decode(b or b""))
+    return _mapped(df, vocabulary, ids, out, "string", strings_of, lambda strings, b: decode_ids(strings, b or b""))
