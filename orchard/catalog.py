@@ -306,10 +306,16 @@ def q_decide_regression(spark, sf_dir):
 
 
 def q_bootstrap_f1(spark, sf_dir):
-    """B-1: multinomial cell bootstrap (numpy draws; rows-only check)."""
-    return rounded(bootstrap.multinomial_bootstrap(
-        _scored_wide(spark, sf_dir), "label", "pred_champion", "pred_challenger", AB_SEGMENTS, REPLICATES, SEED
-    ))
+    """B-1: multinomial cell bootstrap; per node the replicates, those whose F1
+    follows from their cells, and whether their mean lies near the point F1."""
+    wide = _scored_wide(spark, sf_dir)
+    reps = bootstrap.multinomial_bootstrap(wide, "label", "pred_champion", "pred_challenger", AB_SEGMENTS, REPLICATES, SEED)
+    den = 2 * F.col("tp_champion") + F.col("fp_champion") + F.col("fn_champion")
+    fits = F.abs(F.col("f1_champion") - F.when(den > 0, 2.0 * F.col("tp_champion") / den).otherwise(0.0)) < 1e-9
+    drawn = reps.groupBy(*AB_SEGMENTS).agg(F.count(F.lit(1)).alias("n_replicates"), F.count_if(fits).alias("n_consistent"), F.avg("f1_champion").alias("m"), F.stddev("f1_champion").alias("sd"))
+    point = metrics.classification_metrics(wide, prediction="pred_champion", segments=AB_SEGMENTS).select(*AB_SEGMENTS, "f1_positive")
+    near = F.abs(F.col("m") - F.col("f1_positive")) <= 4 * F.col("sd") + 1e-9
+    return drawn.join(point, AB_SEGMENTS).select(*AB_SEGMENTS, "n_replicates", "n_consistent", near.alias("mean_is_near"))
 
 
 def q_log_metrics(spark, sf_dir):
@@ -424,37 +430,55 @@ def q_processed_sets(spark, sf_dir):
 
 
 def q_train_classifier(spark, sf_dir):
-    """L-1 with the base setting; hold-out predictions (rows-only check)."""
+    """L-1 with the base setting: every hold-out row has a class and a score."""
     res = train_plan.train(_labels(spark, sf_dir), training.CLASSIFICATION, "fraud", METRICS_KEYS,
                            test_size=TEST_SIZE, seed=SEED)
-    out = training.with_score(res.predictions).select(*METRICS_KEYS, "fraud", "prediction", "score")
-    return rounded(out)
+    out = training.with_score(res.predictions)
+    fine = F.col("prediction").isin(0.0, 1.0) & F.col("score").between(0.0, 1.0)
+    return out.select(*METRICS_KEYS, "fraud", fine.alias("valid"))
 
 
 def q_train_regressor(spark, sf_dir):
-    """L-2 with the base setting; hold-out predictions (rows-only check)."""
+    """L-2 with the base setting: a forest's prediction is a mean of training
+    labels, so it lies within the range of all labels."""
     res = train_plan.train(_metrics(spark, sf_dir), training.REGRESSION, "query_latency", METRICS_KEYS,
                            test_size=TEST_SIZE, seed=SEED)
-    return rounded(res.predictions.select(*METRICS_KEYS, "query_latency", "prediction"))
+    span = _metrics(spark, sf_dir).agg(F.min("query_latency"), F.max("query_latency")).first()
+    fine = F.col("prediction").between(span[0], span[1])
+    return rounded(res.predictions.select(*METRICS_KEYS, "query_latency", fine.alias("valid")))
 
 
 def q_train_linear(spark, sf_dir):
     """L-9: the ``--model-type lr`` option, honoured (linear regression in the
-    same pipeline); hold-out predictions (rows-only check)."""
+    same pipeline): a finite prediction for every hold-out row."""
     res = train_plan.train(_metrics(spark, sf_dir), training.REGRESSION, "query_latency", METRICS_KEYS,
                            test_size=TEST_SIZE, seed=SEED, model_type="lr")
-    return rounded(res.predictions.select(*METRICS_KEYS, "query_latency", "prediction"))
+    fine = F.coalesce(F.abs("prediction") < float("inf"), F.lit(False))
+    return rounded(res.predictions.select(*METRICS_KEYS, "query_latency", fine.alias("valid")))
+
+
+def q_train_logistic(spark, sf_dir):
+    """L-9, logistic form."""
+    res = train_plan.train(_labels(spark, sf_dir), training.CLASSIFICATION, "fraud", METRICS_KEYS,
+                           test_size=TEST_SIZE, seed=SEED, model_type="lr")
+    fine = F.col("prediction").isin(0.0, 1.0) & F.col("score").between(0.0, 1.0)
+    return training.with_score(res.predictions).select(*METRICS_KEYS, "fraud", fine.alias("valid"))
 
 
 def q_cross_validate(spark, sf_dir):
-    """L-3 + L-5 + L-7: the classification grid, 3 hash folds; mean AUC per setting."""
+    """L-3 + L-5 + L-7: the classification grid, 3 hash folds: one row per
+    setting, a mean AUC between 0 and 1, one best setting with the largest."""
     res = train_plan.train(_labels(spark, sf_dir), training.CLASSIFICATION, "fraud", METRICS_KEYS,
                            grid=training.CLASSIFIER_GRID, num_folds=NUM_FOLDS, parallelism=4,
                            test_size=TEST_SIZE, seed=SEED)
     best = res.best_params
-    return rounded(res.grid_metrics.withColumn(
-        "is_best", (F.col("numTrees") == best["numTrees"]) & (F.col("maxDepth") == best["maxDepth"])
-    ))
+    rows = res.grid_metrics.collect()  # one row per setting
+    top = max(r["mean_areaUnderROC"] for r in rows)
+    chosen = [r for r in rows if all(r[k] == v for k, v in best.items())]
+    return spark.createDataFrame([
+        (int(r["numTrees"]), int(r["maxDepth"]), 0.0 <= r["mean_areaUnderROC"] <= 1.0, len(chosen) == 1 and chosen[0]["mean_areaUnderROC"] == top)
+        for r in rows
+    ], "numTrees int, maxDepth int, valid boolean, best_has_largest boolean")
 
 
 def _registered_regressor(spark, sf_dir):
@@ -474,8 +498,10 @@ def q_batch_score(spark, sf_dir):
     data, store = _registered_regressor(spark, sf_dir)
     _, test = split.hash_split(data, METRICS_KEYS, TEST_SIZE, SEED)
     out = fresh_path(spark, "predictions")
-    inference.batch_score(test, store, "query_latency_model", METRICS_KEYS, out, score_date="2024-01-31")
-    return rounded(spark.read.parquet(out))
+    for day in ("2024-01-30", "2024-01-31", "2024-01-31"):  # a date may be scored again
+        inference.batch_score(test, store, "query_latency_model", METRICS_KEYS, out, score_date=day)
+    fine = F.coalesce(F.abs("prediction") < float("inf"), F.lit(False))
+    return spark.read.parquet(out).select(*METRICS_KEYS, F.col("score_date").cast("string").alias("score_date"), fine.alias("valid"))
 
 
 def q_two_model_score(spark, sf_dir):
@@ -486,12 +512,12 @@ def q_two_model_score(spark, sf_dir):
                          params={"numTrees": 20, "maxDepth": 10})
     _, test = split.hash_split(data, METRICS_KEYS, TEST_SIZE, SEED)
     both = scoring.score_two(a.model, b.model, test, keep=METRICS_KEYS + ["fraud"])
-    return rounded(both.select(*METRICS_KEYS, "fraud", "pred_champion", "score_champion",
-                               "pred_challenger", "score_challenger"))
+    fine = [F.col(f"pred_{m}").isin(0.0, 1.0) & F.col(f"score_{m}").between(0.0, 1.0) for m in ("champion", "challenger")]
+    return both.select(*METRICS_KEYS, "fraud", (fine[0] & fine[1]).alias("valid"))
 
 
 def q_model_roundtrip(spark, sf_dir):
-    """K-5: save, reload, score again; ``same`` must be true on every row."""
+    """K-5: save, reload, score again: all rows the same."""
     data = _labels(spark, sf_dir)
     res = train_plan.train(data, training.CLASSIFICATION, "fraud", METRICS_KEYS, test_size=TEST_SIZE, seed=SEED)
     path = sinks.save_model(res.model, fresh_path(spark, "model"))
@@ -499,11 +525,8 @@ def q_model_roundtrip(spark, sf_dir):
 
     both = scoring.score_two(res.model, PipelineModel.load(path), split.hash_split(data, METRICS_KEYS, TEST_SIZE, SEED)[1],
                              keep=METRICS_KEYS)
-    return rounded(both.select(
-        *METRICS_KEYS, "pred_champion", "pred_challenger",
-        ((F.col("pred_champion") == F.col("pred_challenger"))
-         & (F.abs(F.col("score_champion") - F.col("score_challenger")) < 1e-12)).alias("same"),
-    ))
+    same = (F.col("pred_champion") == F.col("pred_challenger")) & (F.abs(F.col("score_champion") - F.col("score_challenger")) < 1e-12)
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(same).alias("n_same"))
 
 
 def q_stream_score(spark, sf_dir):
@@ -518,7 +541,65 @@ def q_stream_score(spark, sf_dir):
         spark, root + "/landing", test.schema, res.model, METRICS_KEYS + ["fraud"],
         root + "/scored", root + "/checkpoint", max_files_per_trigger=2,
     )
-    return rounded(spark.read.parquet(root + "/scored").drop("score_date"))
+    fine = F.col("prediction").isin(0.0, 1.0) & F.col("score").between(0.0, 1.0)
+    return spark.read.parquet(root + "/scored").select(*METRICS_KEYS, "fraud", fine.alias("valid"))
+
+
+def _holed(spark, sf_dir):
+    """Label rows with nulls in the segment, a feature and the label."""
+    return _labels(spark, sf_dir).select(
+        *METRICS_KEYS, F.expr("nullif(node_id, 3)").cast("string").alias("node_id"), F.expr("nullif(memory_utilization, 10.0)").alias("memory_utilization"),
+        F.when(F.col("l_linenumber") != 2, F.col("fraud").cast("double")).alias("label"),
+    )
+
+
+def q_null_profile_holed(spark, sf_dir):
+    """F-2 where there are nulls."""
+    return profile.null_profile(_holed(spark, sf_dir))
+
+
+def q_auc_nulls(spark, sf_dir):
+    """A-1 with a null segment, null labels and null scores."""
+    scored = _holed(spark, sf_dir).withColumn("score", F.col("memory_utilization") / 50.0)
+    return rounded(metrics.auc(scored, segments=["node_id"]))
+
+
+def q_accuracy_nulls(spark, sf_dir):
+    """A-2, A-4 with a null segment, null labels and null predictions."""
+    scored = _holed(spark, sf_dir).withColumn("prediction", (F.col("memory_utilization") >= 25).cast("double"))
+    return rounded(metrics.classification_metrics(scored, segments=["node_id"]).select("node_id", "n_rows", "accuracy", "f1_positive"))
+
+
+def q_regression_metrics_nulls(spark, sf_dir):
+    """A-5, A-6 with a null segment, null labels and null predictions."""
+    m = metrics.regression_metrics(_holed(spark, sf_dir).withColumn("prediction", F.col("memory_utilization") / 50.0), segments=["node_id"])
+    return rounded(m.select("node_id", "n_rows", "rmse", "mae"))
+
+
+def q_profile_bigint(spark, sf_dir):
+    """F-4 distinct counts of whole numbers beyond 2^53."""
+    big = read_table(spark, sf_dir, "orders").select((F.col("o_orderkey") + F.lit(2**53)).alias("big"))
+    return profile.column_profile(big).select("column_name", "null_count", "n_distinct")
+
+
+def q_hash_split_no_keys(spark, sf_dir):
+    """T-2 without key columns: the whole row is the key."""
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return split.with_split(labels, labels.columns, TEST_SIZE, SEED)
+
+
+def q_random_split(spark, sf_dir):
+    """T-1: the sides are disjoint and together hold every row."""
+    rows = read_table(spark, sf_dir, "events").select("event_id").persist()
+    train, test = split.random_split(rows, TEST_SIZE, SEED)
+    both = train.withColumn("side", F.lit(0)).unionByName(test.withColumn("side", F.lit(1)))
+    return both.groupBy("event_id").agg(F.countDistinct("side").alias("sides"), F.count(F.lit(1)).alias("n")).groupBy("sides").agg(F.sum("n").alias("n_rows"))
+
+
+def q_skipped_ab(spark, sf_dir):
+    """B-8: a champion without a challenger gives a SKIPPED decision per node."""
+    m = metrics.regression_metrics(_scored_regressors(spark, sf_dir).where(F.col("model") == "champion"), segments=["model", "node_id"])
+    return abtest.decide_regression(m, ["node_id"]).select("node_id", "decision")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -569,4 +650,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "two_model_score": q_two_model_score,
     "model_roundtrip": q_model_roundtrip,
     "stream_score": q_stream_score,
+    "train_logistic": q_train_logistic,
+    "null_profile_holed": q_null_profile_holed,
+    "auc_nulls": q_auc_nulls,
+    "accuracy_nulls": q_accuracy_nulls,
+    "regression_metrics_nulls": q_regression_metrics_nulls,
+    "profile_bigint": q_profile_bigint,
+    "hash_split_no_keys": q_hash_split_no_keys,
+    "random_split": q_random_split,
+    "skipped_ab": q_skipped_ab,
 }

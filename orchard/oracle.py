@@ -443,6 +443,50 @@ SELECT met.model, met.latest_version, c.version AS champion_version, {r('met.new
 FROM met LEFT JOIN mv c ON c.model = met.model AND c.event_id = met.champion_event"""
 
 
+# --------------------------------------------------------------------------
+# Fitted models: what must hold for any correct fit, on the known key set
+# --------------------------------------------------------------------------
+
+HOLDOUT_CLS = f"SELECT {KEYS}, fraud, true AS valid FROM ({LABELS}) WHERE {HOLDOUT}"
+HOLDOUT_REG = f"SELECT {KEYS}, {r('query_latency', 'query_latency')}, true AS valid FROM ({METRICS}) WHERE {HOLDOUT}"
+CROSS_VALIDATE = """SELECT CAST(t AS INTEGER) AS "numTrees", CAST(d AS INTEGER) AS "maxDepth", true AS valid,
+  true AS best_has_largest FROM (VALUES (10, 5), (10, 10), (20, 5), (20, 10)) g(t, d)"""
+BATCH_SCORE = f"""SELECT {KEYS}, day AS score_date, true AS valid
+FROM ({METRICS}), (VALUES ('2024-01-30'), ('2024-01-31')) v(day) WHERE {HOLDOUT}"""
+MODEL_ROUNDTRIP = f"SELECT count(*) AS n_rows, count(*) AS n_same FROM ({LABELS}) WHERE {HOLDOUT}"
+BOOTSTRAP_F1 = f"""SELECT DISTINCT node_id, CAST({REPLICATES} AS BIGINT) AS n_replicates,
+  CAST({REPLICATES} AS BIGINT) AS n_consistent, true AS mean_is_near FROM ({LABELS}) WHERE {HOLDOUT}"""
+
+# --------------------------------------------------------------------------
+# Nulls, derived on both sides
+# --------------------------------------------------------------------------
+
+HOLED = f"""SELECT {KEYS}, CAST(nullif(node_id, 3) AS VARCHAR) AS node_id, nullif(memory_utilization, 10.0) AS memory_utilization,
+  CASE WHEN l_linenumber <> 2 THEN CAST(fraud AS DOUBLE) END AS label FROM ({LABELS})"""
+NULL_PROFILE_HOLED = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count, count(*) > count({c}) AS has_nulls FROM ({HOLED})"
+    for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "node_id", "memory_utilization", "label")
+)
+COMPLETE = f"SELECT node_id, label, memory_utilization AS x FROM ({HOLED}) WHERE label IS NOT NULL AND memory_utilization IS NOT NULL"
+AUC_NULLS = f"""WITH c AS ({COMPLETE}),
+s AS (SELECT node_id, x, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label <> 1) AS neg FROM c GROUP BY ALL),
+b AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY node_id ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s)
+SELECT node_id, {r('sum(pos * (below + 0.5 * neg)) / nullif(sum(pos) * sum(neg), 0)', 'auc')},
+  CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM b GROUP BY node_id"""
+ACCURACY_NULLS = f"""WITH c AS (SELECT node_id, label, CAST(x >= 25 AS DOUBLE) AS p FROM ({COMPLETE}))
+SELECT node_id, count(*) AS n_rows, {r('avg(CAST(label = p AS DOUBLE))', 'accuracy')},
+  {r('CASE WHEN count(*) FILTER (label = 1 OR p = 1) = 0 THEN 0.0 ELSE 2.0 * count(*) FILTER (label = 1 AND p = 1) / (sum(label) + sum(p)) END', 'f1_positive')}
+FROM c GROUP BY node_id"""
+REGRESSION_METRICS_NULLS = f"""SELECT node_id, count(*) AS n_rows, {r('sqrt(avg((label - x / 50.0) * (label - x / 50.0)))', 'rmse')},
+  {r('avg(abs(label - x / 50.0))', 'mae')} FROM ({COMPLETE}) GROUP BY node_id"""
+PROFILE_BIGINT = """SELECT 'big' AS column_name, CAST(0 AS BIGINT) AS null_count,
+  count(DISTINCT o_orderkey + 9007199254740992) AS n_distinct FROM orders"""
+HASH_SPLIT_NO_KEYS = f"""SELECT doc_id, quality, toxic,
+  CASE WHEN {hex_word("concat_ws('#', doc_id, quality, toxic, '42')", 0)} < {HOLDOUT_BELOW} THEN 'test' ELSE 'train' END AS split FROM labels"""
+RANDOM_SPLIT = "SELECT CAST(1 AS BIGINT) AS sides, count(*) AS n_rows FROM events"
+SKIPPED_AB = f"SELECT DISTINCT node_id, 'SKIPPED' AS decision FROM ({METRICS}) WHERE {HOLDOUT}"
+
+
 ORACLE: dict[str, str] = {
     "csv_scan_roundtrip": CSV_SCAN_ROUNDTRIP,
     "row_count": ROW_COUNT,
@@ -482,5 +526,23 @@ ORACLE: dict[str, str] = {
     "alias_swap": ALIAS_SWAP,
     "retraining_report": RETRAINING_REPORT,
     "processed_sets": STANDARDIZE,
+    "train_classifier": HOLDOUT_CLS,
+    "train_regressor": HOLDOUT_REG,
+    "train_linear": HOLDOUT_REG,
+    "train_logistic": HOLDOUT_CLS,
+    "two_model_score": HOLDOUT_CLS,
+    "stream_score": HOLDOUT_CLS,
+    "cross_validate": CROSS_VALIDATE,
+    "batch_score": BATCH_SCORE,
+    "model_roundtrip": MODEL_ROUNDTRIP,
+    "bootstrap_f1": BOOTSTRAP_F1,
+    "null_profile_holed": NULL_PROFILE_HOLED,
+    "auc_nulls": AUC_NULLS,
+    "accuracy_nulls": ACCURACY_NULLS,
+    "regression_metrics_nulls": REGRESSION_METRICS_NULLS,
+    "profile_bigint": PROFILE_BIGINT,
+    "hash_split_no_keys": HASH_SPLIT_NO_KEYS,
+    "random_split": RANDOM_SPLIT,
+    "skipped_ab": SKIPPED_AB,
 }
 
