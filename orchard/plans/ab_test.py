@@ -7,6 +7,8 @@ missing challenger yields a SKIPPED report instead of an exception.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,13 @@ from orchard.sources import sinks
 from orchard.sources.models import RegistryStore
 
 
+REPORT_SCHEMA = ", ".join(
+    [f"{m}_{k} double" for m in ("champion", "challenger") for k in ("auc", "f1", "accuracy")]
+    + ["f1_improvement double", "p_value double", "effect_size double", "is_significant boolean", "decision string",
+       "test_set_size bigint", "champion_model string", "challenger_model string"]
+)
+
+
 def _long(scored: DataFrame, label: str, segments: list[str]) -> DataFrame:
     models = F.array(
         *[
@@ -59,14 +68,19 @@ def classification_ab(
 def run_classification_ab(
     data: DataFrame, store: RegistryStore, model_name: str, keys: list[str], label: str,
     report_path: str, log_path: str, test_size: float = 0.2, seed: int = 42, replicates: int = 1000,
+    run_id: str | None = None, timestamp: str = "",
 ) -> DataFrame:
-    """The whole job: hold-out -> two models -> report (JSON) -> promotion
-    event when significant -> log lines (text)."""
+    """The whole job: hold-out -> two models -> report (JSON) -> run rows ->
+    promotion event when significant -> log lines (text).  A skipped comparison
+    gives a report of the same columns."""
+    run_id = run_id or uuid.uuid4().hex
     keys = keys or list(data.columns)
     _, test = split.hash_split(data, keys, test_size, seed)
     champ, chall = load_pair(store, model_name)
     if champ is None or chall is None:
-        report = data.sparkSession.createDataFrame([(abtest.SKIPPED,)], "decision string")
+        report = data.sparkSession.createDataFrame([], REPORT_SCHEMA)
+        skipped = report.sparkSession.range(1).select(F.lit(abtest.SKIPPED).alias("decision"))
+        report = report.unionByName(skipped, allowMissingColumns=True)
     else:
         # The bootstrap, the metrics and the AUC (with its slice bounds) all
         # read the scored hold-out: keep a narrow projection so each forest
@@ -78,7 +92,9 @@ def run_classification_ab(
             scored, keys, label, [], replicates, seed,
             champion_uri=f"models:/{model_name}@champion", challenger_uri=f"models:/{model_name}@challenger",
         ).persist()
-        promote(store, model_name, report)
+    report = report.withColumn("run_id", F.lit(run_id)).withColumn("timestamp", F.lit(timestamp))
+    log_comparison(store, report, run_id)
+    promote(store, model_name, report)
     sinks.write_json(report, report_path)
     sinks.write_text(sinks.format_lines(report, report.columns, sep=" | "), log_path)
     if champ is not None and chall is not None:
@@ -86,6 +102,14 @@ def run_classification_ab(
     return report
 
 
+def log_comparison(store: RegistryStore, report: DataFrame, run_id: str) -> None:
+    """R-1 ... R-3 for a comparison: metrics, compared models, decision."""
+    numbers = [f.name for f in report.schema.fields if f.dataType.simpleString() in ("double", "bigint")]
+    params = [c for c in ("champion_model", "challenger_model") if c in report.columns]
+    rows = registry.run_rows(report, F.lit(run_id), F.lit(store.next_event_id()).cast("bigint"), numbers, params, ["decision"])
+    store.append_runs(rows.where(F.when(F.col("kind") == "metric", F.col("num_value").isNotNull()).otherwise(F.length("value") > 0)))
+
+
 def load_pair(store: RegistryStore, model_name: str):
     """(champion, challenger); no challenger when both aliases name the same
     version, as they do after a promotion: a model is not compared with itself."""
@@ -105,21 +129,28 @@ def promote(store: RegistryStore, model_name: str, report: DataFrame) -> None:
 
 def run_regression_ab(
     data: DataFrame, store: RegistryStore, model_name: str, keys: list[str], label: str,
-    report_path: str, test_size: float = 0.2, seed: int = 42,
+    report_path: str, test_size: float = 0.2, seed: int = 42, run_id: str | None = None, timestamp: str = "",
+    log_path: str | None = None,
 ) -> DataFrame:
     """B-7 / B-8: RMSE comparison; SKIPPED when there is no challenger."""
+    run_id = run_id or uuid.uuid4().hex
     _, test = split.hash_split(data, keys or list(data.columns), test_size, seed)
     champ, chall = load_pair(store, model_name)
-    rows = []
-    for name, model in (("champion", champ), ("challenger", chall)):
-        if model is not None:
-            s = scoring.score(model, test, keep=[label])
-            rows.append(metrics.regression_metrics(s, label=label).withColumn("model", F.lit(name)))
-    if not rows:
+    if champ is None and chall is None:
         raise ValueError(f"no champion registered for {model_name}")
-    long = rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
-    report = abtest.decide_regression(long).persist()
+    found = {name: model for name, model in (("champion", champ), ("challenger", chall)) if model is not None}
+    if len(found) == 2:  # one pass over the hold-out for both
+        both = scoring.score_two(champ, chall, test, keep=[label])
+        models = [F.struct(F.lit(m).alias("model"), F.col(f"pred_{m}").alias("prediction")) for m in found]
+        scored = both.select(label, F.explode(F.array(*models)).alias("m")).select(label, "m.*")
+    else:
+        scored = scoring.score(*found.values(), test, keep=[label]).withColumn("model", F.lit(*found))
+    long = metrics.regression_metrics(scored, label=label, segments=["model"])
+    report = abtest.decide_regression(long).withColumn("run_id", F.lit(run_id)).withColumn("timestamp", F.lit(timestamp)).persist()
+    log_comparison(store, report, run_id)
     if report.first()["decision"] == abtest.PROMOTE:
         promote(store, model_name, report)
     sinks.write_json(report, report_path)
+    if log_path:
+        sinks.write_text(sinks.format_lines(report, report.columns, sep=" | "), log_path)
     return report

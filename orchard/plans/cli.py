@@ -63,6 +63,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--task", choices=[training.CLASSIFICATION, training.REGRESSION], required=True)
     ap.add_argument("--report", required=True)
     ap.add_argument("--log", default=None)
+    ap.add_argument("--run-id", default=None)
+    ap.add_argument("--timestamp", default="", help="written into the report")
     ap.add_argument("--replicates", type=int, default=1000)
 
     ip = sub.add_parser("infer")
@@ -113,9 +115,11 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "ab-test":
         if a.task == training.CLASSIFICATION:
             ab_test.run_classification_ab(data, store, a.model_name, keys, label, a.report,
-                                          a.log or a.report + "_log", a.test_size, a.seed, a.replicates)
+                                          a.log or a.report + "_log", a.test_size, a.seed, a.replicates,
+                                          a.run_id, a.timestamp)
         else:
-            ab_test.run_regression_ab(data, store, a.model_name, keys, label, a.report, a.test_size, a.seed)
+            ab_test.run_regression_ab(data, store, a.model_name, keys, label, a.report, a.test_size, a.seed,
+                                      a.run_id, a.timestamp, a.log or a.report + "_log")
         return 0
 
     if a.cmd == "infer":

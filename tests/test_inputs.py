@@ -147,6 +147,20 @@ def test_a_model_is_not_compared_with_itself(spark, raw):
     store.set_alias("m", "challenger", version, 2)
     report = ab_test.run_regression_ab(raw, store, "m", [], "query_latency", fresh_path(spark, "report"))
     assert report.first()["decision"] == "SKIPPED"
+    runs = store.runs().collect()
+    assert ("tag", "decision", "SKIPPED") in {(r["kind"], r["key"], r["value"]) for r in runs}
+    assert any(r["kind"] == "metric" and r["key"] == "champion_rmse" and r["num_value"] > 0 for r in runs)
+
+
+def test_skipped_classification_report_has_all_columns(spark):
+    data = spark.range(200).select((F.col("id") * 7 % 100).cast("double").alias("amount"), (F.col("id") % 2).alias("fraud"))
+    store = RegistryStore(spark, fresh_path(spark, "skip"))
+    root = fresh_path(spark, "skip-out")
+    report = ab_test.run_classification_ab(data, store, "m", [], "fraud", root + "/report", root + "/log", run_id="run-1", timestamp="2024-01-31T00:00:00")
+    row = report.first()
+    assert (row["decision"], row["run_id"], row["timestamp"], row["champion_auc"]) == ("SKIPPED", "run-1", "2024-01-31T00:00:00", None)
+    assert {"p_value", "test_set_size", "challenger_model"} <= set(report.columns)
+    assert {(r["kind"], r["key"]) for r in store.runs().collect()} == {("tag", "decision")}
 
 
 def test_checkpoint_folder_is_needed_on_a_cluster(spark, monkeypatch):
