@@ -215,11 +215,15 @@ def _spans(runs: list[bytes]) -> Iterator[tuple[int, int, int]]:
             continue
         seen: dict[bytes, int] = {}
         for doc, s, places in sorted(group, key=lambda x: x[0]):
-            for i in range(len(s) - WINDOW + 1):
-                w = s[i : i + WINDOW]
-                if seen.setdefault(w, doc) < doc:
+            # windows next to each other become one span
+            first, n = -1, len(s) - WINDOW + 1
+            for i in range(n + 1):
+                if i < n and seen.setdefault(s[i : i + WINDOW], doc) < doc:
+                    first = i if first < 0 else first
+                elif first >= 0:
                     for p in places:
-                        yield doc, p + i, p + i + WINDOW
+                        yield doc, p + first, p + i - 1 + WINDOW
+                    first = -1
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
