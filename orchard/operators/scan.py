@@ -6,8 +6,8 @@ third of the data alone.  ``prefix_aggregate`` computes the same running
 aggregate in three distributed steps:
 
 1. cut the order column into *slices* at approximate quantiles (one small
-   sketch job; the boundaries, at most ``slices`` numbers, become literals in
-   a binary-search ``CASE`` expression).  A hot group is thereby split into up
+   sketch job; the boundaries, at most ``slices`` numbers, go to a
+   ``Bucketizer``).  A hot group is thereby split into up
    to ``slices`` pieces of bounded size;
 2. aggregate each ``(group, slice)`` and compute, on that small table, the
    carry-in from earlier slices of the same group;
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,18 +61,16 @@ def slice_bounds(df: DataFrame, order_col: str, slices: int, accuracy: int = 100
     return sorted({float(q) for q in qs if q is not None}) if qs else []
 
 
-def slice_of(x: Column, bounds: list[float]) -> Column:
-    """Index ``i`` with ``bounds[i-1] <= x < bounds[i]`` as a balanced CASE
-    tree (log2(len(bounds)) comparisons per row, inside codegen).  Nulls go
-    to slice 0, matching ``ORDER BY ... ASC NULLS FIRST``."""
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(x < F.lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-
-    return F.when(x.isNull(), F.lit(0)).otherwise(build(0, len(bounds)))
+def with_slice(df: DataFrame, order_col: str, bounds: list[float], out: str = "_slice") -> DataFrame:
+    """Add index ``i`` with ``bounds[i-1] <= x < bounds[i]`` by binary search in
+    the JVM, whatever the number of slices.  Nulls go to slice 0, matching
+    ``ORDER BY ... ASC NULLS FIRST``; NaN to the last."""
+    if not bounds:
+        return df.withColumn(out, F.lit(0))
+    cut = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="_order", outputCol="_bucket", handleInvalid="keep")
+    placed = cut.transform(df.withColumn("_order", F.col(order_col).cast("double")))
+    index = F.when(F.col("_order").isNull(), F.lit(0)).otherwise(F.col("_bucket").cast("int"))
+    return placed.withColumn(out, index).drop("_order", "_bucket")
 
 
 def prefix_aggregate(
@@ -98,7 +97,7 @@ def prefix_aggregate(
     n = slices or shuffle_partitions(df.sparkSession)
     if bounds is None:
         bounds = slice_bounds(df, order_col, n)
-    sliced = df.withColumn("_slice", slice_of(F.col(order_col).cast("double"), bounds))
+    sliced = with_slice(df, order_col, bounds)
     order_exprs = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
 
     # Per (group, slice) totals and the carry-in from earlier slices.

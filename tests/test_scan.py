@@ -5,7 +5,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from orchard.operators.scan import prefix_aggregate, row_number_within, slice_bounds, slice_of
+from orchard.operators.scan import prefix_aggregate, row_number_within, slice_bounds, with_slice
 
 
 def _data(spark, n=3000, seed=7):
@@ -61,7 +61,7 @@ def test_slice_expression_is_monotone(spark):
     df = spark.range(1000).withColumn("x", (F.col("id") * 7919 % 1000).cast("double"))
     b = slice_bounds(df, "x", 10)
     assert b == sorted(b) and 1 <= len(b) <= 9
-    s = df.withColumn("s", slice_of(F.col("x"), b)).groupBy("s").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    s = with_slice(df, "x", b, "s").groupBy("s").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     parts = sorted((r.s, r.lo, r.hi) for r in s.collect())
     for (s1, _, hi1), (s2, lo2, _) in zip(parts, parts[1:]):
         assert s1 < s2 and hi1 < lo2
