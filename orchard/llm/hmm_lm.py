@@ -81,6 +81,23 @@ def vocabulary(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def most_frequent(vocab: DataFrame) -> list:
+    """The most frequent words, at most ``HEAD``, in order of their counts.
+
+    A histogram of counts in narrow logarithmic steps tells from which count on
+    they fit; only those rows come to the driver."""
+    short = vocab.where((F.length("word") <= HEAD_BYTES) & (F.length("word") > 0)).withColumn("level", F.floor(F.log2("c") * 64))
+    room, least = HEAD, None
+    for r in sorted(short.groupBy("level").count().collect(), reverse=True):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["level"]
+    if least is None:
+        return []
+    return sorted(short.where(F.col("level") >= least).select("word", "c").collect(), key=lambda r: (-r["c"], bytes(r["word"])))
+
+
 def _class_of(word: Column) -> Column:
     return F.lit(1 + OWN) + F.pmod(F.crc32(word), F.lit(SHARED)).cast("int")
 
@@ -217,7 +234,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     training = docs.where(~F.col("held_out"))
     vocab = materialize(vocabulary(training), "lm-vocabulary")
     n, v = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    frequent = vocab.where((F.length("word") <= HEAD_BYTES) & (F.length("word") > 0)).orderBy(F.desc("c"), "word").limit(HEAD).collect()
+    frequent = most_frequent(vocab)
     own = {bytes(r["word"]): 1 + i for i, r in enumerate(frequent[:OWN])}
     ends = training.count()
 
