@@ -112,11 +112,12 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_ratio: int = MAX_RATIO, bl
     line = Window.partitionBy("rank", "shard").orderBy("key", "doc_id", "size")
     d = d.withColumn("row", F.row_number().over(line))
     d = d.withColumn("end", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0))).withColumn("begin", F.col("end") - F.col("size"))
-    d = d.join(held.select("rank", "shard", "words", "blocks", "passes"), ["rank", "shard"], "left")
+    d = d.join(held.select("rank", "shard", "words", "blocks", "passes").hint("merge"), ["rank", "shard"], "left")
     first = F.expr("((begin + 1) * blocks - 1) div words")
     last = F.expr("(end * blocks - 1) div words")
     d = d.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last))))
-    d = d.join(chosen, ["rank", "shard", "block"], "left")
+    # Chosen blocks grow with the corpus, though their estimate does not show it.
+    d = d.join(chosen.hint("merge"), ["rank", "shard", "block"], "left")
     low, high = F.expr("block * words div blocks"), F.expr("(block + 1) * words div blocks")
     part = F.when(F.col("hit") == 1, F.least("end", high) - F.greatest("begin", low)).otherwise(0)
     out = d.withColumn("part", part).groupBy("rank", "shard", "row").agg(
