@@ -7,8 +7,8 @@ the sample so that ``TARGET`` of the sample's true neighbours lie in them.
 Inside a list, rotated vectors are scanned in blocks of columns: from the
 squared distance over the first d of D dimensions a hypothesis test (error
 factor ``1 + EPSILON / sqrt(d)``) drops candidates that cannot be as near as
-the query's 20th best among a fixed part of the sample.  Scores of survivors
-come from the original vectors in double precision.
+the query's 20th best in the sample (broadcast; its bound is fixed).  Scores of
+survivors come from the original vectors in double precision.
 
 Lists are cut into chunks of about ``CHUNK`` rows, so one vector that holds a
 third of all rows is spread; queries stream past a chunk.
@@ -36,12 +36,11 @@ NEIGHBOURS = 20
 SAMPLE = 32_768
 LIST_ROWS = 512
 MAX_LISTS = 4096
-PILOTS = 2048
 TARGET = 0.97
 CHUNK = 4096
 COLUMNS = 16
 EPSILON = 2.1
-QUERIES_AT_ONCE = 512
+QUERIES_AT_ONCE = 256
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
@@ -89,11 +88,12 @@ def search(rows: DataFrame, id_col: str, vec_col: str, is_query: Column, k: int
     v = materialize(v.where(F.size("v") == dim), "ann-vectors")
     n = v.count()
     share = min(1.0, SAMPLE / max(n, 1))
-    picked = v.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) < int(share * (1 << 30))).select("id", "v").orderBy("id").collect() if n else []
-    ids, sample = np.array([r["id"] for r in picked], np.int64), np.array([r["v"] for r in picked], np.float64).reshape(len(picked), dim)
+    picked = v.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) < int(share * (1 << 30))).select("id", "v").toArrow() if n else None
+    ids, sample = (picked.column("id").to_numpy(), matrix(picked.column("v"), dim)) if n else (np.empty(0, np.int64), np.empty((0, 1)))
+    order = np.argsort(ids, kind="stable")
+    ids, sample = ids[order], sample[order]
     model = fit(sample, n) if len(sample) else {"centroids": np.zeros((1, dim)), "probes": 1}
-    step = max(1, len(sample) // PILOTS)
-    shared = spark.sparkContext.broadcast(model | {"pilot_ids": ids[::step][:PILOTS], "pilots": sample[::step][:PILOTS]})
+    shared = spark.sparkContext.broadcast(model | {"pilot_ids": ids, "pilots": sample})
 
     def base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = shared.value["centroids"]
@@ -109,13 +109,16 @@ def search(rows: DataFrame, id_col: str, vec_col: str, is_query: Column, k: int
                 part = b.slice(lo, QUERIES_AT_ONCE)
                 q, own = matrix(part.column("v"), dim), part.column("id").to_numpy()
                 lists = np.argsort(-(q @ m["centroids"].T), axis=1, kind="stable")[:, : m["probes"]]
-                p = m["pilots"]
-                i, j = np.divmod(np.arange(len(q) * len(p)), max(len(p), 1))
-                score = row_dots(q, i, p, j).reshape(len(q), len(p))
-                score[own[:, None] == m["pilot_ids"][None, :]] = -np.inf
-                top = np.argsort(-score, axis=1, kind="stable")[:, :k]
-                best = np.take_along_axis(score, top, 1)
-                beat = best[:, -1] if top.shape[1] == k else np.full(len(q), -np.inf)
+                # The best pilots by a matrix product, scored again pair by pair.
+                rough = q @ m["pilots"].T
+                rough[own[:, None] == m["pilot_ids"][None, :]] = -np.inf
+                few = min(k + 4, rough.shape[1])
+                top = np.argpartition(-rough, few - 1, axis=1)[:, :few] if few else np.empty((len(q), 0), int)
+                best = row_dots(q, np.repeat(np.arange(len(q)), few), m["pilots"], top.ravel()).reshape(len(q), few)
+                best[np.take_along_axis(rough, top, 1) == -np.inf] = -np.inf
+                order = np.argsort(-best, axis=1, kind="stable")[:, :k]
+                top, best = np.take_along_axis(top, order, 1), np.take_along_axis(best, order, 1)
+                beat = best[:, -1] if best.shape[1] == k else np.full(len(q), -np.inf)
                 hits = [[{"id": int(x), "score": float(s)} for x, s in zip(m["pilot_ids"][t], bs) if s > -np.inf] for t, bs in zip(top, best)]
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("v"), pa.array(beat), pa.array(lists.astype(np.int32).tolist(), pa.list_(pa.int32())), pa.array(hits, pa.list_(pa.struct([("id", pa.int64()), ("score", pa.float64())])))], names=["id", "v", "beat", "lists", "hits"])
 
@@ -153,7 +156,7 @@ def search(rows: DataFrame, id_col: str, vec_col: str, is_query: Column, k: int
     sent = sent.select("list", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("kind"), "id", "v", "beat")
     found = held.unionByName(sent).repartition("list", "chunk").sortWithinPartitions("list", "chunk", "kind").mapInArrow(scan, "query_id long, vec_id long, score double")
     pilots = asked.select(F.col("id").alias("query_id"), F.explode("hits").alias("h")).select("query_id", F.col("h.id").alias("vec_id"), F.col("h.score").alias("score"))
-    # A pilot that also lies in a probed list comes twice with the same score.
+    # A sample row that also lies in a probed list comes twice with the same score.
     best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.unionByName(pilots).distinct().withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

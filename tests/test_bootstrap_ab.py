@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orchard.functions.hashing import poisson_cdf_thresholds, poisson_weight, stream_words
+from orchard.functions.hashing import STREAM_PRIME, poisson_cdf_thresholds, poisson_weight, stream_words
 from orchard.operators import abtest, bootstrap
 
 
@@ -30,7 +30,7 @@ def test_poisson_weights_have_mean_and_variance_one(spark):
     st = w.agg(F.avg("w").alias("m"), F.var_pop("w").alias("v")).first()
     assert abs(st.m - 1.0) < 0.02 and abs(st.v - 1.0) < 0.04
     cuts = poisson_cdf_thresholds()
-    assert cuts == sorted(cuts) and len(cuts) == 9
+    assert cuts == sorted(cuts) and cuts[-1] == STREAM_PRIME  # no draw lies above the last cut
 
 
 def test_multinomial_is_partition_independent(spark):
