@@ -148,6 +148,14 @@ def worker_cache(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, so that a worker holds few texts as
+    Python strings at a time."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """A batch's texts, null as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orchard.llm.common import materialize, texts
+from orchard.llm.common import materialize, small, texts
 
 STATES = 4
 OWN = 1791
@@ -69,7 +69,7 @@ def vocabulary(training: DataFrame) -> DataFrame:
             seen.clear()
             return b
 
-        for b in batches:
+        for b in small(batches):
             for t in texts(b):
                 seen.update(words(t))
                 seen[END] += 1
@@ -206,7 +206,7 @@ def train(training: DataFrame, head, class_counts: np.ndarray, rounds: int = ROU
         def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             known, m = head.value["class"], now.value
             sums = {"A": np.zeros((STATES, STATES)), "B": np.zeros((STATES, CLASSES)), "start": np.zeros(STATES)}
-            for b in batches:
+            for b in small(batches, 2048):
                 expected(Segments([classes(t, known) for t in texts(b)]), m, sums)
             rows = [(kind, i, v) for kind, x in sums.items() for i, v in enumerate(x.ravel().tolist()) if v]
             if rows:
@@ -271,7 +271,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, m, less = head.value, model.value, own_only.value
         cls, base, within = h["class"], h["base"], h["in"]
-        for b in batches:
+        for b in small(batches, 1024):
             lines, cols = [], {k: [] for k in ("n_tokens", "known", "base", "logp", "rest")}
             for t in texts(b):
                 w = words(t)

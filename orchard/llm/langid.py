@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orchard.llm.common import texts, worker_cache
+from orchard.llm.common import small, texts, worker_cache
 
 BITS = 13
 BINS = 1 << BITS
@@ -85,7 +85,7 @@ def document_frequencies(training: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n, fold = np.zeros(BINS, np.int64), 0, _fold_table()
-        for b in batches:
+        for b in small(batches):
             for t in texts(b):
                 total += counts(t, fold)[0] > 0
                 n += 1
@@ -155,7 +155,7 @@ def predict(docs: DataFrame, model: dict, keep: list[str], text: str = "text") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, fold = shared.value, _fold_table()
-        for b in batches:
+        for b in small(batches):
             lang, score, rejected = [], [], []
             for t in texts(b, text):
                 tf, letters = counts(t, fold)

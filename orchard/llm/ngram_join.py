@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orchard.llm.common import components, materialize, mix64, texts, word_hashes
+from orchard.llm.common import components, materialize, mix64, small, texts, word_hashes
 
 WORDS = 3
 #: Similarity as a fraction: 10 * intersection >= 9 * union.
@@ -102,7 +102,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, n, sig): set size and 128-bit digest of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             sets = [shingles(t) for t in texts(b)]
             sig = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.size for s in sets], pa.int64()), pa.array(sig, pa.binary())], names=["doc_id", "n", "sig"])
@@ -113,7 +113,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 def _keys(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = _bounds()
-        for b in batches:
+        for b in small(batches):
             found = [segment_keys(shingles(t), bounds) for t in texts(b)]
             keys, need = [k.view(np.int64) for k, _ in found], [n for _, n in found]
             offsets = np.concatenate(([0], np.cumsum([k.size for k in keys]))).astype(np.int32)
@@ -134,13 +134,13 @@ def open_groups(docs: DataFrame, roles: DataFrame) -> DataFrame:
     """
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             sets = [shingles(t).tobytes() for t in texts(b)]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc", "grp", "chunk", "kind")), pa.array(sets, pa.binary())], names=["doc", "grp", "chunk", "kind", "tokens"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, members, matrix = None, [], None
-        for b in batches:
+        for b in small(batches):
             a_out, b_out = [], []
             cols = [b.column(c).to_pylist() for c in ("doc", "grp", "chunk", "kind", "tokens")]
             for doc, grp, chunk, kind, raw in zip(*cols):

@@ -38,7 +38,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orchard.llm.common import _powers, grouped, materialize, mix64
+from orchard.llm.common import _powers, grouped, materialize, mix64, small
 
 WINDOW = 50
 KMER = 24
@@ -75,7 +75,7 @@ def shared_kmers(docs: DataFrame) -> DataFrame:
     documents hold too; hot marks those of very many documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             ids, keys = [], []
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 k = np.unique(anchors(_raw(text))[0])
@@ -245,7 +245,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(list(by), pa.int64()), pa.array([number] * len(by), pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "run", "blob"])
 
-        for b in batches:
+        for b in small(batches):
             for doc, text, listed in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("kmers").to_pylist()):
                 raw = _raw(text)
                 data = raw.tobytes()
@@ -285,7 +285,7 @@ def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text").join(listed, F.col("doc_id") == F.col("d"), "left").select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept": []}
             spans_col = b.column("spans")
             for i, text in enumerate(b.column("text").to_pylist()):
