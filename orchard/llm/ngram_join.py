@@ -92,8 +92,9 @@ def segment_keys(tokens: np.ndarray, bounds: list[int]) -> tuple[np.ndarray, int
         void = m - filled.size
         if void > spare:  # more empty segments than can be passed over
             empty = np.setdiff1d(np.arange(m), filled)
-            filled, sums, void = np.concatenate((filled, empty)), np.concatenate((sums, np.zeros(empty.size, np.uint64))), 0
-        need.append(spare + 1 - void)
+            filled, sums = np.concatenate((filled, empty)), np.concatenate((sums, np.zeros(empty.size, np.uint64)))
+        # A partner with few empty segments lists none of them.
+        need.append(max(1, spare + 1 - void))
         keys.append(mix64(sums ^ mix64(filled.astype(np.uint64) + np.uint64(k << 40))))
     return (np.concatenate(keys), min(need)) if keys else (np.empty(0, np.uint64), 1)
 

@@ -204,6 +204,23 @@ def test_ngram_join_chunks_of_a_group(spark, monkeypatch):
     assert got == brute_components(pairs)
 
 
+def test_ngram_join_links_a_set_that_fills_one_segment(spark):
+    # 10 shingles in one of the 3 segments, and the same with one more elsewhere: J = 10/11
+    bounds = ngram_join._bounds()
+    k = bounds.index(9)
+
+    def segment(w):
+        return int(ngram_join.mix64(ngram_join.shingles(" ".join(w[-3:])) ^ np.uint64(0xA5A5 + k))[0] % np.uint64(3))
+
+    a = ["w0", "w1"]
+    while len(a) < 12:
+        a.append(next(x for x in (f"x{len(a)}n{i}" for i in range(1000)) if segment([*a, x]) == 0))
+    b = [*a, next(x for x in (f"y{i}" for i in range(1000)) if segment([*a, x]) != 0)]
+    pairs = [(1, " ".join(a)), (2, " ".join(b)), (3, "nothing of the kind")]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.jaccard_components(spark.createDataFrame(pairs, "doc_id long, text string")).collect()}
+    assert got == brute_components(pairs) == {1: (10, 1), 2: (11, 1), 3: (2, 3)}
+
+
 def test_ngram_join_odd_rows(odd, empty):
     got = ngram_join.jaccard_components(odd).collect()
     assert len(got) == len(ODD)
