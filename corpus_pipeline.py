@@ -14,6 +14,9 @@ from orchard.llm import bpe, langid, mixing, ngram_join, pii
 from orchard.llm.common import fold_remainder, materialize, table
 from orchard.llm.queries import vocabulary_path
 
+#: The measure of near_duplicates: shingles of five words, Jaccard >= 4/5.
+NEAR_WORDS, NEAR_NUM, NEAR_DEN = 5, 4, 5
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; rejected ones go."""
@@ -25,7 +28,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of linked documents.
     Rows without an id stay; rows that share an id stay or go together."""
-    groups = ngram_join.jaccard_components(docs)
+    groups = ngram_join.jaccard_components(docs, NEAR_WORDS, NEAR_NUM, NEAR_DEN)
     gone = groups.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
 

@@ -1,6 +1,7 @@
 """N-gram Jaccard self-join with a token-group matrix.
 
-A document's set holds its distinct 3-word shingles as 64-bit hashes.
+A document's set holds its distinct shingles of ``words`` words as 64-bit hashes;
+sets link at a Jaccard of ``num / den`` or more (3 words and 9/10 unless given).
 
 1. Equal sets form one class; only its smallest id goes on.
 2. Candidates come from segments: the shingle universe is cut by hash into m
@@ -70,15 +71,15 @@ def _bounds(limit: int = 1 << 40) -> list[int]:
     return out
 
 
-def segment_keys(tokens: np.ndarray, bounds: list[int]) -> tuple[np.ndarray, int]:
+def segment_keys(tokens: np.ndarray, bounds: list[int], num: int = NUM, den: int = DEN) -> tuple[np.ndarray, int]:
     """Keys of the set's segments in the size classes where it may meet
     partners, and the least number of keys it shares with any partner."""
     n = tokens.size
-    least = -(-n * NUM // DEN)
+    least = -(-n * num // den)
     keys, need = [], []
     for k in range(int(np.searchsorted(bounds, least, "right")) - 1, int(np.searchsorted(bounds, n, "right"))):
         largest = bounds[k + 1] - 1
-        differ = largest * (DEN - NUM) // NUM  # most the smaller set's partner can differ
+        differ = largest * (den - num) // num  # most the smaller set's partner can differ
         if not differ:
             continue  # in this class linked sets are equal
         spare = 1 + differ // SPARE  # linked sets agree on spare + 1 segments or more
@@ -99,23 +100,23 @@ def segment_keys(tokens: np.ndarray, bounds: list[int]) -> tuple[np.ndarray, int
     return (np.concatenate(keys), min(need)) if keys else (np.empty(0, np.uint64), 1)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc_id, n, sig): set size and 128-bit digest of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
-            sets = [shingles(t) for t in texts(b)]
+            sets = [shingles(t, words) for t in texts(b)]
             sig = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.size for s in sets], pa.int64()), pa.array(sig, pa.binary())], names=["doc_id", "n", "sig"])
 
     return docs.select("doc_id", "text").mapInArrow(run, docs.select("doc_id", F.lit(0).cast("long").alias("n"), F.lit(b"").alias("sig")).schema)
 
 
-def _keys(docs: DataFrame) -> DataFrame:
+def _keys(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = _bounds()
         for b in small(batches):
-            found = [segment_keys(shingles(t), bounds) for t in texts(b)]
+            found = [segment_keys(shingles(t, words), bounds, num, den) for t in texts(b)]
             keys, need = [k.view(np.int64) for k, _ in found], [n for _, n in found]
             offsets = np.concatenate(([0], np.cumsum([k.size for k in keys]))).astype(np.int32)
             listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*keys, np.empty(0, np.int64)])))
@@ -125,7 +126,7 @@ def _keys(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def open_groups(docs: DataFrame, roles: DataFrame) -> DataFrame:
+def open_groups(docs: DataFrame, roles: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """Links (a, b) between queries and members of the same (group, chunk).
 
     ``roles`` holds (doc, grp, chunk, kind): kind 0 members, kind 1 queries.
@@ -136,7 +137,7 @@ def open_groups(docs: DataFrame, roles: DataFrame) -> DataFrame:
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
-            sets = [shingles(t).tobytes() for t in texts(b)]
+            sets = [shingles(t, words).tobytes() for t in texts(b)]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc", "grp", "chunk", "kind")), pa.array(sets, pa.binary())], names=["doc", "grp", "chunk", "kind", "tokens"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,13 +162,13 @@ def open_groups(docs: DataFrame, roles: DataFrame) -> DataFrame:
                 at = np.searchsorted(union, t)
                 at[at == union.size] = 0
                 shared = at[union[at] == t]
-                # J >= NUM/DEN needs an overlap of NUM (n + n') / (NUM + DEN) at least.
-                if (NUM + DEN) * shared.size < NUM * (t.size + max(least, -(-t.size * NUM // DEN))):
+                # J >= num/den needs an overlap of num (n + n') / (num + den) at least.
+                if (num + den) * shared.size < num * (t.size + max(least, -(-t.size * num // den))):
                     continue
                 flag = np.zeros(union.size, np.int64)
                 flag[shared] = 1
                 both = np.add.reduceat(flag[place], starts)
-                hit = np.flatnonzero(DEN * both >= NUM * (t.size + sizes - both))
+                hit = np.flatnonzero(den * both >= num * (t.size + sizes - both))
                 for h in hit[:1]:
                     if members[h][0] != doc:
                         a_out.append(doc), b_out.append(members[h][0])
@@ -186,10 +187,10 @@ def _chunked(members: DataFrame) -> DataFrame:
     return m.withColumn("chunk", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int"))
 
 
-def link_representatives(docs: DataFrame, reps: DataFrame) -> DataFrame:
+def link_representatives(docs: DataFrame, reps: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """Links (a, b) that connect the representatives (column ``doc``)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    keyed = _keys(docs).join(reps.hint("merge"), "doc", "left_semi").select("doc", "need", F.explode("keys").alias("key"))
+    keyed = _keys(docs, words, num, den).join(reps.hint("merge"), "doc", "left_semi").select("doc", "need", F.explode("keys").alias("key"))
     held = Window.partitionBy("key")
     first, last = F.min("doc").over(held), F.max("doc").over(held)
     keyed = keyed.withColumn("holders", F.count(F.lit(1)).over(held)).withColumn("lo", first).withColumn("hi", last).where("lo <> hi")
@@ -205,7 +206,7 @@ def link_representatives(docs: DataFrame, reps: DataFrame) -> DataFrame:
     stars = _chunked(stars)
     leaders = stars.groupBy("grp").agg(F.max("chunks").alias("chunks")).select(F.col("grp").alias("doc"), "grp", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("kind"))
     roles = leaders.unionByName(stars.select("doc", "grp", "chunk", F.lit(1).alias("kind")))
-    links = materialize(open_groups(docs, roles), "ngram-links")
+    links = materialize(open_groups(docs, roles, words, num, den), "ngram-links")
 
     # Groups of what linked; foreign groups a document shares a segment with.
     holders = shared.select(F.col("doc").alias("node")).distinct()
@@ -220,17 +221,17 @@ def link_representatives(docs: DataFrame, reps: DataFrame) -> DataFrame:
     members = materialize(_chunked(groups.join(wanted, "grp", "left_semi")), "ngram-members")
     chunks = members.select("grp", "chunk").distinct()
     roles = members.select("doc", "grp", "chunk", F.lit(0).alias("kind")).unionByName(queries.join(chunks, "grp").select("doc", "grp", "chunk", F.lit(1).alias("kind")))
-    return links.unionByName(materialize(open_groups(docs, roles), "ngram-links"))
+    return links.unionByName(materialize(open_groups(docs, roles, words, num, den), "ngram-links"))
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
+def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """(doc_id, n_shingles, component_id) per document row."""
     docs = docs.select("doc_id", "text")
-    sets = materialize(signatures(docs), "ngram-sets")
+    sets = materialize(signatures(docs, words), "ngram-sets")
     classes = sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").cast("long").alias("rep"))
     classes = materialize(classes, "ngram-classes")
     reps = classes.where("rep is not null").select(F.col("rep").alias("doc"))
-    links = link_representatives(docs, reps)
+    links = link_representatives(docs, reps, words, num, den)
     found = components(reps.select(F.col("doc").alias("node")).distinct(), links)
     placed = classes.join(found, classes.rep == found.node).select(F.col("sig").alias("s"), "component")
     out = sets.join(placed, F.col("sig") == F.col("s"), "left")

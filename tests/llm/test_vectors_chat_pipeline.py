@@ -194,3 +194,43 @@ def test_pipeline_stages(spark):
         ids = coder.encode(told[r["doc_id"]])
         assert bytes(r["ids"]) == ids and r["ids_sha256"] == hashlib.sha256(ids).hexdigest()
     assert docs.count() == len(mixed)
+
+
+def brute_near(pairs):
+    """Component of each text at shingles of five words and a Jaccard of 4/5."""
+    from test_text_ops import words
+
+    sets = {i: {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if (w := words(t)) else set() for i, t in pairs}
+    root = {i: i for i in sets}
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for i in sets:
+        for j in sets:
+            if j < i and 5 * (n := len(sets[i] & sets[j])) >= 4 * (len(sets[i]) + len(sets[j]) - n) > 0:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i: find(i) for i in sets}
+
+
+def test_near_duplicates_at_five_words_and_four_fifths(spark):
+    from test_text_ops import variants
+
+    rnd = random.Random(5)
+    pairs = variants() + [(r["doc_id"] + 10_000, r["text"] or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    base = [f"b{k}" for k in range(200)]
+    pairs += [(20_000, " ".join(base)), (20_001, " ".join(base + [f"z{k}" for k in range(30)])), (20_002, " ".join(base[30:]))]  # 15 % added, 15 % cut
+    for k in range(60):  # words changed one by one
+        n = rnd.randint(10, 90)
+        text = [f"c{k}x{i}" for i in range(n)]
+        pairs += [(21_000 + 2 * k, " ".join(text))]
+        for _ in range(rnd.randint(1, 3)):
+            text[rnd.randrange(n)] = "changed"
+        pairs += [(21_001 + 2 * k, " ".join(text))]
+    docs = spark.createDataFrame(pairs, "doc_id long, text string")
+    got = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()}
+    assert got == {i for i, c in brute_near(pairs).items() if c == i}
+    assert 20_001 not in got and 20_002 not in got
