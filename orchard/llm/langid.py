@@ -7,8 +7,10 @@ per language, come from spherical k-means over a sample of at most about
 ``SAMPLE`` labelled documents per language, chosen by a hash of the id; one
 group per language, so a group is bounded.  A text takes the language of the
 centroid with the largest cosine.  It is rejected when that cosine lies below
-``REJECT`` times the smallest one seen in the sample for texts of its length
-class (a class of fewer than ``EVIDENCE`` texts uses ``FLOOR``).
+``REJECT`` times the ``QUANTILE`` of the cosines that all training texts of the
+language and length class have with their own language's best centroid.  A
+class of fewer than ``EVIDENCE`` texts uses the language's quantile, a language
+of fewer the overall one.
 
 Nulls and odd rows: a null text or one without a letter is ``und`` with score
 0 and rejected; rows with a null language train nothing; a null ``doc_id``
@@ -20,12 +22,13 @@ empty result, and without any training row every text is ``und``; only
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orchard.llm.common import small, texts, worker_cache
@@ -35,9 +38,11 @@ BINS = 1 << BITS
 SAMPLE = 1500
 CENTROIDS = 4
 ROUNDS = 8
-REJECT = 0.6
-EVIDENCE = 50
-FLOOR = 0.02
+REJECT = 0.5
+QUANTILE = 0.02
+EVIDENCE = 200
+#: Places of a cosine in the counts that the quantiles are taken from.
+STEPS = 1000
 LENGTH_CLASSES = 24
 
 
@@ -101,9 +106,8 @@ def _fit_language(rows: pd.DataFrame, idf: np.ndarray) -> pd.DataFrame:
     rows = rows.sort_values(["order", "text"])
     pairs = [counts(t or "", fold) for t in rows["text"]]
     x = np.array([vector(tf, idf) for tf, letters in pairs if letters], np.float32).reshape(-1, BINS)
-    letters = [n for _, n in pairs if n]
     if not len(x):
-        return pd.DataFrame({"lang": [], "centroid": [], "floors": []}, dtype=object)
+        return pd.DataFrame({"lang": [], "centroid": []}, dtype=object)
     # Farthest-first seeds, then Lloyd rounds by cosine.
     seeds = [x.mean(0) / max(np.linalg.norm(x.mean(0)), 1e-12)]
     while len(seeds) < min(CENTROIDS, len(x)):
@@ -115,13 +119,43 @@ def _fit_language(rows: pd.DataFrame, idf: np.ndarray) -> pd.DataFrame:
             if (own == k).any():
                 m = x[own == k].sum(0)
                 c[k] = m / max(np.linalg.norm(m), 1e-12)
-    best, floors = (x @ c.T).max(1), np.full(LENGTH_CLASSES, FLOOR)
-    classes = np.array([length_class(n) for n in letters])
-    for k in np.unique(classes):
-        if (classes == k).sum() >= EVIDENCE:
-            floors[k] = REJECT * float(best[classes == k].min())
     lang = rows["lang"].iloc[0]
-    return pd.DataFrame({"lang": [lang] * len(c), "centroid": [v.astype("<f4").tobytes() for v in c], "floors": [floors.tobytes()] * len(c)})
+    return pd.DataFrame({"lang": [lang] * len(c), "centroid": [v.astype("<f4").tobytes() for v in c]})
+
+
+def rejection_floors(training: DataFrame, model: dict) -> np.ndarray:
+    """Least cosine by centroid and length class, from all training texts."""
+    shared = training.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, fold, seen = shared.value, _fold_table(), Counter()
+        own = {lang: m["centroids"][[x == lang for x in m["langs"]]] for lang in set(m["langs"])}
+        for b in small(batches):
+            for t, lang in zip(texts(b), b.column("lang").to_pylist()):
+                tf, letters = counts(t, fold)
+                if letters:
+                    best = float((own[lang] @ vector(tf, m["idf"]).astype(np.float32)).max())
+                    seen[lang, length_class(letters), int(min(1.0, max(0.0, best)) * STEPS)] += 1
+        if seen:
+            lang, cls, step = zip(*seen)
+            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(cls, pa.int32()), pa.array(step, pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["lang", "cls", "step", "n"])
+
+    rows = training.select("text", "lang").mapInArrow(run, "lang string, cls int, step int, n long")
+    rows = rows.groupBy("lang", "cls", "step").agg(F.sum("n").alias("n"))
+    # A null length class stands for all of them, a null language for all languages.
+    one, none = F.col("lang"), F.lit(None)
+    levels = F.array(*[F.struct(a.cast("string").alias("lang"), c.cast("int").alias("cls")) for a, c in ((one, F.col("cls")), (one, none), (none, none))])
+    rows = rows.select(F.explode(levels).alias("of"), "step", "n").groupBy("of", "step").agg(F.sum("n").alias("n"))
+    of = Window.partitionBy("of")
+    rows = rows.withColumn("upto", F.sum("n").over(of.orderBy("step"))).withColumn("total", F.sum("n").over(of))
+    rows = rows.where(F.col("upto") >= F.col("total") * QUANTILE).groupBy("of").agg(F.min("step").alias("step"), F.first("total").alias("total"))
+    found = {(r["of"]["lang"], r["of"]["cls"]): (r["total"], REJECT * r["step"] / STEPS) for r in rows.collect()}
+
+    def floor(lang: str, cls: int) -> float:
+        levels = [found.get(x, (0, 0.0)) for x in ((lang, cls), (lang, None))]
+        return next((x for n, x in levels if n >= EVIDENCE), found[None, None][1])
+
+    return np.array([[floor(lang, cls) for cls in range(LENGTH_CLASSES)] for lang in model["langs"]])
 
 
 def fit(training: DataFrame) -> dict:
@@ -139,13 +173,14 @@ def fit(training: DataFrame) -> dict:
     order = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(1 << 30))
     wanted = F.element_at(F.create_map(*[F.lit(x) for kv in sorted(share.items()) for x in kv]), F.col("lang"))
     sample = training.select("lang", "text", order.alias("order")).where(F.col("order") < wanted * (1 << 30))
-    found = sample.groupBy("lang").applyInPandas(lambda pdf: _fit_language(pdf, idf), "lang string, centroid binary, floors binary").collect()
+    found = sample.groupBy("lang").applyInPandas(lambda pdf: _fit_language(pdf, idf), "lang string, centroid binary").collect()
     found.sort(key=lambda r: (r["lang"], bytes(r["centroid"])))
-    return {
+    model = {
         "idf": idf, "langs": [r["lang"] for r in found],
         "centroids": np.array([np.frombuffer(r["centroid"], "<f4") for r in found]).reshape(-1, BINS),
-        "floors": np.array([np.frombuffer(r["floors"]) for r in found]).reshape(-1, LENGTH_CLASSES),
     }
+    known = training.where(F.col("lang").isin(sorted(set(model["langs"]))))
+    return model | {"floors": rejection_floors(known, model) if found else np.zeros((0, LENGTH_CLASSES))}
 
 
 def predict(docs: DataFrame, model: dict, keep: list[str], text: str = "text") -> DataFrame:

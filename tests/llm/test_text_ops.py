@@ -115,6 +115,19 @@ def test_language_id_held_out_accuracy(spark):
     assert all(h == (zlib.crc32(str(i).encode()) % 5 == 0) for i, h in zip(out.doc_id, out.held_out))
 
 
+def test_language_id_rejects_gibberish_and_an_unlearned_script(spark):
+    rnd = random.Random(8)
+    alphabets = {"latin": "abcdefghijklmnopqrstuvwxyz", "script": "".join(map(chr, range(0x430, 0x450)))}
+    planted = [(-1 - k, " ".join("".join(rnd.choice(letters) for _ in range(6)) for _ in range(words))) for k, (letters, words) in enumerate((a, n) for a in alphabets.values() for n in (2, 4, 9, 35, 120, 500, 3500))]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(docs)
+    got = langid.predict(docs.select("doc_id", "text").unionByName(spark.createDataFrame(planted, "doc_id long, text string")), model, ["doc_id"]).collect()
+    assert {r["doc_id"] for r in got if r["__rejected"]} == {i for i, _ in planted}
+    # a labelled row that is none of its language does not open its length class
+    odd_row = spark.createDataFrame([(2_000_000, planted[3][1], "en")], docs.schema)
+    assert langid.rejection_floors(docs.unionByName(odd_row), model).min() > 0.2
+
+
 def test_language_id_odd_rows(odd, empty):
     got = langid.identify(odd, F.lit(False), ["doc_id"]).collect()
     assert len(got) == len(ODD)
