@@ -12,11 +12,14 @@ document with a smaller id.  Strings are judged on the input.
    windows of that minimizer (a superwindow), sorts its suffixes, front-codes
    them (length of the prefix shared with the one before, and the rest) and
    deals them to buckets by k-mer.  k-mers in more than ``HOT`` documents are
-   dealt window by window instead, so no bucket has to hold them.
+   dealt window by window instead, and a window's documents by a salt, so that
+   about ``HOT`` of them meet in a bucket.
 3. Merge.  A bucket's runs go through a loser tree that carries the known
    common prefix with the last output and compares bytes only beyond it.  Equal
    suffixes come out together: all but those of the smallest document go.
    Superwindows of one k-mer that differ are then compared window by window.
+   A salted window's smallest document of each bucket goes on, and all but the
+   smallest of those go as well.
 4. The spans are joined to their documents and cut out.
 
 Nulls and odd rows: a null text is empty; rows without a ``doc_id`` are kept
@@ -30,6 +33,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +50,8 @@ HOT = 20_000
 #: Suffixes a bucket holds on average, and suffixes in a run.
 BUCKET_ROWS = 16_384
 RUN_ROWS = 200_000
+#: Spans that leave a merge at a time.
+SPAN_ROWS = 65_536
 
 
 def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,8 +77,9 @@ def _raw(text: str | None) -> np.ndarray:
 
 
 def shared_kmers(docs: DataFrame) -> DataFrame:
-    """(doc_id, kmers, hot): each document's minimizer k-mers that other
-    documents hold too; hot marks those of very many documents."""
+    """(doc, kmer, salts): each document's minimizer k-mers that other documents
+    hold too; salts is the number of parts that the documents of a hot one are
+    dealt over, and 0 for the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
@@ -89,7 +96,7 @@ def shared_kmers(docs: DataFrame) -> DataFrame:
     rows = docs.mapInArrow(run, "kmer long, doc long")
     held = Window.partitionBy("kmer")
     rows = rows.withColumn("lo", F.min("doc").over(held)).withColumn("hi", F.max("doc").over(held)).withColumn("n", F.count(F.lit(1)).over(held)).where("lo <> hi")
-    return materialize(rows.select("doc", "kmer", (F.col("n") > HOT).alias("hot")), "suffix-kmers")
+    return materialize(rows.select("doc", "kmer", F.when(F.col("n") > HOT, F.ceil(F.col("n") / HOT)).otherwise(0).cast("int").alias("salts")), "suffix-kmers")
 
 
 def front_code(rows: list[tuple[bytes, int, int, int]]) -> bytes:
@@ -226,12 +233,30 @@ def _spans(runs: list[bytes]) -> Iterator[tuple[int, int, int]]:
                     first = -1
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, end): byte spans to remove, possibly overlapping."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    kmers = shared_kmers(docs)
-    buckets = max(64, kmers.count() // BUCKET_ROWS)
-    wanted = kmers.groupBy("doc").agg(F.collect_list(F.struct("kmer", "hot")).alias("kmers"))
+def _hot_spans(runs: list[bytes]) -> Iterator[tuple[int, int, int, bytes | None]]:
+    """(doc, start, end, window) from one bucket's runs of single windows: spans
+    to remove, without the window, and those of its smallest document here."""
+    for s, held in merge_runs([decode_run(r) for r in runs]):
+        least = min(d for _, d, _ in held)
+        for _, d, p in held:
+            if d > least:
+                yield d, p, p + len(s), None
+        # places next to each other become one span
+        places = sorted({p for _, d, p in held if d == least})
+        first = places[0]
+        for p, q in zip(places, [*places[1:], None]):
+            if q != p + 1:
+                yield least, first, p + len(s), s
+                first = q
+
+
+def coded_runs(docs: DataFrame, kmers: DataFrame) -> DataFrame:
+    """(bucket, run, blob): front-coded runs of the suffixes to compare; those
+    of hot k-mers, cut into windows, are in the buckets below 0."""
+    count = kmers.agg(F.count(F.lit(1)).alias("all"), F.coalesce(F.sum((F.col("salts") > 0).cast("long")), F.lit(0)).alias("hot")).first()
+    buckets = max(64, count["all"] // BUCKET_ROWS)
+    hot_buckets = max(64, count["hot"] * (WINDOW - KMER + 1) // BUCKET_ROWS)
+    wanted = kmers.groupBy("doc").agg(F.collect_list(F.struct("kmer", "salts")).alias("kmers"))
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
@@ -250,33 +275,46 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                 raw = _raw(text)
                 data = raw.tobytes()
                 hashes, first, last = anchors(raw)
-                cold = np.array([x["kmer"] for x in listed if not x["hot"]], np.int64)
-                hot = np.array([x["kmer"] for x in listed if x["hot"]], np.int64)
+                cold = np.array([x["kmer"] for x in listed if not x["salts"]], np.int64)
+                hot = {x["kmer"]: x["salts"] for x in listed if x["salts"]}
                 keep = np.isin(hashes, cold)
                 for h, i, j in zip(hashes[keep].tolist(), first[keep].tolist(), last[keep].tolist()):
                     held.append((h % buckets, data[i : j + WINDOW], h, doc, i))
-                keep = np.isin(hashes, hot)
-                for i, j in zip(first[keep].tolist(), last[keep].tolist()):
+                keep = np.isin(hashes, np.array(list(hot), np.int64))
+                mixed = int(mix64(np.array([doc], np.int64).view(np.uint64))[0])
+                for h, i, j in zip(hashes[keep].tolist(), first[keep].tolist(), last[keep].tolist()):
+                    salt = mixed % hot[h]
                     for p in range(i, j + 1):
                         w = data[p : p + WINDOW]
-                        h = xxhash.xxh3_64_intdigest(w) >> 1
-                        held.append((h % buckets, w, h, doc, p))
+                        held.append((-1 - xxhash.xxh3_64_intdigest(w, salt) % hot_buckets, w, 0, doc, p))
                 if len(held) >= RUN_ROWS:
                     yield out()
                     number += 1
         if held:
             yield out()
 
+    return docs.join(wanted, docs.doc_id == wanted.doc).select("doc_id", "text", "kmers").mapInArrow(runs, "bucket long, run long, blob binary")
+
+
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """(doc_id, start, end): byte spans to remove, possibly overlapping."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in grouped(batches, ["bucket"]):
-            rows = list(_spans(t.column("blob").to_pylist()))
-            if rows:
-                d, s, e = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(s, pa.int64()), pa.array(e, pa.int64())], names=["doc_id", "start", "end"])
-
-    coded = docs.join(wanted, docs.doc_id == wanted.doc).select("doc_id", "text", "kmers").mapInArrow(runs, "bucket long, run long, blob binary")
-    spans = coded.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "doc_id long, start long, end long")
-    return materialize(spans, "suffix-spans")
+            blobs = t.column("blob").to_pylist()
+            found = _hot_spans(blobs) if t.column("bucket")[0].as_py() < 0 else ((*x, None) for x in _spans(blobs))
+            while rows := list(islice(found, SPAN_ROWS)):
+                d, s, e, w = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(s, pa.int64()), pa.array(e, pa.int64()), pa.array(w, pa.binary())], names=["doc_id", "start", "end", "window"])
+
+    coded = coded_runs(docs, shared_kmers(docs))
+    spans = coded.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "doc_id long, start long, end long, window binary")
+    spans = materialize(spans, "suffix-spans")
+    salted = spans.where("window is not null")
+    least = salted.groupBy("window").agg(F.min("doc_id").alias("least"))
+    late = salted.join(least, "window").where("doc_id > least")
+    return spans.where("window is null").select("doc_id", "start", "end").unionByName(late.select("doc_id", "start", "end"))
 
 
 def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:

@@ -333,6 +333,21 @@ def test_suffix_dedup_equals_brute_force(spark, rows, monkeypatch, hot):
     assert got == brute_cut(pairs)
 
 
+def test_suffix_dedup_deals_a_hot_window_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT", 20)
+    rnd = random.Random(12)
+    line = "permission is granted to use this text in any way, free of charge, to all who want it"
+    pairs = [(i, "".join(rnd.choice("cdefg ") for _ in range(rnd.randint(0, 80))) + line) for i in range(400)]
+    docs = spark.createDataFrame(pairs, "doc_id long, text string")
+    held = collections.Counter()
+    for r in suffix_dedup.coded_runs(docs, suffix_dedup.shared_kmers(docs)).collect():
+        for _, s, rows in suffix_dedup.decode_run(r["blob"]):
+            held[r["bucket"], s] += len(rows)
+    assert max(held.values()) < 100
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in suffix_dedup.cut(docs, suffix_dedup.repeated_spans(docs)).collect()}
+    assert got == brute_cut(pairs)
+
+
 def test_loser_tree_merges_sorted_runs():
     rnd = random.Random(2)
     runs = [sorted(("".join(rnd.choice("ab") for _ in range(rnd.randint(50, 54))).encode(), 1, i, p) for p in range(rnd.randint(1, 80))) for i in range(5)]
