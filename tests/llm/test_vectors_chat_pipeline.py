@@ -176,10 +176,8 @@ def test_pipeline_stages(spark):
             assert docs.columns == before.columns
         seen[name] = docs
     assert seen["language_id"].count() == 1000  # every document there is clean
-    from test_text_ops import brute_components
-
     texts = {r["doc_id"]: r["text"] for r in seen["language_id"].collect()}
-    keep = {i for i, (_, c) in brute_components(list(texts.items())).items() if c == i}
+    keep = {i for i, c in brute_near(list(texts.items())).items() if c == i}
     assert {r["doc_id"] for r in seen["near_duplicates"].collect()} == keep
     told = {r["doc_id"]: r["text"] for r in seen["personal_data"].collect()}
     assert set(told) == keep
