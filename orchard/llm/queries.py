@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm import ann, bpe, chat, embed_dedup, hmm_lm, langid, mixing, ngram_join, pii, suffix_dedup, trie_dedup
+from orchard.llm import ann, bpe, chat, embed_dedup, hmm_lm, langid, mixing, ngram_join, pii, suffix_dedup, token_align, trie_dedup
 from orchard.llm.common import fold_remainder, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -90,6 +90,12 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_align.link_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_dedup.exact_dedup(table(spark, sf_dir, "documents"), largest=True)
 
@@ -127,5 +133,5 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
 
-QUERIES = {"op1_pii": op1_pii, "op2_language_id": op2_language_id, "op4_bpe": op4_bpe, "op3_chat_formatting": op3_chat_formatting, "op5_embedding_dedup": op5_embedding_dedup, "op6_nearest_neighbours": op6_nearest_neighbours, "op7_ngram_join": op7_ngram_join, "op8_lm_scoring": op8_lm_scoring, "op9_suffix_dedup": op9_suffix_dedup, "op10_source_mixing": op10_source_mixing, "op12_exact_dedup": op12_exact_dedup}
+QUERIES = {"op1_pii": op1_pii, "op2_language_id": op2_language_id, "op4_bpe": op4_bpe, "op3_chat_formatting": op3_chat_formatting, "op5_embedding_dedup": op5_embedding_dedup, "op6_nearest_neighbours": op6_nearest_neighbours, "op7_ngram_join": op7_ngram_join, "op8_lm_scoring": op8_lm_scoring, "op9_suffix_dedup": op9_suffix_dedup, "op10_source_mixing": op10_source_mixing, "op11_token_alignment": op11_token_alignment, "op12_exact_dedup": op12_exact_dedup}
 ORACLE = {"op3_chat_formatting": OP3_SQL, "op5_embedding_dedup": OP5_SQL, "op7_ngram_join": OP7_SQL, "op12_exact_dedup": OP12_SQL}
