@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm import ann, bpe, chat, embed_dedup, hmm_lm, langid, mixing, ngram_join, pii, suffix_dedup, token_align, trie_dedup
+from orchard.llm import ann, bloom_search, bpe, chat, embed_dedup, hmm_lm, langid, mixing, ngram_join, pii, suffix_dedup, token_align, trie_dedup
 from orchard.llm.common import fold_remainder, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -100,6 +100,31 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_dedup.exact_dedup(table(spark, sf_dir, "documents"), largest=True)
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents) GROUP BY doc_id, term
+),
+b AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+),
+size AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM d GROUP BY doc_id),
+whole AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM size),
+length AS (SELECT doc_id, 100 - 50 + ((50 * n * nn) // ll) AS m FROM size, whole),
+weight AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*)::BIGINT AS df FROM d GROUP BY term), whole),
+score AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM b JOIN d USING (term) JOIN weight USING (term) JOIN length USING (doc_id) GROUP BY item_id, doc_id
+),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM score WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
 OP12_SQL = r"""
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
@@ -133,5 +158,5 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
 
-QUERIES = {"op1_pii": op1_pii, "op2_language_id": op2_language_id, "op4_bpe": op4_bpe, "op3_chat_formatting": op3_chat_formatting, "op5_embedding_dedup": op5_embedding_dedup, "op6_nearest_neighbours": op6_nearest_neighbours, "op7_ngram_join": op7_ngram_join, "op8_lm_scoring": op8_lm_scoring, "op9_suffix_dedup": op9_suffix_dedup, "op10_source_mixing": op10_source_mixing, "op11_token_alignment": op11_token_alignment, "op12_exact_dedup": op12_exact_dedup}
-ORACLE = {"op3_chat_formatting": OP3_SQL, "op5_embedding_dedup": OP5_SQL, "op7_ngram_join": OP7_SQL, "op12_exact_dedup": OP12_SQL}
+QUERIES = {"op1_pii": op1_pii, "op2_language_id": op2_language_id, "op4_bpe": op4_bpe, "op3_chat_formatting": op3_chat_formatting, "op5_embedding_dedup": op5_embedding_dedup, "op6_nearest_neighbours": op6_nearest_neighbours, "op7_ngram_join": op7_ngram_join, "op8_lm_scoring": op8_lm_scoring, "op9_suffix_dedup": op9_suffix_dedup, "op10_source_mixing": op10_source_mixing, "op11_token_alignment": op11_token_alignment, "op12_exact_dedup": op12_exact_dedup, "op13_lexical_search": op13_lexical_search}
+ORACLE = {"op3_chat_formatting": OP3_SQL, "op5_embedding_dedup": OP5_SQL, "op7_ngram_join": OP7_SQL, "op12_exact_dedup": OP12_SQL, "op13_lexical_search": OP13_SQL}
