@@ -30,6 +30,7 @@ gives an empty result; only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +50,8 @@ HEAD = 1 << 19
 #: Distinct pairs that a task adds up before it sends them on.
 FLUSH = 1 << 21
 SPACE_MARK = "▁"
+#: Fixed value: how byte-level files cut a text before merging.
+BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Tokenizers:
@@ -59,7 +62,9 @@ class Tokenizers:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        import regex
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_str(a_file)
@@ -71,19 +76,34 @@ class Tokenizers:
         names = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
         # Entries with characters outside the byte alphabet are added tokens.
         self.a_bytes = [bytes([back[c] for c in s]) if all(c in back for c in s) else s.encode() for s in names]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(self.b.id_to_piece(list(range(self.b.get_piece_size()))))]
+        pieces = self.b.id_to_piece(list(range(self.b.get_piece_size())))
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)]
         self.a_size = np.array([len(x) for x in self.a_bytes])
         self.b_size = np.array([len(x) for x in self.b_bytes])
         #: Decimal id with each separator: inside a side, and after its last token.
         self.a_text = [f"{i}{s}" for i in range(len(self.a_bytes)) for s in ",|"]
         self.b_text = [f"{i}{s}" for i in range(len(self.b_bytes)) for s in ",;"]
+        # The same merges by rank, where the file's ids follow its merges, its
+        # split is the plain byte-level one and the text's character classes are
+        # beyond doubt; the file's own library otherwise.
+        spec = json.loads(a_file)
+        cut, merges = spec.get("pre_tokenizer") or {}, [m if isinstance(m, list) else m.split(" ", 1) for m in spec["model"]["merges"]]
+        plain = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space") and not spec.get("normalizer")
+        order = [spec["model"]["vocab"][x + y] for x, y in merges]
+        self.ranked = None
+        if plain and order == sorted(order) and len(order) + 256 == len(spec["model"]["vocab"]) - len({t["content"] for t in spec["added_tokens"]} & set(spec["model"]["vocab"])):
+            added = {t["content"] for t in spec["added_tokens"]}
+            self.ranked = tiktoken.Encoding("a", pat_str=BYTE_LEVEL_SPLIT, special_tokens={}, mergeable_ranks={self.a_bytes[i]: i for x, i in spec["model"]["vocab"].items() if x not in added})
+        self.unusual = regex.compile("[^\x00-\u024f]|[\x1c-\x1f\x85]").search
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of each text on both sides; none where the bytes differ."""
-        a = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
+        a, b = [], self.b.encode(texts, num_threads=1)
         for i, t in enumerate(texts):
-            want = (" " + t).encode()
+            whole = " " + t
+            ranked = self.ranked is not None and self.unusual(t) is None
+            a.append(self.ranked.encode_ordinary(whole) if ranked else self.a.encode(whole, add_special_tokens=False).ids)
+            want = whole.encode()
             if not t or b"".join(map(self.a_bytes.__getitem__, a[i])) != want or b"".join(map(self.b_bytes.__getitem__, b[i])) != want:
                 a[i], b[i] = [], []
         return a, b
@@ -111,8 +131,7 @@ class Aligned:
     def __init__(self, tok: Tokenizers, a: list[list[int]], b: list[list[int]]):
         self.tok, self.n = tok, len(a)
         self.n_a, self.n_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
-        self.a = np.array([i for x in a for i in x], np.int64)
-        self.b = np.array([i for x in b for i in x], np.int64)
+        self.a, self.b = (np.concatenate([np.array(x, np.int64) for x in side]) for side in (a, b))
         self.a_doc, self.b_doc = np.repeat(np.arange(self.n), self.n_a), np.repeat(np.arange(self.n), self.n_b)
         a_end, b_end = np.cumsum(tok.a_size[self.a]), np.cumsum(tok.b_size[self.b])
         at, bt = overlaps(self.a_doc, a_end - tok.a_size[self.a], self.b_doc, b_end - tok.b_size[self.b])
