@@ -16,19 +16,22 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from itertools import product
+from multiprocessing.pool import ThreadPool
+from threading import Lock
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orchard.functions.features import TIME_COLUMN, derivation_sql
+from orchard.operators import forest, metrics
 
 CLASSIFICATION, REGRESSION = "classification", "regression"
 
@@ -58,8 +61,9 @@ def feature_columns(df: DataFrame, exclude: list[str]) -> list[str]:
 
 # Forest settings that change speed, not the fitted model: caching each row's
 # node id avoids walking every tree from the root at each level (deep trees);
-# the cached ids are checkpointed to the shared checkpoint folder.
-FOREST_SPEED = {"cacheNodeIds": True, "checkpointInterval": 10}
+# the cached ids are checkpointed to the shared checkpoint folder.  More memory
+# for histograms puts more nodes of a level into one pass over the rows.
+FOREST_SPEED = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 1024}
 
 
 def make_estimator(task: str, label: str, model_type: str = "rf", seed: int = 42, **params):
@@ -99,21 +103,6 @@ def build_pipeline(
     return Pipeline(stages=stages), feats
 
 
-def param_grid(estimator, grid: dict[str, list]) -> list:
-    """L-3 / L-4: the full cartesian grid of the given settings."""
-    b = ParamGridBuilder()
-    for name, values in grid.items():
-        b = b.addGrid(estimator.getParam(name), values)
-    return b.build()
-
-
-def evaluator_for(task: str, label: str):
-    if task == CLASSIFICATION:
-        return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                             metricName="areaUnderROC")
-    return RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
-
-
 def stable_layout(df: DataFrame, keys: list[str], partitions: int) -> DataFrame:
     """Fix row placement and order before fitting: forests sample per
     partition, so the same seed needs the same layout to give the same model."""
@@ -163,41 +152,97 @@ def split_derivation(pipeline: Pipeline) -> tuple[SQLTransformer, Pipeline]:
 class CVResult:
     model: PipelineModel
     best_params: dict
-    grid_metrics: DataFrame  # one row per setting: params..., metric
+    grid_metrics: DataFrame  # one row per setting: params..., mean metric
+    fold_metrics: DataFrame  # one row per setting and fold: params..., fold, n_rows, metric
+
+
+def _settings(grid: dict[str, list]) -> list[dict]:
+    """The full cartesian grid of the given settings."""
+    return [dict(zip(grid, values)) for values in product(*grid.values())]
+
+
+def _fold_scores(model, valid: DataFrame, task: str, label: str, counts: list[int] | None) -> list[tuple[float, int]]:
+    """(metric, rows) of one validation fold: one pair per tree count, all read
+    off one pass of the forest over the rows; one pair for other models."""
+    if counts:
+        wide = forest.prefix_scores(model, valid, counts, [label])
+    else:
+        score = with_score(model.transform(valid)) if task == CLASSIFICATION else model.transform(valid).withColumn("score", F.col("prediction"))
+        wide = score.select(label, F.array("score").alias("scores"))
+    n = len(counts or [1])
+    if task == REGRESSION:
+        errors = [F.sqrt(F.avg(F.pow(F.col("scores")[i] - F.col(label), 2))).alias(f"m{i}") for i in range(n)]
+        row = wide.agg(F.count(F.lit(1)).alias("n"), *errors).first()
+        return [(row[f"m{i}"], row["n"]) for i in range(n)]
+    long = wide.select(F.col(label).alias("label"), F.posexplode("scores").alias("nth", "score"))
+    found = {r["nth"]: r for r in metrics.auc(long, segments=["nth"]).collect()}  # one row per count
+    return [(found[i]["auc"], found[i]["n_pos"] + found[i]["n_neg"]) if i in found else (None, 0) for i in range(n)]
 
 
 def cross_validate(
     train: DataFrame,
     pipeline: Pipeline,
-    grid: list,
-    evaluator,
+    grid: dict[str, list],
+    task: str,
+    label: str,
+    num_folds: int = 3,
     fold_col: str = "fold",
     parallelism: int = 4,
-    seed: int = 42,
 ) -> CVResult:
-    """L-5 / L-6 / L-7: k-fold search on precomputed folds (``foldCol``), so
-    the folds are reproducible; ``parallelism`` fits settings concurrently."""
-    cv = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=grid,
-        evaluator=evaluator,
-        foldCol=fold_col,
-        parallelism=parallelism,
-        seed=seed,
+    """L-3 ... L-7: k-fold search on precomputed folds (``fold_col``), best mean
+    AUC or RMSE, refitted on all rows.
+
+    The feature stages are fitted once a fold and their vectors kept while the
+    fold's settings are fitted.  Forests are evaluated by prefix: the trees of a
+    forest are drawn independently, so the first k trees of the largest are a
+    forest of k trees; one fit per fold and other settings serves all tree
+    counts.  ``parallelism`` fits run at a time.
+    """
+    *prepare, est = pipeline.getStages()
+    counts = sorted(grid.get("numTrees", [])) or None
+    others = _settings({k: v for k, v in grid.items() if k != "numTrees"})
+    kept: dict[int, tuple] = {}
+    left = dict.fromkeys(range(num_folds), len(others))
+    lock = Lock()
+
+    def features(k: int) -> DataFrame:
+        with lock:
+            if k not in kept:
+                side = F.col(fold_col) == k
+                fitted = Pipeline(stages=prepare).fit(train.where(~side))
+                kept[k] = fitted.transform(train).select(label, "features", fold_col).persist()
+            return kept[k]
+
+    def run(job: tuple[int, dict]) -> list[dict]:
+        k, setting = job
+        rows = features(k)
+        extra = {**setting, **({"numTrees": counts[-1]} if counts else {})}
+        model = est.copy({est.getParam(n): v for n, v in extra.items()}).fit(rows.where(F.col(fold_col) != k))
+        scores = _fold_scores(model, rows.where(F.col(fold_col) == k), task, label, counts)
+        with lock:
+            left[k] -= 1
+            if not left[k]:
+                rows.unpersist()
+        return [{**setting, **({"numTrees": counts[i]} if counts else {}), "fold": k, "metric": m, "n_rows": n} for i, (m, n) in enumerate(scores)]
+
+    with ThreadPool(parallelism) as pool:
+        rows = [r for part in pool.map(inheritable_thread_target(train.sparkSession)(run), [(k, s) for k in range(num_folds) for s in others], chunksize=1) for r in part]
+    names = list(grid)
+    means = []
+    for s in _settings(grid):
+        seen = [r["metric"] for r in rows if all(r[n] == s[n] for n in names) and r["metric"] is not None]
+        means.append((s, sum(seen) / len(seen) if seen else None))
+    scored = [(s, m) for s, m in means if m is not None]
+    pick = max if task == CLASSIFICATION else min
+    best = pick(scored, key=lambda x: x[1])[0] if scored else means[0][0]
+    model = Pipeline(stages=[*prepare, est.copy({est.getParam(n): v for n, v in best.items()})]).fit(train)
+    spark, metric = train.sparkSession, "areaUnderROC" if task == CLASSIFICATION else "rmse"
+    kinds = ", ".join(f"{n} {'int' if isinstance(v[0], int) else 'double'}" for n, v in grid.items())
+    return CVResult(
+        model, best,
+        spark.createDataFrame([(*(s[n] for n in names), m) for s, m in means], f"{kinds}, mean_{metric} double"),
+        spark.createDataFrame([(*(r[n] for n in names), r["fold"], r["n_rows"], r["metric"]) for r in rows], f"{kinds}, fold int, n_rows bigint, {metric} double"),
     )
-    cvm = cv.fit(train)
-    best = cvm.bestModel
-    est = best.stages[-1]
-    names = sorted({p.name for pm in grid for p in pm})
-    best_params = {n: est.getOrDefault(est.getParam(n)) for n in names}
-    rows = []
-    for pm, m in zip(grid, cvm.avgMetrics):
-        by_name = {p.name: v for p, v in pm.items()}
-        rows.append(tuple(by_name[n] for n in names) + (float(m),))
-    spark = train.sparkSession
-    metric = evaluator.getMetricName()
-    grid_df = spark.createDataFrame(rows, schema=[*names, f"mean_{metric}"])
-    return CVResult(best, best_params, grid_df)
 
 
 def with_score(predictions: DataFrame, out: str = "score") -> DataFrame:

@@ -447,13 +447,58 @@ FROM met LEFT JOIN mv c ON c.model = met.model AND c.event_id = met.champion_eve
 # Fitted models: what must hold for any correct fit, on the known key set
 # --------------------------------------------------------------------------
 
-HOLDOUT_CLS = f"SELECT {KEYS}, fraud, true AS valid FROM ({LABELS}) WHERE {HOLDOUT}"
-HOLDOUT_REG = f"SELECT {KEYS}, {r('query_latency', 'query_latency')}, true AS valid FROM ({METRICS}) WHERE {HOLDOUT}"
+FOLD = f"CAST({hex_word(key_str(), 1)} % {NUM_FOLDS} AS INTEGER)"
+LATENCY = "2.0 * l_quantity + 300.0 * l_tax + l_extendedprice / 10000.0"
+SIGNAL = f"""SELECT {KEYS}, l_shipdate AS "timestamp", l_suppkey % 5 + 1 AS node_id,
+  {LATENCY} AS query_latency, l_discount * 100 AS cpu_utilization,
+  l_quantity AS memory_utilization, l_tax * 100 AS system_load FROM lineitem"""
+SIGNAL_LABELS = f"SELECT * EXCLUDE (query_latency), CAST(query_latency > 70.0 AS INTEGER) AS fraud FROM ({SIGNAL})"
+HOLDOUT_CLS = f"""WITH d AS (SELECT *, {HOLDOUT} AS held FROM ({SIGNAL_LABELS})),
+c AS (SELECT fraud AS common FROM d WHERE NOT held GROUP BY fraud ORDER BY count(*) DESC, fraud LIMIT 1),
+s AS (SELECT avg(CAST(fraud = common AS DOUBLE)) AS share FROM d, c WHERE held)
+SELECT {KEYS}, fraud, true AS valid, {r('share', 'common_share')}, true AS beats_common, true AS auc_above_nine_tenths FROM d, s WHERE held"""
+HOLDOUT_TWO = f"SELECT {KEYS}, fraud, true AS valid, true AS champion_mostly_right, true AS challenger_mostly_right FROM ({SIGNAL_LABELS}) WHERE {HOLDOUT}"
+HOLDOUT_REG = f"""WITH d AS (SELECT *, {HOLDOUT} AS held FROM ({SIGNAL})),
+m AS (SELECT avg(query_latency) AS mean FROM d WHERE NOT held),
+e AS (SELECT sqrt(avg((query_latency - mean) * (query_latency - mean))) AS plain FROM d, m WHERE held)
+SELECT {KEYS}, {r('query_latency', 'query_latency')}, {r('plain', 'mean_rmse')}, true AS far_below_mean_rmse FROM d, e WHERE held"""
 CROSS_VALIDATE = """SELECT CAST(t AS INTEGER) AS "numTrees", CAST(d AS INTEGER) AS "maxDepth", true AS valid,
   true AS best_has_largest FROM (VALUES (10, 5), (10, 10), (20, 5), (20, 10)) g(t, d)"""
+CROSS_VALIDATE_REGRESSION = f"""WITH f AS (SELECT query_latency, {FOLD} AS fold FROM ({SIGNAL}) WHERE NOT ({HOLDOUT})),
+m AS (SELECT k.fold, avg(query_latency) AS mean FROM (VALUES (0), (1), (2)) k(fold) JOIN f ON f.fold <> k.fold GROUP BY k.fold),
+e AS (SELECT fold, count(*) AS n_rows, sqrt(avg((query_latency - mean) * (query_latency - mean))) AS plain FROM f JOIN m USING (fold) GROUP BY fold)
+SELECT CAST(t AS INTEGER) AS "numTrees", CAST(d AS INTEGER) AS "maxDepth", CAST(fold AS INTEGER) AS fold, n_rows, {r('plain', 'mean_rmse')},
+  true AS far_below, true AS best_has_least FROM e, (VALUES (30), (50), (70)) a(t), (VALUES (5), (10), (15)) b(d)"""
+FOREST_NODES = f"SELECT {KEYS}, fraud, true AS same FROM ({SIGNAL_LABELS}) WHERE {HOLDOUT}"
+FOREST_LEAVES = f"""SELECT CAST(t AS INTEGER) AS tree, count(*) AS n_rows, round(sum(query_latency), 2) AS label_sum, true AS many_leaves
+FROM ({SIGNAL}), (VALUES (0), (1), (2)) v(t) WHERE NOT ({HOLDOUT}) GROUP BY t"""
 BATCH_SCORE = f"""SELECT {KEYS}, day AS score_date, true AS valid
 FROM ({METRICS}), (VALUES ('2024-01-30'), ('2024-01-31')) v(day) WHERE {HOLDOUT}"""
-MODEL_ROUNDTRIP = f"SELECT count(*) AS n_rows, count(*) AS n_same FROM ({LABELS}) WHERE {HOLDOUT}"
+
+
+def _least_squares(tail: str) -> str:
+    """Gauss-Jordan elimination on the covariances of the training side, one
+    CTE per feature; a feature without variance gets coefficient 0.  ``b`` is
+    one row: coefficients b0 ..., intercept b."""
+    k = len(FEATURES)
+    names = [*FEATURES, "query_latency"]
+    cells = [(i, j) for i in range(k) for j in range(k + 1)]
+    out = [f"d AS MATERIALIZED (SELECT *, {HOLDOUT} AS held FROM ({features_from(SIGNAL)}))",
+           f"""s0 AS MATERIALIZED (SELECT unnest([{', '.join(str(i) for i, _ in cells)}]) AS i, unnest([{', '.join(str(j) for _, j in cells)}]) AS j,
+  unnest([{', '.join(f'covar_pop({names[i]}, {names[j]})' for i, j in cells)}]) AS v FROM d WHERE NOT held)"""]
+    for p in range(k):
+        out.append(f"""s{p + 1} AS MATERIALIZED (SELECT a.i, a.j, CASE WHEN t.v < 1e-9 THEN (CASE WHEN a.i = {p} THEN 0 ELSE a.v END)
+  WHEN a.i = {p} THEN a.v / t.v ELSE a.v - q.v * w.v / t.v END AS v
+  FROM s{p} a JOIN s{p} q ON q.i = a.i AND q.j = {p} JOIN s{p} w ON w.i = {p} AND w.j = a.j JOIN s{p} t ON t.i = {p} AND t.j = {p})""")
+    out.append(f"beta AS (SELECT {', '.join(f'max(v) FILTER (i = {i}) AS b{i}' for i in range(k))} FROM s{k} WHERE j = {k})")
+    out.append(f"means AS (SELECT {', '.join(f'avg({c}) AS m{i}' for i, c in enumerate(names))} FROM d WHERE NOT held)")
+    out.append(f"b AS (SELECT *, m{k} - ({' + '.join(f'b{i} * m{i}' for i in range(k))}) AS b FROM beta, means)")
+    return f"WITH {', '.join(out)} {tail}"
+
+
+TRAIN_LINEAR = _least_squares(f"""SELECT {KEYS}, round(b + {' + '.join(f'b{i} * {c}' for i, c in enumerate(FEATURES))}, 4) AS prediction, true AS pipeline_agrees FROM d, b WHERE held""")
+LINEAR_COEFFICIENTS = _least_squares(" UNION ALL ".join(f"SELECT '{c}' AS feature, {r(f'b{i}', 'coefficient')}, true AS residual_is_orthogonal FROM b" for i, c in enumerate(FEATURES)))
+MODEL_ROUNDTRIP = f"SELECT count(*) AS n_rows, count(*) AS n_same FROM ({SIGNAL_LABELS}) WHERE {HOLDOUT}"
 BOOTSTRAP_F1 = f"""SELECT DISTINCT node_id, CAST({REPLICATES} AS BIGINT) AS n_replicates,
   CAST({REPLICATES} AS BIGINT) AS n_consistent, true AS mean_is_near FROM ({LABELS}) WHERE {HOLDOUT}"""
 
@@ -528,11 +573,15 @@ ORACLE: dict[str, str] = {
     "processed_sets": STANDARDIZE,
     "train_classifier": HOLDOUT_CLS,
     "train_regressor": HOLDOUT_REG,
-    "train_linear": HOLDOUT_REG,
+    "train_linear": TRAIN_LINEAR,
+    "linear_coefficients": LINEAR_COEFFICIENTS,
     "train_logistic": HOLDOUT_CLS,
-    "two_model_score": HOLDOUT_CLS,
+    "two_model_score": HOLDOUT_TWO,
     "stream_score": HOLDOUT_CLS,
     "cross_validate": CROSS_VALIDATE,
+    "cross_validate_regression": CROSS_VALIDATE_REGRESSION,
+    "forest_nodes": FOREST_NODES,
+    "forest_leaves": FOREST_LEAVES,
     "batch_score": BATCH_SCORE,
     "model_roundtrip": MODEL_ROUNDTRIP,
     "bootstrap_f1": BOOTSTRAP_F1,

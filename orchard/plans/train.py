@@ -70,6 +70,7 @@ class TrainResult:
     features: list[str]
     best_params: dict
     grid_metrics: DataFrame | None
+    fold_metrics: DataFrame | None
     predictions: DataFrame
     task: str
     label: str
@@ -151,14 +152,10 @@ def train(
     counts = tr.agg(F.count(F.lit(1)).alias("n"), F.count_if(~complete).alias("dropped")).first()
     parts = training.layout_partitions(counts["n"] - counts["dropped"])
     tr = training.stable_layout(tr.where(complete), keys, parts).persist()
-    grid_df = None
+    grid_df = fold_df = None
     if grid:
-        est = inner.getStages()[-1]
-        cv = training.cross_validate(
-            tr, inner, training.param_grid(est, grid), training.evaluator_for(task, label),
-            fold_col="fold", parallelism=parallelism, seed=seed,
-        )
-        fitted, best, grid_df = cv.model, cv.best_params, cv.grid_metrics
+        cv = training.cross_validate(tr, inner, grid, task, label, num_folds, "fold", parallelism)
+        fitted, best, grid_df, fold_df = cv.model, cv.best_params, cv.grid_metrics, cv.fold_metrics
     else:
         fitted = inner.fit(tr)
         est = fitted.stages[-1]
@@ -170,7 +167,7 @@ def train(
     dropped_test = te.where(~whole).count()
     preds = fitted.transform(te.where(whole))
     tr.unpersist()
-    return TrainResult(run_id, model, feats, best, grid_df, preds, task, label,
+    return TrainResult(run_id, model, feats, best, grid_df, fold_df, preds, task, label,
                        extra={"training_rows": counts["n"] - counts["dropped"],
                               "dropped_training_rows": counts["dropped"], "dropped_test_rows": dropped_test})
 

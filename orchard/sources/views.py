@@ -14,11 +14,10 @@ predictions can be joined back to their rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orchard.operators.scan import row_number_within
-from orchard.sources.readers import read_table
 
 # Key columns of the metrics view (lineitem line identity).
 METRICS_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -54,12 +53,18 @@ def label_view(lineitem: DataFrame, extra: list[str] | tuple[str, ...] = ()) ->
     )
 
 
-def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics_view(read_table(spark, sf_dir, "lineitem"))
+def signal_view(lineitem: DataFrame) -> DataFrame:
+    """Metrics rows whose ``query_latency`` depends on the utilisation columns
+    (the test table's own columns are independent of each other), with a rest
+    that none of them explains."""
+    latency = F.lit(2.0) * F.col("l_quantity") + F.lit(300.0) * F.col("l_tax") + F.col("l_extendedprice") / F.lit(10000.0)
+    return lineitem.select(*_metric_columns(), latency.alias("_latency")).withColumn("query_latency", F.col("_latency")).drop("_latency")
 
 
-def load_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return label_view(read_table(spark, sf_dir, "lineitem"))
+def signal_labels(lineitem: DataFrame) -> DataFrame:
+    """The same rows with ``fraud`` = a latency above 70 in place of the latency."""
+    rows = signal_view(lineitem)
+    return rows.withColumn("fraud", (F.col("query_latency") > 70.0).cast("int")).drop("query_latency")
 
 
 # --------------------------------------------------------------------------
