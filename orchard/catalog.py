@@ -20,12 +20,13 @@ from orchard.functions.features import (
     INTERACTION_FEATURE,
     RATIO_FEATURE,
     add_calendar,
+    all_but,
     derive_features,
     guarded_ratio,
     interaction,
     numeric_columns,
 )
-from orchard.operators import abtest, baselines, bootstrap, forest, linear, metrics, profile, registry, scoring, split, training
+from orchard.operators import abtest, baselines, bootstrap, forest, linear, metrics, profile, registry, scaling, scoring, split, training
 from orchard.plans import inference
 from orchard.streaming import scoring as stream_scoring
 from orchard.plans import train as train_plan
@@ -427,15 +428,102 @@ def q_retraining_report(spark, sf_dir):
 
 def q_processed_sets(spark, sf_dir):
     """K-1 + M-1 + M-4: preprocess (assembler + ML scaler fit on the training
-    side), write both sets as Parquet, read back and expand the vectors."""
-    tr, te, _, feats = train_plan.preprocess(_metrics(spark, sf_dir), "query_latency", METRICS_KEYS, TEST_SIZE, SEED)
-    root = fresh_path(spark, "processed")
-    sinks.write_parquet(tr, root + "/train")
-    sinks.write_parquet(te, root + "/test")
-    back = spark.read.parquet(root + "/train").withColumn("split", F.lit(split.TRAIN)).unionByName(
-        spark.read.parquet(root + "/test").withColumn("split", F.lit(split.TEST))
-    )
-    return rounded(train_plan.expand_features(back, feats).select(*METRICS_KEYS, "split", *feats))
+    side), write both sets in one pass, read back and expand the vectors."""
+    path = fresh_path(spark, "processed")
+    train_plan.write_processed(_metrics(spark, sf_dir), "query_latency", METRICS_KEYS, path, TEST_SIZE, SEED)
+    feats = train_plan.read_processed(spark, path).features
+    return rounded(train_plan.expand_features(spark.read.parquet(path), feats).select(*METRICS_KEYS, "split", *feats))
+
+
+def q_processed_counts(spark, sf_dir):
+    """F-1 + T-3 + F-3 observed while the processed set is written: all rows,
+    rows left out for a null, both sides."""
+    data = _holed(spark, sf_dir).select(*METRICS_KEYS, "memory_utilization", "label")
+    counts = train_plan.write_processed(data, "label", METRICS_KEYS, fresh_path(spark, "processed"), TEST_SIZE, SEED)
+    return spark.createDataFrame([(k, int(v)) for k, v in counts.items()], "name string, n bigint")
+
+
+def q_train_from_processed(spark, sf_dir):
+    """S-2 + K-1: a forest trained on the stored set against one trained on the
+    raw rows: the hold-out predictions are the same."""
+    data = _signal(spark, sf_dir)
+    path = fresh_path(spark, "processed")
+    train_plan.write_processed(data, "query_latency", METRICS_KEYS, path, TEST_SIZE, SEED)
+    small = {"numTrees": 10, "maxDepth": 5}
+    stored = train_plan.train_processed(train_plan.read_processed(spark, path), training.REGRESSION, seed=SEED, params=small)
+    raw = train_plan.train(data, training.REGRESSION, "query_latency", METRICS_KEYS, test_size=TEST_SIZE, seed=SEED, params=small)
+    gap = abs(stored.holdout_metrics.first()["rmse"] - raw.holdout_metrics.first()["rmse"])
+    test = split.hash_split(data, METRICS_KEYS, TEST_SIZE, SEED)[1]
+    both = scoring.score_two(raw.model, stored.model, test, keep=[*METRICS_KEYS, "query_latency"])
+    same = F.abs(F.col("pred_champion") - F.col("pred_challenger")) < 1e-6
+    return rounded(both.select(*METRICS_KEYS, "query_latency", same.alias("same_prediction"), F.lit(gap < 1e-6).alias("same_rmse")))
+
+
+def q_log_params(spark, sf_dir):
+    """R-1: what a training run writes as params: its settings and counts."""
+    data = _signal_labels(spark, sf_dir)
+    store = RegistryStore(spark, fresh_path(spark, "registry"))
+    res = train_plan.train(data, training.CLASSIFICATION, "fraud", METRICS_KEYS, test_size=TEST_SIZE, seed=SEED, run_id="run-1")
+    train_plan.log_training_run(res, store, store.next_event_id(), training.CLASSIFIER_GRID)
+    return store.runs().where(F.col("kind") == "param").select("run_id", "key", "value", "event_id")
+
+
+def q_train_log_lines(spark, sf_dir):
+    """K-4: a training run's log lines through the text sink and back: every
+    param, every hold-out metric by name, the decision."""
+    data = _signal_labels(spark, sf_dir)
+    store = RegistryStore(spark, fresh_path(spark, "registry"))
+    res = train_plan.train(data, training.CLASSIFICATION, "fraud", METRICS_KEYS, test_size=TEST_SIZE, seed=SEED, run_id="run-1")
+    event = store.next_event_id()
+    train_plan.log_training_run(res, store, event, None)
+    train_plan.register_and_promote(res, store, "fraud_model", "auc", True, event)
+    path = sinks.write_text(train_plan.log_lines(res, store), fresh_path(spark, "train-log"))
+    lines = spark.read.text(path).select(F.split("value", r" \| ").alias("p"))
+    # Metric values belong to the fit; their rows are told by name.
+    return lines.select(F.col("p")[1].alias("kind"), F.col("p")[2].alias("key"), F.when(F.col("p")[1] != "metric", F.col("p")[3]).alias("value"))
+
+
+def q_select_all_but_label(spark, sf_dir):
+    """P-3: every column except keys and label."""
+    rows = _labels(spark, sf_dir)
+    return rounded(rows.select(*all_but(rows, ["fraud", *METRICS_KEYS])))
+
+
+def q_auc_many_scores(spark, sf_dir):
+    """A-1 with nearly as many distinct scores as rows."""
+    rows = _labels(spark, sf_dir).select("node_id", F.col("fraud").alias("label"), (F.col("query_latency") * F.lit(0.001) + F.col("memory_utilization")).alias("score"))
+    return rounded(metrics.auc(rows, segments=["node_id"]))
+
+
+def q_incremental_scaler(spark, sf_dir):
+    """M-4 incremental: moments per load are written for two loads, the second
+    is replaced, the table is merged: mean and standard deviation of all rows."""
+    rows = derive_features(_metrics(spark, sf_dir)).withColumn("load", (F.col("l_orderkey") % 7).cast("int"))
+    path = fresh_path(spark, "moments")
+    scaling.write_moments(rows.where("load < 4"), FEATURES, ["load"], path)
+    scaling.write_moments(rows.where("load = 4 and node_id > 2"), FEATURES, ["load"], path)
+    scaling.write_moments(rows.where("load >= 4"), FEATURES, ["load"], path)
+    merged = scaling.merge_moments(spark.read.parquet(path))
+    return rounded(merged.select("column_name", "n", "mean", F.sqrt(F.col("m2") / (F.col("n") - 1)).alias("sd")))
+
+
+def q_sketch_profile(spark, sf_dir):
+    """F-4 by sketches per slice, merged: exact counts and extremes beside
+    whether the estimates keep their bounds against exact answers."""
+    rows = derive_features(_labels(spark, sf_dir)).withColumn("slice", F.pmod("l_orderkey", F.lit(5)))
+    path = fresh_path(spark, "sketches")
+    profile.column_sketches(rows, ["slice"]).write.parquet(path)
+    told = profile.sketch_profile(profile.merge_sketches(spark.read.parquet(path)))
+    names = [c for c in rows.columns if c != "slice"]
+    exact = profile.column_profile(rows.select(*names)).select("column_name", F.col("n_distinct").alias("exact"))
+    median = told.select("column_name", "q50")
+    cells = rows.select(*[F.struct(F.col(c).cast("double").alias("v")).alias(c) for c in names]).unpivot([], names, "column_name", "e")
+    ranks = cells.join(median, "column_name").groupBy("column_name").agg(
+        F.avg((F.col("e.v") < F.col("q50")).cast("double")).alias("below"), F.avg((F.col("e.v") <= F.col("q50")).cast("double")).alias("upto"))
+    good = F.abs(F.col("n_distinct") - F.col("exact")) <= F.lit(profile.DISTINCT_ERROR) * F.col("exact") + 0.5
+    near = (F.col("below") <= 0.5 + profile.RANK_ERROR) & (F.col("upto") >= 0.5 - profile.RANK_ERROR)
+    out = told.join(exact, "column_name").join(ranks, "column_name")
+    return rounded(out.select("column_name", "n_rows", "null_count", "min_value", "max_value", good.alias("distinct_within_bound"), near.alias("median_within_bound")))
 
 
 def _classified(spark, scored: DataFrame, train: DataFrame) -> DataFrame:
@@ -727,6 +815,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_regressor": q_train_regressor,
     "train_linear": q_train_linear,
     "cross_validate": q_cross_validate,
+    "processed_counts": q_processed_counts,
+    "train_from_processed": q_train_from_processed,
+    "log_params": q_log_params,
+    "train_log_lines": q_train_log_lines,
+    "select_all_but_label": q_select_all_but_label,
+    "auc_many_scores": q_auc_many_scores,
+    "incremental_scaler": q_incremental_scaler,
+    "sketch_profile": q_sketch_profile,
     "cross_validate_regression": q_cross_validate_regression,
     "linear_coefficients": q_linear_coefficients,
     "forest_nodes": q_forest_nodes,

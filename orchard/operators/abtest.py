@@ -13,12 +13,16 @@ from orchard.functions.stats import cohens_d, t_pvalue, welch_dof, welch_t
 
 PROMOTE, KEEP, SKIPPED = "PROMOTE", "KEEP_CHAMPION", "SKIPPED"
 ALPHA = 0.05
+GAIN_INTERVAL = (0.025, 0.975)
 
 
 def replicate_summary(
     reps: DataFrame, segments: list[str] | None = None, a: str = "champion", b: str = "challenger"
 ) -> DataFrame:
-    """B-4: replicate means, population sds, sample variances, improvement."""
+    """B-4: replicate means, population sds, sample variances, improvement;
+    Q-8: the share of replicates in which the challenger gains nothing, and the
+    interval that holds the middle 95 % of its gains (exact order statistics,
+    neighbours interpolated, over the replicates of one segment)."""
     seg = segments or []
     fa, fb = F.col(f"f1_{a}"), F.col(f"f1_{b}")
     return reps.groupBy(*seg).agg(
@@ -29,6 +33,9 @@ def replicate_summary(
         F.stddev_pop(fb).alias(f"sd_{b}"),
         F.var_samp(fa).alias(f"var_{a}"),
         F.var_samp(fb).alias(f"var_{b}"),
+        F.avg(F.when(fb > fa, 0.0).otherwise(1.0)).alias("share_without_gain"),
+        F.percentile(fb - fa, GAIN_INTERVAL[0]).alias("gain_low"),
+        F.percentile(fb - fa, GAIN_INTERVAL[1]).alias("gain_high"),
     ).withColumn("f1_improvement", F.col(f"mean_{b}") - F.col(f"mean_{a}"))
 
 
@@ -133,6 +140,7 @@ def ab_report(
         f"{a}_auc", f"{a}_f1", f"{a}_accuracy",
         f"{b}_auc", f"{b}_f1", f"{b}_accuracy",
         "f1_improvement", "p_value", "effect_size", "is_significant", "decision",
+        "share_without_gain", "gain_low", "gain_high",
         F.col("test_set_size").cast("bigint").alias("test_set_size"),
         F.lit(champion_uri).alias(f"{a}_model"),
         F.lit(challenger_uri).alias(f"{b}_model"),

@@ -17,7 +17,7 @@ Both forms keep the data on the executors; nothing is collected.
 from __future__ import annotations
 
 import sys
-import zlib
+from functools import partial
 
 import numpy as np
 from pyspark import cloudpickle
@@ -106,8 +106,31 @@ def cell_counts(
     )
 
 
-def _segment_salt(values: list) -> int:
-    return zlib.crc32("\x1f".join(str(v) for v in values).encode("utf-8"))
+def segment_salt(segments: list[str]) -> Column:
+    """Number that stands for a segment's values, from their text in Spark (a
+    pandas batch would turn whole numbers next to a null into floats)."""
+    said = [F.coalesce(F.col(s).cast("string"), F.lit("\0")) for s in segments]
+    return F.crc32(F.encode(F.concat_ws("\x1f", *said), "utf-8")) if said else F.lit(0).cast("bigint")
+
+
+def draw_cells(batches, seg: list[str], names: tuple[str, str], seed: int):
+    """One multinomial draw per row: cells c0..c7 -> counts and F1 of both models."""
+    na, nb = names
+    y, a, b = (np.array([(k >> bit) & 1 for k in range(_CELLS)], dtype=bool) for bit in (2, 1, 0))
+    for pdf in batches:
+        counts = pdf[[f"c{k}" for k in range(_CELLS)]].to_numpy(dtype=np.int64)
+        out = np.zeros((len(pdf), _CELLS), dtype=np.int64)
+        for i, (salt, replicate) in enumerate(zip(pdf["_salt"].tolist(), pdf["replicate"].tolist())):
+            if n := int(counts[i].sum()):
+                out[i] = np.random.default_rng([seed + replicate, salt]).multinomial(n, counts[i] / n)
+        res = pdf[[*seg, "replicate"]].copy()
+        res["replicate"] = res["replicate"].astype("int32")
+        for name, p in ((na, a), (nb, b)):
+            tp, fp, fn = out[:, y & p].sum(axis=1), out[:, ~y & p].sum(axis=1), out[:, y & ~p].sum(axis=1)
+            den = 2 * tp + fp + fn
+            res[f"tp_{name}"], res[f"fp_{name}"], res[f"fn_{name}"] = tp, fp, fn
+            res[f"f1_{name}"] = np.where(den > 0, 2.0 * tp / np.maximum(den, 1), 0.0)
+        yield res[[*seg, "replicate", f"tp_{na}", f"fp_{na}", f"fn_{na}", f"tp_{nb}", f"fp_{nb}", f"fn_{nb}", f"f1_{na}", f"f1_{nb}"]]
 
 
 def multinomial_bootstrap(
@@ -123,7 +146,7 @@ def multinomial_bootstrap(
     """B-1: replicate i draws with seed (seed + i, segment) for both models."""
     seg = segments or []
     cells = cell_counts(df, label, pred_a, pred_b, seg)
-    reps = cells.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
+    reps = cells.withColumn("_salt", segment_salt(seg)).select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
     reps = reps.repartition(shuffle_partitions(df.sparkSession))
     na, nb = names
     seg_types = {f.name: f.dataType.simpleString() for f in cells.schema.fields if f.name in seg}
@@ -135,30 +158,4 @@ def multinomial_bootstrap(
         + [f"f1_{na} double", f"f1_{nb} double"]
     )
 
-    def draw(batches):
-        for pdf in batches:
-            counts = pdf[[f"c{k}" for k in range(_CELLS)]].to_numpy(dtype=np.int64)
-            out = np.zeros((len(pdf), _CELLS), dtype=np.int64)
-            for i in range(len(pdf)):
-                n = int(counts[i].sum())
-                if n == 0:
-                    continue
-                salt = _segment_salt([pdf[s].iat[i] for s in seg])
-                rng = np.random.default_rng([seed + int(pdf["replicate"].iat[i]), salt])
-                out[i] = rng.multinomial(n, counts[i] / n)
-            y = np.array([(k >> 2) & 1 for k in range(_CELLS)], dtype=bool)
-            a = np.array([(k >> 1) & 1 for k in range(_CELLS)], dtype=bool)
-            b = np.array([k & 1 for k in range(_CELLS)], dtype=bool)
-            res = pdf[seg + ["replicate"]].copy()
-            res["replicate"] = res["replicate"].astype("int32")
-            for name, p in ((na, a), (nb, b)):
-                tp = out[:, y & p].sum(axis=1)
-                fp = out[:, ~y & p].sum(axis=1)
-                fn = out[:, y & ~p].sum(axis=1)
-                den = 2 * tp + fp + fn
-                res[f"tp_{name}"], res[f"fp_{name}"], res[f"fn_{name}"] = tp, fp, fn
-                res[f"f1_{name}"] = np.where(den > 0, 2.0 * tp / np.maximum(den, 1), 0.0)
-            yield res[[*seg, "replicate", f"tp_{na}", f"fp_{na}", f"fn_{na}",
-                       f"tp_{nb}", f"fp_{nb}", f"fn_{nb}", f"f1_{na}", f"f1_{nb}"]]
-
-    return reps.mapInPandas(draw, schema)
+    return reps.mapInPandas(partial(draw_cells, seg=seg, names=names, seed=seed), schema)

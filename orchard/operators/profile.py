@@ -102,3 +102,52 @@ def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
     Planned as a top-k (``TakeOrderedAndProject``): each task keeps ``n`` rows.
     """
     return df.orderBy(*order_by).limit(n)
+
+
+# --------------------------------------------------------------------------
+# F-4 by sketches: bounded state per column, mergeable over slices
+# --------------------------------------------------------------------------
+
+#: State sizes: 2^12 registers (distinct counts), k = 400 (quantiles).
+DISTINCT_LOG_K, QUANTILE_K = 12, 400
+#: What the states promise: three standard errors of the distinct count
+#: (0.78 / sqrt(2^12) each way of the union form), the 99 % rank error.
+DISTINCT_ERROR, RANK_ERROR = 3 * 1.04 / 2 ** (DISTINCT_LOG_K / 2), 0.01
+
+
+def column_sketches(df: DataFrame, by: list[str] = ()) -> DataFrame:
+    """``by…, column_name, n_rows, null_count, distinct, quantiles, min_value,
+    max_value``: one row per slice and column with mergeable sketches in place
+    of the values, so the shuffle carries a state of bounded size per task and
+    column whatever the data.  A mode of its own, chosen by the caller."""
+    parts = []
+    for f in df.schema.fields:
+        if f.name in by:
+            continue
+        c = F.col(f"`{f.name}`")
+        number = c.cast("double") if _is_numeric(f.dataType) else F.lit(None).cast("double")
+        parts.append(F.struct(
+            F.lit(f.name).alias("column_name"), F.count(F.lit(1)).alias("n_rows"), F.count_if(c.isNull()).alias("null_count"),
+            F.hll_sketch_agg(c.cast("string"), DISTINCT_LOG_K).alias("distinct"),
+            F.kll_sketch_agg_double(number, QUANTILE_K).alias("quantiles"),
+            F.min(number).alias("min_value"), F.max(number).alias("max_value")))
+    return df.groupBy(*by).agg(F.array(*parts).alias("_s")).select(*by, F.explode("_s").alias("_s")).select(*by, "_s.*")
+
+
+def merge_sketches(sketches: DataFrame) -> DataFrame:
+    """One row per column over all slices, sketches merged."""
+    return sketches.groupBy("column_name").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("null_count").alias("null_count"),
+        F.hll_union_agg("distinct").alias("distinct"), F.kll_merge_agg_double("quantiles").alias("quantiles"),
+        F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"))
+
+
+def sketch_profile(merged: DataFrame, quantiles: list[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """``column_name, n_rows, null_count, n_distinct, min_value, max_value, q…``
+    read off merged sketches: distinct counts within ``DISTINCT_ERROR`` of the
+    truth, quantiles within ``RANK_ERROR`` of their rank; null for columns that
+    are not numbers or hold none."""
+    has = F.kll_sketch_get_n_double("quantiles") > 0
+    return merged.select(
+        "column_name", "n_rows", "null_count", F.hll_sketch_estimate("distinct").alias("n_distinct"), "min_value", "max_value",
+        *[F.when(has, F.kll_sketch_get_quantile_double("quantiles", F.lit(q))).alias(f"q{round(100 * q)}") for q in quantiles])

@@ -45,3 +45,59 @@ def fit_scaler(df: DataFrame, columns: list[str]) -> ColumnScaler:
         tuple(row[f"m{i}"] for i in range(len(columns))),
         tuple(row[f"s{i}"] for i in range(len(columns))),
     )
+
+
+# --------------------------------------------------------------------------
+# Statistics kept per slice of the data (a day, a load), merged on demand
+# --------------------------------------------------------------------------
+
+
+def moments(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+    """``by…, column_name, n, mean, m2``: row count, mean and sum of squared
+    deviations of each column's non-null values per slice, in one pass.  Append
+    the rows of new slices to a table and old data is never read again."""
+    x = [F.col(c).cast("double") for c in columns]
+    parts = [
+        F.struct(F.lit(c).alias("column_name"), F.count(v).alias("n"), F.avg(v).alias("mean"), (F.var_pop(v) * F.count(v)).alias("m2"))
+        for c, v in zip(columns, x)
+    ]
+    return df.groupBy(*by).agg(F.array(*parts).alias("_m")).select(*by, F.explode("_m").alias("_m")).select(*by, "_m.*")
+
+
+def write_moments(rows: DataFrame, columns: list[str], by: list[str], path: str) -> str:
+    """Add or replace the slices that ``rows`` holds; other slices stay."""
+    moments(rows, columns, by).write.mode("overwrite").partitionBy(*by).option("partitionOverwriteMode", "dynamic").parquet(path)
+    return path
+
+
+def merge_moments(table: DataFrame) -> DataFrame:
+    """``column_name, n, mean, m2`` over all slices by the pairwise formula:
+    two parts with means m1, m2 have the joint mean m1 + d n2 / n and the joint
+    sum of squares s1 + s2 + d² n1 n2 / n, d = m2 - m1.  Deviations are added,
+    never squares of the values, so nothing cancels.  The list that is folded
+    holds one entry a slice and column."""
+    part = F.struct("n", "mean", "m2")
+    zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+
+    def both(a, b):
+        n = a["n"] + b["n"]
+        d = b["mean"] - a["mean"]
+        return F.struct(
+            n.alias("n"),
+            (a["mean"] + d * b["n"] / n).alias("mean"),
+            (a["m2"] + b["m2"] + d * d * a["n"] * b["n"] / n).alias("m2"),
+        )
+
+    folded = table.where(F.col("n") > 0).groupBy("column_name").agg(F.aggregate(F.array_sort(F.collect_list(part)), zero, both).alias("all"))
+    return folded.select("column_name", "all.*")
+
+
+def scaler_from_moments(merged: DataFrame, columns: list[str]) -> ColumnScaler:
+    """The scaler that ``fit_scaler`` would fit on all slices' rows."""
+    rows = {r["column_name"]: r for r in merged.collect()}  # one row a column
+    found = [rows.get(c) for c in columns]
+    return ColumnScaler(
+        tuple(columns),
+        tuple(r["mean"] if r else None for r in found),
+        tuple((r["m2"] / (r["n"] - 1)) ** 0.5 if r and r["n"] > 1 else None for r in found),
+    )

@@ -22,6 +22,7 @@ each group when the exact per-row result matters.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
@@ -50,7 +51,8 @@ _MERGE = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
 
 
 def slice_bounds(df: DataFrame, order_col: str, slices: int, accuracy: int = 10000) -> list[float]:
-    """Approximate quantile cut points of ``order_col`` (at most slices - 1)."""
+    """Approximate quantile cut points of ``order_col`` (at most slices - 1).
+    Infinite values belong to the first and last slice and give no cut."""
     if slices <= 1:
         return []
     probs = [i / slices for i in range(1, slices)]
@@ -58,7 +60,7 @@ def slice_bounds(df: DataFrame, order_col: str, slices: int, accuracy: int = 100
         F.percentile_approx(F.col(order_col).cast("double"), probs, accuracy).alias("q")
     ).first()
     qs = row["q"] if row is not None else None
-    return sorted({float(q) for q in qs if q is not None}) if qs else []
+    return sorted({float(q) for q in qs if q is not None and math.isfinite(q)}) if qs else []
 
 
 def with_slice(df: DataFrame, order_col: str, bounds: list[float], out: str = "_slice") -> DataFrame:

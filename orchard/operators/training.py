@@ -22,16 +22,17 @@ from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orchard.functions.features import TIME_COLUMN, derivation_sql
 from orchard.operators import forest, metrics
+from orchard.session import fresh_path
 
 CLASSIFICATION, REGRESSION = "classification", "regression"
 
@@ -148,6 +149,23 @@ def split_derivation(pipeline: Pipeline) -> tuple[SQLTransformer, Pipeline]:
     return first, Pipeline(stages=rest)
 
 
+def without_summary(model, spark: SparkSession):
+    """The fitted model without its training summary.  A classifier's summary
+    holds the Spark session, and once a session has observed metrics
+    (``DataFrame.observe``) it cannot be sent to executors with the model.
+    Copying a forest leaves the summary behind, other models drop it when they
+    are saved and loaded."""
+    if isinstance(model, PipelineModel):
+        return PipelineModel(stages=[without_summary(s, spark) for s in model.stages])
+    if not getattr(model, "hasSummary", False):
+        return model
+    if isinstance(model, RandomForestClassificationModel):
+        return model.copy()
+    path = fresh_path(spark, "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 @dataclass
 class CVResult:
     model: PipelineModel
@@ -218,6 +236,7 @@ def cross_validate(
         rows = features(k)
         extra = {**setting, **({"numTrees": counts[-1]} if counts else {})}
         model = est.copy({est.getParam(n): v for n, v in extra.items()}).fit(rows.where(F.col(fold_col) != k))
+        model = without_summary(model, train.sparkSession)
         scores = _fold_scores(model, rows.where(F.col(fold_col) == k), task, label, counts)
         with lock:
             left[k] -= 1
@@ -236,6 +255,7 @@ def cross_validate(
     pick = max if task == CLASSIFICATION else min
     best = pick(scored, key=lambda x: x[1])[0] if scored else means[0][0]
     model = Pipeline(stages=[*prepare, est.copy({est.getParam(n): v for n, v in best.items()})]).fit(train)
+    model = without_summary(model, train.sparkSession)
     spark, metric = train.sparkSession, "areaUnderROC" if task == CLASSIFICATION else "rmse"
     kinds = ", ".join(f"{n} {'int' if isinstance(v[0], int) else 'double'}" for n, v in grid.items())
     return CVResult(

@@ -286,7 +286,9 @@ WELCH_CTES = f"""{BOOT_CTES},
 sm AS (SELECT node_id, count(*) AS n_replicates,
     avg(f1_champion) AS mean_champion, avg(f1_challenger) AS mean_challenger,
     stddev_pop(f1_champion) AS sd_champion, stddev_pop(f1_challenger) AS sd_challenger,
-    var_samp(f1_champion) AS var_champion, var_samp(f1_challenger) AS var_challenger
+    var_samp(f1_champion) AS var_champion, var_samp(f1_challenger) AS var_challenger,
+    avg(CASE WHEN f1_challenger > f1_champion THEN 0.0 ELSE 1.0 END) AS share_without_gain,
+    quantile_cont(f1_challenger - f1_champion, 0.025) AS gain_low, quantile_cont(f1_challenger - f1_champion, 0.975) AS gain_high
   FROM reps GROUP BY node_id),
 tt AS (SELECT *, mean_challenger - mean_champion AS f1_improvement,
     CASE WHEN var_challenger / n_replicates + var_champion / n_replicates > 0
@@ -328,6 +330,7 @@ SELECT m1.node_id,
   {r('a2.auc', 'challenger_auc')}, {r('m2.f1_weighted', 'challenger_f1')}, {r('m2.accuracy', 'challenger_accuracy')},
   {r('tv.f1_improvement', 'f1_improvement')}, {r('tv.p_value', 'p_value')}, {r('tv.effect_size', 'effect_size')},
   tv.is_significant, CASE WHEN tv.is_significant THEN 'PROMOTE' ELSE 'KEEP_CHAMPION' END AS decision,
+  {r('tv.share_without_gain', 'share_without_gain')}, {r('tv.gain_low', 'gain_low')}, {r('tv.gain_high', 'gain_high')},
   CAST(greatest(m1.n_rows, m2.n_rows) AS BIGINT) AS test_set_size,
   'models:/fixed_scores@champion' AS champion_model, 'models:/fixed_scores@challenger' AS challenger_model
 FROM m m1
@@ -532,6 +535,32 @@ RANDOM_SPLIT = "SELECT CAST(1 AS BIGINT) AS sides, count(*) AS n_rows FROM event
 SKIPPED_AB = f"SELECT DISTINCT node_id, 'SKIPPED' AS decision FROM ({METRICS}) WHERE {HOLDOUT}"
 
 
+_TRAIN_ROWS = f"(SELECT count(*) FILTER (NOT ({HOLDOUT})) FROM lineitem)"
+PROCESSED_COUNTS = f"""WITH h AS (SELECT *, {HOLDOUT} AS held, label IS NOT NULL AND memory_utilization IS NOT NULL AS whole
+  FROM (SELECT {KEYS}, memory_utilization, label FROM ({HOLED}))),
+c AS (SELECT count(*) AS a, count(*) FILTER (NOT whole) AS b, count(*) FILTER (whole AND NOT held) AS c, count(*) FILTER (whole AND held) AS d FROM h)
+SELECT 'n_rows' AS name, a AS n FROM c UNION ALL SELECT 'dropped_rows', b FROM c UNION ALL SELECT 'train_rows', c FROM c UNION ALL SELECT 'test_rows', d FROM c"""
+TRAIN_FROM_PROCESSED = f"SELECT {KEYS}, {r('query_latency', 'query_latency')}, true AS same_prediction, true AS same_rmse FROM ({SIGNAL}) WHERE {HOLDOUT}"
+_PARAMS = f"""(VALUES ('best_maxDepth', '5'), ('best_numTrees', '10'), ('num_features', '{len(FEATURES)}'),
+  ('dropped_training_rows', '0'), ('dropped_test_rows', '0')) p(key, value)"""
+LOG_PARAMS = f"""SELECT 'run-1' AS run_id, key, value, CAST(1 AS BIGINT) AS event_id FROM (
+  SELECT * FROM {_PARAMS} UNION ALL VALUES ('numTrees_options', '[10, 20]'), ('maxDepth_options', '[5, 10]')
+  UNION ALL SELECT 'training_rows', CAST({_TRAIN_ROWS} AS VARCHAR))"""
+TRAIN_LOG_LINES = f"""SELECT 'param' AS kind, key, value FROM (SELECT * FROM {_PARAMS} UNION ALL SELECT 'training_rows', CAST({_TRAIN_ROWS} AS VARCHAR))
+UNION ALL SELECT 'metric', key, NULL FROM (VALUES ('auc'), ('accuracy'), ('f1'), ('f1_positive')) m(key)
+UNION ALL VALUES ('tag', 'decision', 'FIRST_MODEL'), ('tag', 'version', '1')"""
+SELECT_ALL_BUT_LABEL = f"""SELECT "timestamp", node_id, {', '.join(r(c, c) for c in _METRIC_DOUBLES)} FROM ({LABELS})"""
+AUC_MANY_SCORES = f"""WITH s AS (SELECT node_id, query_latency * 0.001 + memory_utilization AS x, count(*) FILTER (fraud = 1) AS pos, count(*) FILTER (fraud <> 1) AS neg FROM ({LABELS}) GROUP BY ALL),
+b AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY node_id ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s)
+SELECT node_id, {r('sum(pos * (below + 0.5 * neg)) / nullif(sum(pos) * sum(neg), 0)', 'auc')},
+  CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM b GROUP BY node_id"""
+INCREMENTAL_SCALER = f"WITH f AS ({features_from(METRICS)}) " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS n, {r(f'avg(CAST({c} AS DOUBLE))', 'mean')}, {r(f'stddev_samp(CAST({c} AS DOUBLE))', 'sd')} FROM f" for c in FEATURES)
+SKETCH_PROFILE = "WITH f AS (" + features_from(LABELS) + ") " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS null_count, {r(f'min(CAST({c} AS DOUBLE))', 'min_value')},
+  {r(f'max(CAST({c} AS DOUBLE))', 'max_value')}, true AS distinct_within_bound, true AS median_within_bound FROM f""" for c, _ in _PROFILE_COLS)
+
+
 ORACLE: dict[str, str] = {
     "csv_scan_roundtrip": CSV_SCAN_ROUNDTRIP,
     "row_count": ROW_COUNT,
@@ -579,6 +608,14 @@ ORACLE: dict[str, str] = {
     "two_model_score": HOLDOUT_TWO,
     "stream_score": HOLDOUT_CLS,
     "cross_validate": CROSS_VALIDATE,
+    "processed_counts": PROCESSED_COUNTS,
+    "train_from_processed": TRAIN_FROM_PROCESSED,
+    "log_params": LOG_PARAMS,
+    "train_log_lines": TRAIN_LOG_LINES,
+    "select_all_but_label": SELECT_ALL_BUT_LABEL,
+    "auc_many_scores": AUC_MANY_SCORES,
+    "incremental_scaler": INCREMENTAL_SCALER,
+    "sketch_profile": SKETCH_PROFILE,
     "cross_validate_regression": CROSS_VALIDATE_REGRESSION,
     "forest_nodes": FOREST_NODES,
     "forest_leaves": FOREST_LEAVES,

@@ -21,6 +21,7 @@ from orchard.sources.models import RegistryStore
 REPORT_SCHEMA = ", ".join(
     [f"{m}_{k} double" for m in ("champion", "challenger") for k in ("auc", "f1", "accuracy")]
     + ["f1_improvement double", "p_value double", "effect_size double", "is_significant boolean", "decision string",
+       "share_without_gain double", "gain_low double", "gain_high double",
        "test_set_size bigint", "champion_model string", "challenger_model string"]
 )
 
@@ -88,20 +89,27 @@ def run_classification_ab(
         scored = scoring.score_two(champ, chall, test, keep=[*dict.fromkeys([*keys, label])]).select(
             *dict.fromkeys([*keys, label]), "pred_champion", "score_champion", "pred_challenger", "score_challenger"
         ).persist(StorageLevel.MEMORY_AND_DISK)
-        report = classification_ab(
+        report = one_row(classification_ab(
             scored, keys, label, [], replicates, seed,
             champion_uri=f"models:/{model_name}@champion", challenger_uri=f"models:/{model_name}@challenger",
-        ).persist()
+        ))
+        scored.unpersist()
     report = report.withColumn("run_id", F.lit(run_id)).withColumn("timestamp", F.lit(timestamp))
     log_comparison(store, report, run_id)
     promote(store, model_name, report)
     sinks.write_json(report, report_path)
     sinks.write_text(sinks.format_lines(report, report.columns, sep=" | "), log_path)
-    if champ is not None and chall is not None:
-        scored.unpersist()
     return report
 
 
+def one_row(report: DataFrame) -> DataFrame:
+    """A report without segments, computed once and kept as a literal row, so
+    that writing, logging and promotion neither compute it again nor leave
+    anything persisted."""
+    row = report.first()
+    return report.sparkSession.createDataFrame([tuple(row)] if row is not None else [], report.schema)
+
+
 def log_comparison(store: RegistryStore, report: DataFrame, run_id: str) -> None:
     """R-1 ... R-3 for a comparison: metrics, compared models, decision."""
     numbers = [f.name for f in report.schema.fields if f.dataType.simpleString() in ("double", "bigint")]
@@ -146,7 +154,7 @@ def run_regression_ab(
     else:
         scored = scoring.score(*found.values(), test, keep=[label]).withColumn("model", F.lit(*found))
     long = metrics.regression_metrics(scored, label=label, segments=["model"])
-    report = abtest.decide_regression(long).withColumn("run_id", F.lit(run_id)).withColumn("timestamp", F.lit(timestamp)).persist()
+    report = one_row(abtest.decide_regression(long)).withColumn("run_id", F.lit(run_id)).withColumn("timestamp", F.lit(timestamp))
     log_comparison(store, report, run_id)
     if report.first()["decision"] == abtest.PROMOTE:
         promote(store, model_name, report)

@@ -34,7 +34,7 @@ def main(argv: list[str] | None = None) -> int:
 
     def common(sp):
         sp.add_argument("--input", required=True)
-        sp.add_argument("--format", default="csv", choices=["csv", "csv-infer", "parquet"])
+        sp.add_argument("--format", default="csv", choices=["csv", "csv-infer", "parquet", "processed"], help="processed (train only): a folder that preprocess --output wrote")
         sp.add_argument("--keys", default="", help="comma-separated key columns (default: the whole row)")
         sp.add_argument("--registry", required=True, help="registry root folder (shared storage)")
         sp.add_argument("--model-name", required=True)
@@ -45,8 +45,10 @@ def main(argv: list[str] | None = None) -> int:
     pp.add_argument("--input", required=True)
     pp.add_argument("--format", default="csv", choices=["csv", "csv-infer", "parquet"])
     pp.add_argument("--keys", default="")
-    pp.add_argument("--output-train", required=True)
-    pp.add_argument("--output-test", required=True)
+    pp.add_argument("--output", help="folder of the processed set: split=train, split=test and the feature stages")
+    pp.add_argument("--output-train", help="with --output-test: the two sides as plain Parquet sets")
+    pp.add_argument("--output-test")
+    pp.add_argument("--log", default=None, help="folder for log lines")
     pp.add_argument("--test-size", type=float, default=0.2)
     pp.add_argument("--seed", type=int, default=42)
 
@@ -57,6 +59,7 @@ def main(argv: list[str] | None = None) -> int:
     tp.add_argument("--no-search", action="store_true", help="fit the base setting only")
     tp.add_argument("--parallelism", type=int, default=4)
     tp.add_argument("--auto-register", action="store_true")
+    tp.add_argument("--log", default=None, help="folder for log lines")
 
     ap = sub.add_parser("ab-test")
     common(ap)
@@ -70,6 +73,7 @@ def main(argv: list[str] | None = None) -> int:
     ip = sub.add_parser("infer")
     common(ip)
     ip.add_argument("--output", required=True)
+    ip.add_argument("--log", default=None, help="folder for log lines")
     ip.add_argument("--score-date", required=True, help="partition to write, e.g. 2024-01-31")
     ip.add_argument("--task", choices=[training.CLASSIFICATION, training.REGRESSION], default=training.REGRESSION)
 
@@ -83,10 +87,21 @@ def main(argv: list[str] | None = None) -> int:
 
     if a.cmd == "preprocess":
         raw = _load(spark, a.input, a.format)
-        tr, te, _, feats = train_plan.preprocess(raw, METRICS_LABEL, keys, a.test_size, a.seed)
-        sinks.write_parquet(tr, a.output_train)
-        sinks.write_parquet(te, a.output_test)
-        print(json.dumps({"num_features": len(feats)}))
+        if a.output:
+            counts = train_plan.write_processed(raw, METRICS_LABEL, keys, a.output, a.test_size, a.seed)
+            n_features = len(train_plan.read_processed(spark, a.output).features)
+        elif a.output_train and a.output_test:
+            tr, te, _, feats = train_plan.preprocess(raw, METRICS_LABEL, keys, a.test_size, a.seed)
+            sinks.write_parquet(tr, a.output_train)
+            sinks.write_parquet(te, a.output_test)
+            counts, n_features = {}, len(feats)
+        else:
+            p.error("preprocess needs --output, or --output-train and --output-test")
+        told = {"num_features": n_features, **counts}
+        if a.log:
+            rows = spark.createDataFrame([(i, k, str(v)) for i, (k, v) in enumerate(told.items())], "n int, key string, value string")
+            sinks.write_text(sinks.format_lines(rows.orderBy("n"), ["key", "value"], sep=" | "), a.log)
+        print(json.dumps(told))
         return 0
 
     if a.cmd == "retrain-report":
@@ -94,7 +109,12 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     store = RegistryStore(spark, a.registry)
-    data = _load(spark, a.input, a.format, getattr(a, "task", training.REGRESSION))
+    source = None
+    if a.format == "processed":
+        if a.cmd != "train":
+            p.error("only train reads a processed set; other jobs take raw rows")
+        source = train_plan.read_processed(spark, a.input)
+    data = None if source else _load(spark, a.input, a.format, getattr(a, "task", training.REGRESSION))
     label = FRAUD_LABEL if getattr(a, "task", None) == training.CLASSIFICATION else METRICS_LABEL
 
     if a.cmd == "train":
@@ -102,13 +122,18 @@ def main(argv: list[str] | None = None) -> int:
         if not a.no_search:
             forest = training.CLASSIFIER_GRID if a.task == training.CLASSIFICATION else training.REGRESSOR_GRID
             grid = training.LINEAR_GRID if a.model_type == "lr" else forest
-        res = train_plan.train(data, a.task, label, keys, grid=grid, parallelism=a.parallelism,
-                               test_size=a.test_size, seed=a.seed, model_type=a.model_type)
+        if source:
+            res = train_plan.train_processed(source, a.task, grid=grid, parallelism=a.parallelism, seed=a.seed, model_type=a.model_type)
+        else:
+            res = train_plan.train(data, a.task, label, keys, grid=grid, parallelism=a.parallelism,
+                                   test_size=a.test_size, seed=a.seed, model_type=a.model_type)
         event_id = store.next_event_id()
         train_plan.log_training_run(res, store, event_id, grid)
         if a.auto_register:
             metric, higher = ("auc", True) if a.task == training.CLASSIFICATION else ("rmse", False)
             train_plan.register_and_promote(res, store, a.model_name, metric, higher, event_id)
+        if a.log:
+            sinks.write_text(train_plan.log_lines(res, store), a.log)
         res.holdout_metrics.show(truncate=False)
         return 0
 
@@ -123,7 +148,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     if a.cmd == "infer":
-        inference.batch_score(data, store, a.model_name, keys, a.output, a.score_date)
+        inference.batch_score(data, store, a.model_name, keys, a.output, a.score_date, a.log)
         return 0
     return 2
 

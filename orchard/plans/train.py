@@ -9,10 +9,11 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orchard.operators import metrics, registry, split, training
+from orchard.sources import sinks
 from orchard.sources.models import RegistryStore
 
 
@@ -20,6 +21,35 @@ from orchard.sources.models import RegistryStore
 # preprocess: raw rows -> processed train / test sets (K-1)
 # --------------------------------------------------------------------------
 
+#: Folder inside a processed set with what made it; readers of the set skip
+#: names that begin with an underscore.
+FEATURES_FOLDER = "_features"
+
+
+def processed(raw: DataFrame, label: str, keys: list[str], test_size: float = 0.2, seed: int = 42):
+    """Both sides in one frame (``keys…, features, label, split``), the fitted
+    feature pipeline, the feature names and an observation of the counts.
+
+    Rows are tagged by the key hash; derivation, assembler and scaler are
+    fitted on the training side only.  Rows with a null or NaN would turn the
+    scaler's statistics, and with them every scaled value, into NaN: they are
+    left out of both sets.  The observation counts all rows, the dropped ones
+    and both sides while the frame is written, without a pass of its own.
+    """
+    own, keys = keys, keys or list(raw.columns)
+    pipe, feats = training.build_pipeline(raw, training.REGRESSION, label, own)
+    derive, *rest = pipe.getStages()[:-1]
+    tagged = derive.transform(split.with_split(raw, keys, test_size, seed))
+    complete = training.complete_rows(tagged, [*feats, label])
+    inner = Pipeline(stages=rest).fit(tagged.where(complete & (F.col("split") == split.TRAIN)))
+    counts = Observation("processed")
+    watched = tagged.observe(
+        counts, F.count(F.lit(1)).alias("n_rows"), F.count_if(~complete).alias("dropped_rows"),
+        F.count_if(complete & (F.col("split") == split.TRAIN)).alias("train_rows"), F.count_if(complete & (F.col("split") == split.TEST)).alias("test_rows"),
+    )
+    out = inner.transform(watched.where(complete)).select(*own, "features", F.col(label).cast("double").alias("label"), "split")
+    return out, PipelineModel(stages=[derive, *inner.stages]), feats, counts
+
 
 def preprocess(
     raw: DataFrame,
@@ -28,28 +58,42 @@ def preprocess(
     test_size: float = 0.2,
     seed: int = 42,
 ) -> tuple[DataFrame, DataFrame, PipelineModel, list[str]]:
-    """Hash split, then fit derivation + assembler + scaler on the training
-    side only and apply it to both.  Returns (train, test, fitted feature
-    pipeline, feature names); each set is ``keys…, features, label``."""
-    keys, own = keys or list(raw.columns), keys
-    train, test = split.hash_split(raw, keys, test_size, seed)
-    pipe, feats = training.build_pipeline(raw, training.REGRESSION, label, own)
-    derive, *rest = pipe.getStages()[:-1]
+    """``processed`` as (train, test, fitted feature pipeline, feature names)."""
+    both, fitted, feats, _ = processed(raw, label, keys, test_size, seed)
+    return (*(both.where(F.col("split") == s).drop("split") for s in (split.TRAIN, split.TEST)), fitted, feats)
+
 
-    # Rows with a null or NaN would turn the scaler's statistics, and with them
-    # every scaled value, into NaN: they are left out of both sets.
-    def complete(df: DataFrame) -> DataFrame:
-        derived = derive.transform(df)
-        return derived.where(training.complete_rows(derived, [*feats, label]))
+def write_processed(raw: DataFrame, label: str, keys: list[str], path: str, test_size: float = 0.2, seed: int = 42) -> dict:
+    """Write the processed set under ``path`` in one pass, partitioned by
+    ``split`` (``split=train`` and ``split=test`` are Parquet sets of their
+    own), with the fitted feature stages and the feature names beside it.
+    Returns the counts."""
+    both, fitted, feats, counts = processed(raw, label, keys, test_size, seed)
+    both.write.mode("overwrite").partitionBy("split").parquet(path)
+    fitted.write().overwrite().save(f"{path}/{FEATURES_FOLDER}/stages")
+    spark = raw.sparkSession
+    names = spark.createDataFrame([("feature", i, n) for i, n in enumerate(feats)] + [("key", i, n) for i, n in enumerate(keys)] + [("label", 0, label)], "kind string, position int, name string")
+    names.write.mode("overwrite").parquet(f"{path}/{FEATURES_FOLDER}/names")
+    return counts.get
 
-    train, test = complete(train), complete(test)
-    inner = Pipeline(stages=rest).fit(train)
-    fitted = PipelineModel(stages=[derive, *inner.stages])
 
-    def project(df: DataFrame) -> DataFrame:
-        return inner.transform(df).select(*own, "features", F.col(label).cast("double").alias("label"))
+@dataclass
+class ProcessedSet:
+    train: DataFrame
+    test: DataFrame
+    stages: PipelineModel
+    features: list[str]
+    keys: list[str]
+    label: str
+
 
-    return project(train), project(test), fitted, feats
+def read_processed(spark: SparkSession, path: str) -> ProcessedSet:
+    """S-2: a set that ``write_processed`` left, with its feature stages."""
+    names = spark.read.parquet(f"{path}/{FEATURES_FOLDER}/names").orderBy("kind", "position").collect()
+    told = {k: [r["name"] for r in names if r["kind"] == k] for k in ("feature", "key", "label")}
+    both = spark.read.parquet(path)
+    train, test = (both.where(F.col("split") == s).drop("split") for s in (split.TRAIN, split.TEST))
+    return ProcessedSet(train, test, PipelineModel.load(f"{path}/{FEATURES_FOLDER}/stages"), told["feature"], told["key"], told["label"][0])
 
 
 def expand_features(df: DataFrame, names: list[str]) -> DataFrame:
@@ -157,7 +201,7 @@ def train(
         cv = training.cross_validate(tr, inner, grid, task, label, num_folds, "fold", parallelism)
         fitted, best, grid_df, fold_df = cv.model, cv.best_params, cv.grid_metrics, cv.fold_metrics
     else:
-        fitted = inner.fit(tr)
+        fitted = training.without_summary(inner.fit(tr), df.sparkSession)
         est = fitted.stages[-1]
         best = {n: est.getOrDefault(est.getParam(n)) for n in ("numTrees", "maxDepth") if est.hasParam(n)}
     model = PipelineModel(stages=[derive, *fitted.stages])
@@ -172,6 +216,53 @@ def train(
                               "dropped_training_rows": counts["dropped"], "dropped_test_rows": dropped_test})
 
 
+def train_processed(
+    source: ProcessedSet,
+    task: str,
+    grid: dict | None = None,
+    num_folds: int = 3,
+    parallelism: int = 4,
+    seed: int = 42,
+    model_type: str = "rf",
+    params: dict | None = None,
+    run_id: str | None = None,
+) -> TrainResult:
+    """``train`` on a processed set: no derivation, assembling or scaling is
+    done again, and folds and layout come from the same keys, so the result is
+    that of training from the raw rows.  The model in the result begins with
+    the set's feature stages and takes raw rows like any other."""
+    est = training.make_estimator(task, "label", model_type, seed, **(params or {}))
+    tr = source.train
+    keys = source.keys
+    if not keys:  # the row itself is the key
+        keys = ["_row"]
+        tr = tr.withColumn("_row", F.concat_ws(",", vector_to_array("features").cast("array<string>"), F.col("label").cast("string")))
+    tr = split.with_folds(tr, keys, num_folds, seed)
+    n = tr.count()
+    tr = training.stable_layout(tr, keys, training.layout_partitions(n)).persist()
+    grid_df = fold_df = None
+    if grid:
+        cv = training.cross_validate(tr, Pipeline(stages=[est]), grid, task, "label", num_folds, "fold", parallelism)
+        fitted, best, grid_df, fold_df = cv.model, cv.best_params, cv.grid_metrics, cv.fold_metrics
+    else:
+        fitted = training.without_summary(Pipeline(stages=[est]).fit(tr), tr.sparkSession)
+        best = {k: est.getOrDefault(est.getParam(k)) for k in ("numTrees", "maxDepth") if est.hasParam(k)}
+    preds = fitted.transform(source.test)
+    tr.unpersist()
+    model = PipelineModel(stages=[*source.stages.stages, *fitted.stages])
+    return TrainResult(run_id or uuid.uuid4().hex, model, source.features, best, grid_df, fold_df, preds, task, "label", extra={"training_rows": n})
+
+
+def log_lines(result: TrainResult, store: RegistryStore) -> DataFrame:
+    """K-4: the run's rows (params, hold-out metrics, decision) as text lines,
+    in the order kind, key."""
+    rows = store.runs().where(F.col("run_id") == result.run_id).select("run_id", "kind", "key", "value")
+    if result.decision is not None:
+        said = store.spark.createDataFrame([(result.run_id, "tag", "decision", result.decision), (result.run_id, "tag", "version", str(result.version))], rows.schema)
+        rows = rows.unionByName(said)
+    return sinks.format_lines(rows.orderBy("kind", "key"), ["run_id", "kind", "key", "value"], sep=" | ")
+
+
 def log_training_run(result: TrainResult, store: RegistryStore, event_id: int, grid: dict | None) -> None:
     """R-1 / R-2: params and hold-out metrics of the run, appended to ``runs``."""
     spark = store.spark
@@ -201,8 +292,10 @@ def register_and_promote(
     champs = registry.champion_metrics(store.alias_events(), store.versions(), store.runs(), [metric]).where(
         F.col("model") == model_name
     )
-    new_metric = result.holdout_metrics.select(F.col(metric)).first()[0]
-    cand = spark.createDataFrame([(model_name, version, float(new_metric))], f"model string, version int, {metric} double")
+    # Without a hold-out of both classes, or without any, there is no metric:
+    # the rule then compares a null, and the version still gets its alias.
+    held = result.holdout_metrics.select(F.col(metric).cast("double")).first()
+    cand = spark.createDataFrame([(model_name, version, held[0] if held else None)], f"model string, version int, {metric} double")
     row = registry.promote_new(cand, champs, metric, higher_is_better).first()
     store.set_alias(model_name, row["alias"], version, event_id)
     result.version, result.decision = version, row["decision"]

@@ -3,23 +3,27 @@
 Layout under ``root``::
 
     runs/            long-form params / metrics / tags     (append)
-    model_versions/  model, version, run_id, path, event_id (append)
+    model_versions/  model, version, run_id, path, event_id (commit files)
     alias_events/    event_id, model, alias, version        (append)
-    models/<name>/v<version>/   saved PipelineModel directories
+    models/<name>/<run>-<id>/   saved PipelineModel directories
 
-Event ids order everything; a job takes its id from ``next_event_id`` and one
-writer per model keeps appends free of races (plain Parquet has no
-transactions).
+Event ids order everything; a job takes its id from ``next_event_id``.  A
+version is a commit file that only one writer can create, so two jobs that
+register at once get two versions; its model directory is named by the run and
+written before the commit, so a version that can be seen can be loaded.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orchard.operators import registry
+from orchard.sources.commits import CommitLog
 from orchard.sources.sinks import append_table, save_model
 
 RUNS_SCHEMA = "run_id string, kind string, key string, value string, num_value double, event_id bigint"
@@ -31,6 +35,7 @@ class RegistryStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.commits = CommitLog(spark, f"{self.root}/model_versions", VERSIONS_SCHEMA)
 
     # -- tables -------------------------------------------------------------
     def _path(self, name: str) -> str:
@@ -49,7 +54,7 @@ class RegistryStore:
         return self._read("runs", RUNS_SCHEMA)
 
     def versions(self) -> DataFrame:
-        return self._read("model_versions", VERSIONS_SCHEMA)
+        return self.commits.table()
 
     def alias_events(self) -> DataFrame:
         return self._read("alias_events", ALIASES_SCHEMA)
@@ -57,38 +62,23 @@ class RegistryStore:
     def append_runs(self, rows: DataFrame) -> None:
         append_table(rows.select(*registry.RUN_COLUMNS), self._path("runs"))
 
-    def append_versions(self, rows: DataFrame) -> None:
-        append_table(rows.select("model", "version", "run_id", "path", "event_id"), self._path("model_versions"))
-
     def append_aliases(self, rows: DataFrame) -> None:
         append_table(rows.select("event_id", "model", "alias", "version"), self._path("alias_events"))
 
     # -- ids ----------------------------------------------------------------
     def next_event_id(self) -> int:
         """One past the largest event id in any table (a one-row aggregate)."""
-        ids = [
-            df.agg(F.max("event_id")).first()[0]
-            for df in (self.runs(), self.versions(), self.alias_events())
-        ]
-        return max([i for i in ids if i is not None], default=0) + 1
+        ids = self.runs().select("event_id").unionByName(self.versions().select("event_id")).unionByName(self.alias_events().select("event_id"))
+        return (ids.agg(F.max("event_id")).first()[0] or 0) + 1
 
     # -- models -------------------------------------------------------------
-    def model_path(self, model: str, version: int) -> str:
-        return f"{self.root}/models/{model}/v{version}"
+    def model_path(self, model: str, run_id: str) -> str:
+        return f"{self.root}/models/{model}/{run_id}-{uuid.uuid4().hex[:8]}"
 
     def register_model(self, model_obj: PipelineModel, model: str, run_id: str, event_id: int) -> int:
-        """K-5 + K-6 + R-6: save the model directory and append its version row."""
-        new = self.spark.createDataFrame(
-            [(model, run_id, "", event_id)], "model string, run_id string, path string, event_id bigint"
-        )
-        row = registry.register(self.versions(), new).first()
-        version = int(row["version"])
-        path = self.model_path(model, version)
-        save_model(model_obj, path, overwrite=False)  # a version is written once
-        self.append_versions(
-            self.spark.createDataFrame([(model, version, run_id, path, event_id)], VERSIONS_SCHEMA)
-        )
-        return version
+        """K-5 + K-6 + R-6: save the model directory, then commit its version."""
+        path = save_model(model_obj, self.model_path(model, run_id), overwrite=False)
+        return self.commits.append(model, lambda n: {"model": model, "version": n, "run_id": run_id, "path": path, "event_id": event_id})
 
     def set_alias(self, model: str, alias: str, version: int, event_id: int) -> None:
         self.append_aliases(

@@ -76,16 +76,19 @@ def test_csv_with_swapped_columns_is_refused(spark, raw):
         read_csv(spark, path, schema=METRICS_CSV_SCHEMA).collect()
 
 
-def test_registry_errors_are_not_an_empty_registry(spark, raw):
+def test_registry_errors_are_not_an_empty_registry(spark, raw, monkeypatch):
     broken = RegistryStore(spark, "nofs://nowhere/registry")
     with pytest.raises(Exception):  # noqa: B017 - whatever the file system raises
         broken.versions().count()
     store = RegistryStore(spark, fresh_path(spark, "reg"))
     assert store.versions().count() == 0
     res = train_plan.train(raw, training.REGRESSION, "query_latency", [], params={"numTrees": 2, "maxDepth": 2})
-    res.model.save(store.model_path("m", 1))
+    taken = store.model_path("m", "r")
+    res.model.save(taken)
+    monkeypatch.setattr(store, "model_path", lambda model, run_id: taken)
     with pytest.raises(Exception, match="(?i)exist"):
         store.register_model(res.model, "m", "r", 1)
+    assert store.versions().count() == 0  # no version without its model
     with pytest.raises(ValueError):
         inference.batch_score(raw, store, "m", [], fresh_path(spark, "out"), score_date="2024-01-01")
 

@@ -65,3 +65,15 @@ def test_slice_expression_is_monotone(spark):
     parts = sorted((r.s, r.lo, r.hi) for r in s.collect())
     for (s1, _, hi1), (s2, lo2, _) in zip(parts, parts[1:]):
         assert s1 < s2 and hi1 < lo2
+
+
+def test_infinite_order_values(spark):
+    from orchard.operators import metrics
+    from orchard.operators.scan import row_number_within
+
+    inf = float("inf")
+    rows = [("a", v) for v in [inf] * 20 + [-inf] * 20 + [float(i) for i in range(10)]]
+    df = spark.createDataFrame(rows, "g string, x double")
+    assert sorted(r["row_number"] for r in row_number_within(df, ["g"], "x", slices=8).collect()) == list(range(1, 51))
+    scored = spark.createDataFrame([(1.0, inf)] * 20 + [(0.0, -inf)] * 20 + [(1.0, 0.5), (0.0, 0.4)], "label double, score double")
+    assert metrics.auc(scored).first()["auc"] == 1.0
