@@ -14,11 +14,14 @@ sets link at a Jaccard of ``num / den`` or more (3 words and 9/10 unless given).
    segments, and each leaves out its most widely held ones (prefix filter).
 3. Each segment's holders are compared with its smallest holder.  What links
    forms the groups: similar documents, partitioned.
-4. The rows of the token-group matrix are the groups' shingle unions (large
-   groups are cut into chunks).  A document that shares a segment with a foreign
-   group is held against the union first; only when the overlap can reach the
-   threshold is the group opened and its members compared.  Members of one
-   group are connected already and are not compared again.
+4. A segment whose holders lie in several groups makes up a bucket.  The rows of
+   its token-group matrix are the shingle unions of its groups.  A document is
+   held against the unions of the other groups first; only where the overlap
+   can reach the threshold is a group opened and its members compared.  Groups
+   that link become one on the way, so a bucket gives no more links than it has
+   documents.  The holders of a large bucket are cut into parts of about
+   ``CHUNK``, and every two parts meet in a task; what the tables carry grows
+   with holders x parts, never with pairs.
 5. Components over the links give each document its component.
 
 No link is lost: steps 2 to 4 are exact.  Links within a group beyond those
@@ -41,14 +44,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orchard.llm.common import components, materialize, mix64, small, texts, word_hashes
+from orchard.llm.common import components, grouped, materialize, mix64, small, texts, word_hashes
 
 WORDS = 3
 #: Similarity as a fraction: 10 * intersection >= 9 * union.
 NUM, DEN = 9, 10
 GROWTH = 1.5
 SPARE = 6
-CHUNK = 512
+CHUNK = 2048
+#: Documents that a leader is compared with in one task.
+STAR = 512
 
 
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
@@ -126,14 +131,11 @@ def _keys(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def open_groups(docs: DataFrame, roles: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
-    """Links (a, b) between queries and members of the same (group, chunk).
+def open_stars(docs: DataFrame, roles: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
+    """Links (a, b) between leaders and the documents of their chunks.
 
-    ``roles`` holds (doc, grp, chunk, kind): kind 0 members, kind 1 queries.
-    Members arrive first and make up the chunk's matrix row (the union of their
-    shingles) and its incidence lists; queries stream past.  A query that finds
-    a link reports the first one only, as members are connected already.
-    """
+    ``roles`` holds (doc, grp, chunk, kind): kind 0 the leader, which arrives
+    first, kind 1 the documents it is compared with."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
@@ -141,37 +143,22 @@ def open_groups(docs: DataFrame, roles: DataFrame, words: int = WORDS, num: int
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc", "grp", "chunk", "kind")), pa.array(sets, pa.binary())], names=["doc", "grp", "chunk", "kind", "tokens"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, members, matrix = None, [], None
+        key = leader = None
         for b in small(batches):
             a_out, b_out = [], []
-            cols = [b.column(c).to_pylist() for c in ("doc", "grp", "chunk", "kind", "tokens")]
-            for doc, grp, chunk, kind, raw in zip(*cols):
+            for doc, grp, chunk, kind, raw in zip(*(b.column(c).to_pylist() for c in ("doc", "grp", "chunk", "kind", "tokens"))):
                 if (grp, chunk) != key:
-                    key, members, matrix = (grp, chunk), [], None
+                    key, leader = (grp, chunk), None
                 t = np.frombuffer(raw, np.uint64)
                 if kind == 0:
-                    members.append((doc, t))
+                    leader = t
                     continue
-                if not members:
+                # J >= num/den needs num/den of the larger set at least.
+                if leader is None or den * min(t.size, leader.size) < num * max(t.size, leader.size):
                     continue
-                if matrix is None:
-                    union, place = np.unique(np.concatenate([m for _, m in members]), return_inverse=True)
-                    sizes = np.array([m.size for _, m in members])
-                    matrix = union, place, np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes, int(sizes.min())
-                union, place, starts, sizes, least = matrix
-                at = np.searchsorted(union, t)
-                at[at == union.size] = 0
-                shared = at[union[at] == t]
-                # J >= num/den needs an overlap of num (n + n') / (num + den) at least.
-                if (num + den) * shared.size < num * (t.size + max(least, -(-t.size * num // den))):
-                    continue
-                flag = np.zeros(union.size, np.int64)
-                flag[shared] = 1
-                both = np.add.reduceat(flag[place], starts)
-                hit = np.flatnonzero(den * both >= num * (t.size + sizes - both))
-                for h in hit[:1]:
-                    if members[h][0] != doc:
-                        a_out.append(doc), b_out.append(members[h][0])
+                both = np.intersect1d(t, leader, assume_unique=True).size
+                if den * both >= num * (t.size + leader.size - both):
+                    a_out.append(doc), b_out.append(grp)
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
 
     # The roles grow with the corpus: they are joined by a shuffle, not broadcast.
@@ -183,10 +170,100 @@ def open_groups(docs: DataFrame, roles: DataFrame, words: int = WORDS, num: int
 def _chunked(members: DataFrame) -> DataFrame:
     """(doc, grp) plus chunk and the group's number of chunks."""
     sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
-    m = members.join(sizes, "grp").withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int"))
+    m = members.join(sizes, "grp").withColumn("chunks", F.ceil(F.col("size") / STAR).cast("int"))
     return m.withColumn("chunk", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int"))
 
 
+def compare_bucket(docs: list[int], groups: list[int], side: list[int], sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """Links that join the groups of a bucket.  With two sides only documents of
+    different sides are compared.  Rows come ordered by (side, group)."""
+    root = list(range(len(docs)))
+    blocks, lows = [], []
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    first: dict[int, int] = {}
+    for i, g in enumerate(groups):
+        root[i] = find(first.setdefault(g, i))
+        if not i or (side[i], g) != (side[i - 1], groups[i - 1]):
+            lows.append(i)
+    blocks = list(zip(lows, [*lows[1:], len(docs)]))
+    sizes = np.array([t.size for t in sets])
+    words, place = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    # The matrix: each group's union as a run of token numbers.
+    unions = [np.unique(place[ends[lo] : ends[hi]]) if hi - lo > 1 else place[ends[lo] : ends[hi]] for lo, hi in blocks]
+    flat = np.concatenate(unions)
+    starts = np.concatenate(([0], np.cumsum([u.size for u in unions])))
+    least = np.array([int(sizes[lo:hi].min()) for lo, hi in blocks])
+    two = side[0] != side[-1]
+    turn = next((k for k, (lo, _) in enumerate(blocks) if side[lo] != side[0]), len(blocks))
+    flag, out = np.zeros(words.size, np.int64), []
+    for k, (lo, hi) in enumerate(blocks[:turn] if two else blocks):
+        after = max(k + 1, turn) if two else k + 1
+        if after >= len(blocks):
+            break
+        for i in range(lo, hi):
+            mine = place[ends[i] : ends[i + 1]]
+            flag[mine] = 1
+            n = int(sizes[i])
+            shared = np.add.reduceat(flag[flat[starts[after] :]], starts[after:-1] - starts[after])
+            # J >= num/den needs an overlap of num (n + n') / (num + den) at least.
+            open_ = np.flatnonzero((num + den) * shared >= num * (n + np.maximum(least[after:], -(-n * num // den))))
+            for b in (open_ + after).tolist():
+                x, y = blocks[b]
+                if find(i) == find(x):
+                    continue
+                both = np.add.reduceat(flag[place[ends[x] : ends[y]]], ends[x:y] - ends[x])
+                hit = np.flatnonzero(den * both >= num * (n + sizes[x:y] - both))
+                if hit.size:  # one link joins the groups; a group's members are linked already
+                    j = x + int(hit[0])
+                    out.append((docs[i], docs[j]))
+                    root[find(i)] = find(x)
+            flag[mine] = 0
+    return out
+
+
+def open_buckets(docs: DataFrame, placed: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
+    """Links (a, b) between documents of different groups that share a key.
+
+    ``placed`` holds (key, doc, grp).  Parts i <= j of a key's holders meet in
+    one task: within a part, or one part against the other."""
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches):
+            sets = [shingles(t, words).tobytes() for t in texts(b)]
+            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("at"), pa.array(sets, pa.binary())], names=["doc", "at", "tokens"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in grouped(batches, ["key", "i", "j"]):
+            held = [t.column(c).to_pylist() for c in ("doc", "grp", "side", "tokens")]
+            links = compare_bucket(*held[:3], [np.frombuffer(x, np.uint64) for x in held[3]], num, den)
+            if links:
+                a, b = zip(*links)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    p = placed.join(sizes, "key").withColumn("parts", F.ceil(F.col("size") / CHUNK).cast("int"))
+    p = p.withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
+    p = p.select("key", "doc", "grp", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    p = p.select("doc", F.struct("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "grp", F.when(F.col("part") > F.col("other"), 1).otherwise(0).alias("side")).alias("at"))
+    # Two parts with one group only have nothing to compare.
+    pairs = p.groupBy("at.key", "at.i", "at.j").agg(F.min("at.grp").alias("lo"), F.max("at.grp").alias("hi")).where("lo <> hi").select(F.col("key").alias("k"), F.col("i").alias("ki"), F.col("j").alias("kj"))
+    p = p.join(pairs, (F.col("at.key") == F.col("k")) & (F.col("at.i") == F.col("ki")) & (F.col("at.j") == F.col("kj")), "left_semi")
+    # A document's tokens are made once and then dealt to its buckets.
+    wanted = p.groupBy("doc").agg(F.collect_list("at").alias("at"))
+    t = docs.select(F.col("doc_id").alias("doc"), "text").join(wanted.hint("merge"), "doc").select("doc", "at", "text")
+    schema = t.select("doc", "at", F.lit(b"").alias("tokens")).schema
+    t = t.mapInArrow(tokens, schema).select("doc", "tokens", F.explode("at").alias("at")).select("at.*", "doc", "tokens")
+    t = t.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "grp", "doc")
+    return t.mapInArrow(run, "a long, b long")
+
+
 def link_representatives(docs: DataFrame, reps: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """Links (a, b) that connect the representatives (column ``doc``)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -206,22 +283,15 @@ def link_representatives(docs: DataFrame, reps: DataFrame, words: int = WORDS, n
     stars = _chunked(stars)
     leaders = stars.groupBy("grp").agg(F.max("chunks").alias("chunks")).select(F.col("grp").alias("doc"), "grp", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("kind"))
     roles = leaders.unionByName(stars.select("doc", "grp", "chunk", F.lit(1).alias("kind")))
-    links = materialize(open_groups(docs, roles, words, num, den), "ngram-links")
+    links = materialize(open_stars(docs, roles, words, num, den), "ngram-links")
 
-    # Groups of what linked; foreign groups a document shares a segment with.
+    # Groups of what linked; keys whose holders lie in several groups.
     holders = shared.select(F.col("doc").alias("node")).distinct()
     groups = materialize(components(holders, links).select(F.col("node").alias("doc"), F.col("component").alias("grp")), "ngram-groups")
     placed = shared.select("key", "doc").join(groups, "doc")
     here = placed.groupBy("key").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi").select("key")
-    placed = materialize(placed.join(here, "key"), "ngram-placed")
-    there = placed.select("key", F.col("grp").alias("other")).distinct()
-    queries = placed.join(there, "key").where("other < grp").select("doc", F.col("other").alias("grp")).distinct()
-    queries = materialize(queries, "ngram-queries")
-    wanted = queries.select("grp").distinct()
-    members = materialize(_chunked(groups.join(wanted, "grp", "left_semi")), "ngram-members")
-    chunks = members.select("grp", "chunk").distinct()
-    roles = members.select("doc", "grp", "chunk", F.lit(0).alias("kind")).unionByName(queries.join(chunks, "grp").select("doc", "grp", "chunk", F.lit(1).alias("kind")))
-    return links.unionByName(materialize(open_groups(docs, roles, words, num, den), "ngram-links"))
+    placed = materialize(placed.join(here, "key").select("key", "doc", "grp"), "ngram-placed")
+    return links.unionByName(materialize(open_buckets(docs, placed, words, num, den), "ngram-links"))
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:

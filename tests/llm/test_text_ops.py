@@ -420,3 +420,53 @@ def test_mixing_reruns_agree_and_odd_rows(odd, empty):
     assert first == once() and len(first) == len(ODD)
     assert all(r["size"] == 0 and r["taken"] == 0 for r in mixing.mix_sources(odd).collect() if r["doc_id"] in (3, 4, 5))
     assert mixing.mix_sources(empty).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [2048, 16])
+def test_near_copies_that_do_not_link(spark, monkeypatch, chunk):
+    """Many copies of one text with changes of their own: most share segments
+    and link with none, some link in chains."""
+    monkeypatch.setattr(ngram_join, "CHUNK", chunk)
+    monkeypatch.setattr(ngram_join, "STAR", 8)
+    rnd = random.Random(9)
+    base = [f"w{k}" for k in range(120)]
+    pairs = []
+    for i in range(160):
+        text = list(base)
+        for _ in range(rnd.choice([1, 1, 3, 6, 9])):
+            text[rnd.randrange(len(text))] = f"x{rnd.randrange(30)}"
+        pairs.append((1000 - i, " ".join(text)))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.jaccard_components(spark.createDataFrame(pairs, "doc_id long, text string")).collect()}
+    want = brute_components(pairs)
+    assert got == want and 1 < len({c for _, c in want.values()}) < 160
+
+
+def test_bucket_links_join_what_brute_force_joins():
+    """One bucket of random groups: its links connect the same documents as all
+    links between documents of different groups, within a part and across two."""
+    rnd = random.Random(11)
+    for case in range(60):
+        n, two = rnd.randint(2, 25), case % 2
+        sets = [np.unique(np.array(rnd.sample(range(14), rnd.randint(8, 13)), np.uint64)) for _ in range(n)]
+        rows = sorted((rnd.randrange(2) if two else 0, rnd.randrange(6), i) for i in range(n))
+        side, groups, docs = (list(x) for x in zip(*rows))
+        if two and len(set(side)) < 2:
+            continue
+        held = [sets[i] for i in docs]
+
+        def parts(links):
+            root = {("g", g): ("g", g) for g in groups} | {("d", d): ("d", d) for d in docs}
+
+            def find(x):
+                while root[x] != x:
+                    x = root[x]
+                return x
+
+            for x, y in [(("d", d), ("g", g)) for d, g in zip(docs, groups)] + [(("d", a), ("d", b)) for a, b in links]:
+                root[find(x)] = find(y)
+            return [[find(("d", a)) == find(("d", b)) for a in docs] for b in docs]
+
+        every = [(docs[i], docs[j]) for i in range(n) for j in range(i) if groups[i] != groups[j] and (not two or side[i] != side[j]) and 10 * (k := np.intersect1d(held[i], held[j]).size) >= 9 * (held[i].size + held[j].size - k)]
+        links = ngram_join.compare_bucket(docs, groups, side, held, 9, 10)
+        assert set(links) <= set(every) | {(b, a) for a, b in every} and len(links) < n
+        assert parts(links) == parts(every)
