@@ -150,10 +150,12 @@ def worker_cache(name: str) -> dict:
 
 def small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The batches in slices of few rows, so that a worker holds few texts as
-    Python strings at a time."""
+    Python strings at a time.  What a batch took goes back to the system."""
     for b in batches:
         for lo in range(0, b.num_rows, rows):
             yield b.slice(lo, rows)
+        del b
+        pa.default_memory_pool().release_unused()
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:

@@ -183,6 +183,17 @@ def fit(training: DataFrame) -> dict:
     return model | {"floors": rejection_floors(known, model) if found else np.zeros((0, LENGTH_CLASSES))}
 
 
+def judge(m: dict, fold: np.ndarray, text: str) -> tuple[str, float, bool]:
+    """(language, score, rejected) of one text."""
+    tf, letters = counts(text, fold)
+    if not letters or not m["langs"]:
+        return "und", 0.0, True
+    cos = m["centroids"] @ vector(tf, m["idf"]).astype(np.float32)
+    k = int(cos.argmax())
+    best = min(1.0, max(0.0, float(cos[k])))
+    return m["langs"][k], best, best < m["floors"][k][length_class(letters)]
+
+
 def predict(docs: DataFrame, model: dict, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns plus __lang, __score, __rejected, for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -191,21 +202,31 @@ def predict(docs: DataFrame, model: dict, keep: list[str], text: str = "text") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, fold = shared.value, _fold_table()
         for b in small(batches):
-            lang, score, rejected = [], [], []
-            for t in texts(b, text):
-                tf, letters = counts(t, fold)
-                if not letters or not m["langs"]:
-                    lang.append("und"), score.append(0.0), rejected.append(True)
-                    continue
-                cos = m["centroids"] @ vector(tf, m["idf"]).astype(np.float32)
-                k = int(cos.argmax())
-                best = min(1.0, max(0.0, float(cos[k])))
-                lang.append(m["langs"][k]), score.append(best), rejected.append(best < m["floors"][k][length_class(letters)])
+            found = [judge(m, fold, t) for t in texts(b, text)]
+            lang, score, rejected = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], names=[*keep, "__lang", "__score", "__rejected"])
 
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
 
+def rejects(docs: DataFrame, held_out: Column, text: str = "text") -> Column:
+    """A column of ``docs``, learned from its rows that are not ``held_out``:
+    whether the text's language is rejected.  Only the text goes to Python; the
+    other columns of the row stay in Spark and may have any name."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs.where(~held_out).select("doc_id", text, "lang")))
+
+    @F.arrow_udf("boolean")
+    def rejected(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        m, fold = shared.value, _fold_table()
+        for part in parts:
+            out = []
+            for lo in range(0, len(part), 256):
+                out += [judge(m, fold, t or "")[2] for t in part.slice(lo, 256).to_pylist()]
+            yield pa.array(out, pa.bool_())
+
+    return rejected(docs[text])
+
+
 def identify(docs: DataFrame, held_out: Column, keep: list[str]) -> DataFrame:
     """Learn from the rows that are not ``held_out`` and predict every row."""
     return predict(docs, fit(docs.where(~held_out).select("doc_id", "text", "lang")), keep)

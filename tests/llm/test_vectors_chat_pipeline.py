@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+import re
 import sys
 
 import numpy as np
@@ -187,6 +188,13 @@ def test_pipeline_stages(spark):
     assert sum(told[i] == texts[i] for i in keep) > 0.85 * len(keep)
     mixed = seen["source_mixing"].toPandas()
     assert set(mixed.doc_id) <= keep and mixed.groupby("doc_id").size().max() <= 3
+    # words per source against what the operator takes of it
+    from orchard.llm import mixing
+
+    taken = mixing.mix_sources(seen["personal_data"]).toPandas().groupby("source").agg(taken=("taken", "sum"), longest=("size", "max"), target=("target", "first"))
+    words = mixed.assign(size=[len(re.findall(r"[^\x20\x09-\x0D]+", t)) for t in mixed.text]).groupby("source")["size"].sum()
+    for source, r in taken.iterrows():
+        assert abs(words.get(source, 0) - r["taken"]) <= r["longest"] and abs(r["taken"] - r["target"]) <= 256
     coder = bpe.Bpe(open(vocabulary_path(), encoding="utf-8").read())
     for r in docs.limit(100).collect():
         ids = coder.encode(told[r["doc_id"]])
@@ -232,3 +240,16 @@ def test_near_duplicates_at_five_words_and_four_fifths(spark):
     got = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()}
     assert got == {i for i, c in brute_near(pairs).items() if c == i}
     assert 20_001 not in got and 20_002 not in got
+
+
+def test_stages_with_odd_rows_and_clashing_columns(spark):
+    rows = [(i, f"Some plain words of document number {i} about nothing much.", "en" if i % 2 else None, f"s{i % 3}", f"c{i}") for i in range(40)]
+    rows += [(100, None, "en", None, "x"), (101, "", "de", "s1", "x"), (None, "A text without an id at all, in plain words.", "en", "s1", "x"), (7, rows[7][1], "en", "s1", "again"), (102, "word " * 30_000, "en", "s2", "x")]
+    names = ["__lang", "size", "taken", "times", "d", "component_id", "h", "row"]
+    docs = spark.createDataFrame([(*r, *[r[4]] * (len(names) - 1)) for r in rows], "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    for name, stage in corpus_pipeline.STAGES:
+        out = corpus_pipeline.materialize(stage(spark, docs, SF), "odd")
+        if name != "tokens":
+            assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        assert out.count() > 0
+        assert stage(spark, docs.limit(0), SF).count() == 0
