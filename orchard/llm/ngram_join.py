@@ -14,14 +14,17 @@ sets link at a Jaccard of ``num / den`` or more (3 words and 9/10 unless given).
    segments, and each leaves out its most widely held ones (prefix filter).
 3. Each segment's holders are compared with its smallest holder.  What links
    forms the groups: similar documents, partitioned.
-4. A segment whose holders lie in several groups makes up a bucket.  The rows of
-   its token-group matrix are the shingle unions of its groups.  A document is
-   held against the unions of the other groups first; only where the overlap
-   can reach the threshold is a group opened and its members compared.  Groups
-   that link become one on the way, so a bucket gives no more links than it has
-   documents.  The holders of a large bucket are cut into parts of about
-   ``CHUNK``, and every two parts meet in a task; what the tables carry grows
-   with holders x parts, never with pairs.
+4. A segment whose holders lie in several groups gives buckets to compare.
+   Where the groups are few (``FEW``), each document meets the whole of every
+   foreign group once, whatever number of segments they share.  Where they are
+   many, the segment's holders meet each other.  The rows of a bucket's
+   token-group matrix are the shingle unions of its groups.  A document is held
+   against the unions of the other groups first; only where the overlap can
+   reach the threshold is a group opened and its members compared.  Groups that
+   link become one on the way, so a bucket gives no more links than it has
+   documents.  Large buckets are cut into parts of about ``CHUNK``, and every
+   two parts meet in a task; what the tables carry grows with documents x parts,
+   never with pairs.
 5. Components over the links give each document its component.
 
 No link is lost: steps 2 to 4 are exact.  Links within a group beyond those
@@ -52,6 +55,7 @@ NUM, DEN = 9, 10
 GROWTH = 1.5
 SPARE = 6
 CHUNK = 2048
+FEW = 8
 #: Documents that a leader is compared with in one task.
 STAR = 512
 
@@ -228,11 +232,35 @@ def compare_bucket(docs: list[int], groups: list[int], side: list[int], sets: li
     return out
 
 
-def open_buckets(docs: DataFrame, placed: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
-    """Links (a, b) between documents of different groups that share a key.
+def foreign_buckets(placed: DataFrame, groups: DataFrame) -> DataFrame:
+    """(doc, at): members (side 0) of groups that documents of others (side 1)
+    share a segment with, cut into chunks that meet all these documents."""
+    there = placed.select("key", F.col("grp").alias("other")).distinct()
+    asking = placed.join(there, "key").where("other < grp").select("doc", "grp", "other").distinct()
+    asking = materialize(asking, "ngram-asking")
+    wanted = asking.select(F.col("other").alias("grp")).distinct()
+    members = groups.join(wanted, "grp", "left_semi")
+    sizes = members.groupBy(F.col("grp").alias("g")).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    members = members.join(sizes, F.col("grp") == F.col("g")).withColumn("i", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int"))
+    meeting = F.lit(-1).alias("j")
+    asking = asking.join(sizes, F.col("other") == F.col("g")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return members.select("doc", F.struct(F.col("grp").alias("key"), "i", meeting, "grp", F.lit(0).alias("side")).alias("at")).unionByName(
+        asking.select("doc", F.struct(F.col("other").alias("key"), "i", meeting, "grp", F.lit(1).alias("side")).alias("at")))
+
+
+def segment_buckets(placed: DataFrame) -> DataFrame:
+    """(doc, at): the holders of a segment.  Parts i <= j meet in one task:
+    within a part, or one part against the other."""
+    sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    p = placed.join(sizes, "key").withColumn("parts", F.ceil(F.col("size") / CHUNK).cast("int"))
+    p = p.withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
+    p = p.select("key", "doc", "grp", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    return p.select("doc", F.struct("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "grp", F.when(F.col("part") > F.col("other"), 1).otherwise(0).alias("side")).alias("at"))
+
 
-    ``placed`` holds (key, doc, grp).  Parts i <= j of a key's holders meet in
-    one task: within a part, or one part against the other."""
+def open_buckets(docs: DataFrame, dealt: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
+    """Links (a, b) between documents of different groups that meet in a bucket.
+    ``dealt`` holds (doc, at); a document's tokens are made once and then dealt."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
@@ -247,16 +275,7 @@ def open_buckets(docs: DataFrame, placed: DataFrame, words: int = WORDS, num: in
                 a, b = zip(*links)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    p = placed.join(sizes, "key").withColumn("parts", F.ceil(F.col("size") / CHUNK).cast("int"))
-    p = p.withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
-    p = p.select("key", "doc", "grp", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    p = p.select("doc", F.struct("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "grp", F.when(F.col("part") > F.col("other"), 1).otherwise(0).alias("side")).alias("at"))
-    # Two parts with one group only have nothing to compare.
-    pairs = p.groupBy("at.key", "at.i", "at.j").agg(F.min("at.grp").alias("lo"), F.max("at.grp").alias("hi")).where("lo <> hi").select(F.col("key").alias("k"), F.col("i").alias("ki"), F.col("j").alias("kj"))
-    p = p.join(pairs, (F.col("at.key") == F.col("k")) & (F.col("at.i") == F.col("ki")) & (F.col("at.j") == F.col("kj")), "left_semi")
-    # A document's tokens are made once and then dealt to its buckets.
-    wanted = p.groupBy("doc").agg(F.collect_list("at").alias("at"))
+    wanted = dealt.groupBy("doc").agg(F.collect_list("at").alias("at"))
     t = docs.select(F.col("doc_id").alias("doc"), "text").join(wanted.hint("merge"), "doc").select("doc", "at", "text")
     schema = t.select("doc", "at", F.lit(b"").alias("tokens")).schema
     t = t.mapInArrow(tokens, schema).select("doc", "tokens", F.explode("at").alias("at")).select("at.*", "doc", "tokens")
@@ -289,9 +308,12 @@ def link_representatives(docs: DataFrame, reps: DataFrame, words: int = WORDS, n
     holders = shared.select(F.col("doc").alias("node")).distinct()
     groups = materialize(components(holders, links).select(F.col("node").alias("doc"), F.col("component").alias("grp")), "ngram-groups")
     placed = shared.select("key", "doc").join(groups, "doc")
-    here = placed.groupBy("key").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi").select("key")
-    placed = materialize(placed.join(here, "key").select("key", "doc", "grp"), "ngram-placed")
-    return links.unionByName(materialize(open_buckets(docs, placed, words, num, den), "ngram-links"))
+    # A key's number of groups, without gathering them: the distinct pairs.
+    spread = placed.select("key", "grp").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1")
+    placed = materialize(placed.join(spread, "key").select("key", "doc", "grp", "groups"), "ngram-placed")
+    few, many = (placed.where(c).drop("groups") for c in (F.col("groups") <= FEW, F.col("groups") > FEW))
+    dealt = foreign_buckets(few, groups).unionByName(segment_buckets(many))
+    return links.unionByName(materialize(open_buckets(docs, dealt, words, num, den), "ngram-links"))
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:

@@ -422,11 +422,12 @@ def test_mixing_reruns_agree_and_odd_rows(odd, empty):
     assert mixing.mix_sources(empty).count() == 0
 
 
-@pytest.mark.parametrize("chunk", [2048, 16])
-def test_near_copies_that_do_not_link(spark, monkeypatch, chunk):
+@pytest.mark.parametrize("chunk,few", [(2048, 8), (16, 1), (16, 10**6)])
+def test_near_copies_that_do_not_link(spark, monkeypatch, chunk, few):
     """Many copies of one text with changes of their own: most share segments
     and link with none, some link in chains."""
     monkeypatch.setattr(ngram_join, "CHUNK", chunk)
+    monkeypatch.setattr(ngram_join, "FEW", few)
     monkeypatch.setattr(ngram_join, "STAR", 8)
     rnd = random.Random(9)
     base = [f"w{k}" for k in range(120)]
