@@ -7,7 +7,8 @@ document with a smaller id.  Strings are judged on the input.
    hash.  Equal windows have equal minimizers at equal places, so two documents
    can share a window only where they share a minimizer's k-mer.  One row per
    (k-mer hash, document) is exchanged; k-mers of a single document drop out.
-   This is lossless.
+   This is lossless.  A text that a document with a smaller id repeats as a
+   whole (by digest) goes as one span, and only the first of them is compared.
 2. Runs.  For each remaining anchor the task takes the suffix that holds all
    windows of that minimizer (a superwindow), sorts its suffixes, front-codes
    them (length of the prefix shared with the one before, and the rest) and
@@ -47,6 +48,8 @@ from orchard.llm.common import _powers, grouped, materialize, mix64, small
 WINDOW = 50
 KMER = 24
 HOT = 20_000
+#: Longest suffix: all windows of one minimizer.
+WIDTH = 2 * WINDOW - KMER
 #: Suffixes a bucket holds on average, and suffixes in a run.
 BUCKET_ROWS = 16_384
 RUN_ROWS = 200_000
@@ -99,17 +102,31 @@ def shared_kmers(docs: DataFrame) -> DataFrame:
     return materialize(rows.select("doc", "kmer", F.when(F.col("n") > HOT, F.ceil(F.col("n") / HOT)).otherwise(0).cast("int").alias("salts")), "suffix-kmers")
 
 
-def front_code(rows: list[tuple[bytes, int, int, int]]) -> bytes:
-    """Sorted (suffix, k-mer, document, place) rows as one front-coded run."""
-    rest, lcps, sizes, last = [], np.empty(len(rows), np.uint8), np.empty(len(rows), np.uint8), b""
-    for i, (s, _, _, _) in enumerate(rows):
-        lcp = _common(last, s, 0)
-        lcps[i], sizes[i] = lcp, len(s)
-        rest.append(s[lcp:])
-        last = s
-    table = np.array([(k, d, p) for _, k, d, p in rows], np.int64)
-    head = np.array([len(rows)], np.int64).tobytes()
-    return zlib.compress(head + lcps.tobytes() + sizes.tobytes() + table.tobytes() + b"".join(rest), 1)
+def front_code(bucket: np.ndarray, text: np.ndarray, size: np.ndarray, kmer: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """Buckets and their front-coded runs.  ``text`` holds the suffixes as rows
+    of bytes, zero beyond their ``size``."""
+    whole = np.ascontiguousarray(text).view(f"S{text.shape[1]}").ravel()
+    # By bucket, bytes, size: a zero byte sorts like the end, the size decides.
+    order = np.argsort(size, kind="stable")
+    order = order[np.argsort(whole[order], kind="stable")]
+    order = order[np.argsort(bucket[order], kind="stable")]
+    bucket, text, size = bucket[order], text[order], size[order]
+    same = text[1:] == text[:-1]
+    lcp = np.where(same.all(1), text.shape[1], same.argmin(1))
+    lcp = np.minimum(lcp, np.minimum(size[1:], size[:-1]))
+    lcp[bucket[1:] != bucket[:-1]] = 0
+    lcp = np.concatenate((np.zeros(1, np.int64), lcp))
+    column = np.arange(text.shape[1])
+    rest = text[(column >= lcp[:, None]) & (column < size[:, None])].tobytes()
+    at = np.concatenate(([0], np.cumsum(size - lcp)))
+    cuts = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [bucket.size]))
+    kmer, doc, place = kmer[order], doc[order], place[order].astype(np.int32)
+    lcp, size = lcp.astype(np.uint8), size.astype(np.uint8)
+    blobs = []
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        parts = [np.array([hi - lo], np.int64), lcp[lo:hi], size[lo:hi], kmer[lo:hi], doc[lo:hi], place[lo:hi]]
+        blobs.append(zlib.compress(b"".join([x.tobytes() for x in parts]) + rest[at[lo] : at[hi]], 1))
+    return bucket[cuts[:-1]].tolist(), blobs
 
 
 def _common(a: bytes, b: bytes, known: int) -> int:
@@ -129,17 +146,18 @@ def decode_run(blob: bytes) -> Iterator[tuple[int, bytes, list[tuple[int, int, i
     for each distinct suffix of a run."""
     raw = zlib.decompress(blob)
     n = int(np.frombuffer(raw, np.int64, 1)[0])
-    lcps, sizes = raw[8 : 8 + n], raw[8 + n : 8 + 2 * n]
-    table = np.frombuffer(raw, np.int64, 3 * n, 8 + 2 * n).reshape(n, 3).tolist()
-    at, i, last = 8 + 2 * n + 24 * n, 0, b""
+    lcps, sizes, base = raw[8 : 8 + n], raw[8 + n : 8 + 2 * n], 8 + 2 * n
+    kmers, docs = (np.frombuffer(raw, np.int64, n, base + 8 * n * i).tolist() for i in (0, 1))
+    table = list(zip(kmers, docs, np.frombuffer(raw, np.int32, n, base + 16 * n).tolist()))
+    at, i, last = base + 20 * n, 0, b""
     while i < n:
         lcp, size = lcps[i], sizes[i]
         s = last[:lcp] + raw[at : at + size - lcp]
         at += size - lcp
-        held = [tuple(table[i])]
+        held = [table[i]]
         i += 1
         while i < n and lcps[i] == size and sizes[i] == size:
-            held.append(tuple(table[i]))
+            held.append(table[i])
             i += 1
         yield lcp, s, held
         last = s
@@ -250,48 +268,83 @@ def _hot_spans(runs: list[bytes]) -> Iterator[tuple[int, int, int, bytes | None]
                 first = q
 
 
-def coded_runs(docs: DataFrame, kmers: DataFrame) -> DataFrame:
+def whole_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, n): documents with a row whose text, of ``WINDOW`` bytes or
+    more, a document with a smaller id holds as well."""
+    raw = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    rows = docs.select("doc_id", F.octet_length(raw).alias("n"), F.unhex(F.sha2(raw, 256)).alias("digest")).where(F.col("n") >= WINDOW)
+    first = rows.groupBy("n", "digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    late = rows.join(first, ["n", "digest"]).where("doc_id > first").select("doc_id", "n", "digest").distinct()
+    # A document with other rows as well (an id that occurs with several texts) is compared.
+    several = rows.groupBy("doc_id").agg(F.countDistinct("digest").alias("texts")).where("texts > 1").select("doc_id")
+    return materialize(late.join(several, "doc_id", "left_anti").select("doc_id", "n"), "suffix-copies")
+
+
+class Rows:
+    """Suffixes held for the next runs, as columns."""
+
+    def __init__(self):
+        self.parts: list[tuple] = []
+        self.count = 0
+
+    def add(self, padded: np.ndarray, bucket: np.ndarray, start: np.ndarray, size: np.ndarray, kmer: np.ndarray, doc: int) -> None:
+        column = np.arange(WIDTH)
+        text = padded[start[:, None] + column]
+        text[column >= size[:, None]] = 0
+        self.parts.append((bucket, text, size, kmer, np.full(start.size, doc, np.int64), start))
+        self.count += start.size
+
+    def runs(self, number: int) -> pa.RecordBatch:
+        buckets, blobs = front_code(*(np.concatenate(c) for c in zip(*self.parts)))
+        self.parts, self.count = [], 0
+        return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array([number] * len(buckets), pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "run", "blob"])
+
+
+def coded_runs(docs: DataFrame, kmers: DataFrame, copies: DataFrame) -> DataFrame:
     """(bucket, run, blob): front-coded runs of the suffixes to compare; those
     of hot k-mers, cut into windows, are in the buckets below 0."""
     count = kmers.agg(F.count(F.lit(1)).alias("all"), F.coalesce(F.sum((F.col("salts") > 0).cast("long")), F.lit(0)).alias("hot")).first()
     buckets = max(64, count["all"] // BUCKET_ROWS)
     hot_buckets = max(64, count["hot"] * (WINDOW - KMER + 1) // BUCKET_ROWS)
+    kmers = kmers.join(copies.select(F.col("doc_id").alias("doc")).distinct(), "doc", "left_anti")
     wanted = kmers.groupBy("doc").agg(F.collect_list(F.struct("kmer", "salts")).alias("kmers"))
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
-        number = 0
-
-        def out() -> pa.RecordBatch:
-            by: dict[int, list] = {}
-            for bucket, *row in held:
-                by.setdefault(bucket, []).append(tuple(row))
-            blobs = [front_code(sorted(rows)) for rows in by.values()]
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(by), pa.int64()), pa.array([number] * len(by), pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "run", "blob"])
-
+        held, number = Rows(), 0
         for b in small(batches):
-            for doc, text, listed in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("kmers").to_pylist()):
+            listed = b.column("kmers")
+            for r, (doc, text) in enumerate(zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist())):
                 raw = _raw(text)
-                data = raw.tobytes()
+                padded = np.concatenate((raw, np.zeros(WIDTH, np.uint8)))
                 hashes, first, last = anchors(raw)
-                cold = np.array([x["kmer"] for x in listed if not x["salts"]], np.int64)
-                hot = {x["kmer"]: x["salts"] for x in listed if x["salts"]}
-                keep = np.isin(hashes, cold)
-                for h, i, j in zip(hashes[keep].tolist(), first[keep].tolist(), last[keep].tolist()):
-                    held.append((h % buckets, data[i : j + WINDOW], h, doc, i))
-                keep = np.isin(hashes, np.array(list(hot), np.int64))
-                mixed = int(mix64(np.array([doc], np.int64).view(np.uint64))[0])
-                for h, i, j in zip(hashes[keep].tolist(), first[keep].tolist(), last[keep].tolist()):
-                    salt = mixed % hot[h]
-                    for p in range(i, j + 1):
-                        w = data[p : p + WINDOW]
-                        held.append((-1 - xxhash.xxh3_64_intdigest(w, salt) % hot_buckets, w, 0, doc, p))
-                if len(held) >= RUN_ROWS:
-                    yield out()
-                    number += 1
-        if held:
-            yield out()
+                known, salts = (listed[r].values.field(i).to_numpy() for i in (0, 1))
+                order = np.argsort(known)
+                at = np.minimum(np.searchsorted(known, hashes, sorter=order), known.size - 1)
+                at = order[at]
+                met = known[at] == hashes
+                salt = np.where(met, salts[at], -1)
+                # A long text's suffixes leave in parts.
+                for lo in range(0, hashes.size, RUN_ROWS // 32):
+                    part = slice(lo, lo + RUN_ROWS // 32)
+                    cold = salt[part] == 0
+                    h, i, j = hashes[part][cold], first[part][cold], last[part][cold]
+                    if h.size:
+                        held.add(padded, h % buckets, i, j - i + WINDOW, h, doc)
+                    hot = salt[part] > 0
+                    if hot.any():
+                        i, j, n = first[part][hot], last[part][hot], salt[part][hot]
+                        each = j - i + 1
+                        start = np.repeat(i, each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+                        mixed = mix64(np.array([doc], np.int64).view(np.uint64))[0]
+                        seed = (mixed % np.repeat(n, each).astype(np.uint64)).tolist()
+                        data = raw.tobytes()
+                        bucket = np.array([-1 - xxhash.xxh3_64_intdigest(data[p : p + WINDOW], x) % hot_buckets for p, x in zip(start.tolist(), seed)], np.int64)
+                        held.add(padded, bucket, start, np.full(start.size, WINDOW), np.zeros(start.size, np.int64), doc)
+                    if held.count >= RUN_ROWS:
+                        yield held.runs(number)
+                        number += 1
+        if held.count:
+            yield held.runs(number)
 
     return docs.join(wanted, docs.doc_id == wanted.doc).select("doc_id", "text", "kmers").mapInArrow(runs, "bucket long, run long, blob binary")
 
@@ -308,13 +361,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                 d, s, e, w = zip(*rows)
                 yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(s, pa.int64()), pa.array(e, pa.int64()), pa.array(w, pa.binary())], names=["doc_id", "start", "end", "window"])
 
-    coded = coded_runs(docs, shared_kmers(docs))
+    copies = whole_copies(docs)
+    coded = coded_runs(docs, shared_kmers(docs), copies)
     spans = coded.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "doc_id long, start long, end long, window binary")
     spans = materialize(spans, "suffix-spans")
     salted = spans.where("window is not null")
     least = salted.groupBy("window").agg(F.min("doc_id").alias("least"))
     late = salted.join(least, "window").where("doc_id > least")
-    return spans.where("window is null").select("doc_id", "start", "end").unionByName(late.select("doc_id", "start", "end"))
+    found = spans.where("window is null").select("doc_id", "start", "end").unionByName(late.select("doc_id", "start", "end"))
+    return found.unionByName(copies.select("doc_id", F.lit(0).cast("long").alias("start"), F.col("n").cast("long").alias("end")))
 
 
 def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:

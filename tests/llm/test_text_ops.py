@@ -340,7 +340,7 @@ def test_suffix_dedup_deals_a_hot_window_over_buckets(spark, monkeypatch):
     pairs = [(i, "".join(rnd.choice("cdefg ") for _ in range(rnd.randint(0, 80))) + line) for i in range(400)]
     docs = spark.createDataFrame(pairs, "doc_id long, text string")
     held = collections.Counter()
-    for r in suffix_dedup.coded_runs(docs, suffix_dedup.shared_kmers(docs)).collect():
+    for r in suffix_dedup.coded_runs(docs, suffix_dedup.shared_kmers(docs), suffix_dedup.whole_copies(docs)).collect():
         for _, s, rows in suffix_dedup.decode_run(r["blob"]):
             held[r["bucket"], s] += len(rows)
     assert max(held.values()) < 100
@@ -348,10 +348,20 @@ def test_suffix_dedup_deals_a_hot_window_over_buckets(spark, monkeypatch):
     assert got == brute_cut(pairs)
 
 
+def coded(rows, buckets=1):
+    """Runs of (suffix, k-mer, document, place) rows by bucket, from unordered rows."""
+    text = np.zeros((len(rows), suffix_dedup.WIDTH), np.uint8)
+    for i, (t, *_) in enumerate(rows):
+        text[i, : len(t)] = np.frombuffer(t, np.uint8)
+    kmer, doc, place = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
+    return dict(zip(*suffix_dedup.front_code(place % buckets, text, np.array([len(r[0]) for r in rows], np.int64), kmer, doc, place)))
+
+
 def test_loser_tree_merges_sorted_runs():
     rnd = random.Random(2)
-    runs = [sorted(("".join(rnd.choice("ab") for _ in range(rnd.randint(50, 54))).encode(), 1, i, p) for p in range(rnd.randint(1, 80))) for i in range(5)]
-    merged = list(suffix_dedup.merge_runs([suffix_dedup.decode_run(suffix_dedup.front_code(r)) for r in runs]))
+    runs = [[(bytes(rnd.choices(b"ab\x00", weights=[9, 9, 1], k=rnd.randint(50, 54))), 1, i, p) for p in range(rnd.randint(1, 80))] for i in range(5)]
+    runs[0] += [(b"a" * 50 + b"\x00" * k, 1, 0, 100 + k) for k in (3, 0, 2, 1)]  # a zero byte is not the end
+    merged = list(suffix_dedup.merge_runs([suffix_dedup.decode_run(coded(r)[0]) for r in runs]))
     want = collections.defaultdict(list)
     for s, *held in sorted(x for r in runs for x in r):
         want[s].append(tuple(held))
@@ -359,6 +369,33 @@ def test_loser_tree_merges_sorted_runs():
     assert {s: sorted(h) for s, h in merged} == {s: sorted(h) for s, h in want.items()}
 
 
+def test_front_coded_runs_keep_every_row_of_their_bucket():
+    rnd = random.Random(3)
+    rows = [(bytes(rnd.choices(b"abc", k=rnd.randint(50, 76))), rnd.randrange(-(2**60), 2**60), rnd.randrange(2**40), p) for p in range(500)]
+    rows += [(rows[p][0], 5, 6, 1000 + p) for p in range(0, 500, 3)]
+    found = coded(rows, 7)
+    assert sorted(found) == list(range(7))
+    for bucket, blob in found.items():
+        back = [(s, *h) for _, s, held in suffix_dedup.decode_run(blob) for h in held]
+        assert [r[0] for r in back] == sorted(r[0] for r in back)
+        assert sorted(back) == sorted(r for r in rows if r[3] % 7 == bucket)
+
+
+def test_suffix_dedup_folds_whole_copies(spark):
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice("ab cd") for _ in range(n)) for n in (30, 49, 50, 51, 200, 900)]
+    pairs = [(100 - i, texts[i % 6]) for i in range(40)] + [(200, texts[4] + texts[5]), (3, texts[5][100:400])]
+    docs = spark.createDataFrame(pairs, "doc_id long, text string")
+    copies = {r["doc_id"] for r in suffix_dedup.whole_copies(docs).collect()}
+    assert copies == {i for i, t in pairs if len(t) >= 50 and any(j < i and u == t for j, u in pairs)}
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in suffix_dedup.cut(docs, suffix_dedup.repeated_spans(docs)).collect()}
+    assert got == brute_cut(pairs)
+    # an id with two texts: each of its rows is cut by the spans of both
+    twice = spark.createDataFrame([(1, texts[4]), (2, texts[4]), (2, texts[5])], "doc_id long, text string")
+    cut = suffix_dedup.cut(twice, suffix_dedup.repeated_spans(twice)).where("doc_id = 2").collect()
+    assert sorted((r["n_bytes"], r["n_removed"]) for r in cut) == [(200, 200), (900, 200)]
+
+
 def test_suffix_dedup_odd_rows(odd, empty):
     got = suffix_dedup.cut(odd, suffix_dedup.repeated_spans(odd)).collect()
     assert len(got) == len(ODD)
