@@ -1,17 +1,24 @@
 """Language-model scoring with a hidden Markov model.
 
 Words fall into emission classes: the end mark and the ``OWN`` most frequent
-words have one each, the others share ``SHARED`` classes by hash.  The hidden
-Markov model runs over classes; inside a shared class a word has probability
-(c + 1) / (N_class + V_class + 1), c its training count (an unseen word: c = 0).
+words have one each, the others share ``SHARED`` classes by hash.  Every class
+has an emission probability by state; inside a shared class a word has
+probability (c + 1) / (N_class + V_class + 1), c its training count (an unseen
+word: c = 0), whatever the state.
 
-Training: Baum-Welch.  Each task adds up expected transitions and emissions of
-its texts, cut into blocks of ``BLOCK`` tokens whose start distribution is the
-mean state; Spark sums them across partitions, and the next round starts from
-the sums.  All training texts take part in every round.
+Encoding: one pass turns each text into its classes and adds up what does not
+depend on states; later passes read the classes only.
 
-Scoring is exact for whole texts: each block gives a product of transfer
-matrices, scaled against underflow, and a text's blocks are chained.
+Training: Baum-Welch.  Each task adds up the expected transitions and emissions
+of its whole texts, Spark sums them across partitions, and the next round
+starts from the sums.  All training texts take part in every round.  Rounds go
+on until the log likelihood grows by less than ``GAIN`` of itself and no faster
+than before, ``MOST_ROUNDS`` at most.  States start with a taste for different
+words and change seldom, so that each comes to stand for a kind of text.
+
+Scoring: scaled forward recursion over whole texts.  Texts run side by side,
+token by token; one longer than ``BLOCK`` tokens runs as blocks whose transfer
+matrices are chained, in training as well, so nothing is approximated.
 
 Counts: the ``HEAD`` most frequent words (a fixed bound; words of at most
 ``HEAD_BYTES`` bytes) are broadcast with their counts.  All other words of a
@@ -33,19 +40,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orchard.llm.common import materialize, small, texts
 
 STATES = 4
-OWN = 1791
-SHARED = 256
+OWN = 16_383
+SHARED = 1024
 CLASSES = 1 + OWN + SHARED
 HEAD = 131_072
 HEAD_BYTES = 64
-ROUNDS = 3
-BLOCK = 64
+GAIN, MOST_ROUNDS = 1e-4, 12
+BLOCK = 1024
+#: Tokens of the texts that run side by side (one text may have more).
+SLICE_TOKENS = 1 << 19
 FLUSH = 200_000
 END = b""
 
@@ -103,128 +113,211 @@ def _class_of(word: Column) -> Column:
 
 
 class Segments:
-    """Class ids of a batch of texts, cut into blocks of ``BLOCK`` tokens."""
+    """Texts as class ids, cut into blocks of ``BLOCK`` tokens, longest first."""
 
     def __init__(self, lines: list[np.ndarray]):
         sizes = np.array([x.size for x in lines], np.int64)
+        self.docs = sizes.size
         per = -(-sizes // BLOCK)
-        self.doc = np.repeat(np.arange(len(lines)), per)
+        self.doc = np.repeat(np.arange(sizes.size), per)
         first = np.cumsum(per) - per
         self.nth = np.arange(per.sum()) - first[self.doc]
+        self.blocks = per[self.doc]
         self.length = np.minimum(BLOCK, sizes[self.doc] - self.nth * BLOCK)
         flat = np.concatenate([*lines, np.zeros(BLOCK, np.int16)])
         at = (np.cumsum(sizes) - sizes)[self.doc] + self.nth * BLOCK
         order = np.argsort(-self.length, kind="stable")
-        self.doc, self.nth, self.length = self.doc[order], self.nth[order], self.length[order]
-        self.classes = flat[np.minimum(at[order][:, None] + np.arange(BLOCK), flat.size - 1)]
-
-    def active(self, t: int, lo: int = 0, hi: int | None = None) -> int:
-        """Blocks of a range (sorted by length) with more than t tokens."""
-        return int(np.searchsorted(-self.length[lo:hi], -t, "left"))
-
-
-def expected(seg: Segments, model: dict, sums: dict, part: int = 8192) -> None:
-    """Add a batch's expected transitions, emissions and starts to ``sums``."""
-    a, e = model["A"], model["B"].T.copy()
-    for lo in range(0, seg.doc.size, part):
-        hi = min(lo + part, seg.doc.size)
-        n = hi - lo
-        state = np.where((seg.nth[lo:hi] == 0)[:, None], model["start"], model["mean"])
-        alphas, scales, acts = [state], [], []
-        for t in range(BLOCK):
-            k = seg.active(t, lo, hi)
-            if not k:
-                break
-            nxt = (alphas[-1][:k] @ a) * e[seg.classes[lo : lo + k, t]]
-            c = nxt.sum(1)
-            alphas.append(nxt / c[:, None]), scales.append(c), acts.append(k)
-        beta = np.ones((n, STATES))
-        for t in reversed(range(len(acts))):
-            k = acts[t]
-            cls = seg.classes[lo : lo + k, t]
-            gamma = alphas[t + 1] * beta[:k]
-            for s in range(STATES):
-                sums["B"][s] += np.bincount(cls, gamma[:, s], CLASSES)
-            flow = e[cls] * beta[:k] / scales[t][:, None]
-            sums["A"] += a * (alphas[t][:k].T @ flow)
-            beta[:k] = flow @ a.T
-        gamma = alphas[0] * beta
-        sums["start"] += gamma[seg.nth[lo:hi] == 0].sum(0)
-
-
-def log_likelihood(seg: Segments, n_docs: int, model: dict) -> np.ndarray:
-    """Natural log probability of each text's class sequence."""
-    a, e = model["A"], model["B"].T.copy()
-    n = seg.doc.size
-    transfer, logs = np.broadcast_to(np.eye(STATES), (n, STATES, STATES)).copy(), np.zeros(n)
-    for t in range(BLOCK):
-        k = seg.active(t)
+        self.doc, self.nth, self.length, self.blocks, at = (x[order] for x in (self.doc, self.nth, self.length, self.blocks, at))
+        longest = int(self.length[0]) if order.size else 0
+        #: Blocks that have a token at each step: the first so many.
+        self.active = np.searchsorted(-self.length, -np.arange(longest), "left").tolist()
+        #: Class ids of each step's active blocks.
+        self.steps = [flat[at[:k] + t] for t, k in enumerate(self.active)]
+        self.chained = np.flatnonzero(self.blocks > 1)
+
+
+def transfers(seg: Segments, a: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(matrix, log scale) of each block of texts that have several."""
+    own = seg.chained
+    m, logs = np.broadcast_to(np.eye(STATES), (own.size, STATES, STATES)).copy(), np.zeros(own.size)
+    for t, cls in enumerate(seg.steps):
+        k = int(np.searchsorted(own, seg.active[t]))
         if not k:
             break
-        step = (transfer[:k].reshape(-1, STATES) @ a).reshape(k, STATES, STATES)
-        step *= e[seg.classes[:k, t]][:, None, :]
-        transfer[:k] = step
-        if t % 8 == 7 or t == BLOCK - 1:
-            big = transfer.max((1, 2))
-            transfer /= big[:, None, None]
-            logs += np.log(big)
-    alpha, total = np.tile(model["start"], (n_docs, 1)), np.zeros(n_docs)
-    order = np.argsort(seg.nth, kind="stable")
-    cuts = np.searchsorted(seg.nth[order], np.arange(int(seg.nth.max()) + 2 if n else 1))
-    for lo, hi in zip(cuts, cuts[1:]):
-        own = order[lo:hi]
-        d = seg.doc[own]
-        nxt = np.einsum("nk,nkj->nj", alpha[d], transfer[own])
+        m[:k] = (m[:k].reshape(-1, STATES) @ a).reshape(k, STATES, STATES) * e[cls[own[:k]]][:, None, :]
+        if t % 8 == 7:
+            big = m[:k].max((1, 2))
+            m[:k] /= big[:, None, None]
+            logs[:k] += np.log(big)
+    return m, logs
+
+
+def chain(seg: Segments, model: dict, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """State distribution before each block, and the backward vector after it
+    (each up to a factor)."""
+    before, after = np.tile(model["start"], (seg.doc.size, 1)), np.ones((seg.doc.size, STATES))
+    own = seg.chained
+    if own.size:
+        m, _ = transfers(seg, model["A"], e)
+        place = {(int(seg.doc[b]), int(seg.nth[b])): i for i, b in enumerate(own.tolist())}
+        for d in sorted({k[0] for k in place}):
+            rows = [place[d, j] for j in range(int(seg.blocks[own[place[d, 0]]]))]
+            state, back = model["start"], np.ones(STATES)
+            for i in rows:
+                before[own[i]] = state
+                state = state @ m[i]
+                state = state / state.sum()
+            for i in reversed(rows):
+                after[own[i]] = back
+                back = m[i] @ back
+                back = back / back.sum()
+    return before, after
+
+
+def forward(seg: Segments, a: np.ndarray, e: np.ndarray, before: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Scaled state distributions after each step (the first entry: before any)
+    and the scales."""
+    alphas, scales = [before], []
+    for cls, k in zip(seg.steps, seg.active):
+        nxt = (alphas[-1][:k] @ a) * e[cls]
         c = nxt.sum(1)
-        alpha[d] = nxt / c[:, None]
-        total[d] += np.log(c) + logs[own]
-    return total
+        nxt /= c[:, None]
+        alphas.append(nxt)
+        scales.append(c)
+    return alphas, scales
+
+
+def expected(seg: Segments, model: dict, sums: dict) -> None:
+    """Add a slice's expected transitions, emissions and starts, and its log
+    likelihood, to ``sums``."""
+    a, e = model["A"], model["E"]
+    before, after = chain(seg, model, e)
+    alphas, scales = forward(seg, a, e, before)
+    beta, gammas, flows = after.copy(), [], np.zeros((STATES, STATES))
+    for t in reversed(range(len(scales))):
+        k, cls = seg.active[t], seg.steps[t]
+        gamma = alphas[t + 1] * beta[:k]
+        norm = gamma.sum(1)
+        gammas.append(gamma / norm[:, None])
+        # The backward vector of a chained block has a factor of its own.
+        flow = e[cls] * beta[:k] / (scales[t] * norm)[:, None]
+        flows += alphas[t][:k].T @ flow
+        beta[:k] = flow @ a.T
+    sums["A"] += a * flows
+    if scales:
+        flat, weight = np.concatenate(seg.steps[::-1]), np.concatenate(gammas)
+        for s in range(STATES):
+            sums["B"][s] += np.bincount(flat, weight[:, s], CLASSES)
+    start = alphas[0] * beta
+    sums["start"] += (start / start.sum(1, keepdims=True))[seg.nth == 0].sum(0)
+    sums["ll"] += sum(float(np.log(c).sum()) for c in scales)
+
+
+def log_likelihood(seg: Segments, model: dict) -> np.ndarray:
+    """Natural log probability of each text's class sequence."""
+    before, _ = chain(seg, model, model["E"])
+    state, total = before, np.zeros(seg.doc.size)
+    for cls, k in zip(seg.steps, seg.active):
+        nxt = (state[:k] @ model["A"]) * model["E"][cls]
+        c = nxt.sum(1)
+        total[:k] += np.log(c)
+        state = nxt / c[:, None]
+    return np.bincount(seg.doc, total, seg.docs)
 
 
 def _normalised(sums: dict) -> dict:
-    """Smoothed model from expected counts."""
+    """Smoothed model from expected counts; E is B by class."""
     a, b = sums["A"] + 1.0, sums["B"] + 0.1
-    a, b = a / a.sum(1, keepdims=True), b / b.sum(1, keepdims=True)
-    start = sums["start"] + 1.0
-    mean = sums["B"].sum(1) + 1.0
-    return {"A": a, "B": b, "start": start / start.sum(), "mean": mean / mean.sum()}
+    a, b, start = a / a.sum(1, keepdims=True), b / b.sum(1, keepdims=True), sums["start"] + 1.0
+    return {"A": a, "B": b, "E": np.ascontiguousarray(b.T), "start": start / start.sum()}
 
 
 def _initial(class_counts: np.ndarray) -> dict:
-    """Class frequencies, tilted by a fixed pattern so that states differ."""
+    """Class frequencies, tilted by a fixed pattern so that states differ, and
+    states that stay."""
     rng = np.random.default_rng(5)
-    return _normalised({"A": np.full((STATES, STATES), 10.0) + 10 * np.eye(STATES), "B": class_counts * rng.uniform(0.5, 1.5, (STATES, CLASSES)), "start": np.ones(STATES)})
+    return _normalised({"A": np.full((STATES, STATES), 1.0) + 96 * np.eye(STATES), "B": class_counts * rng.uniform(0.2, 1.8, (STATES, CLASSES)), "start": np.ones(STATES)})
+
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Rows whose ``classes`` hold a bounded number of tokens."""
+    for b in batches:
+        lines = [np.frombuffer(x.as_buffer(), np.int16) for x in b.column("classes")]
+        ends = np.cumsum([x.size for x in lines])
+        lo = 0
+        while lo < len(lines):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SLICE_TOKENS, "right")))
+            yield b.slice(lo, hi - lo), lines[lo:hi]
+            lo = hi
 
-def train(training: DataFrame, head, class_counts: np.ndarray, rounds: int = ROUNDS) -> dict:
-    """Baum-Welch over all training texts; ``head`` is the broadcast table."""
-    spark = training.sparkSession
-    model = _initial(class_counts)
-    for _ in range(rounds):
-        now = spark.sparkContext.broadcast(model)
+
+def train(encoded: DataFrame, class_counts: np.ndarray) -> tuple[dict, list[float]]:
+    """Baum-Welch over all rows of ``encoded``: the model, and the log
+    likelihood that each round began with."""
+    sc = encoded.sparkSession.sparkContext
+    model, lls = _initial(class_counts), []
+    for _ in range(MOST_ROUNDS):
+        now = sc.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            known, m = head.value["class"], now.value
-            sums = {"A": np.zeros((STATES, STATES)), "B": np.zeros((STATES, CLASSES)), "start": np.zeros(STATES)}
-            for b in small(batches, 2048):
-                expected(Segments([classes(t, known) for t in texts(b)]), m, sums)
-            rows = [(kind, i, v) for kind, x in sums.items() for i, v in enumerate(x.ravel().tolist()) if v]
-            if rows:
-                k, i, v = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(i, pa.int32()), pa.array(v, pa.float64())], names=["kind", "i", "v"])
-
-        sums = {"A": np.zeros(STATES * STATES), "B": np.zeros(STATES * CLASSES), "start": np.zeros(STATES)}
-        for r in training.select("text").mapInArrow(run, "kind string, i int, v double").groupBy("kind", "i").agg(F.sum("v").alias("v")).collect():
-            sums[r["kind"]][r["i"]] = r["v"]
+            sums = {"A": np.zeros((STATES, STATES)), "B": np.zeros((STATES, CLASSES)), "start": np.zeros(STATES), "ll": np.zeros(1)}
+            for _, lines in sliced(batches):
+                expected(Segments(lines), now.value, sums)
+            for kind, x in sums.items():
+                at = np.flatnonzero(x)
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * at.size, pa.string()), pa.array(at.astype(np.int32)), pa.array(x.ravel()[at], pa.float64())], names=["kind", "i", "v"])
+
+        sums = {"A": np.zeros(STATES * STATES), "B": np.zeros(STATES * CLASSES), "start": np.zeros(STATES), "ll": np.zeros(1)}
+        for r in encoded.select("classes").mapInArrow(run, "kind string, i int, v double").groupBy("kind", "i").agg(F.sum("v").alias("v")).toPandas().itertuples(index=False):
+            sums[r.kind][r.i] = r.v
+        now.unpersist()
         if not sums["start"].any():
             break
+        lls.append(float(sums["ll"][0]))
         model = _normalised({"A": sums["A"].reshape(STATES, STATES), "B": sums["B"].reshape(STATES, CLASSES), "start": sums["start"]})
-    return model
+        gains = np.diff(lls)
+        if gains.size > 1 and gains[-1] <= min(gains[-2], GAIN * abs(lls[-1])):
+            break
+    return model, lls
+
+
+def encode(docs: DataFrame, table: dict, known_end: int, inside: np.ndarray) -> DataFrame:
+    """(row, doc_id, held_out, n_tokens, known, base, within, classes, rest):
+    ``base`` and ``within`` add up over the words of the head; ``rest`` lists
+    the others, which are here as unseen ones."""
+    head, less = docs.sparkSession.sparkContext.broadcast(table), docs.sparkSession.sparkContext.broadcast(inside)
+    listed = F.array(F.struct(F.lit(b"").alias("word"), F.lit(0).cast("long").alias("tf")))
+    zero = F.lit(0).cast("long")
+    schema = docs.select(zero.alias("row"), "doc_id", "held_out", zero.alias("n_tokens"), zero.alias("known"), F.lit(0.0).alias("base"), F.lit(0.0).alias("within"), F.lit(b"").alias("classes"), listed.alias("rest")).schema
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        get, cls, base, within = head.value["at"].get, head.value["class"], head.value["base"], head.value["in"]
+        unseen, row = less.value, TaskContext.get().partitionId() << 33
+        for b in small(batches):
+            n = b.num_rows
+            cols = {k: [] for k in ("n_tokens", "known", "base", "within", "classes", "rest")}
+            for t in texts(b):
+                w = words(t)
+                at = np.array([*(get(x, -1) for x in w), 0], np.int64)  # 0: the end mark
+                met = at >= 0
+                line = np.where(met, cls[at], 0)
+                rest: Counter = Counter()
+                sums = base[at[met]].sum(), within[at[met]].sum()
+                if not met.all():
+                    for i in np.flatnonzero(~met).tolist():
+                        line[i] = shared_class(w[i])
+                        rest[w[i]] += 1
+                    sums = sums[0], sums[1] - unseen[line[~met]].sum()
+                cols["n_tokens"].append(at.size)
+                cols["known"].append(int(met.sum()) - 1 + known_end)
+                cols["base"].append(float(sums[0])), cols["within"].append(float(sums[1]))
+                cols["classes"].append(line.astype(np.int16).tobytes())
+                cols["rest"].append([{"word": x, "tf": tf} for x, tf in rest.items()])
+            kinds = [("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("within", pa.float64()), ("classes", pa.binary()), ("rest", pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())])))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + n)), b.column("doc_id"), b.column("held_out"), *(pa.array(cols[k], kind) for k, kind in kinds)], names=["row", "doc_id", "held_out", *(k for k, _ in kinds)])
+            row += n
 
-def classes(text: str, known: dict) -> np.ndarray:
-    get = known.get
-    return np.array([c if (c := get(w)) is not None else shared_class(w) for w in words(text)] + [0], np.int16)
+    return docs.select("doc_id", "held_out", "text").mapInArrow(run, schema)
 
 
 def score(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -235,8 +328,8 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     vocab = materialize(vocabulary(training), "lm-vocabulary")
     n, v = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     frequent = most_frequent(vocab)
-    own = {bytes(r["word"]): 1 + i for i, r in enumerate(frequent[:OWN])}
-    ends = training.count()
+    end = vocab.where(F.length("word") == 0).first()
+    ends = end["c"] if end else 0
 
     # Totals of the shared classes; own words, which hash there too, leave them.
     groups = {r["k"]: (r["c"], r["v"]) for r in vocab.where(F.length("word") > 0).groupBy(_class_of(F.col("word")).alias("k")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()}
@@ -249,53 +342,31 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         class_v[k] -= 1
     class_counts = class_n.copy()
     class_counts[0] = ends
-    for i, r in enumerate(frequent[:OWN]):
-        class_counts[1 + i] = r["c"]
+    class_counts[1 : 1 + len(frequent[:OWN])] = [r["c"] for r in frequent[:OWN]]
     inside = np.log10(class_n + class_v + 1.0)  # minus log10 of an unseen word's share
 
+    # Entry 0 is the end mark, then the head by frequency.
     base_all = math.log10(n + v + 1.0)
-    table = {"class": {END: 0}, "base": {END: math.log10(ends + 1.0) - base_all}, "in": {END: 0.0}}
-    for r in frequent:
-        w = bytes(r["word"])
-        k = own.get(w) or shared_class(w)
-        table["class"][w] = k
-        table["base"][w] = math.log10(r["c"] + 1.0) - base_all
-        table["in"][w] = 0.0 if w in own else math.log10(r["c"] + 1.0) - inside[k]
-    known_end = int(ends > 0)
-    head = spark.sparkContext.broadcast(table)
-    model = spark.sparkContext.broadcast(train(training, head, class_counts))
-    own_only = spark.sparkContext.broadcast(list(inside))
-
-    schema = docs.select("doc_id", "held_out", F.lit(0).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"), F.lit(0.0).alias("logp"), F.array(F.struct(F.lit(b"").alias("word"), F.lit(0).cast("long").alias("tf"))).alias("rest")).schema
+    counts = np.array([ends, *(r["c"] for r in frequent)], np.float64)
+    cls = np.array([0, *(1 + i if i < OWN else shared_class(bytes(r["word"])) for i, r in enumerate(frequent))], np.int64)
+    within = np.where(np.arange(counts.size) <= OWN, 0.0, np.log10(counts + 1.0) - inside[cls])
+    table = {"at": {bytes(r["word"]): 1 + i for i, r in enumerate(frequent)}, "class": cls, "base": np.log10(counts + 1.0) - base_all, "in": within}
+    encoded = materialize(encode(docs, table, int(ends > 0), inside), "lm-encoded")
+    model = spark.sparkContext.broadcast(train(encoded.where(~F.col("held_out")), class_counts)[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h, m, less = head.value, model.value, own_only.value
-        cls, base, within = h["class"], h["base"], h["in"]
-        for b in small(batches, 1024):
-            lines, cols = [], {k: [] for k in ("n_tokens", "known", "base", "logp", "rest")}
-            for t in texts(b):
-                w = words(t)
-                counts = Counter(w)
-                counts[END] += 1
-                rest = {x: tf for x, tf in counts.items() if x not in cls}
-                lines.append(classes(t, cls))
-                cols["n_tokens"].append(len(w) + 1)
-                cols["known"].append(len(w) - sum(rest.values()) + known_end)
-                cols["base"].append(math.fsum(base[x] * tf for x, tf in counts.items() if x not in rest))
-                # words outside the head: as unseen ones here, their counts join later
-                cols["logp"].append(math.fsum(within[x] * tf if x not in rest else -less[shared_class(x)] * tf for x, tf in counts.items()))
-                cols["rest"].append([{"word": x, "tf": tf} for x, tf in rest.items()])
-            hidden = log_likelihood(Segments(lines), len(lines), m) / math.log(10)
-            kinds = [("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("logp", pa.float64()), ("rest", pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())])))]
-            cols["logp"] = [x + y for x, y in zip(cols["logp"], hidden.tolist())]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), *(pa.array(cols[k], kind) for k, kind in kinds)], names=["doc_id", "held_out", *(k for k, _ in kinds)])
-
-    scored = materialize(docs.select("doc_id", "held_out", "text").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "lm-scored")
-    rest = scored.select("row", F.explode("rest").alias("r")).select("row", "r.word", "r.tf")
+        for part, lines in sliced(batches):
+            hidden = log_likelihood(Segments(lines), model.value) / math.log(10)
+            names = [c for c in part.schema.names if c != "classes"]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(hidden)], names=[*names, "hidden"])
+
+    plain = encoded.select("row", "doc_id", "held_out", "n_tokens", "known", "base", "within", F.aggregate("rest", F.lit(0).cast("long"), lambda a, x: a + x["tf"]).alias("n_rest"), "classes")
+    scored = plain.mapInArrow(run, plain.drop("classes").withColumn("hidden", F.lit(0.0)).schema)
+    rest = encoded.select("row", F.explode("rest").alias("r")).select("row", "r.word", "r.tf")
     # Unseen words add log10(1) beyond the share already counted.
     seen = rest.join(vocab, "word").groupBy("row").agg(F.sum("tf").alias("more"), F.sum(F.col("tf") * F.log10(F.col("c") + 1.0)).alias("gain"))
-    out = scored.withColumn("n_rest", F.aggregate("rest", F.lit(0).cast("long"), lambda a, x: a + x["tf"])).drop("rest").join(seen, "row", "left")
+    out = scored.join(seen, "row", "left")
     gain = F.coalesce("gain", F.lit(0.0))
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(int(n)).cast("long").alias("train_tokens"),
-        (F.col("base") - F.col("n_rest") * base_all + gain).alias("base_score"), (F.col("logp") + gain).alias("score"))
+        (F.col("base") - F.col("n_rest") * base_all + gain).alias("base_score"), (F.col("within") + F.col("hidden") + gain).alias("score"))

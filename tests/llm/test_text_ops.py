@@ -270,17 +270,73 @@ def test_lm_tail_join_gives_the_same_as_the_head(spark, docs, monkeypatch):
         assert math.isclose(r["base_score"], joined[i]["base_score"], rel_tol=1e-9) and math.isclose(r["score"], joined[i]["score"], rel_tol=1e-9)
 
 
-def test_lm_forward_is_exact():
+def slow_forward(m, line):
+    a, total = m["start"].copy(), 0.0
+    for c in line:
+        a = (a @ m["A"]) * m["B"][:, c]
+        total += math.log(a.sum())
+        a /= a.sum()
+    return total
+
+
+@pytest.mark.parametrize("block", [1024, 64, 3])
+def test_lm_forward_is_exact(monkeypatch, block):
+    monkeypatch.setattr(hmm_lm, "BLOCK", block)
     rng = np.random.default_rng(1)
     m = hmm_lm._initial(rng.random(hmm_lm.CLASSES))
-    lines = [rng.integers(0, hmm_lm.CLASSES, n).astype(np.int16) for n in (1, 5, 64, 65, 200, 3000)]
-    for x, got in zip(lines, hmm_lm.log_likelihood(hmm_lm.Segments(lines), len(lines), m)):
-        a, total = m["start"].copy(), 0.0
-        for c in x:
-            a = (a @ m["A"]) * m["B"][:, c]
-            total += math.log(a.sum())
-            a /= a.sum()
-        assert math.isclose(total, got, rel_tol=1e-9)
+    lines = [rng.integers(0, hmm_lm.CLASSES, n).astype(np.int16) for n in (1, 5, 64, 65, 200, 3000, 0)]
+    for x, got in zip(lines, hmm_lm.log_likelihood(hmm_lm.Segments(lines), m)):
+        assert math.isclose(slow_forward(m, x), got, rel_tol=1e-9, abs_tol=1e-12)
+
+
+def empty_sums():
+    return {"A": np.zeros((hmm_lm.STATES, hmm_lm.STATES)), "B": np.zeros((hmm_lm.STATES, hmm_lm.CLASSES)), "start": np.zeros(hmm_lm.STATES), "ll": np.zeros(1)}
+
+
+@pytest.mark.parametrize("block", [1024, 2])
+def test_lm_expected_counts_equal_a_sum_over_all_paths(monkeypatch, block):
+    """Baum-Welch sums against every state path of short texts."""
+    import itertools
+
+    monkeypatch.setattr(hmm_lm, "BLOCK", block)
+    rng = np.random.default_rng(2)
+    m = hmm_lm._initial(rng.random(hmm_lm.CLASSES))
+    m["A"] = rng.dirichlet(np.ones(hmm_lm.STATES), hmm_lm.STATES)
+    lines = [rng.integers(0, 6, n).astype(np.int16) for n in (1, 2, 5, 4)]
+    want = empty_sums()
+    for line in lines:
+        paths = list(itertools.product(range(hmm_lm.STATES), repeat=line.size + 1))
+        weights = np.array([m["start"][p[0]] * np.prod([m["A"][x, y] * m["B"][y, c] for x, y, c in zip(p, p[1:], line)]) for p in paths])
+        want["ll"] += math.log(weights.sum())
+        for p, w in zip(paths, weights / weights.sum()):
+            want["start"][p[0]] += w
+            for x, y, c in zip(p, p[1:], line):
+                want["A"][x, y] += w
+                want["B"][y, c] += w
+    got = empty_sums()
+    hmm_lm.expected(hmm_lm.Segments(lines), m, got)
+    for k in want:
+        assert np.allclose(got[k], want[k], rtol=1e-9, atol=1e-12), k
+
+
+def test_lm_training_rises_and_beats_one_state(spark, docs, monkeypatch):
+    """Each round's likelihood is above the last one's; held-out texts score
+    better than under class frequencies alone, by one in a hundred at least."""
+    monkeypatch.setattr(hmm_lm, "OWN", 300)
+    monkeypatch.setattr(hmm_lm, "SHARED", 100)
+    monkeypatch.setattr(hmm_lm, "CLASSES", 401)
+    rows = [r["text"] or "" for r in docs.orderBy("doc_id").collect()]
+    counts = collections.Counter(w for t in rows for w in hmm_lm.words(t))
+    own = {w: 1 + i for i, (w, _) in enumerate(counts.most_common(300))}
+    lines = [np.array([own.get(w) or hmm_lm.shared_class(w) for w in hmm_lm.words(t)] + [0], np.int16) for t in rows]
+    learn, kept = [x for i, x in enumerate(lines) if i % 5], [x for i, x in enumerate(lines) if not i % 5]
+    seen = np.bincount(np.concatenate(learn), minlength=401).astype(float)
+    encoded = spark.createDataFrame([(bytearray(x.tobytes()),) for x in learn], "classes binary").repartition(3)
+    model, lls = hmm_lm.train(encoded, seen)
+    assert 3 <= len(lls) <= hmm_lm.MOST_ROUNDS and all(b > a for a, b in zip(lls, lls[1:]))
+    whole = sum(slow_forward(model, x) for x in kept)
+    share = np.log((seen + 0.1) / (seen + 0.1).sum())
+    assert whole > 0.99 * sum(float(share[x].sum()) for x in kept)
 
 
 def test_lm_odd_rows(odd, empty):
