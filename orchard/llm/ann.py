@@ -1,14 +1,17 @@
 """Approximate nearest neighbours by adaptive dimension scan.
 
 An inverted-list index: centroids from k-means over a sample of at most
-``SAMPLE`` vectors; every vector goes to its nearest centroid's list.  A query
-probes the lists with the largest inner products; how many, is calibrated on
-the sample so that ``TARGET`` of the sample's true neighbours lie in them.
-Inside a list, rotated vectors are scanned in blocks of columns: from the
-squared distance over the first d of D dimensions a hypothesis test (error
-factor ``1 + EPSILON / sqrt(d)``) drops candidates that cannot be as near as
-the query's 20th best in the sample (broadcast; its bound is fixed).  Scores of
-survivors come from the original vectors in double precision.
+``SAMPLE`` vectors and ``SAMPLE_BYTES``; every vector goes to its nearest
+centroid's list.  A query probes the lists with the largest inner products; how
+many, is calibrated on the sample so that ``TARGET`` of the sample's true
+neighbours lie in them.  Inside a list, rotated vectors are scanned in blocks of
+columns: from the squared distance over the first d of D dimensions a
+hypothesis test (error factor ``1 + EPSILON / sqrt(d)``) drops candidates that
+cannot be as near as a score that ``k`` vectors are known to reach.  That score
+to beat is the query's k-th best among at most ``PILOTS`` vectors (and
+``PILOT_BYTES``), which are broadcast for this and nothing else: what is
+returned was found in a probed list.  Scores of survivors come from the
+original vectors in double precision.
 
 Lists are cut into chunks of about ``CHUNK`` rows, so one vector that holds a
 third of all rows is spread; queries stream past a chunk.
@@ -33,7 +36,8 @@ from orchard.llm.common import materialize
 from orchard.llm.vectors import dimension, matrix, rotation, row_dots, usable
 
 NEIGHBOURS = 20
-SAMPLE = 32_768
+SAMPLE, SAMPLE_BYTES = 32_768, 64 << 20
+PILOTS, PILOT_BYTES = 2048, 16 << 20
 LIST_ROWS = 512
 MAX_LISTS = 4096
 TARGET = 0.97
@@ -87,13 +91,14 @@ def search(rows: DataFrame, id_col: str, vec_col: str, is_query: Column, k: int
     dim = dimension(v, "v")
     v = materialize(v.where(F.size("v") == dim), "ann-vectors")
     n = v.count()
-    share = min(1.0, SAMPLE / max(n, 1))
+    share = min(1.0, SAMPLE / max(n, 1), SAMPLE_BYTES / max(8 * dim * n, 1))
     picked = v.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) < int(share * (1 << 30))).select("id", "v").toArrow() if n else None
     ids, sample = (picked.column("id").to_numpy(), matrix(picked.column("v"), dim)) if n else (np.empty(0, np.int64), np.empty((0, 1)))
     order = np.argsort(ids, kind="stable")
     ids, sample = ids[order], sample[order]
     model = fit(sample, n) if len(sample) else {"centroids": np.zeros((1, dim)), "probes": 1}
-    shared = spark.sparkContext.broadcast(model | {"pilot_ids": ids, "pilots": sample})
+    few = slice(0, None, max(1, -(-len(ids) // max(1, min(PILOTS, PILOT_BYTES // max(8 * dim, 1))))))
+    shared = spark.sparkContext.broadcast(model | {"pilot_ids": ids[few], "pilots": sample[few]})
 
     def base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = shared.value["centroids"]
@@ -102,25 +107,21 @@ def search(rows: DataFrame, id_col: str, vec_col: str, is_query: Column, k: int
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array(nearest(x, c), pa.int32())], names=["id", "v", "list"])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Lists to probe, the score to beat, and the pilots' best as hits."""
+        """Lists to probe and the score to beat."""
         m = shared.value
         for b in batches:
             for lo in range(0, b.num_rows, QUERIES_AT_ONCE):
                 part = b.slice(lo, QUERIES_AT_ONCE)
                 q, own = matrix(part.column("v"), dim), part.column("id").to_numpy()
                 lists = np.argsort(-(q @ m["centroids"].T), axis=1, kind="stable")[:, : m["probes"]]
-                # The best pilots by a matrix product, scored again pair by pair.
-                rough = q @ m["pilots"].T
-                rough[own[:, None] == m["pilot_ids"][None, :]] = -np.inf
-                few = min(k + 4, rough.shape[1])
-                top = np.argpartition(-rough, few - 1, axis=1)[:, :few] if few else np.empty((len(q), 0), int)
-                best = row_dots(q, np.repeat(np.arange(len(q)), few), m["pilots"], top.ravel()).reshape(len(q), few)
-                best[np.take_along_axis(rough, top, 1) == -np.inf] = -np.inf
-                order = np.argsort(-best, axis=1, kind="stable")[:, :k]
-                top, best = np.take_along_axis(top, order, 1), np.take_along_axis(best, order, 1)
-                beat = best[:, -1] if best.shape[1] == k else np.full(len(q), -np.inf)
-                hits = [[{"id": int(x), "score": float(s)} for x, s in zip(m["pilot_ids"][t], bs) if s > -np.inf] for t, bs in zip(top, best)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("v"), pa.array(beat), pa.array(lists.astype(np.int32).tolist(), pa.list_(pa.int32())), pa.array(hits, pa.list_(pa.struct([("id", pa.int64()), ("score", pa.float64())])))], names=["id", "v", "beat", "lists", "hits"])
+                score = q @ m["pilots"].T
+                score[own[:, None] == m["pilot_ids"][None, :]] = -np.inf
+                beat = np.full(len(q), -np.inf)
+                if score.shape[1] >= k:
+                    best = np.partition(score, score.shape[1] - k, axis=1)[:, -k]
+                    # A matrix product may differ from the pair's own sum by a rounding.
+                    beat = best - 1e-9 * (np.abs(best) + np.sqrt((q * q).sum(1) * (m["pilots"] ** 2).sum(1).max()))
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("v"), pa.array(beat), pa.array(lists.astype(np.int32).tolist(), pa.list_(pa.int32()))], names=["id", "v", "beat", "lists"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = rotation(dim, 1)
@@ -149,16 +150,14 @@ def search(rows: DataFrame, id_col: str, vec_col: str, is_query: Column, k: int
 
     based = materialize(v.mapInArrow(base, v.select("id", "v", F.lit(0).alias("list")).schema), "ann-lists")
     sizes = based.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    asked = v.where("q").mapInArrow(probe, v.select("id", "v", F.lit(0.0).alias("beat"), F.array(F.lit(0)).alias("lists"), F.array(F.struct(F.lit(0).cast("long").alias("id"), F.lit(0.0).alias("score"))).alias("hits")).schema)
+    asked = v.where("q").mapInArrow(probe, v.select("id", "v", F.lit(0.0).alias("beat"), F.array(F.lit(0)).alias("lists")).schema)
     asked = materialize(asked, "ann-queries")
     held = based.join(sizes, "list").select("list", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"), F.lit(0).alias("kind"), "id", "v", F.lit(0.0).alias("beat"))
     sent = asked.select("id", "v", "beat", F.explode("lists").alias("list")).join(sizes, "list")
     sent = sent.select("list", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("kind"), "id", "v", "beat")
     found = held.unionByName(sent).repartition("list", "chunk").sortWithinPartitions("list", "chunk", "kind").mapInArrow(scan, "query_id long, vec_id long, score double")
-    pilots = asked.select(F.col("id").alias("query_id"), F.explode("hits").alias("h")).select("query_id", F.col("h.id").alias("vec_id"), F.col("h.score").alias("score"))
-    # A sample row that also lies in a probed list comes twice with the same score.
     best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.unionByName(pilots).distinct().withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def adaptive_scan(q_ids, q_raw, q_rot, beat, ids, raw, rot, norms, k: int) -> pa.RecordBatch:

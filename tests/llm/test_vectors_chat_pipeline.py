@@ -106,6 +106,38 @@ def test_neighbours_recall(spark, n):
     assert hits / total >= 0.9
 
 
+def test_neighbours_come_from_the_probed_lists(spark, monkeypatch):
+    """Recall of the lists alone, where a query's lists hold less than half of
+    all rows and the pilots are few."""
+    monkeypatch.setattr(ann, "SAMPLE", 3000)
+    monkeypatch.setattr(ann, "PILOTS", 64)
+    monkeypatch.setattr(ann, "LIST_ROWS", 150)
+    rng = np.random.default_rng(7)
+    n, dim = 9000, 24
+    centres = rng.standard_normal((60, dim)) * 2
+    x = centres[rng.integers(0, 60, n)] + rng.standard_normal((n, dim)) * 0.7
+    fitted = {}
+    whole = ann.fit
+    monkeypatch.setattr(ann, "fit", lambda sample, rows: fitted.setdefault("m", whole(sample, rows)))
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = {}
+    for r in ann.search(df, "vec_id", "embedding", F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r["query_id"], {})[r["vec_id"]] = r["score"]
+    own, centroids = ann.nearest(x, fitted["m"]["centroids"]), fitted["m"]["centroids"]
+    read = hits = 0
+    for q in range(0, n, 100):
+        lists = np.argsort(-(x[q] @ centroids.T), kind="stable")[: fitted["m"]["probes"]]
+        probed = np.isin(own, lists)
+        read += probed.mean()
+        assert probed[list(got[q])].all()  # nothing from elsewhere
+        s = (x * x[q]).sum(1)
+        s[q] = -np.inf
+        least = np.sort(s)[-20]
+        hits += sum(v >= least - 1e-12 for v in got[q].values())
+    assert read / 90 < 0.5 and hits / 1800 >= 0.9
+
+
 def test_vector_queries_on_an_empty_table(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embed_dedup.near_duplicates(none).count() == 0
