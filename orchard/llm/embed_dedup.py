@@ -2,8 +2,8 @@
 
 Equal vectors of one label form a class first; only its smallest id goes on,
 with the class's size.  A vector's code is the signs of its unit vector after a
-random rotation, stored with the correction factor f = <unit, code>; then
-<x, code_y> / f_y estimates <x, y> without bias, with an error of about
+random rotation, packed to one bit each and stored with the correction factor
+f = <unit, code>, once per vector; in a bucket <x, code_y> / f_y estimates <x, y> without bias, with an error of about
 ``ERROR * sqrt((1 - f^2) / f^2 / (D - 1))`` at most.  A pair whose estimate plus
 that bound stays below the threshold is dropped; every other pair is computed
 again in double precision, so no pair below the threshold links.
@@ -63,15 +63,24 @@ def _units(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def link_bucket(ids: np.ndarray, weights: np.ndarray, side: np.ndarray, x: np.ndarray, table: int, bits: int, tables: int, one: bool) -> tuple[dict, list]:
+def encode(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Packed sign codes and correction factors of unit vectors."""
+    turned = unit @ rotation(unit.shape[1], 1)
+    return np.packbits(turned > 0, axis=1), np.abs(turned).sum(1) / math.sqrt(unit.shape[1])
+
+
+def unpacked(codes: np.ndarray, dim: int) -> np.ndarray:
+    """Packed codes as unit vectors of the rotated space."""
+    return (np.unpackbits(codes, axis=1, count=dim) * 2.0 - 1.0) / math.sqrt(dim)
+
+
+def link_bucket(ids: np.ndarray, weights: np.ndarray, side: np.ndarray, x: np.ndarray, codes: np.ndarray, f: np.ndarray, table: int, bits: int, tables: int, one: bool) -> tuple[dict, list]:
     """(links per id, connecting links) among one bucket's vectors.  ``one``:
     all rows against each other, else side 0 against side 1."""
     unit = _units(x)
     dim = unit.shape[1]
     keys = table_keys(unit, bits, tables)[:, :table]
-    turned = unit @ rotation(dim, 1)
-    code = np.where(turned > 0, 1.0, -1.0) / math.sqrt(dim)
-    f = (turned * code).sum(1)
+    turned, code = unit @ rotation(dim, 1), unpacked(codes, dim)
     bound = ERROR * np.sqrt(np.maximum(0, 1 - f * f) / (f * f) / max(dim - 1, 1))
     left, right = (np.arange(len(ids)),) * 2 if one else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
     counts: dict[int, int] = {}
@@ -120,16 +129,19 @@ def near_duplicates(rows: DataFrame) -> DataFrame:
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = table_keys(_units(matrix(b.column("v"), dim)), bits, tables)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("label", "v", "rep", "w")), pa.array(keys.tolist(), pa.list_(pa.int64()))], names=["label", "v", "rep", "w", "keys"])
-
-    schema = classes.select("label", "v", "rep", "w", F.array(F.lit(0).cast("long")).alias("keys")).schema
-    dealt = classes.mapInArrow(keyed, schema).select("label", "rep", "w", "v", F.posexplode("keys").alias("t", "key"))
+            unit = _units(matrix(b.column("v"), dim))
+            codes, factors = encode(unit)
+            keys = table_keys(unit, bits, tables)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("label", "v", "rep", "w")), pa.array([x.tobytes() for x in codes], pa.binary()), pa.array(factors), pa.array(keys.tolist(), pa.list_(pa.int64()))], names=["label", "v", "rep", "w", "code", "factor", "keys"])
+
+    schema = classes.select("label", "v", "rep", "w", F.lit(b"").alias("code"), F.lit(0.0).alias("factor"), F.array(F.lit(0).cast("long")).alias("keys")).schema
+    coded = materialize(classes.mapInArrow(keyed, schema), "vec-codes")
+    dealt = coded.select("label", "rep", "w", "v", "code", "factor", F.posexplode("keys").alias("t", "key"))
     large = dealt.groupBy("label", "t", "key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > CHUNK)
     large = large.select("label", "t", "key", F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks"))
     split = dealt.join(large, ["label", "t", "key"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     split = split.withColumn("own", F.pmod(F.xxhash64("rep", F.lit(9)), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    split = split.select("label", "t", "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "w", "v")
+    split = split.select("label", "t", "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "w", "v", "code", "factor")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int | None, int]] = []
@@ -137,7 +149,7 @@ def near_duplicates(rows: DataFrame) -> DataFrame:
             if g.num_rows < 2:
                 continue
             col = lambda c: g.column(c).to_numpy()  # noqa: B023, E731
-            counts, links = link_bucket(col("rep"), col("w").astype(np.float64), col("side"), matrix(g.column("v"), dim), int(col("t")[0]), bits, tables, bool(col("lo")[0] == col("hi")[0]))
+            counts, links = link_bucket(col("rep"), col("w").astype(np.float64), col("side"), matrix(g.column("v"), dim), np.frombuffer(b"".join(g.column("code").to_pylist()), np.uint8).reshape(g.num_rows, -1), col("factor"), int(col("t")[0]), bits, tables, bool(col("lo")[0] == col("hi")[0]))
             out += [(a, None, n) for a, n in counts.items()] + [(a, b, 0) for a, b in links]
             if len(out) > 1 << 16:
                 yield _result(out)

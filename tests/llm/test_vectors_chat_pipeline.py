@@ -74,8 +74,10 @@ def test_estimates_are_unbiased_and_bounded():
     u = rng.standard_normal((400, 64))
     u /= np.linalg.norm(u, axis=1)[:, None]
     turned = u @ embed_dedup.rotation(64, 1)
-    code = np.where(turned > 0, 1.0, -1.0) / 8
-    f = (turned * code).sum(1)
+    packed, f = embed_dedup.encode(u)
+    assert packed.shape == (400, 8)  # one bit a dimension
+    code = embed_dedup.unpacked(packed, 64)
+    assert np.allclose(f, (turned * code).sum(1))
     error = (turned @ code.T) / f - u @ u.T
     np.fill_diagonal(error, 0)
     bound = embed_dedup.ERROR * np.sqrt((1 - f * f) / (f * f) / 63)
