@@ -192,8 +192,10 @@ def _fold_scores(model, valid: DataFrame, task: str, label: str, counts: list[in
         errors = [F.sqrt(F.avg(F.pow(F.col("scores")[i] - F.col(label), 2))).alias(f"m{i}") for i in range(n)]
         row = wide.agg(F.count(F.lit(1)).alias("n"), *errors).first()
         return [(row[f"m{i}"], row["n"]) for i in range(n)]
+    wide = wide.persist()  # read for the slices and for the curve
     long = wide.select(F.col(label).alias("label"), F.posexplode("scores").alias("nth", "score"))
     found = {r["nth"]: r for r in metrics.auc(long, segments=["nth"]).collect()}  # one row per count
+    wide.unpersist()
     return [(found[i]["auc"], found[i]["n_pos"] + found[i]["n_neg"]) if i in found else (None, 0) for i in range(n)]
 
 
