@@ -39,7 +39,6 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import xxhash
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +47,9 @@ from orchard.llm.common import _powers, grouped, materialize, mix64, small
 WINDOW = 50
 KMER = 24
 HOT = 20_000
+#: Bits of a place inside a stretch whose minimizers are taken together; the
+#: hash is compared without as many of its lower bits, at every text length.
+PLACE_BITS = 20
 #: Longest suffix: all windows of one minimizer.
 WIDTH = 2 * WINDOW - KMER
 #: Suffixes a bucket holds on average, and suffixes in a run.
@@ -67,10 +69,20 @@ def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     m = raw.size - KMER + 1
     h = mix64((total[KMER:] - total[:m]) * inverse[:m])
     least = np.empty(windows, np.int64)
-    step = 1 << 14
-    for lo in range(0, windows, step):
-        v = sliding_window_view(h[lo : lo + step + w - 1], w)[: min(step, windows - lo)]
-        least[lo : lo + len(v)] = v.argmin(1) + np.arange(lo, lo + len(v))
+    step = 1 << PLACE_BITS
+    for lo in range(0, windows, step - w):
+        part = h[lo : lo + step]
+        # The hash's upper bits, then the place: of equal hashes the leftmost.
+        x = (part >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)) | np.arange(part.size, dtype=np.uint64)
+        # Minima over 2, 4, 8 ... places, then over w by two that overlap.
+        width = 1
+        while 2 * width <= w:
+            x = np.minimum(x[:-width], x[width:])
+            width *= 2
+        if width < w:
+            x = np.minimum(x[: width - w], x[w - width :])
+        n = min(step - w, windows - lo)
+        least[lo : lo + n] = (x[:n] & np.uint64(step - 1)).astype(np.int64) + lo
     first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
     return h[least[first]].view(np.int64), first, np.concatenate((first[1:], [windows])) - 1
 
