@@ -37,6 +37,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +56,9 @@ HEAD_BYTES = 64
 GAIN, MOST_ROUNDS = 1e-4, 12
 BLOCK = 1024
 #: Tokens of the texts that run side by side (one text may have more).
-SLICE_TOKENS = 1 << 19
+SLICE_TOKENS = 1 << 20
+#: Type of what a training round computes token by token (sums are doubles).
+REAL = np.float32
 FLUSH = 200_000
 END = b""
 
@@ -174,43 +177,42 @@ def chain(seg: Segments, model: dict, e: np.ndarray) -> tuple[np.ndarray, np.nda
     return before, after
 
 
-def forward(seg: Segments, a: np.ndarray, e: np.ndarray, before: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Scaled state distributions after each step (the first entry: before any)
-    and the scales."""
-    alphas, scales = [before], []
-    for cls, k in zip(seg.steps, seg.active):
-        nxt = (alphas[-1][:k] @ a) * e[cls]
-        c = nxt.sum(1)
-        nxt /= c[:, None]
-        alphas.append(nxt)
-        scales.append(c)
-    return alphas, scales
-
-
 def expected(seg: Segments, model: dict, sums: dict) -> None:
     """Add a slice's expected transitions, emissions and starts, and its log
     likelihood, to ``sums``."""
-    a, e = model["A"], model["E"]
-    before, after = chain(seg, model, e)
-    alphas, scales = forward(seg, a, e, before)
-    beta, gammas, flows = after.copy(), [], np.zeros((STATES, STATES))
+    if not seg.steps:
+        return
+    a, e = model["A"].astype(REAL), model["E"].astype(REAL)
+    before, after = (x.astype(REAL) for x in chain(seg, model, model["E"]))
+    # Forward: scaled state distributions before the first step and after each.
+    alphas, scales, gains, add = [before], [], [], np.ones((STATES, 1), REAL)
+    for cls, k in zip(seg.steps, seg.active):
+        gain = e[cls]
+        nxt = alphas[-1][:k] @ a
+        nxt *= gain
+        c = nxt @ add
+        nxt /= c
+        alphas.append(nxt), scales.append(c), gains.append(gain)
+    # A chained block's backward vector is known up to a factor; with the right
+    # one, forward times backward sums to 1 at every step.
+    beta = after
+    for i in seg.chained.tolist():
+        beta[i] /= (alphas[int(seg.length[i])][i] * beta[i]).sum()
+    gammas, flows = [None] * len(scales), [None] * len(scales)
     for t in reversed(range(len(scales))):
-        k, cls = seg.active[t], seg.steps[t]
-        gamma = alphas[t + 1] * beta[:k]
-        norm = gamma.sum(1)
-        gammas.append(gamma / norm[:, None])
-        # The backward vector of a chained block has a factor of its own.
-        flow = e[cls] * beta[:k] / (scales[t] * norm)[:, None]
-        flows += alphas[t][:k].T @ flow
+        k = seg.active[t]
+        gammas[t] = alphas[t + 1] * beta[:k]
+        flow = gains[t]
+        flow *= beta[:k]
+        flow /= scales[t]
+        flows[t] = flow
         beta[:k] = flow @ a.T
-    sums["A"] += a * flows
-    if scales:
-        flat, weight = np.concatenate(seg.steps[::-1]), np.concatenate(gammas)
-        for s in range(STATES):
-            sums["B"][s] += np.bincount(flat, weight[:, s], CLASSES)
-    start = alphas[0] * beta
-    sums["start"] += (start / start.sum(1, keepdims=True))[seg.nth == 0].sum(0)
-    sums["ll"] += sum(float(np.log(c).sum()) for c in scales)
+    sums["A"] += model["A"] * (np.concatenate([x[:k] for x, k in zip(alphas, seg.active)]).T @ np.concatenate(flows))
+    flat, weight = np.concatenate(seg.steps).astype(np.intp), np.concatenate(gammas).T.astype(np.float64)
+    for s in range(STATES):
+        sums["B"][s] += np.bincount(flat, weight[s], CLASSES)
+    sums["start"] += (before * beta)[seg.nth == 0].sum(0)
+    sums["ll"] += float(np.log(np.concatenate(scales), dtype=np.float64).sum())
 
 
 def log_likelihood(seg: Segments, model: dict) -> np.ndarray:
@@ -294,27 +296,32 @@ def encode(docs: DataFrame, table: dict, known_end: int, inside: np.ndarray) ->
         get, cls, base, within = head.value["at"].get, head.value["class"], head.value["base"], head.value["in"]
         unseen, row = less.value, TaskContext.get().partitionId() << 33
         for b in small(batches):
-            n = b.num_rows
-            cols = {k: [] for k in ("n_tokens", "known", "base", "within", "classes", "rest")}
+            flat, sizes = [], []
             for t in texts(b):
                 w = words(t)
-                at = np.array([*(get(x, -1) for x in w), 0], np.int64)  # 0: the end mark
-                met = at >= 0
-                line = np.where(met, cls[at], 0)
-                rest: Counter = Counter()
-                sums = base[at[met]].sum(), within[at[met]].sum()
-                if not met.all():
-                    for i in np.flatnonzero(~met).tolist():
-                        line[i] = shared_class(w[i])
-                        rest[w[i]] += 1
-                    sums = sums[0], sums[1] - unseen[line[~met]].sum()
-                cols["n_tokens"].append(at.size)
-                cols["known"].append(int(met.sum()) - 1 + known_end)
-                cols["base"].append(float(sums[0])), cols["within"].append(float(sums[1]))
-                cols["classes"].append(line.astype(np.int16).tobytes())
-                cols["rest"].append([{"word": x, "tf": tf} for x, tf in rest.items()])
-            kinds = [("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("within", pa.float64()), ("classes", pa.binary()), ("rest", pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())])))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + n)), b.column("doc_id"), b.column("held_out"), *(pa.array(cols[k], kind) for k, kind in kinds)], names=["row", "doc_id", "held_out", *(k for k, _ in kinds)])
+                flat += w
+                flat.append(END)
+                sizes.append(len(w) + 1)
+            if not sizes:
+                continue
+            at = np.fromiter(map(get, flat, repeat(-1)), np.int64, len(flat))
+            met = at >= 0
+            other = np.flatnonzero(~met)
+            line = cls[at]
+            line[other] = [shared_class(flat[i]) for i in other.tolist()]
+            ends = np.cumsum(sizes)
+            starts = ends - sizes
+            sums = [np.add.reduceat(x, starts) for x in (met.astype(np.int64), np.where(met, base[at], 0.0), np.where(met, within[at], -unseen[line]))]
+            # The words outside the head, each with its number, document by document.
+            rest = [Counter(flat[i] for i in part.tolist()) for part in np.split(other, np.searchsorted(other, ends[:-1]))]
+            bounds = np.concatenate(([0], np.cumsum([len(c) for c in rest])))
+            listed = pa.StructArray.from_arrays([pa.array([x for c in rest for x in c], pa.binary()), pa.array([x for c in rest for x in c.values()], pa.int64())], names=["word", "tf"])
+            line = line.astype(np.int16)
+            n = len(sizes)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.arange(row, row + n)), b.column("doc_id"), b.column("held_out"), pa.array(sizes, pa.int64()), pa.array(sums[0] - 1 + known_end), pa.array(sums[1]), pa.array(sums[2]),
+                pa.array([line[lo:hi].tobytes() for lo, hi in zip(starts.tolist(), ends.tolist())], pa.binary()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), listed)],
+                names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "within", "classes", "rest"])
             row += n
 
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, schema)
@@ -350,7 +357,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     counts = np.array([ends, *(r["c"] for r in frequent)], np.float64)
     cls = np.array([0, *(1 + i if i < OWN else shared_class(bytes(r["word"])) for i, r in enumerate(frequent))], np.int64)
     within = np.where(np.arange(counts.size) <= OWN, 0.0, np.log10(counts + 1.0) - inside[cls])
-    table = {"at": {bytes(r["word"]): 1 + i for i, r in enumerate(frequent)}, "class": cls, "base": np.log10(counts + 1.0) - base_all, "in": within}
+    table = {"at": {END: 0} | {bytes(r["word"]): 1 + i for i, r in enumerate(frequent)}, "class": cls, "base": np.log10(counts + 1.0) - base_all, "in": within}
     encoded = materialize(encode(docs, table, int(ends > 0), inside), "lm-encoded")
     model = spark.sparkContext.broadcast(train(encoded.where(~F.col("held_out")), class_counts)[0])
 
