@@ -61,7 +61,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian 32-bit) per document row, checked by digests of
     the ids and of the decoded text."""
-    out = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary_path()).drop("text"), vocabulary_path())
+    out = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), vocabulary_path())
     return out.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "ids")
 
 

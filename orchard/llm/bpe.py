@@ -176,3 +176,26 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded
     """Add ``out``: the vocabulary strings of ``ids``, as the file's tokenizer
     (which has no decoder stage) joins them: one space between tokens."""
     return _mapped(df, vocabulary, ids, out, "string", strings_of, lambda strings, b: decode_ids(strings, b or b""))
+
+
+def round_trip(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``df`` without its text, with ``ids`` and ``decoded``: both directions in
+    one pass and one worker."""
+    with open(vocabulary, encoding="utf-8") as f:
+        source = df.sparkSession.sparkContext.broadcast(f.read())
+    keep = [c for c in df.columns if c not in (text, ids, decoded)]
+    schema = df.select(*keep, F.lit(b"").alias(ids), F.lit("").alias(decoded)).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, key = worker_cache("bpe-binary"), hash(source.value)
+        if key not in cache:
+            cache.clear()
+            cache[key] = Bpe(source.value)
+        bpe = cache[key]
+        for whole in batches:
+            for lo in range(0, whole.num_rows, ROWS_AT_ONCE):
+                b = whole.slice(lo, ROWS_AT_ONCE)
+                found = [bpe.encode(t or "") for t in b.column(text).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(found, pa.binary()), pa.array([bpe.decode(x) for x in found], pa.string())], names=[*keep, ids, decoded])
+
+    return df.mapInArrow(run, schema)

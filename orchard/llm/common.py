@@ -140,12 +140,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def worker_cache(name: str) -> dict:
     """A dict that lives as long as the Python worker, so that tasks which
-    follow one another in it need not rebuild tables of fixed size."""
+    follow one another in it need not rebuild tables of fixed size.  A worker
+    keeps the tables of one name: another operator's go first."""
     import sys
     import types
 
     holder = sys.modules.setdefault("_orchard_worker_cache", types.ModuleType("_orchard_worker_cache"))
-    return holder.__dict__.setdefault(name, {})
+    held = holder.__dict__.setdefault("held", {})
+    if name not in held:
+        held.clear()
+        held[name] = {}
+    return held[name]
 
 
 def small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:

@@ -565,3 +565,11 @@ def test_bucket_links_join_what_brute_force_joins():
         links = ngram_join.compare_bucket(docs, groups, side, held, 9, 10)
         assert set(links) <= set(every) | {(b, a) for a, b in every} and len(links) < n
         assert parts(links) == parts(every)
+
+
+def test_bpe_round_trip_equals_both_directions(odd, docs):
+    for frame in (odd.select("doc_id", "text", "lang"), docs.select("doc_id", "text", "lang").limit(50)):
+        one = bpe.round_trip(frame, vocabulary_path())
+        two = bpe.decode(bpe.encode(frame, vocabulary_path()).drop("text"), vocabulary_path())
+        assert one.columns == two.columns
+        assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
