@@ -104,8 +104,8 @@ def document_frequencies(training: DataFrame) -> DataFrame:
 def _fit_language(rows: pd.DataFrame, idf: np.ndarray) -> pd.DataFrame:
     fold = _fold_table()
     rows = rows.sort_values(["order", "text"])
-    pairs = [counts(t or "", fold) for t in rows["text"]]
-    x = np.array([vector(tf, idf) for tf, letters in pairs if letters], np.float32).reshape(-1, BINS)
+    pairs = (counts(t or "", fold) for t in rows["text"])
+    x = np.array([vector(tf, idf).astype(np.float32) for tf, letters in pairs if letters], np.float32).reshape(-1, BINS)
     if not len(x):
         return pd.DataFrame({"lang": [], "centroid": []}, dtype=object)
     # Farthest-first seeds, then Lloyd rounds by cosine.
