@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from orchard.llm.common import materialize, mix64, small, worker_cache
+from orchard.llm.common import mix64, small, worker_cache
 from orchard.session import fresh_path
 
 #: Occurrences at which a term enters the signature once more.
@@ -57,7 +57,9 @@ SLICE_BYTES, TEXT_BYTES, MOST_SLICES = 2 << 20, 2 << 20, 1 << 24
 PILOT = 32
 ITEMS, TERMS = 1024, 16_384
 #: Terms whose document counts a task holds, and whose hashes a worker keeps.
-FLUSH, HASHES_KEPT = 200_000, 500_000
+FLUSH, HASHES_KEPT = 100_000, 200_000
+#: Blocks that Spark hands a Python worker at a time.
+BLOCKS_AT_ONCE = 8
 ROW_GROUP = 16 << 20
 
 #: Separators become spaces, A-Z lower case, other bytes stay.
@@ -280,6 +282,8 @@ def _scan(blocks: DataFrame, query, top: int, floor) -> DataFrame:
             cols = {c: b.column(c) for c in ("slices", "ids", "sizes", "bits", "texts")}
             for i in range(b.num_rows):
                 found.block(cols["slices"][i].as_py(), cols["ids"][i].as_py(), cols["sizes"][i].as_py(), cols["bits"][i].as_buffer(), cols["texts"][i].values)
+            del b, cols
+            pa.default_memory_pool().release_unused()
         rows = found.rows()
         for lo in range(0, len(rows), 10_000):
             k, i, s = zip(*rows[lo : lo + 10_000])
@@ -312,9 +316,14 @@ def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
     """(item id, rank, doc id, score): each item's ``top`` documents."""
     spark = docs.sparkSession
     path = build_index(docs, key, text)
+    # A session of its own for the scans: rows are whole blocks there, so few of
+    # them make a batch.
+    scans = spark.newSession()
+    scans.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BLOCKS_AT_ONCE))
+    scans.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
 
     def part(*names: str) -> DataFrame:
-        return spark.read.schema(INDEX).parquet(path).where(F.col("part").isin(*names))
+        return scans.read.schema(INDEX).parquet(path).where(F.col("part").isin(*names))
 
     kind = items.schema[item].dataType
     n, total = part("stats").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
@@ -323,7 +332,7 @@ def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
         asked = sorted({w for _, words in block for w in words})
         if not asked:
             continue
-        wanted = spark.createDataFrame([(bytearray(w),) for w in asked], "term binary")
+        wanted = scans.createDataFrame([(bytearray(w),) for w in asked], "term binary")
         df = part("terms").join(F.broadcast(wanted), "term").groupBy("term").agg(F.sum("n").alias("df")).collect()
         weights = {bytes(r["term"]): math.floor(1000 * math.log((2 * n + 2) / (2 * r["df"] + 1))) for r in df}
         made = Query(block, weights, n, total)
@@ -331,7 +340,10 @@ def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
         floor = [0] * len(made.items)
         for r in _ranked(_scan(part("pilot"), query, top, floor), top).where(F.col("rank") == top).collect():
             floor[r["item"]] = r["score"]
-        found = materialize(_ranked(_scan(part("pilot", "rest"), query, top, floor), top), "found")
+        ranked = _ranked(_scan(part("pilot", "rest"), query, top, floor), top)
+        found = fresh_path(spark, "found")
+        ranked.write.parquet(found)
+        found = spark.read.schema(ranked.schema).parquet(found)
         names = spark.createDataFrame([(i, k) for i, (k, _, _) in enumerate(made.items)], T.StructType([T.StructField("item", T.IntegerType()), T.StructField("name", kind)]))
         rows = found.join(F.broadcast(names), "item").select(F.col("name").alias(item), F.col("rank").cast("int").alias("rank"), F.col("doc_id").alias(key), "score")
         out = rows if out is None else out.unionByName(rows)
