@@ -127,3 +127,50 @@ def test_spark_and_normal_equations_agree(spark, lineitem):
     fit = linear.fit_linear(train, res.features, "query_latency")
     gap = derive_features(signal_view(lineitem)).withColumn("own", fit.predict()).select(*METRICS_KEYS, "own").join(res.predictions, METRICS_KEYS)
     assert gap.agg(F.max(F.abs(F.col("own") - F.col("prediction")))).first()[0] < 1e-6
+
+
+@pytest.mark.parametrize("view,label", [(signal_view, "query_latency"), (signal_labels, "fraud")])
+def test_a_cut_tree_is_the_tree_of_that_depth(spark, lineitem, view, label):
+    """With every feature tried at every node and no bootstrap nothing is drawn:
+    a deep forest cut at a depth scores as one fitted to that depth."""
+    task = training.REGRESSION if label == "query_latency" else training.CLASSIFICATION
+    rows = _vectors(lineitem, view, label)
+    setting = {"bootstrap": False, "featureSubsetStrategy": "all", "numTrees": 2}
+    deep = training.make_estimator(task, label, maxDepth=8, **setting).fit(rows)
+    got = np.array([r["scores"] for r in forest.prefix_scores(deep, rows, [1, 2], [label], depths=[2, 5, 8]).collect()])
+    for i, d in enumerate((2, 5, 8)):
+        alone = training.make_estimator(task, label, maxDepth=d, **setting).fit(rows)
+        want = [r["scores"] for r in forest.prefix_scores(alone, rows, [1, 2], [label]).collect()]
+        assert np.allclose(got[:, 2 * i : 2 * i + 2], want, rtol=1e-12)
+
+
+def test_forest_parts_add_up(spark, lineitem, monkeypatch):
+    """A forest fitted in parts is searched like one fitted at once; its driver
+    never holds more trees than the node budget allows."""
+    monkeypatch.setattr(training, "NODES_AT_ONCE", 3 << 6)
+    assert training.forest_parts(8, 5) == [3, 3, 2] and training.forest_parts(8, 20) == [1] * 8 and training.forest_parts(3, 2) == [3]
+    rows = _vectors(lineitem, signal_view, "query_latency")
+    est = training.make_estimator(training.REGRESSION, "query_latency")
+    got = training._forest_scores(est, {}, rows, rows, "query_latency", [2, 4, 8], [3, 5]).collect()
+    models = [est.copy({est.numTrees: t, est.maxDepth: 5, est.seed: 42 + 1_000_003 * i}).fit(rows) for i, t in enumerate((3, 3, 2))]
+    x = [r["features"] for r in rows.limit(20).collect()]
+    trees = [t for m in models for t in m.trees]
+    for r, v in zip(got, x):
+        each = [t.predict(v) for t in trees]
+        assert len(r["scores"]) == 6 and np.allclose(r["scores"][3:], [np.mean(each[:k]) for k in (2, 4, 8)], rtol=1e-12)
+
+
+def test_a_search_fits_one_forest_per_fold(spark, lineitem, monkeypatch):
+    fitted = []
+    own = training.without_summary
+    monkeypatch.setattr(training, "without_summary", lambda m, s: fitted.append(m) or own(m, s))
+    res = train_plan.train(signal_labels(lineitem), training.CLASSIFICATION, "fraud", METRICS_KEYS, grid={"numTrees": [2, 3], "maxDepth": [2, 4]})
+    assert sum(hasattr(m, "totalNumNodes") for m in fitted) == 3 + 1  # a forest a fold, the refit
+    assert res.grid_metrics.count() == 4 and res.fold_metrics.count() == 12
+
+
+def test_node_ids_are_cached_for_deep_trees_only():
+    assert not training.make_estimator(training.REGRESSION, "y", maxDepth=10).getCacheNodeIds()
+    assert training.make_estimator(training.REGRESSION, "y", maxDepth=15).getCacheNodeIds()
+    est = training.make_estimator(training.CLASSIFICATION, "y")
+    assert not est.getCacheNodeIds() and training._with_setting(est, {"maxDepth": 12}).getOrDefault("cacheNodeIds")
