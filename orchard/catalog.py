@@ -639,7 +639,8 @@ def q_forest_leaves(spark, sf_dir):
     data = derive_features(_signal(spark, sf_dir))
     train, _ = split.hash_split(data, METRICS_KEYS, TEST_SIZE, SEED)
     pipe, _ = training.build_pipeline(_signal(spark, sf_dir), training.REGRESSION, "query_latency", METRICS_KEYS, numTrees=3, maxDepth=6, bootstrap=False)
-    fitted = training.split_derivation(pipe)[1].fit(train)
+    rows = training.stable_layout(train, METRICS_KEYS, training.layout_partitions(train.count()))
+    fitted = training.split_derivation(pipe)[1].fit(rows)
     nodes = forest.node_table(fitted.stages[-1], spark)
     leaves = nodes.where(F.col("feature").isNull())
     totals = leaves.groupBy("tree").agg(F.sum("n_rows").alias("n_rows"), F.sum(F.col("n_rows") * F.col("value")).alias("label_sum"), (F.count(F.lit(1)) > 30).alias("many_leaves"))

@@ -174,3 +174,15 @@ def test_node_ids_are_cached_for_deep_trees_only():
     assert training.make_estimator(training.REGRESSION, "y", maxDepth=15).getCacheNodeIds()
     est = training.make_estimator(training.CLASSIFICATION, "y")
     assert not est.getCacheNodeIds() and training._with_setting(est, {"maxDepth": 12}).getOrDefault("cacheNodeIds")
+
+
+def test_leaves_are_fitted_on_laid_out_rows(spark, lineitem, monkeypatch):
+    """The scan's partitions follow the files; the fit's follow the row count."""
+    from orchard import catalog
+
+    made = []
+    monkeypatch.setattr(training, "layout_partitions", lambda n: made.append(n) or 7)
+    own = training.stable_layout
+    monkeypatch.setattr(training, "stable_layout", lambda *a: made.append(own(*a)) or made[-1])
+    totals = catalog.q_forest_leaves(spark, SF_SMALL).collect()
+    assert len(totals) == 3 and {r["n_rows"] for r in totals} == {made[0]} and made[1].rdd.getNumPartitions() == 7
