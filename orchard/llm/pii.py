@@ -6,10 +6,9 @@ kinds (obfuscated addresses, numbers without a plus sign or with other
 separators).  Gradient-boosted trees score the wide ones by format and
 context.  They are trained on candidates found in the corpus: base matches
 that pass their check are positive, those that fail it negative, and rewritten
-copies of both teach the wide forms.  The training set is a sample of at most
-about ``TRAIN_ROWS`` candidates, chosen by hash.  A kind's threshold is
-calibrated on candidates kept out of training: no less than ``MIN_PROB`` and
-above all but ``FALSE_RATE`` of its negatives.  Of accepted spans that overlap,
+copies of both teach the wide forms.  Every base candidate of the corpus is used:
+three of four for training, by hash, the rest to calibrate each kind's threshold,
+no less than ``MIN_PROB`` and above all but ``FALSE_RATE`` of its negatives.  Of accepted spans that overlap,
 the likeliest stays; one that overlaps a base span is dropped.
 
 Everything is DataFrame functions and ``pyspark.ml``.  Regular expressions use
@@ -35,7 +34,6 @@ from pyspark.sql import functions as F
 from orchard.llm.common import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_ROWS = 20_000
 MIN_PROB = 0.85
 FALSE_RATE = 0.002
 CONTEXT = 24
@@ -143,10 +141,9 @@ def features(c: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=[f"f_{n}" for n in cols], outputCol="features", handleInvalid="keep").transform(made).drop(*[f"f_{n}" for n in cols])
 
 
-def training_rows(c: DataFrame, share: float) -> DataFrame:
-    """Candidates with weak labels, and rewritten copies of them."""
-    pick = F.pmod(F.xxhash64("doc_id", "h", "kind", "start"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
-    base = c.where((F.col("form") == "base") & pick).withColumn("label", F.col("ok").cast("double"))
+def training_rows(c: DataFrame) -> DataFrame:
+    """All base candidates with weak labels, and rewritten copies of them."""
+    base = c.where(F.col("form") == "base").withColumn("label", F.col("ok").cast("double"))
     good = base.where("label = 1")
 
     def rewritten(kind: str, label: float, value: Column) -> DataFrame:
@@ -176,10 +173,7 @@ def training_rows(c: DataFrame, share: float) -> DataFrame:
 
 def _fit(c: DataFrame):
     """(model, thresholds by kind), or None where a class is missing."""
-    n = c.where("form = 'base'").count()
-    if not n:
-        return None
-    rows = materialize(features(training_rows(c, min(1.0, TRAIN_ROWS / n))).select("kind", "label", "kept_out", "features"), "pii-train")
+    rows = materialize(features(training_rows(c)).select("kind", "label", "kept_out", "features"), "pii-train")
     classes = {r["label"] for r in rows.where("not kept_out").select("label").distinct().collect()}
     if classes != {0.0, 1.0}:
         return None

@@ -96,6 +96,19 @@ def test_pii_adds_wide_forms_and_redacts(spark):
     assert told[900_003] == "mail [EMAIL] or [PHONE] now [IP]" and "2024-01-02" in told[900_002]
 
 
+def test_pii_learns_from_every_candidate(spark, monkeypatch):
+    """More base candidates than the 20,000 that training once stopped at: all
+    of them and their rewritten copies train or calibrate."""
+    kept = []
+    own = pii.materialize
+    monkeypatch.setattr(pii, "materialize", lambda df, name: kept.append((name, own(df, name))) or kept[-1][1])
+    good, bad = F.concat_ws(".", F.lit("10.1"), F.col("id") % 200, F.col("id") % 251), F.concat_ws(".", F.lit("999.1"), F.col("id") % 200, F.col("id") % 251)
+    docs = spark.range(24000).select(F.col("id").alias("doc_id"), F.concat(F.lit("host "), F.when(F.col("id") % 3 == 0, bad).otherwise(good), F.lit(" up")).alias("text"))
+    assert pii._fit(pii.candidates(docs)) is not None
+    rows = dict(kept)["pii-train"].where("kind = 'ip'")
+    assert rows.where("label = 1").count() == 2 * 16000 and rows.where("label = 0").count() == 16000 + 8000
+
+
 def test_pii_odd_rows(spark, odd, empty):
     assert odd.count() == pii.report(odd).count() and pii.report(empty).count() == 0
     assert pii.redact(odd).columns == odd.columns
