@@ -10,8 +10,11 @@ hypothesis test (error factor ``1 + EPSILON / sqrt(d)``) drops candidates that
 cannot be as near as a score that ``k`` vectors are known to reach.  That score
 to beat is the query's k-th best among at most ``PILOTS`` vectors (and
 ``PILOT_BYTES``), which are broadcast for this and nothing else: what is
-returned was found in a probed list.  Scores of survivors come from the
-original vectors in double precision.
+returned was found in a probed list.  The nearest ``FIRST`` lists are scanned
+against it, then ``GROWTH`` times as many in all and so on; the k-th best found
+so far is the score to beat in the next ones, so that a query's hits grow with
+the number of turns, not with the number of rows.  Scores of survivors come from
+the original vectors in double precision.
 
 Lists are cut into chunks of about ``CHUNK`` rows, so one vector that holds a
 third of all rows is spread; queries stream past a chunk.
@@ -42,6 +45,7 @@ LIST_ROWS = 512
 MAX_LISTS = 4096
 TARGET = 0.97
 CHUNK = 4096
+FIRST, GROWTH = 1, 4
 COLUMNS = 16
 EPSILON = 2.1
 QUERIES_AT_ONCE = 256
@@ -117,11 +121,12 @@ def search(rows: DataFrame, id_col: str, vec_col: str, is_query: Column, k: int
                 score = q @ m["pilots"].T
                 score[own[:, None] == m["pilot_ids"][None, :]] = -np.inf
                 beat = np.full(len(q), -np.inf)
+                # A matrix product may differ from the pair's own sum by a rounding.
+                slack = 1e-9 * np.sqrt((q * q).sum(1) * (m["pilots"] ** 2).sum(1).max())
                 if score.shape[1] >= k:
                     best = np.partition(score, score.shape[1] - k, axis=1)[:, -k]
-                    # A matrix product may differ from the pair's own sum by a rounding.
-                    beat = best - 1e-9 * (np.abs(best) + np.sqrt((q * q).sum(1) * (m["pilots"] ** 2).sum(1).max()))
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("v"), pa.array(beat), pa.array(lists.astype(np.int32).tolist(), pa.list_(pa.int32()))], names=["id", "v", "beat", "lists"])
+                    beat = best - 1e-9 * np.abs(best) - slack
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("v"), pa.array(beat), pa.array(slack), pa.array(lists.astype(np.int32).tolist(), pa.list_(pa.int32()))], names=["id", "v", "beat", "slack", "lists"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = rotation(dim, 1)
@@ -150,14 +155,34 @@ def search(rows: DataFrame, id_col: str, vec_col: str, is_query: Column, k: int
 
     based = materialize(v.mapInArrow(base, v.select("id", "v", F.lit(0).alias("list")).schema), "ann-lists")
     sizes = based.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    asked = v.where("q").mapInArrow(probe, v.select("id", "v", F.lit(0.0).alias("beat"), F.array(F.lit(0)).alias("lists")).schema)
+    asked = v.where("q").mapInArrow(probe, v.select("id", "v", F.lit(0.0).alias("beat"), F.lit(0.0).alias("slack"), F.array(F.lit(0)).alias("lists")).schema)
     asked = materialize(asked, "ann-queries")
     held = based.join(sizes, "list").select("list", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"), F.lit(0).alias("kind"), "id", "v", F.lit(0.0).alias("beat"))
-    sent = asked.select("id", "v", "beat", F.explode("lists").alias("list")).join(sizes, "list")
-    sent = sent.select("list", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("kind"), "id", "v", "beat")
-    found = held.unionByName(sent).repartition("list", "chunk").sortWithinPartitions("list", "chunk", "kind").mapInArrow(scan, "query_id long, vec_id long, score double")
-    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def scanned(asked: DataFrame) -> DataFrame:
+        """Hits of queries (id, v, beat, lists) in their lists."""
+        sent = asked.select("id", "v", "beat", F.explode("lists").alias("list")).join(sizes, "list")
+        sent = sent.select("list", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("kind"), "id", "v", "beat")
+        return held.unionByName(sent).repartition("list", "chunk").sortWithinPartitions("list", "chunk", "kind").mapInArrow(scan, "query_id long, vec_id long, score double")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return found.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    # Nearest lists first, then ever more: the k-th best of a query found so far
+    # is the score to beat in the next ones.  A query's id may repeat.
+    best, done = None, 0
+    while done < model["probes"]:
+        upto = min(model["probes"], FIRST if not done else done * GROWTH)
+        turn = asked.withColumn("lists", F.slice("lists", done + 1, upto - done))
+        if best is not None:
+            reached = best.where(F.col("rank") == k).select(F.col("query_id").alias("id"), (F.col("score") - F.lit(1e-9) * F.abs("score")).alias("found"))
+            turn = turn.join(reached, "id", "left").withColumn("beat", F.coalesce(F.greatest("beat", F.col("found") - F.col("slack")), "beat"))
+        hits = scanned(turn.select("id", "v", "beat", "lists"))
+        best, done = ranked(hits if best is None else best.drop("rank").unionByName(hits)), upto
+        if done < model["probes"]:
+            best = materialize(best, "ann-best")
+    return best
 
 
 def adaptive_scan(q_ids, q_raw, q_rot, beat, ids, raw, rot, norms, k: int) -> pa.RecordBatch:

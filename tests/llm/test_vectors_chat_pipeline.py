@@ -7,6 +7,7 @@ import re
 import sys
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,6 +147,31 @@ def test_vector_queries_on_an_empty_table(spark):
     assert ann.search(none, "vec_id", "embedding", F.lit(True)).count() == 0
 
 
+def test_hits_of_a_query_do_not_grow_with_the_rows(spark, monkeypatch):
+    """What the scan hands on for a query follows the best found so far, not a
+    fixed share of all rows."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 16))
+    x = centres[np.arange(20_000) % 40] + 0.3 * rng.normal(size=(20_000, 16))
+    hits, own = spark.sparkContext.accumulator(0), ann.adaptive_scan
+
+    def counted(*args, **more):
+        found = own(*args, **more)
+        hits.add(found.num_rows)
+        return found
+
+    monkeypatch.setattr(ann, "adaptive_scan", counted)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(20_000), "embedding": list(x)}))
+    got = ann.search(df, "vec_id", "embedding", F.col("vec_id") % 100 == 0).collect()
+    assert len(got) == 200 * 20 and 0 < hits.value < 100 * 200
+    score = x[::100] @ x.T
+    score[np.arange(200), np.arange(0, 20_000, 100)] = -np.inf
+    best = np.argsort(-score, axis=1, kind="stable")[:, :20]
+    found = {(r["query_id"], r["vec_id"]) for r in got}
+    assert sum((100 * i, int(v)) in found for i in range(200) for v in best[i]) >= 0.9 * 4000
+
+
+
 def test_components_of_a_long_chain(spark):
     n = 300
     order = list(range(n))
