@@ -186,3 +186,43 @@ def test_leaves_are_fitted_on_laid_out_rows(spark, lineitem, monkeypatch):
     monkeypatch.setattr(training, "stable_layout", lambda *a: made.append(own(*a)) or made[-1])
     totals = catalog.q_forest_leaves(spark, SF_SMALL).collect()
     assert len(totals) == 3 and {r["n_rows"] for r in totals} == {made[0]} and made[1].rdd.getNumPartitions() == 7
+
+
+def _spied(monkeypatch, frame):
+    """Layouts made and storage levels asked for from here on."""
+    made, kept = [], []
+    own, persist = training.stable_layout, frame.persist
+    monkeypatch.setattr(training, "stable_layout", lambda *a: made.append(a[2]) or own(*a))
+    monkeypatch.setattr(frame, "persist", lambda self, level=None: kept.append(level) or (persist(self, level) if level else persist(self)))
+    return made, kept
+
+
+def test_settings_share_one_layout_and_fit_as_alone(spark, lineitem, monkeypatch):
+    from orchard import catalog
+
+    data, task = signal_labels(lineitem), training.CLASSIFICATION
+    settings = [{"numTrees": 2, "maxDepth": 2}, {"numTrees": 3, "maxDepth": 4}]
+    alone = [train_plan.train(data, task, "fraud", METRICS_KEYS, params=p) for p in settings]
+    made, _ = _spied(monkeypatch, type(data))
+    both = train_plan.train_each(data, task, "fraud", METRICS_KEYS, settings)
+    assert len(made) == 1
+    for got, want in zip(both, alone):
+        assert got.extra == want.extra and got.best_params == want.best_params
+        assert got.predictions.count() == want.predictions.count()
+        told = [[t.toDebugString.split("\n", 1)[1] for t in r.model.stages[-1].trees] for r in (got, want)]
+        assert told[0] == told[1]
+    catalog.q_two_model_score(spark, SF_SMALL)
+    assert len(made) == 2
+
+
+def test_training_rows_are_kept_on_disk(spark, lineitem, monkeypatch):
+    """A fit's own copy of the rows has the memory for itself."""
+    from pyspark import StorageLevel
+
+    data, small = signal_view(lineitem), {"numTrees": 2, "maxDepth": 2}
+    path = fresh_path(spark, "processed")
+    train_plan.write_processed(data, "query_latency", METRICS_KEYS, path)
+    made, kept = _spied(monkeypatch, type(data))
+    train_plan.train(data, training.REGRESSION, "query_latency", METRICS_KEYS, params=small)
+    train_plan.train_processed(train_plan.read_processed(spark, path), training.REGRESSION, params=small)
+    assert len(made) == 2 and kept == [StorageLevel.DISK_ONLY] * 2
