@@ -69,7 +69,8 @@ def write_processed(raw: DataFrame, label: str, keys: list[str], path: str, test
     own), with the fitted feature stages and the feature names beside it.
     Returns the counts."""
     both, fitted, feats, counts = processed(raw, label, keys, test_size, seed)
-    both.write.mode("overwrite").partitionBy("split").parquet(path)
+    with sinks.few_folders(raw.sparkSession):
+        both.write.mode("overwrite").partitionBy("split").parquet(path)
     fitted.write().overwrite().save(f"{path}/{FEATURES_FOLDER}/stages")
     spark = raw.sparkSession
     names = spark.createDataFrame([("feature", i, n) for i, n in enumerate(feats)] + [("key", i, n) for i, n in enumerate(keys)] + [("label", 0, label)], "kind string, position int, name string")
@@ -216,7 +217,9 @@ def train_each(
     *prepare, _ = inner.getStages()
     tr, te = split.hash_split(df, keys, test_size, seed)
     # Derived once here instead of once per fold and setting.
-    tr = split.with_folds(derive.transform(tr), keys, num_folds, seed)
+    tr = derive.transform(tr)
+    if grid:  # a second hash of every row, which only a search reads
+        tr = split.with_folds(tr, keys, num_folds, seed)
     # Incomplete rows of both sides are left out and counted, in the one pass
     # that sizes the layout.
     sides = derive.transform(split.with_split(df, keys, test_size, seed))
@@ -225,13 +228,14 @@ def train_each(
     parts = training.layout_partitions(counts["n"])
     # Keys and raw columns only place the rows; what is kept is what fits read.
     tr = tr.where(training.complete_rows(tr, [*feats, label]))
-    tr = training.stable_layout(tr, keys, parts).select(*feats, label, "fold").persist(KEPT_ROWS)
+    tr = training.stable_layout(tr, keys, parts).select(*feats, label, *(["fold"] if grid else [])).persist(KEPT_ROWS)
     # The hold-out leaves its incomplete rows out as well.
     te = derive.transform(te)
     te = te.where(training.complete_rows(te, [*feats, label]))
     if not grid:
         features = Pipeline(stages=prepare).fit(tr)
-        vectors = features.transform(tr)
+        # A fit passes three times over its input before it has its own copy.
+        vectors = features.transform(tr).select("features", label).persist(KEPT_ROWS)
     results = []
     for params in settings:
         est = training.make_estimator(task, label, model_type, seed, **params)
@@ -245,6 +249,8 @@ def train_each(
         model = PipelineModel(stages=[derive, *fitted.stages])
         results.append(TrainResult(uuid.uuid4().hex, model, feats, best, grid_df, fold_df, fitted.transform(te), task, label,
                                    extra={"training_rows": counts["n"], "dropped_training_rows": counts["dropped"], "dropped_test_rows": counts["dropped_test"]}))
+    if not grid:
+        vectors.unpersist()
     tr.unpersist()
     return results
 
@@ -270,9 +276,10 @@ def train_processed(
     if not keys:  # the row itself is the key
         keys = ["_row"]
         tr = tr.withColumn("_row", F.concat_ws(",", vector_to_array("features").cast("array<string>"), F.col("label").cast("string")))
-    tr = split.with_folds(tr, keys, num_folds, seed)
+    if grid:
+        tr = split.with_folds(tr, keys, num_folds, seed)
     n = tr.count()
-    tr = training.stable_layout(tr, keys, training.layout_partitions(n)).select("features", "label", "fold").persist(KEPT_ROWS)
+    tr = training.stable_layout(tr, keys, training.layout_partitions(n)).select("features", "label", *(["fold"] if grid else [])).persist(KEPT_ROWS)
     grid_df = fold_df = None
     if grid:
         cv = training.cross_validate(tr, Pipeline(stages=[est]), grid, task, "label", num_folds, "fold", parallelism)
