@@ -1,17 +1,18 @@
 """BPE encoding and decoding.
 
 A word's symbols form a doubly linked list; a heap holds the merge rank of
-each adjacent pair, and an entry whose two symbols have since changed is
-skipped when it surfaces.  Decoding concatenates vocabulary strings.  Words
-repeat, so each Python worker keeps a bounded table of words already encoded
-(emptied when full; a miss is encoded again).
+each adjacent pair, and an entry whose pair has since changed is skipped when
+it surfaces.  Decoding concatenates vocabulary strings.  Words repeat, so each
+Python worker keeps two bounded tables of words already encoded: when the newer
+one is full it replaces the older one, and a word found there moves on (a miss
+is encoded again).
 
 The vocabulary file is a ``tokenizers`` JSON: a BPE model with an end-of-word
 suffix, byte-level symbols and added tokens that are matched in the raw text.
 It is read on the driver (fixed size, under 2 MB) and broadcast.  Texts whose
 characters all lie below U+0250 are normalised here (no composition applies to
-them); others go through the file's own normaliser and splitter, whose Unicode
-tables then decide.
+them) and split here if the file's pattern is ``WORDS``; others go through the
+file's own normaliser and splitter, whose Unicode tables then decide.
 
 Nulls and odd rows: a null or empty text has no tokens; any length is encoded
 whole; rows are independent, so repeats and null ids just pass through; an
@@ -20,9 +21,13 @@ empty table gives an empty result; only the named columns are read.
 
 from __future__ import annotations
 
-import heapq
 import json
+import re
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
+from itertools import repeat
+from operator import add
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +36,15 @@ from pyspark.sql import functions as F
 
 from orchard.llm.common import worker_cache
 
-WORDS_KEPT = 150_000
-CHUNKS_KEPT = 250_000
+#: Words in each of a worker's two tables.
+WORDS_KEPT = 200_000
 ROWS_AT_ONCE = 256
+#: The split by which a run of letters, or of marks after it, is one word.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: White space to Python's split() but not to the file.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: A heap entry is ``rank << POSITION | position``; NONE is above all of them.
+POSITION, NONE = 32, 1 << 62
 
 
 def byte_symbols() -> list[str]:
@@ -54,61 +65,76 @@ class Bpe:
         spec = json.loads(source)
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
-        self.suffix: str = model.get("end_of_word_suffix") or ""
-        pairs = (m if isinstance(m, list) else m.split(" ", 1) for m in model["merges"])
-        self.merges = {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in reversed(list(enumerate(pairs)))}
+        suffix: str = model.get("end_of_word_suffix") or ""
+        symbols = self.symbols = byte_symbols()
+        # Symbols are numbered from the byte values on, those that end a word
+        # next; each has its vocabulary id as little-endian 32 bits.
+        names = dict.fromkeys([*symbols, *(c + suffix for c in symbols), *self.vocab])
+        number = {name: i for i, name in enumerate(names)}
+        self.ids = [self.vocab[name].to_bytes(4, "little") for name in names]
+        self.ending = number[symbols[0] + suffix]
+        pairs = [m if isinstance(m, list) else m.split(" ", 1) for m in model["merges"]]
+        self.merges = {(number[a], number[b]): rank << POSITION for rank, (a, b) in reversed(list(enumerate(pairs)))}
+        self.merged = [number[a + b] for a, b in pairs]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = strings_of(source)
-        self.symbols = byte_symbols()
         own = Tokenizer.from_str(source)
         self.normalize, self.pretokenize = own.normalizer.normalize_str, own.pre_tokenizer.pre_tokenize_str
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+        self.splits_here = pattern == WORDS
         self.find = regex.compile(pattern).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        # Python's split() also cuts at these four control characters.
-        self.unusual = regex.compile("[^\x00-\u024f]|[\x1c-\x1f]").search
+        self.high = re.compile("[^\x00-\u024f]").search
         self.known: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
-
-    def merge(self, word: str) -> list[int]:
-        """Ids of one word given in byte symbols."""
-        ids = [self.vocab[c] for c in word[:-1]] + [self.vocab[word[-1] + self.suffix]]
-        n = len(ids)
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [(*m, i, ids[i], ids[i + 1]) for i in range(n - 1) if (m := self.merges.get((ids[i], ids[i + 1])))]
-        heap = [(rank, i, a, b, new) for rank, new, i, a, b in heap]
-        heapq.heapify(heap)
+        self.older: dict[str, bytes] = {}
+
+    def merge(self, word: str) -> bytes:
+        """Little-endian 32-bit ids of one word of normalised text."""
+        symbols = list(word.encode("utf-8"))
+        symbols[-1] += self.ending
+        n, rank_of, merged = len(symbols), self.merges.get, self.merged
+        ranks = [*map(rank_of, zip(symbols, symbols[1:]), repeat(NONE)), NONE]
+        heap = [e for e in map(add, ranks, range(n)) if e < NONE]
+        heapify(heap)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        at = (1 << POSITION) - 1
         while heap:
-            _, i, a, b, new = heapq.heappop(heap)
-            j = after[i]
-            if ids[i] != a or j < 0 or ids[j] != b:  # stale: a neighbour has merged since
+            entry = heappop(heap)
+            i = entry & at
+            if ranks[i] != entry - i:  # stale: one of the two has merged since
                 continue
-            ids[i], ids[j] = new, -1
+            j = after[i]
+            symbols[i] = new = merged[entry >> POSITION]
+            symbols[j] = -1
             after[i] = k = after[j]
-            if k >= 0:
+            ranks[i] = ranks[j] = NONE
+            if k < n:
                 before[k] = i
-                if m := self.merges.get((new, ids[k])):
-                    heapq.heappush(heap, (m[0], i, new, ids[k], m[1]))
-            if (h := before[i]) >= 0 and (m := self.merges.get((ids[h], new))):
-                heapq.heappush(heap, (m[0], h, ids[h], new, m[1]))
-        return [x for x in ids if x >= 0]
+                ranks[i] = rank = rank_of((new, symbols[k]), NONE)
+                if rank < NONE:
+                    heappush(heap, rank + i)
+            if (h := before[i]) >= 0:
+                ranks[h] = rank = rank_of((symbols[h], new), NONE)
+                if rank < NONE:
+                    heappush(heap, rank + h)
+        ids = self.ids
+        return b"".join([ids[x] for x in symbols if x >= 0])
 
     def word(self, word: str) -> bytes:
-        """Little-endian 32-bit ids of one word of normalised text."""
+        """``merge`` through the tables of known words."""
         found = self.known.get(word)
         if found is None:
-            if len(self.known) >= WORDS_KEPT:
-                self.known.clear()
-            symbols = self.symbols
-            found = np.array(self.merge("".join([symbols[b] for b in word.encode("utf-8")])), "<u4").tobytes()
+            found = self.older.get(word) or self.merge(word)
             if len(word) <= 64:
+                if len(self.known) >= WORDS_KEPT:
+                    self.older, self.known = self.known, {}
                 self.known[word] = found
         return found
 
     def plain(self, text: str) -> bytes:
         """Ids of a text without added tokens."""
-        if self.unusual(text) is None:  # no word spans white space
-            get, make = self.chunks.get, self.chunk
+        if self.splits_here and (text.isascii() or self.high(text) is None) and not any(c in text for c in SEPARATORS):
+            get, make = self.known.get, self.chunk  # no word spans white space
             return b"".join([get(c) or make(c) for c in text.lower().split()])
         back = {c: b for b, c in enumerate(self.symbols)}
         split = self.pretokenize(self.normalize(text))
@@ -116,12 +142,12 @@ class Bpe:
 
     def chunk(self, chunk: str) -> bytes:
         """Ids of a lower-cased run without white space."""
-        if len(self.chunks) >= CHUNKS_KEPT:
-            self.chunks.clear()
-        ids = b"".join(map(self.word, self.find(chunk)))
-        if len(chunk) <= 64:
-            self.chunks[chunk] = ids
-        return ids
+        if chunk.isalpha():
+            return self.word(chunk)
+        head = chunk.rstrip(punctuation)
+        if head.isalpha():  # a word and the marks behind it
+            return self.word(head) + self.word(chunk[len(head) :])
+        return b"".join(map(self.word, self.find(chunk)))
 
     def encode(self, text: str) -> bytes:
         if self.cut is None or not any(s in text for s in self.added):

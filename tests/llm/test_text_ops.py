@@ -168,6 +168,50 @@ def test_bpe_equals_the_library(rows):
         assert ours.decode(got) == theirs.decode(want, skip_special_tokens=False)
 
 
+def test_bpe_characters_beside_letters_and_marks():
+    """Every character that is split here, and some beyond, against the library."""
+    from tokenizers import Tokenizer
+
+    path = vocabulary_path()
+    theirs, ours = Tokenizer.from_file(path), bpe.Bpe(open(path, encoding="utf-8").read())
+    for c in [*map(chr, range(0x260)), "\u0307", "\u2c65", "\u3000", "漢"]:
+        text = f"{c} {c}a a{c} a{c}b, {c}. 'a{c}'s a{c}'.. 7{c} a_{c}_ A{c}{c}! {c}'ll'{c}"
+        for _ in range(2):  # the second time from the tables
+            assert np.frombuffer(ours.encode(text), "<u4").tolist() == theirs.encode(text, add_special_tokens=False).ids, repr(c)
+
+
+def test_bpe_of_another_split_and_without_a_suffix():
+    import json
+
+    from tokenizers import Tokenizer
+
+    spec = json.loads(open(vocabulary_path(), encoding="utf-8").read())
+    split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+    split["pattern"]["Regex"] = r"[\p{L}\p{N}]+'?|[^\s\p{L}\p{N}]+"
+    texts = ["it's the 2024 o'clock'' news, x7. don't--7th", "aaaa", ""]
+    for suffix in (spec["model"]["end_of_word_suffix"], None):
+        spec["model"]["end_of_word_suffix"] = suffix
+        theirs, ours = Tokenizer.from_str(json.dumps(spec)), bpe.Bpe(json.dumps(spec))
+        for text in texts * 2:
+            assert np.frombuffer(ours.encode(text), "<u4").tolist() == theirs.encode(text, add_special_tokens=False).ids
+
+
+def test_bpe_keeps_words_in_use_when_its_tables_turn_over(monkeypatch):
+    """Words that texts use again and again are merged once, whatever marks
+    follow them and however many rare words pass through the tables."""
+    for name in ("WORDS_KEPT", "CHUNKS_KEPT"):
+        monkeypatch.setattr(bpe, name, 40, raising=False)
+    coder, merged = bpe.Bpe(open(vocabulary_path(), encoding="utf-8").read()), []
+    merge = coder.merge
+    coder.merge = lambda word: merged.append(word) or merge(word)
+    rare = [chr(97 + i // 26) + chr(97 + i % 26) + "q" for i in range(26 * 26)]
+    first = coder.encode("orchard apple")
+    for i, word in enumerate(rare):
+        assert coder.encode(f"orchard{',.;!'[i % 4]} apple {word}")[-4:] and coder.encode("orchard apple") == first
+    assert merged.count("orchard") == merged.count("apple") == 1
+    assert len(coder.known) <= 40 and len(coder.older) <= 40
+
+
 def test_bpe_odd_rows(odd, empty):
     out = bpe.decode(bpe.encode(odd.select("doc_id", "text"), vocabulary_path()), vocabulary_path()).collect()
     assert len(out) == len(ODD) and all(len(r["ids"]) == 0 and r["decoded"] == "" for r in out if r["doc_id"] in (3, 4, 5))
