@@ -13,7 +13,7 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -76,21 +76,27 @@ def score_with_nodes(rows: DataFrame, nodes: DataFrame, trees: int, depth: int,
     return at.join(leaves, ["tree", "node"]).groupBy(*keys, "features").agg(F.avg("value").alias("score"))
 
 
-def _leaf_values(forest, spark, depths: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Leaf values of all trees, one tree after another in the order of the
-    leaf indices that Spark reports, and where each tree begins.  One row of
-    values per depth: what the leaf's rows get from the tree cut there."""
-    nodes = node_table(forest, spark).select("tree", "node", "left", "right", "value").toPandas()
-    nodes = nodes.sort_values(["tree", "node"])
+def _walk_table(forest, spark, depths: list[int] | None = None):
+    """What it takes to walk a forest's trees: children (right, left) of every
+    node, a leaf's being itself, feature, threshold, the roots, the number of
+    steps to the deepest leaf, and one row of values per depth: what a leaf's
+    rows get from the tree cut there."""
+    columns = ["tree", "node", "feature", "threshold", "left", "right", "value"]
+    nodes = node_table(forest, spark).select(*columns).toArrow().sort_by([("tree", "ascending"), ("node", "ascending")])
     tree, value = nodes["tree"].to_numpy(), nodes["value"].to_numpy()
     start = np.searchsorted(tree, np.arange(forest.getNumTrees))
-    leaf = nodes["left"].isna().to_numpy()
-    left, right = (np.where(leaf, -1, nodes[c].fillna(0).to_numpy().astype(np.int64) + start[tree]) for c in ("left", "right"))
-    sizes = np.bincount(tree[leaf], minlength=forest.getNumTrees)
+    leaf = nodes["left"].is_null().to_numpy()
+    left, right = (np.where(leaf, -1, nodes[c].fill_null(0).to_numpy().astype(np.int64) + start[tree]) for c in ("left", "right"))
     # Leaves that predict alike are one leaf in a fitted tree.
     told = value > 0.5 if hasattr(forest, "numClasses") else value
-    rows = [cut_values(left, right, value, told, start, d)[leaf] for d in depths] if depths else [value[leaf]]
-    return np.stack(rows), np.cumsum(sizes) - sizes
+    rows = np.stack([cut_values(left, right, value, told, start, d) for d in depths] if depths else [value])
+    own = np.arange(len(leaf))
+    children = np.stack([np.where(leaf, own, right), np.where(leaf, own, left)], axis=1).ravel()
+    steps, at = 0, start[~leaf[start]]
+    while at.size:
+        steps, at = steps + 1, np.concatenate([left[at], right[at]])
+        at = at[~leaf[at]]
+    return children, nodes["feature"].fill_null(0).to_numpy().astype(np.int64), nodes["threshold"].fill_null(0.0).to_numpy(), start, steps, rows
 
 
 def cut_values(left: np.ndarray, right: np.ndarray, value: np.ndarray, told: np.ndarray, roots: np.ndarray, depth: int) -> np.ndarray:
@@ -128,27 +134,35 @@ def prefix_scores(
     A large forest may come in parts: this one's trees begin at ``first_tree``,
     and the column ``before`` holds what the parts before it gave.
 
-    Spark finds the leaf of every tree (``leafCol``); the leaf values, at most
-    trees x 2^depth numbers per entry of ``depths``, are broadcast and summed
-    along the trees once.
+    The trees, at most trees x 2^(depth+1) nodes, are broadcast; a batch of rows
+    walks down all at a time, and the leaf values, one per entry of ``depths``,
+    are summed along the trees once.
     """
     spark = rows.sparkSession
-    table = spark.sparkContext.broadcast(_leaf_values(forest, spark, depths))
-    took = np.clip(np.array(counts) - first_tree, 0, forest.getNumTrees)
-
-    @F.pandas_udf("array<double>")
-    def along(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        values, first = table.value
-        for leaves in parts:
-            at = np.stack(leaves.to_numpy()).astype(np.int64) if len(leaves) else np.empty((0, first.size), np.int64)
-            sums = []
-            for row in values:
-                upto = np.cumsum(row[at + first], axis=1)
-                sums.append(np.where(took > 0, upto[:, took - 1], 0.0) / np.array(counts, np.float64))
-            yield pd.Series(list(np.concatenate(sums, axis=1)))
-
-    marked = forest.copy().setLeafCol("_leaves").transform(rows)
-    scores = along(vector_to_array(F.col("_leaves")))
+    table = spark.sparkContext.broadcast(_walk_table(forest, spark, depths))
+    trees = forest.getNumTrees
+    took = np.clip(np.array(counts) - first_tree, 0, trees)
+
+    @F.arrow_udf("array<double>")
+    def along(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        children, feature, threshold, roots, steps, values = table.value
+        for part in parts:
+            n = len(part)
+            x = part.flatten().to_numpy(zero_copy_only=False)
+            first = np.arange(n) * (len(x) // max(n, 1))
+            sums, means = np.zeros((n, len(values))), np.zeros((n, len(values), len(counts)))
+            for t in range(trees):
+                at = np.full(n, roots[t])
+                for _ in range(steps):
+                    goes_left = x[first + feature[at]] <= threshold[at]
+                    at = children[2 * at + goes_left]
+                sums += values[:, at].T
+                for i in np.flatnonzero(took == t + 1):
+                    means[:, :, i] = sums / counts[i]
+            width = means.shape[1] * means.shape[2]
+            yield pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * width, means.ravel())
+
+    scores = along(vector_to_array(F.col(forest.getFeaturesCol())))
     if before is not None:
         scores = F.zip_with(F.col(before), scores, lambda a, b: a + b)
-    return marked.select(*keep, scores.alias(out))
+    return rows.select(*keep, scores.alias(out))

@@ -22,16 +22,17 @@ from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassificationModel
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orchard.functions.features import TIME_COLUMN, derivation_sql
 from orchard.operators import forest, metrics
+from orchard.operators.grow import ForestClassifier, ForestRegressor
 from orchard.session import fresh_path
 
 CLASSIFICATION, REGRESSION = "classification", "regression"
@@ -93,12 +94,12 @@ def make_estimator(task: str, label: str, model_type: str = "rf", seed: int = 42
             return LogisticRegression(**common, **params)
         base = {**CLASSIFIER_BASE, **params}
         base = {**forest_speed(base["maxDepth"]), **base}
-        return RandomForestClassifier(**common, seed=seed, **base)
+        return ForestClassifier(**common, seed=seed, **base)
     if model_type == "lr":
         return LinearRegression(**common, **params)
     base = {**REGRESSOR_BASE, **params}
     base = {**forest_speed(base["maxDepth"]), **base}
-    return RandomForestRegressor(**common, seed=seed, **base)
+    return ForestRegressor(**common, seed=seed, **base)
 
 
 def build_pipeline(
